@@ -26,12 +26,14 @@ def _plays_on(log: DataFrame, *pages: str) -> DataFrame:
     return plays.withColumn("bag", framed(F.col("extend")))
 
 
-def _member_plays_on(log: DataFrame, page: str, keep: list[str], **fields: Column) -> DataFrame:
+def _member_plays_on(
+    log: DataFrame, uicode: str, keep: list[str], fields: dict[str, Column]
+) -> DataFrame:
     """Plays of named members; the bag must be readable and name one page at most."""
     members = log.where(filled(F.col("uid")) & g.is_member(F.col("uid")))
     bag = F.col("bag")
     read = derive(
-        _plays_on(members, page),
+        _plays_on(members, uicode),
         keep,
         {"usable": readable(bag, REST) & ~repeats(bag, "page"), **fields},
     )
@@ -49,7 +51,7 @@ def _pair(key: str) -> Column:
 # --- diversion plays -------------------------------------------------------
 
 
-def _diversion_plays(log: DataFrame, keep: list[str], **fields: Column) -> DataFrame:
+def _diversion_plays(log: DataFrame, keep: list[str], fields: dict[str, Column]) -> DataFrame:
     """Plays longer than the bound whose index does not mark a recommended video."""
     read = derive(
         _plays_on(log, g.DETAIL_PAGE, g.FEED_PAGE),
@@ -67,7 +69,7 @@ def _diversion_plays(log: DataFrame, keep: list[str], **fields: Column) -> DataF
 def diversion_records(log: DataFrame) -> DataFrame:
     """(uid, mid) of diversion plays; a negative index is let through."""
     members = log.where(filled(F.col("uid")) & g.is_member(F.col("uid")))
-    plays = _diversion_plays(members, ["uid"], scene=_pair("recom_scene"))
+    plays = _diversion_plays(members, ["uid"], {"scene": _pair("recom_scene")})
     return plays.where(
         g.not_recommended(F.col("index")) & ~F.col("scene").eqNullSafe("1")
     ).select("uid", "mid")
@@ -81,7 +83,7 @@ def diversion_counts(records: DataFrame) -> DataFrame:
 def diversion_events(log: DataFrame) -> DataFrame:
     """(time_ms, uid, authorid, mid) of diversion plays, guests and scenes included."""
     timed = log.where(filled(F.col("uid")) & filled(F.col("day_key")))
-    plays = _diversion_plays(timed, ["uid", "day_key"], authorid=_pair("authorid"))
+    plays = _diversion_plays(timed, ["uid", "day_key"], {"authorid": _pair("authorid")})
     events = plays.where(g.is_entry_video(F.col("index")) & filled(F.col("authorid")))
     return events.select(
         F.unix_millis(event_time(F.col("day_key"))).alias("time_ms"), "uid", "authorid", "mid"
@@ -108,9 +110,11 @@ def tab_consumers(log: DataFrame, exclude_clients: Iterable[str] = ()) -> DataFr
         log.where(filled(F.col("from"))),
         g.TAB_PAGE,
         ["uid", "from"],
-        watched=strict_int(_rest("valid_play_duration")),
-        index=_rest("index"),
-        page=_rest("page"),
+        {
+            "watched": strict_int(_rest("valid_play_duration")),
+            "index": _rest("index"),
+            "page": _rest("page"),
+        },
     )
     kind = g.client(F.col("from"))
     return plays.where(
@@ -134,7 +138,7 @@ def find_users(log: DataFrame) -> DataFrame:
         ),
         g.FEED_PAGE,
         ["uid"],
-        duration=strict_int(_rest("playduration")),
+        {"duration": strict_int(_rest("playduration"))},
     )
     return plays.where(F.col("duration") >= g.LONG_PLAY_MS).select("uid", "duration")
 
@@ -167,9 +171,11 @@ def depth_plays(log: DataFrame, exclude_clients: Iterable[str] = ()) -> DataFram
         log.where(filled(F.col("from"))),
         g.TAB_PAGE,
         ["uid", "from"],
-        duration=strict_int(_rest("valid_play_duration")),
-        index=_rest("index"),
-        page=_rest("page"),
+        {
+            "duration": strict_int(_rest("valid_play_duration")),
+            "index": _rest("index"),
+            "page": _rest("page"),
+        },
     )
     kind = g.client(F.col("from"))
     placed = derive(
@@ -225,7 +231,7 @@ def source_plays(log: DataFrame) -> DataFrame:
         log,
         g.FEED_PAGE,
         ["uid", "previous_id", "root_uicode"],
-        **{name: _rest(name) for name in text},
+        {name: _rest(name) for name in text},
     )
 
     def number(name: str, default: str) -> Column:

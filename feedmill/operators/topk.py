@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from feedmill.functions.lists import in_order
 from feedmill.operators.joins import dimension_join, fits_broadcast
 from feedmill.operators.ranking import top_per_key
+from feedmill.session import materialise
 
 MAX_ITEM_BYTES = 256 << 20
 BLOCK_BYTES = 64 << 20
@@ -75,7 +76,7 @@ def cluster_routes(users: DataFrame, items: DataFrame, probe: Probe) -> DataFram
 
     best = recommend_top_k(
         as_factors(centroids(users)),
-        as_factors(centroids(items, probe.min_size)),
+        as_factors(materialise(centroids(items, probe.min_size))),
         probe.clusters,
         whole_products=True,
     )
@@ -265,7 +266,7 @@ def recommend_top_k(
     whole_products: bool = False,
 ) -> DataFrame:
     """(user, items array<struct<item, score>>), best first, ties by item id."""
-    routes = cluster_routes(users, items, probe) if probe is not None else None
+    routes = materialise(cluster_routes(users, items, probe)) if probe is not None else None
     users, items = _prepared(users, probe is not None), _prepared(items, probe is not None)
     n_items, width = items.agg(
         F.count(F.lit(1)), F.coalesce(F.max(F.size("features")), F.lit(1))
