@@ -1,0 +1,71 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from feedmill.operators.joins import dimension_join, fits_broadcast
+from feedmill.operators.ranking import global_rank, grouped_rank, top_per_key
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    draw = random.Random(5)
+    # One group holds a third of the rows.
+    data = [(i, "hot" if i % 3 == 0 else f"g{draw.randrange(40)}", draw.randrange(1000)) for i in range(3000)]
+    return data, spark.createDataFrame(data, "id int, g string, v int").repartition(7).cache()
+
+
+def test_global_rank(rows):
+    data, df = rows
+    ranked = global_rank(df, [F.col("v").desc(), F.col("id")])
+    want = {r[0]: n for n, r in enumerate(sorted(data, key=lambda r: (-r[2], r[0])))}
+    assert {r.id: r["rank"] for r in ranked.collect()} == want
+
+
+def test_global_rank_of_nothing(rows):
+    _, df = rows
+    assert global_rank(df.where("id < 0"), [F.col("id")]).collect() == []
+
+
+def test_grouped_rank(rows):
+    data, df = rows
+    seen, want = {}, {}
+    for id_, g, v in sorted(data, key=lambda r: (r[1], r[2], r[0])):
+        want[id_] = seen.get(g, 0)
+        seen[g] = want[id_] + 1
+    ranked = grouped_rank(df, ["g"], [F.col("v"), F.col("id")])
+    assert {r.id: r["rank"] for r in ranked.collect()} == want
+
+
+def test_top_per_key(rows):
+    data, df = rows
+    best = top_per_key(df, "g", [F.col("v").desc(), F.col("id")], 3, "pos").collect()
+    groups = {}
+    for id_, g, v in sorted(data, key=lambda r: (-r[2], r[0])):
+        groups.setdefault(g, []).append(id_)
+    want = {(g, p, i) for g, ids in groups.items() for p, i in enumerate(ids[:3])}
+    assert {(r.g, r.pos, r.id) for r in best} == want
+
+
+@pytest.mark.parametrize("how", ["inner", "left_semi", "left_anti", "left"])
+def test_salted_join_equals_plain_join(spark, rows, how):
+    _, df = rows
+    names = spark.createDataFrame([("hot", 1), ("g1", 2), ("g1", 3), ("none", 4)], "g string, n int")
+    plain = df.join(names, "g", how)
+    salted = dimension_join(df, names, ["g"], how, max_rows=0, salts=5)
+    assert salted.columns == plain.columns
+    assert sorted(map(tuple, salted.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    shared = dimension_join(df, names, ["g"], how)
+    assert sorted(map(tuple, shared.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
+def test_broadcast_only_what_fits(spark):
+    names = spark.range(100).withColumn("t", F.lit("x" * 100))
+    assert fits_broadcast(names)
+    assert not fits_broadcast(names, max_rows=99)
+    assert not fits_broadcast(names, max_bytes=9_000)
+
+
+def test_outer_side_must_not_repeat(spark):
+    with pytest.raises(ValueError):
+        dimension_join(spark.range(1), spark.range(1), ["id"], "right")
