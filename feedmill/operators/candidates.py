@@ -1,4 +1,8 @@
-"""From decoded lists to lists worth showing."""
+"""From decoded lists to lists worth showing.
+
+Each step exists over rows (uid, pos, mid) and over lists (uid, mids).  A chain
+of steps stays with rows and builds its lists once, at the end.
+"""
 
 from __future__ import annotations
 
@@ -6,28 +10,40 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.functions.lists import in_order
-from feedmill.operators.joins import dimension_join
+from feedmill.operators.joins import dimension_join, restrict
 
 ITEM_TYPE = "mid"
 
 
 def list_rows(candidates: DataFrame) -> DataFrame:
-    """(uid, mids) -> (uid, mid, pos) with 0-based positions."""
+    """(uid, mids) -> (uid, pos, mid) with 0-based positions."""
     return candidates.select("uid", F.posexplode("mids").alias("pos", "mid"))
 
 
+def row_lists(rows: DataFrame) -> DataFrame:
+    """(uid, pos, mid) -> (uid, mids); a repeated item keeps its first position."""
+    return rows.groupBy("uid").agg(F.array_distinct(in_order("pos", "mid")).alias("mids"))
+
+
+def unseen_rows(rows: DataFrame, history: DataFrame) -> DataFrame:
+    """Candidate rows whose (uid, mid) is not in the history.
+
+    History of items that nobody is offered is dropped before it is shuffled.
+    The sides meet on (uid, mid), the history as one row per pair, so neither
+    a busy user nor a popular item makes a large group.
+    """
+    offered = rows.select("mid").distinct()
+    seen = restrict(history.select("uid", "mid"), offered, ["mid"]).distinct()
+    return rows.join(seen, ["uid", "mid"], "left_anti").select("uid", "pos", "mid")
+
+
 def remove_seen(candidates: DataFrame, history: DataFrame) -> DataFrame:
     """Drop items the user has acted on in any way; keep the order of the rest.
 
-    Both sides meet on (uid, mid) after collapsing to one row per pair, so
-    neither a busy user nor a popular item makes a large group.  A repeated
-    item keeps its first position, a user with nothing left has no row.
+    A user with nothing left has no row.
     """
-    offered = list_rows(candidates).groupBy("uid", "mid").agg(F.min("pos").alias("pos"))
-    seen = history.select("uid", "mid").distinct()
-    left = offered.join(seen, ["uid", "mid"], "left_anti")
-    # The group is one input list again.
-    return left.groupBy("uid").agg(in_order("pos", "mid").alias("mids"))
+    rows = list_rows(candidates.select("uid", F.array_distinct("mids").alias("mids")))
+    return row_lists(unseen_rows(rows, history))
 
 
 def unique_meta(meta: DataFrame) -> DataFrame:
@@ -36,14 +52,8 @@ def unique_meta(meta: DataFrame) -> DataFrame:
     return meta.groupBy("mid").agg(picked.alias("m")).select("mid", "m.author", "m.oid")
 
 
-def enrich_rows(candidates: DataFrame, meta: DataFrame) -> DataFrame:
-    """(uid, pos, mid, author, oid) for candidates that have metadata."""
-    rows = dimension_join(list_rows(candidates), unique_meta(meta), ["mid"])
-    return rows.select("uid", "pos", "mid", "author", "oid")
-
-
-def enrich(candidates: DataFrame, meta: DataFrame, cap: int = 200) -> DataFrame:
-    """(uid, items): the first ``cap`` enriched candidates of each user.
+def enrich_rows(rows: DataFrame, meta: DataFrame, cap: int = 200) -> DataFrame:
+    """(uid, pos, mid) -> (uid, items): the first ``cap`` entries that have metadata.
 
     ``meta`` is what ``sources.read_item_meta`` gives: one day, long enough items.
     """
@@ -53,8 +63,14 @@ def enrich(candidates: DataFrame, meta: DataFrame, cap: int = 200) -> DataFrame:
         F.col("mid").alias("id"),
         F.col("oid").alias("oid"),
     )
-    rows = enrich_rows(candidates, meta).select("uid", "pos", entry.alias("entry"))
-    return rows.groupBy("uid").agg(F.slice(in_order("pos", "entry"), 1, cap).alias("items"))
+    known = dimension_join(rows, unique_meta(meta), ["mid"])
+    entries = known.select("uid", "pos", entry.alias("entry"))
+    return entries.groupBy("uid").agg(F.slice(in_order("pos", "entry"), 1, cap).alias("items"))
+
+
+def enrich(candidates: DataFrame, meta: DataFrame, cap: int = 200) -> DataFrame:
+    """(uid, mids) -> (uid, items)."""
+    return enrich_rows(list_rows(candidates), meta, cap)
 
 
 def items_json(items: Column) -> Column:

@@ -78,18 +78,22 @@ def decode_triples(triples: DataFrame, ids: DataFrame) -> DataFrame:
     return items.join(of_kind(ids, USER, "uid", "user"), "user").select("uid", "mid", "score")
 
 
-def decode_recommendations(recs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(user, items array<struct<item, score>>) -> (uid, mids) in the same order.
+def decode_rows(recs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(user, items array<struct<item, score>>) -> (uid, pos, mid).
 
     Items without a real id are left out; ``missing_items`` counts them.
     """
-    entries = recs.select("user", F.posexplode("items").alias("pos", "entry")).select(
-        "user", "pos", F.col("entry.item").alias("item")
+    entries = recs.join(of_kind(ids, USER, "uid", "user"), "user").select(
+        "uid", F.posexplode("items").alias("pos", "entry")
     )
-    named = dimension_join(entries, of_kind(ids, ITEM, "mid", "item"), ["item"])
-    # A list holds at most k entries, so a group here is bounded by k.
-    lists = named.groupBy("user").agg(in_order("pos", "mid").alias("mids"))
-    return lists.join(of_kind(ids, USER, "uid", "user"), "user").select("uid", "mids")
+    numbered = entries.select("uid", "pos", F.col("entry.item").alias("item"))
+    named = dimension_join(numbered, of_kind(ids, ITEM, "mid", "item"), ["item"])
+    return named.select("uid", "pos", "mid")
+
+
+def decode_recommendations(recs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The decoded rows as (uid, mids), in the same order.  A list holds at most k."""
+    return decode_rows(recs, ids).groupBy("uid").agg(in_order("pos", "mid").alias("mids"))
 
 
 def missing_items(recs: DataFrame, ids: DataFrame) -> DataFrame:

@@ -48,3 +48,14 @@ def dimension_join(
         "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
     )
     return salted.join(copies, on + ["_salt"], how).drop("_salt")
+
+
+def restrict(facts: DataFrame, keys: DataFrame, on: Sequence[str], max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Facts whose key is among ``keys`` when those are few enough to share.
+
+    A reduction ahead of a shuffle, never a filter the result depends on: with
+    too many keys the facts pass unchanged.
+    """
+    if fits_broadcast(keys, max_rows):
+        return facts.join(F.broadcast(keys), list(on), "left_semi")
+    return facts

@@ -57,13 +57,14 @@ def _diversion_plays(log: DataFrame, keep: list[str], fields: dict[str, Column])
         _plays_on(log, g.DETAIL_PAGE, g.FEED_PAGE),
         keep,
         {
-            "watched": strict_int(_pair("valid_play_duration")),
+            "watched": _pair("valid_play_duration"),
             "index": _pair("index"),
             "mid": _pair("mid"),
             **fields,
         },
     )
-    return read.where((F.col("watched") > g.LONG_PLAY_MS) & filled(F.col("mid")))
+    watched = strict_int(F.col("watched"))
+    return read.where((watched > g.LONG_PLAY_MS) & filled(F.col("mid")))
 
 
 def diversion_records(log: DataFrame) -> DataFrame:
@@ -111,14 +112,14 @@ def tab_consumers(log: DataFrame, exclude_clients: Iterable[str] = ()) -> DataFr
         g.TAB_PAGE,
         ["uid", "from"],
         {
-            "watched": strict_int(_rest("valid_play_duration")),
+            "watched": _rest("valid_play_duration"),
             "index": _rest("index"),
             "page": _rest("page"),
         },
     )
     kind = g.client(F.col("from"))
     return plays.where(
-        (F.col("watched") >= g.LONG_PLAY_MS)
+        (strict_int(F.col("watched")) >= g.LONG_PLAY_MS)
         & F.col("index").isNotNull()
         & F.col("page").isNotNull()
         & _client_allowed(kind, exclude_clients)
@@ -138,9 +139,11 @@ def find_users(log: DataFrame) -> DataFrame:
         ),
         g.FEED_PAGE,
         ["uid"],
-        {"duration": strict_int(_rest("playduration"))},
+        {"duration": _rest("playduration")},
+    )
+    return plays.select("uid", strict_int(F.col("duration")).alias("duration")).where(
+        F.col("duration") >= g.LONG_PLAY_MS
     )
-    return plays.where(F.col("duration") >= g.LONG_PLAY_MS).select("uid", "duration")
 
 
 # --- exposure --------------------------------------------------------------
@@ -172,21 +175,24 @@ def depth_plays(log: DataFrame, exclude_clients: Iterable[str] = ()) -> DataFram
         g.TAB_PAGE,
         ["uid", "from"],
         {
-            "duration": strict_int(_rest("valid_play_duration")),
+            "duration": _rest("valid_play_duration"),
             "index": _rest("index"),
             "page": _rest("page"),
         },
     )
     kind = g.client(F.col("from"))
     placed = derive(
-        plays.where(F.col("duration").isNotNull() & _client_allowed(kind, exclude_clients)),
-        ["uid", "duration"],
+        plays.where(_client_allowed(kind, exclude_clients)),
+        ["uid"],
         {
             "tail": g.user_tail(F.col("uid")),
             "depth": g.feed_depth(kind, F.col("page"), F.col("index")),
+            "duration": strict_int(F.col("duration")),
         },
     )
-    return placed.where(F.col("tail").isNotNull() & (F.col("depth") != 0)).select(
+    return placed.where(
+        F.col("tail").isNotNull() & (F.col("depth") != 0) & F.col("duration").isNotNull()
+    ).select(
         "uid", "tail", F.least("depth", F.lit(MAX_DEPTH)).alias("depth"), "duration"
     )
 

@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
-class TooFewRows(ValueError):
-    """A step gave less than the next one needs."""
+REPEATED = "more than one row"
 
 
-class DuplicateKeys(ValueError):
-    """A table that must hold one row per key holds more."""
+class TooFewRows(ValueError):
+    """A step gave less than the next one needs."""
 
 
 def require_rows(df: DataFrame, n: int = 1) -> DataFrame:
@@ -24,12 +23,16 @@ def require_rows(df: DataFrame, n: int = 1) -> DataFrame:
     return df
 
 
-def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``df`` itself, or an error when a key occurs twice.  Reads the keys only."""
-    twice = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").first()
-    if twice is not None:
-        raise DuplicateKeys(f"{tuple(twice)[:-1]} occurs {twice['n']} times")
-    return df
+def one_row_per(df: DataFrame, key: str) -> DataFrame:
+    """``df`` itself, which fails while it runs if a key occurs twice.
+
+    The count needs the rows by key, as a join on the key does, so ahead of
+    such a join it adds no shuffle and no extra job.
+    """
+    rows = F.count(F.lit(1)).over(Window.partitionBy(key))
+    message = F.concat(F.lit(f"{REPEATED}: {key} "), F.col(key).cast("string"))
+    once = F.when(F.col("_rows") == 1, F.col(key)).otherwise(F.raise_error(message))
+    return df.withColumn("_rows", rows).where(once.isNotNull() | F.col(key).isNull()).drop("_rows")
 
 
 def counted(df: DataFrame, observation: Observation, conditions: Mapping[str, Column]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from feedmill.functions.values import filled, strict_int
-from feedmill.operators.quality import counted, require_unique
+from feedmill.operators.quality import counted, one_row_per
 from feedmill.operators.ranking import grouped_rank
 
 TTL_DAYS = 30
@@ -25,21 +25,18 @@ def merge_state(
     new: DataFrame,
     base: DataFrame,
     ttl: int = TTL_DAYS,
-    check_unique: bool = True,
     observation: Observation | None = None,
 ) -> DataFrame:
     """Today's lists replace the base ones, the rest ages by a day and expires.
 
-    Lists stay whole: the rows are joined on the user, never exploded.
+    Lists stay whole: the rows are joined on the user, never exploded.  A user
+    with two rows on one side is an error.
     """
-    if check_unique:
-        require_unique(new, ["uid"])
-        require_unique(base, ["uid"])
-    joined = new.select("uid", F.col("list").alias("new_list")).join(
-        base.select("uid", F.col("list").alias("base_list"), F.col("ttl").alias("base_ttl")),
-        "uid",
-        "full_outer",
+    today = one_row_per(new.select("uid", F.col("list").alias("new_list")), "uid")
+    before = one_row_per(
+        base.select("uid", F.col("list").alias("base_list"), F.col("ttl").alias("base_ttl")), "uid"
     )
+    joined = today.join(before, "uid", "full_outer")
     fate = _fate(F.col("new_list"), F.col("base_list"))
     left = F.col("base_ttl") - 1
     rows = joined.select(

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.functions.lists import in_order
+from feedmill.functions.values import dot
 from feedmill.operators.joins import dimension_join, fits_broadcast
 from feedmill.operators.ranking import top_per_key
 from feedmill.session import materialise
@@ -202,7 +203,17 @@ def _block_scorer(k: int, whole_products: bool) -> Callable:
     return score
 
 
-# --- the operator ----------------------------------------------------------
+# --- the operators ---------------------------------------------------------
+
+
+def score_pairs(pairs: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """(user, item) -> (user, item, score); pairs without factors are left out."""
+    of_users = users.select(F.col("id").alias("user"), F.col("features").alias("user_features"))
+    of_items = items.select(F.col("id").alias("item"), F.col("features").alias("item_features"))
+    both = dimension_join(pairs.select("user", "item"), of_items, ["item"]).join(of_users, "user")
+    return both.select(
+        "user", "item", dot(F.col("user_features"), F.col("item_features")).alias("score")
+    )
 
 
 def _prepared(factors: DataFrame, probing: bool) -> DataFrame:

@@ -55,8 +55,7 @@ def good_items(spark, sf_dir):
 
 
 def _scores(spark, sf_dir):
-    good = materialise(_good(spark, sf_dir))
-    return scoring.user_item_score(b.behaviour(spark, sf_dir), good, min_items=45)
+    return scoring.user_item_score(b.behaviour(spark, sf_dir), _good(spark, sf_dir), min_items=45)
 
 
 @_query
@@ -66,8 +65,7 @@ def user_item_score(spark, sf_dir):
 
 @_query
 def score_counters(spark, sf_dir):
-    good = materialise(_good(spark, sf_dir))
-    return scoring.score_counters(b.behaviour(spark, sf_dir), good)
+    return scoring.score_counters(b.behaviour(spark, sf_dir), _good(spark, sf_dir))
 
 
 @_query
@@ -126,6 +124,14 @@ def top_k_probed(spark, sf_dir):
     return _rounded(_entries(recs), "score", 4)
 
 
+@_query
+def score_pairs(spark, sf_dir):
+    """Every vector with the vector that has its label as id."""
+    vectors = b.factors(spark, sf_dir)
+    pairs = vectors.select(F.col("id").alias("user"), F.col("cluster").cast("bigint").alias("item"))
+    return _rounded(topk.score_pairs(pairs, vectors, vectors), "score", 4)
+
+
 @_query
 def cluster_routes(spark, sf_dir):
     vectors = b.factors(spark, sf_dir)

@@ -7,9 +7,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedmill.operators.candidates import enrich, items_json, remove_seen
+from feedmill.operators.candidates import enrich_rows, items_json, unseen_rows
 from feedmill.operators.factors import Settings, train
-from feedmill.operators.ids import assign_dense_ids, decode_recommendations, encode_ratings
+from feedmill.operators.ids import assign_dense_ids, decode_rows, encode_ratings
 from feedmill.operators.popularity import good_items, item_action_counts
 from feedmill.operators.quality import require_rows
 from feedmill.operators.scoring import user_item_score
@@ -38,7 +38,8 @@ def todays_lists(
 ) -> DataFrame:
     """(uid, items): enriched recommendations of every active user.
 
-    Scores and ids feed several later steps and are written once each.
+    Scores, ids and decoded candidates feed several later steps each and are
+    written once.  Candidates stay rows until the last step.
     """
     counts = item_action_counts(behaviour)
     good = require_rows(materialise(good_items(counts, s.skip, s.pool_end, s.top_items)))
@@ -47,8 +48,8 @@ def todays_lists(
     require_rows(ids.where(F.col("kind") == "uid"), s.min_users)
     model = train(encode_ratings(scores, ids), s.factorisation)
     recs = recommend_top_k(model.userFactors, model.itemFactors, s.k, s.probe)
-    candidates = decode_recommendations(recs, ids)
-    return enrich(remove_seen(candidates, history), meta, s.cap)
+    candidates = materialise(decode_rows(recs, ids))
+    return enrich_rows(unseen_rows(candidates, history), meta, s.cap)
 
 
 def todays_state(

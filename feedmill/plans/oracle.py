@@ -339,6 +339,9 @@ SELECT "user", CAST(pos AS INTEGER) AS pos, item, round(score, 4) + 0.0 AS score
         FROM vectors u JOIN routes r ON r.user_cluster = u.cluster
                        JOIN vectors i ON i.cluster = r.item_cluster) AS scored
 ) AS ranked WHERE pos < 10""",
+    "score_pairs": f"""WITH {_VECTORS}
+SELECT u.id AS "user", i.id AS item, round(list_dot_product(u.features, i.features), 4) + 0.0 AS score
+FROM vectors u JOIN vectors i ON i.id = u.cluster""",
     "cluster_routes": f"WITH {_ROUTES} SELECT user_cluster, item_cluster, CAST(pos AS INTEGER) AS pos FROM routes",
     "cluster_sizes": "SELECT label AS cluster, count(*) AS n FROM embeddings GROUP BY label HAVING count(*) > 2",
     "scored_list_lines": f"""WITH {_TOP_K}

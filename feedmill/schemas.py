@@ -9,6 +9,8 @@ def _strings(*names: str) -> T.StructType:
 
 BEHAVIOUR = _strings("uid", "action", "c2", "mid", "c4", "extend")
 
+PAIRS = _strings("uid", "mid")
+
 CLIENT_LOG = _strings(
     "day_key", "uid", "action", "uicode", "previous_id", "root_uicode", "from", "extend"
 )

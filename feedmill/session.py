@@ -46,8 +46,10 @@ def materialise(df: DataFrame) -> DataFrame:
 
     Everything downstream then starts from one fixed copy: a lost executor
     costs a re-read, and two branches of a plan cannot see different rows.
+    All copies of an application lie in one folder, to be removed after it.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/feedmill-{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark).rstrip('/')}/feedmill-{spark.sparkContext.applicationId}"
+    path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -35,6 +35,11 @@ def read_behaviour(spark: SparkSession, paths: Paths) -> DataFrame:
     return _tab_text(spark, paths, schemas.BEHAVIOUR)
 
 
+def read_pairs(spark: SparkSession, paths: Paths) -> DataFrame:
+    """``uid<tab>mid`` lines: a history, or diversion records, in text form."""
+    return _tab_text(spark, paths, schemas.PAIRS)
+
+
 def _columnar(
     spark: SparkSession, source: Paths, format: str, positions: Mapping[str, int]
 ) -> DataFrame:

@@ -115,8 +115,10 @@ def test_merge_counters_balance(spark):
 
 def test_merge_refuses_a_repeated_user(spark, merge_inputs):
     new, base = merge_inputs
-    with pytest.raises(quality.DuplicateKeys):
-        state.merge_state(new.unionByName(new), base)
+    with pytest.raises(Exception, match=quality.REPEATED):
+        state.merge_state(new.unionByName(new), base).collect()
+    with pytest.raises(Exception, match=quality.REPEATED):
+        state.merge_state(new, base.unionByName(base)).collect()
 
 
 def test_export(spark, tmp_path):

@@ -92,6 +92,11 @@ def test_text_forms(spark, tmp_path):
     assert tuple(new.first()) == ("u1", '[{"id":"1"}]')
 
 
+def test_pairs(spark, tmp_path):
+    pairs = readers.read_pairs(spark, put(tmp_path / "pairs", "u1\tm1", "u2\tm2\textra"))
+    assert [tuple(r) for r in pairs.collect()] == [("u1", "m1"), ("u2", "m2")]
+
+
 def test_text_written_and_read_back(spark, tmp_path):
     state = spark.createDataFrame([("u1", '[{"id":"1"}]', 30), ("u2", "", 1)], "uid string, list string, ttl int")
     writers.write_tab_text(state, str(tmp_path / "state"))

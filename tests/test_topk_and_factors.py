@@ -87,6 +87,18 @@ def test_fixture_rows_and_empty_sides(spark):
         assert lists(topk.recommend_top_k(users.limit(0), items, 2, **limits)) == {}
 
 
+def test_score_pairs(spark, data):
+    ids, matrix, _ = data["u"]
+    item_ids, item_matrix, _ = data["i"]
+    pairs = [(int(u), int(item_ids[n % 90])) for n, u in enumerate(ids)] + [(-1, int(item_ids[0]))]
+    found = topk.score_pairs(
+        spark.createDataFrame(pairs, "user int, item int"), data["users"], data["items"]
+    )
+    at = {int(i): v for i, v in zip(item_ids, item_matrix)}
+    want = {(int(u), p[1], float(v @ at[p[1]])) for (u, v), p in zip(zip(ids, matrix), pairs)}
+    assert {tuple(r) for r in found.collect()} == want
+
+
 def test_cluster_sizes(data):
     found = {r.cluster: r.n for r in topk.cluster_sizes(data["items"], above=12).collect()}
     clusters = list(data["i"][2])
