@@ -16,14 +16,17 @@ from feedmill.session import shared_dir
 
 @dataclass(frozen=True)
 class Settings:
-    """Factorisation settings; ``blocks`` is the parallelism on either side."""
+    """Factorisation settings.
+
+    ``blocks`` is the parallelism on either side, the session's own by default.
+    """
 
     rank: int = 256
     reg: float = 0.04
     iterations: int = 10
     alpha: float = 1.0
     seed: int = 10
-    blocks: int = 10
+    blocks: int | None = None
 
 
 def train(ratings: DataFrame, settings: Settings = Settings()) -> ALSModel:
@@ -31,7 +34,9 @@ def train(ratings: DataFrame, settings: Settings = Settings()) -> ALSModel:
 
     The iterations cut their lineage in the shared checkpoint folder.
     """
-    shared_dir(ratings.sparkSession)
+    spark = ratings.sparkSession
+    shared_dir(spark)
+    blocks = settings.blocks or spark.sparkContext.defaultParallelism
     als = ALS(
         userCol="user",
         itemCol="item",
@@ -43,8 +48,8 @@ def train(ratings: DataFrame, settings: Settings = Settings()) -> ALSModel:
         maxIter=settings.iterations,
         alpha=settings.alpha,
         seed=settings.seed,
-        numUserBlocks=settings.blocks,
-        numItemBlocks=settings.blocks,
+        numUserBlocks=blocks,
+        numItemBlocks=blocks,
         checkpointInterval=5,
         coldStartStrategy="drop",
     )

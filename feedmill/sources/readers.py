@@ -35,6 +35,12 @@ def read_behaviour(spark: SparkSession, paths: Paths) -> DataFrame:
     return _tab_text(spark, paths, schemas.BEHAVIOUR)
 
 
+def read_item_set(spark: SparkSession, paths: Paths) -> DataFrame:
+    """Distinct first fields of tab-separated lines as (mid): a white list in text form."""
+    mid = F.trim(F.substring_index("value", "\t", 1))
+    return _lines(spark, paths).select(mid.alias("mid")).where("mid <> ''").distinct()
+
+
 def read_pairs(spark: SparkSession, paths: Paths) -> DataFrame:
     """``uid<tab>mid`` lines: a history, or diversion records, in text form."""
     return _tab_text(spark, paths, schemas.PAIRS)

@@ -92,6 +92,11 @@ def test_text_forms(spark, tmp_path):
     assert tuple(new.first()) == ("u1", '[{"id":"1"}]')
 
 
+def test_item_set(spark, tmp_path):
+    found = readers.read_item_set(spark, put(tmp_path / "good", "m1\t3.210", " m2 ", "m1", ""))
+    assert sorted(r.mid for r in found.collect()) == ["m1", "m2"]
+
+
 def test_pairs(spark, tmp_path):
     pairs = readers.read_pairs(spark, put(tmp_path / "pairs", "u1\tm1", "u2\tm2\textra"))
     assert [tuple(r) for r in pairs.collect()] == [("u1", "m1"), ("u2", "m2")]
