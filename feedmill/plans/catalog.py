@@ -60,7 +60,7 @@ def _scores(spark, sf_dir):
 
 @_query
 def user_item_score(spark, sf_dir):
-    return _rounded(_scores(spark, sf_dir), "score", 6)
+    return _scores(spark, sf_dir)
 
 
 @_query

@@ -315,7 +315,7 @@ ORACLE: dict[str, str] = {
     "item_action_counts": f"WITH {_BEHAVIOUR} SELECT mid, repost, comment, attitude, play FROM counts",
     "require_rows": f"WITH {_BEHAVIOUR} SELECT mid, repost, comment, attitude, play FROM counts",
     "good_items": f"WITH {_BEHAVIOUR}, {_good(5, 80, 30)} SELECT mid, round(score, 6) + 0.0 AS score FROM good",
-    "user_item_score": f"WITH {_SCORES} SELECT uid, mid, round(score, 6) + 0.0 AS score FROM scores",
+    "user_item_score": f"WITH {_SCORES} SELECT uid, mid, score FROM scores",
     "score_counters": f"""WITH {_SCORES}
 SELECT count(*) AS lines,
        CAST(0 AS BIGINT) AS rejected_plays,
