@@ -46,6 +46,22 @@ def remove_seen(candidates: DataFrame, history: DataFrame) -> DataFrame:
     return row_lists(unseen_rows(rows, history))
 
 
+def seen_counters(candidates: DataFrame, history: DataFrame) -> DataFrame:
+    """One row: users offered something, items kept and removed, users with items left."""
+    rows = list_rows(candidates.select("uid", F.array_distinct("mids").alias("mids")))
+    seen = restrict(history.select("uid", "mid"), rows.select("mid").distinct(), ["mid"])
+    flagged = rows.join(seen.distinct().withColumn("seen", F.lit(True)), ["uid", "mid"], "left")
+    per_user = flagged.groupBy("uid").agg(
+        F.count_if(F.col("seen").isNull()).alias("kept"), F.count("seen").alias("removed")
+    )
+    return per_user.agg(
+        F.count(F.lit(1)).alias("users"),
+        F.coalesce(F.sum("kept"), F.lit(0)).alias("kept"),
+        F.coalesce(F.sum("removed"), F.lit(0)).alias("removed"),
+        F.count_if(F.col("kept") > 0).alias("users_left"),
+    )
+
+
 def unique_meta(meta: DataFrame) -> DataFrame:
     """One metadata row per item, the smallest (author, object id)."""
     picked = F.min(F.struct(F.col("uid").alias("author"), F.col("object_id").alias("oid")))

@@ -15,6 +15,7 @@ from feedmill.functions import guards as g
 from feedmill.functions.props import PAIR, REST, framed, prop, readable, repeats
 from feedmill.functions.values import event_time, filled, strict_int
 from feedmill.operators.popularity import count_per
+from feedmill.operators.quality import KEPT, first_failure
 from feedmill.operators.steps import derive
 
 
@@ -146,6 +147,84 @@ def find_users(log: DataFrame) -> DataFrame:
     )
 
 
+# --- reject causes ---------------------------------------------------------
+
+
+def _causes(
+    log: DataFrame, plain: dict[str, Column], keys: dict[str, Column], rest: dict[str, Column]
+) -> DataFrame:
+    """(cause, n) by the first guard a record fails; its bag is read only if none of ``plain`` did."""
+    passed = F.col("plain") == KEPT
+    checked = log.select("*", first_failure(plain).alias("plain"))
+    read = derive(
+        checked.withColumn("bag", F.when(passed, framed(F.col("extend")))), ["from", "plain"], keys
+    )
+    cause = F.when(passed, first_failure(rest)).otherwise(F.col("plain"))
+    return count_per(read.select(cause.alias("cause")), "cause")
+
+
+def tab_consumer_causes(log: DataFrame, exclude_clients: Iterable[str] = ()) -> DataFrame:
+    """Why records are left out of ``tab_consumers``; its rows are the kept ones."""
+    bag = F.col("bag")
+    watched = strict_int(F.col("watched"))
+    return _causes(
+        log,
+        {
+            "no_uid": filled(F.col("uid")),
+            "guest": g.is_member(F.col("uid")),
+            "other_action": g.is_play(F.col("action")),
+            "no_uicode": filled(F.col("uicode")),
+            "other_page": g.on_page(F.col("uicode"), [g.TAB_PAGE]),
+            "no_from": filled(F.col("from")),
+            "no_extend": filled(F.col("extend")),
+        },
+        {
+            "two_pages": repeats(bag, "page"),
+            "readable": readable(bag, REST),
+            "watched": _rest("valid_play_duration"),
+            "index": _rest("index"),
+            "page": _rest("page"),
+        },
+        {
+            "two_pages": ~F.col("two_pages"),
+            "unreadable": F.col("readable"),
+            "no_duration": F.col("watched").isNotNull(),
+            "bad_duration": watched.isNotNull(),
+            "short": watched >= g.LONG_PLAY_MS,
+            "no_index_or_page": F.col("index").isNotNull() & F.col("page").isNotNull(),
+            "other_client": _client_allowed(g.client(F.col("from")), exclude_clients),
+        },
+    )
+
+
+def diversion_causes(log: DataFrame) -> DataFrame:
+    """Why records are left out of ``diversion_records``; its rows are the kept ones."""
+    watched = strict_int(F.col("watched"))
+    return _causes(
+        log,
+        {
+            "other_action": g.is_play(F.col("action")),
+            "other_page": g.on_page(F.col("uicode"), [g.DETAIL_PAGE, g.FEED_PAGE]),
+            "no_extend": filled(F.col("extend")),
+            "no_uid": filled(F.col("uid")),
+            "guest": g.is_member(F.col("uid")),
+        },
+        {
+            "watched": _pair("valid_play_duration"),
+            "scene": _pair("recom_scene"),
+            "index": _pair("index"),
+            "mid": _pair("mid"),
+        },
+        {
+            "no_duration": F.col("watched").isNotNull(),
+            "short_or_bad_duration": watched > g.LONG_PLAY_MS,
+            "scene": ~F.col("scene").eqNullSafe("1"),
+            "recommended": g.not_recommended(F.col("index")),
+            "no_mid": filled(F.col("mid")),
+        },
+    )
+
+
 # --- exposure --------------------------------------------------------------
 
 

@@ -38,3 +38,14 @@ def one_row_per(df: DataFrame, key: str) -> DataFrame:
 def counted(df: DataFrame, observation: Observation, conditions: Mapping[str, Column]) -> DataFrame:
     """Count rows by condition while ``df`` runs; read them from ``observation.get``."""
     return df.observe(observation, *[F.count_if(c).alias(n) for n, c in conditions.items()])
+
+
+KEPT = "kept"
+
+
+def first_failure(guards: Mapping[str, Column]) -> Column:
+    """Name of the first guard that does not hold, ``kept`` when all of them do."""
+    cause = F.lit(KEPT)
+    for name, holds in reversed(guards.items()):
+        cause = F.when(holds, cause).otherwise(name)
+    return cause

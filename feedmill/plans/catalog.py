@@ -245,6 +245,11 @@ def remove_seen(spark, sf_dir):
     return candidates.list_rows(left)
 
 
+@_query
+def seen_counters(spark, sf_dir):
+    return candidates.seen_counters(b.candidates(spark, sf_dir), b.history(spark, sf_dir))
+
+
 def _meta(spark, sf_dir):
     return item_meta_of(b.item_meta(spark, sf_dir), b.META_DAY)
 
@@ -342,6 +347,16 @@ def tab_consumers_ios(spark, sf_dir):
     return logstats.tab_consumers(b.client_log(spark, sf_dir), IOS_ONLY)
 
 
+@_query
+def tab_consumer_causes(spark, sf_dir):
+    return logstats.tab_consumer_causes(b.client_log(spark, sf_dir))
+
+
+@_query
+def diversion_causes(spark, sf_dir):
+    return logstats.diversion_causes(b.client_log(spark, sf_dir))
+
+
 @_query
 def depth_report(spark, sf_dir):
     return logstats.depth_report(b.client_log(spark, sf_dir))

@@ -360,6 +360,17 @@ SELECT uid, CAST(row_number() OVER (PARTITION BY uid ORDER BY pos) - 1 AS INTEGE
   WHERE NOT EXISTS (SELECT 1 FROM history h WHERE h.uid = c.uid AND h.mid = c.mid)
   GROUP BY uid, mid
 ) AS kept""",
+    "seen_counters": f"""WITH {_CANDIDATES}, {_HISTORY},
+offered AS (SELECT DISTINCT uid, mid FROM candidates),
+flagged AS (
+  SELECT o.uid, h.uid IS NOT NULL AS seen
+  FROM offered o LEFT JOIN (SELECT DISTINCT uid, mid FROM history) h ON h.uid = o.uid AND h.mid = o.mid
+)
+SELECT count(DISTINCT uid) AS users,
+       count(*) FILTER (WHERE NOT seen) AS kept,
+       count(*) FILTER (WHERE seen) AS removed,
+       count(DISTINCT CASE WHEN NOT seen THEN uid END) AS users_left
+FROM flagged""",
     "enrich": f"""WITH {_ENRICHED}
 SELECT owner, CAST(pos AS INTEGER) AS pos, uid, 'mid' AS type, id, oid FROM enriched""",
     "candidate_json": f"""WITH {_ENRICHED}
@@ -397,6 +408,28 @@ SELECT CAST(author AS VARCHAR) AS author, count(DISTINCT mid) AS n FROM (
 ) AS shown GROUP BY author""",
     "tab_consumers": _tab_consumers("true"),
     "tab_consumers_ios": _tab_consumers("client_digit <> 0"),
+    "tab_consumer_causes": f"""WITH {_LOG}
+SELECT cause, count(*) AS n FROM (
+  SELECT CASE WHEN length(uid) > 11 THEN 'guest'
+              WHEN NOT is_play THEN 'other_action'
+              WHEN uicode_digit <> 2 THEN 'other_page'
+              WHEN two_pages THEN 'two_pages'
+              WHEN watched < 3000 THEN 'short'
+              ELSE 'kept' END AS cause
+  FROM log
+) AS causes GROUP BY cause""",
+    "diversion_causes": f"""WITH {_LOG}
+SELECT cause, count(*) AS n FROM (
+  SELECT CASE WHEN NOT is_play THEN 'other_action'
+              WHEN uicode_digit = 2 THEN 'other_page'
+              WHEN length(uid) > 11 THEN 'guest'
+              WHEN watched <= 3000 THEN 'short_or_bad_duration'
+              WHEN scene THEN 'scene'
+              WHEN idx >= 1 THEN 'recommended'
+              WHEN mid IS NULL THEN 'no_mid'
+              ELSE 'kept' END AS cause
+  FROM log
+) AS causes GROUP BY cause""",
     "depth_report": _depth_report("true"),
     "depth_report_ios": _depth_report("client_digit <> 0"),
     "find_users": f"""WITH {_LOG}

@@ -41,3 +41,21 @@ def save_day_table(df: DataFrame, table: str, day_column: str = "dt") -> None:
 
 def save_model(model: ALSModel, path: str) -> None:
     model.write().overwrite().save(path)
+
+
+def save_state_day(
+    state: DataFrame, table: str, buckets: int, key: str = "uid", day_column: str = "dt"
+) -> None:
+    """Append a day of state to a table bucketed by user.
+
+    The next merge then reads yesterday's state where it lies and shuffles
+    today's lists only; a merged table written back needs no shuffle either,
+    each task holding the users of one bucket.
+    """
+    (
+        state.write.mode("append")
+        .partitionBy(day_column)
+        .bucketBy(buckets, key)
+        .format("parquet")
+        .saveAsTable(table)
+    )

@@ -132,6 +132,20 @@ def feed(extend, **other):
     return {"uicode": "10000756", "extend": extend} | other
 
 
+def test_causes_add_up_with_the_reports(spark):
+    records = [r for r, _, _ in DIVERSIONS] + [ANDROID, IOS, OTHER, tab(""), tab("::|page:1"), tab("page:1")]
+    everything = log(spark, *records)
+    for causes, report in (
+        (logstats.diversion_causes, logstats.diversion_records),
+        (logstats.tab_consumer_causes, logstats.tab_consumers),
+    ):
+        counts = {r.cause: r.n for r in causes(everything).collect()}
+        assert sum(counts.values()) == len(records)
+        assert counts["kept"] == report(everything).count()
+    one = log(spark, tab("::|page:1"))
+    assert [tuple(r) for r in logstats.tab_consumer_causes(one).collect()] == [("unreadable", 1)]
+
+
 def test_daily_consume(spark):
     records = [
         feed("mid:m1"),

@@ -9,6 +9,7 @@ import __spark_entry__ as driver
 from feedmill.operators import joins, logstats, popularity, scoring, state
 from feedmill.plans import bindings as b
 from feedmill.sources.readers import item_meta_of
+from feedmill.sources.writers import save_state_day
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="sample tables are not here")
@@ -89,6 +90,27 @@ def test_merge_shuffles_each_side_once(spark, tmp_path):
     assert "Generate" not in plan
 
 
+def test_bucketed_state_is_not_shuffled(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS feedmill_state LOCATION '{tmp_path / 'db'}'")
+    try:
+        first = b.base_state(spark, SF_DIR).withColumn("dt", F.lit("20200101"))
+        save_state_day(first, "feedmill_state.lists", 4)
+        base = spark.table("feedmill_state.lists").where("dt = '20200101'").drop("dt")
+        merged = state.merge_state(b.new_lists(spark, SF_DIR), base)
+        plan = plan_of(merged)
+        of_base = plan[plan.rindex("FileScan") :]
+        assert "Bucketed: true" in of_base
+        # One shuffle makes the new lists distinct, one brings them to the state.
+        assert plan.count("Exchange hashpartitioning") == 2
+        want = sorted(map(tuple, merged.collect()))
+        save_state_day(merged.withColumn("dt", F.lit("20200102")), "feedmill_state.lists", 4)
+        written = spark.table("feedmill_state.lists").where("dt = '20200102'")
+        assert sorted(map(tuple, written.drop("dt").collect())) == want
+        assert len(written.inputFiles()) <= 4
+    finally:
+        spark.sql("DROP DATABASE feedmill_state CASCADE")
+
+
 def test_metadata_filter_reaches_the_scan(spark, tmp_path, capsys):
     path = str(tmp_path / "meta")
     b.item_meta(spark, SF_DIR).write.partitionBy("dt").parquet(path)
