@@ -42,8 +42,7 @@ def remove_seen(candidates: DataFrame, history: DataFrame) -> DataFrame:
 
     A user with nothing left has no row.
     """
-    rows = list_rows(candidates.select("uid", F.array_distinct("mids").alias("mids")))
-    return row_lists(unseen_rows(rows, history))
+    return row_lists(unseen_rows(list_rows(candidates), history))
 
 
 def seen_counters(candidates: DataFrame, history: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ from feedmill.operators.ranking import top_per_key
 from feedmill.session import materialise
 
 MAX_ITEM_BYTES = 256 << 20
-BLOCK_BYTES = 64 << 20
+BLOCK_BYTES = 128 << 20
 _TILE_CELLS = 4 << 20
 
 
@@ -221,7 +221,7 @@ def _prepared(factors: DataFrame, probing: bool) -> DataFrame:
     return factors.select(
         F.col("id").cast("bigint").alias("id"),
         cluster.cast("bigint").alias("cluster"),
-        F.col("features").cast("array<double>").alias("features"),
+        "features",
     )
 
 

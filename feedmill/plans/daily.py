@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedmill.operators.candidates import enrich_rows, items_json, unseen_rows
 from feedmill.operators.factors import Settings, train
@@ -13,9 +15,15 @@ from feedmill.operators.ids import assign_dense_ids, decode_rows, encode_ratings
 from feedmill.operators.popularity import good_items, item_action_counts
 from feedmill.operators.quality import require_rows
 from feedmill.operators.scoring import user_item_score
-from feedmill.operators.state import TTL_DAYS, merge_state
+from feedmill.operators.state import TTL_DAYS, export_kv, merge_state
 from feedmill.operators.topk import Probe, recommend_top_k
+from feedmill.schemas import STATE
 from feedmill.session import materialise
+from feedmill.sources.readers import item_meta_of, last_days
+from feedmill.sources.writers import replace_day
+
+
+_STORED = T.StructType(STATE.fields + [T.StructField("dt", T.StringType())])
 
 
 @dataclass(frozen=True)
@@ -29,6 +37,9 @@ class DailySettings:
     k: int = 300
     cap: int = 200
     ttl: int = TTL_DAYS
+    score_days: int = 8
+    seen_days: int = 30
+    export_parts: int = 8
     probe: Probe | None = None
     factorisation: Settings = field(default_factory=Settings)
 
@@ -63,3 +74,32 @@ def todays_state(
     lists = todays_lists(behaviour, history, meta, s)
     new = materialise(lists.select("uid", items_json(F.col("items")).alias("list")))
     return merge_state(new, base, s.ttl)
+
+
+def run_day(
+    log: DataFrame,
+    meta: DataFrame,
+    day: str,
+    state_path: str,
+    export_path: str,
+    s: DailySettings = DailySettings(),
+) -> None:
+    """Compute, store and export the candidate table of ``day`` (yyyyMMdd).
+
+    ``log`` and ``meta`` are partitioned by ``dt``; the table at ``state_path``
+    holds one partition per day, of which yesterday's is the base and today's
+    is replaced.  Windows end the day before ``day``.
+    """
+    spark = log.sparkSession
+    yesterday = f"{dt.datetime.strptime(day, '%Y%m%d') - dt.timedelta(days=1):%Y%m%d}"
+    stored = spark.read.schema(_STORED).parquet(state_path)
+    state = todays_state(
+        last_days(log, day, s.score_days),
+        last_days(log, day, s.seen_days),
+        item_meta_of(meta, yesterday),
+        stored.where(F.col("dt") == yesterday).drop("dt"),
+        s,
+    )
+    replace_day(state.withColumn("dt", F.lit(day)), state_path)
+    today = spark.read.schema(_STORED).parquet(state_path).where(F.col("dt") == day)
+    export_kv(today, export_path, s.export_parts)

@@ -37,3 +37,27 @@ def test_chain_stops_with_too_few_users(spark):
     settings = daily.DailySettings(skip=5, pool_end=100, top_items=95, min_items=5)
     with pytest.raises(TooFewRows):
         daily.todays_lists(log, history, meta, settings)
+
+
+def test_a_day_is_stored_and_exported(spark, tmp_path):
+    day, before = "20240120", "20240119"
+    log = b.behaviour(spark, SF_DIR).withColumn("dt", F.lit(before))
+    _, _, meta = inputs(spark)
+    meta = meta.withColumn("dt", F.lit(before)).withColumn("object_duration", F.lit(9.0))
+    base = b.base_state(spark, SF_DIR).withColumn("dt", F.lit(before))
+    state_path, export_path = str(tmp_path / "state"), str(tmp_path / "kv")
+    base.write.partitionBy("dt").parquet(state_path)
+    settings = daily.DailySettings(
+        skip=5, pool_end=100, top_items=95, min_items=5, min_users=1, k=95,
+        factorisation=catalog.SMALL_MODEL,
+    )
+    daily.run_day(log, meta, day, state_path, export_path, settings)
+    stored = spark.read.parquet(state_path)
+    assert stored.where(F.col("dt") == before).count() == base.count()
+    today = stored.where(F.col("dt") == day)
+    fresh = today.where("ttl = 30 AND list LIKE '[%'")
+    assert fresh.count() > 0
+    assert today.join(base.where("ttl = 1"), "uid", "left_semi").where("list LIKE 'base%'").count() == 0
+    exported = spark.read.parquet(export_path)
+    assert exported.count() == today.count()
+    assert exported.where(F.col("key") % 8 != F.col("part")).count() == 0
