@@ -13,11 +13,10 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
-from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -25,13 +24,15 @@ from pyspark.sql import functions as F
 
 from feedmill.functions.lists import in_order
 from feedmill.functions.values import dot
+from feedmill.operators import topk_kernel
 from feedmill.operators.joins import dimension_join, fits_broadcast
 from feedmill.operators.ranking import top_per_key
 from feedmill.session import materialise
 
+cloudpickle.register_pickle_by_value(topk_kernel)
+
 MAX_ITEM_BYTES = 256 << 20
 BLOCK_BYTES = 128 << 20
-_TILE_CELLS = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -86,123 +87,6 @@ def cluster_routes(users: DataFrame, items: DataFrame, probe: Probe) -> DataFram
     )
 
 
-# --- kernel ----------------------------------------------------------------
-
-
-def _matrix(features: pa.Array) -> np.ndarray:
-    """List column -> 2-d double array without per-row objects."""
-    flat = features.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(features), len(flat) // max(1, len(features)))
-
-
-def best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Indexes of the ``k`` best columns of each row by (score down, id up).
-
-    Returns row and column indexes.  Everything tied with the k-th score is
-    sorted, so the cut among equals follows the id.
-    """
-    k = min(k, scores.shape[1])
-    cut = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
-    rows, cols = np.nonzero(scores >= cut[:, None])
-    order = np.lexsort((ids[cols], -scores[rows, cols], rows))
-    rows, cols = rows[order], cols[order]
-    starts = np.searchsorted(rows, np.arange(len(scores)))
-    first = np.arange(len(rows)) - starts[rows] < k
-    return rows[first], cols[first]
-
-
-def best_lists(
-    user_ids: np.ndarray,
-    user_matrix: np.ndarray,
-    item_ids: np.ndarray,
-    item_matrix: np.ndarray,
-    k: int,
-    whole_products: bool,
-) -> Iterator[pa.RecordBatch]:
-    """(user, items) batches, scoring a bounded number of cells at a time."""
-    if not len(item_ids):
-        return
-    step = max(1, _TILE_CELLS // len(item_ids))
-    for start in range(0, len(user_ids), step):
-        tile = user_ids[start : start + step]
-        scores = user_matrix[start : start + step] @ item_matrix.T
-        if whole_products:
-            scores = np.trunc(scores)
-        rows, cols = best_of(scores, item_ids, k)
-        entries = pa.StructArray.from_arrays(
-            [pa.array(item_ids[cols], pa.int64()), pa.array(scores[rows, cols], pa.float64())],
-            names=["item", "score"],
-        )
-        offsets = np.searchsorted(rows, np.arange(len(tile) + 1)).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(offsets), entries)
-        yield pa.RecordBatch.from_arrays([pa.array(tile, pa.int64()), lists], names=["user", "items"])
-
-
-_LISTS = "user bigint, items array<struct<item:bigint,score:double>>"
-_EMPTY = pa.table(
-    {
-        "user": pa.array([], pa.int64()),
-        "items": pa.array([], pa.list_(pa.struct([("item", pa.int64()), ("score", pa.float64())]))),
-    }
-)
-
-
-def _columns(batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """ids, clusters and feature matrix of a batch or table."""
-    features = batch.column("features")
-    if isinstance(features, pa.ChunkedArray):
-        features = features.combine_chunks()
-    return (
-        np.asarray(batch.column("id")),
-        np.asarray(batch.column("cluster")),
-        _matrix(features),
-    )
-
-
-def _shared_scorer(
-    items: DataFrame, routes: dict[int, list[int]], k: int, whole_products: bool
-) -> Callable:
-    """Kernel over batches of users against one item matrix that all tasks share."""
-    ids, clusters, matrix = _columns(items.toArrow())
-    order = np.argsort(clusters, kind="stable")
-    shared = items.sparkSession.sparkContext.broadcast((ids[order], clusters[order], matrix[order]))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        item_ids, item_clusters, item_matrix = shared.value
-        for batch in batches:
-            user_ids, user_clusters, user_matrix = _columns(batch)
-            for cluster in np.unique(user_clusters):
-                rows = np.nonzero(user_clusters == cluster)[0]
-                spans = [
-                    np.arange(*np.searchsorted(item_clusters, [c, c + 1]))
-                    for c in routes.get(int(cluster), [])
-                ]
-                picked = np.concatenate(spans) if spans else np.empty(0, dtype=np.int64)
-                everything = len(picked) == len(item_ids)
-                yield from best_lists(
-                    user_ids[rows],
-                    user_matrix[rows],
-                    item_ids if everything else item_ids[picked],
-                    item_matrix if everything else item_matrix[picked],
-                    k,
-                    whole_products,
-                )
-
-    return score
-
-
-def _block_scorer(k: int, whole_products: bool) -> Callable:
-    """Kernel over one block of users and one block of items."""
-
-    def score(users: pa.Table, items: pa.Table) -> pa.Table:
-        user_ids, _, user_matrix = _columns(users)
-        item_ids, _, item_matrix = _columns(items)
-        lists = list(best_lists(user_ids, user_matrix, item_ids, item_matrix, k, whole_products))
-        return pa.Table.from_batches(lists) if lists else _EMPTY
-
-    return score
-
-
 # --- the operators ---------------------------------------------------------
 
 
@@ -233,6 +117,13 @@ def _every(blocks: int) -> Column:
     return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
 
 
+def _share(items: DataFrame) -> Broadcast:
+    """Broadcast (ids, clusters, matrix) of an item table measured to fit."""
+    ids, clusters, matrix = topk_kernel.columns(items.toArrow())
+    order = np.argsort(clusters, kind="stable")
+    return items.sparkSession.sparkContext.broadcast((ids[order], clusters[order], matrix[order]))
+
+
 def _by_blocks(
     users: DataFrame,
     items: DataFrame,
@@ -260,7 +151,7 @@ def _by_blocks(
     right = items.select("*", _every(user_blocks).alias("ub"), _block_of("id", item_blocks).alias("ib"))
     keys = ["cluster", "ub", "ib"]
     lists = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
-        _block_scorer(k, whole_products), _LISTS
+        topk_kernel.block_scorer(k, whole_products), topk_kernel.LISTS
     )
     rows = lists.select("user", F.inline("items").alias("item", "score"))
     best = top_per_key(rows, "user", [F.col("score").desc(), F.col("item")], k, "pos")
@@ -287,7 +178,7 @@ def recommend_top_k(
         reach: dict[int, list[int]] = {0: [0]} if routes is None else defaultdict(list)
         for row in routes.collect() if routes is not None else ():
             reach[row.user_cluster].append(row.item_cluster)
-        kernel = _shared_scorer(items, dict(reach), k, whole_products)
-        return users.mapInArrow(kernel, _LISTS)
+        kernel = topk_kernel.shared_scorer(_share(items), dict(reach), k, whole_products)
+        return users.mapInArrow(kernel, topk_kernel.LISTS)
     per_block = max(1, block_bytes // row_bytes)
     return _by_blocks(users, items, routes, k, per_block, n_items, whole_products)

@@ -1,8 +1,13 @@
+import os
+import subprocess
+import sys
+
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from feedmill.operators import factors, topk
+from feedmill.operators import factors, topk, topk_kernel
 
 SCHEMA = "id int, features array<float>, cluster int"
 
@@ -99,6 +104,14 @@ def test_score_pairs(spark, data):
     assert {tuple(r) for r in found.collect()} == want
 
 
+def test_kernel_needs_no_package_on_the_workers(tmp_path):
+    path = tmp_path / "kernel"
+    path.write_bytes(cloudpickle.dumps(topk_kernel.block_scorer(3, False)))
+    program = f"import pickle, sys; pickle.load(open({str(path)!r}, 'rb')); assert 'feedmill' not in sys.modules"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", program], cwd=tmp_path, env=env, check=True)
+
+
 def test_cluster_sizes(data):
     found = {r.cluster: r.n for r in topk.cluster_sizes(data["items"], above=12).collect()}
     clusters = list(data["i"][2])
