@@ -73,8 +73,12 @@ def recommend_for_all(model: ALSModel, k: int = 100) -> DataFrame:
 
 
 def shard_by_hash(factors: DataFrame, n: int = 100) -> DataFrame:
-    """Add ``shard`` 0..n-1 from the id, the same on every attempt of a task."""
-    return factors.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
+    """Add ``shard`` 0..n-1 from a digest of the id.
+
+    It is the same on every attempt of a task, and outside of Spark.
+    """
+    digest = F.substring(F.md5(F.col("id").cast("string")), 1, 8)
+    return factors.withColumn("shard", F.pmod(F.conv(digest, 16, 10).cast("bigint"), F.lit(n)).cast("int"))
 
 
 def fit_clusters(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +13,9 @@ from feedmill.operators import candidates, factors, ids, logstats, popularity, q
 from feedmill.operators import sets, state, topk
 from feedmill.plans import bindings as b
 from feedmill.plans import daily
-from feedmill.session import materialise
-from feedmill.sources.readers import item_meta_of, last_days
+from feedmill.session import materialise, shared_dir
+from feedmill.sources.readers import item_meta_of, last_days, read_behaviour
+from feedmill.sources.writers import write_tab_text
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -45,6 +47,18 @@ def item_action_counts(spark, sf_dir):
     return popularity.item_action_counts(b.behaviour(spark, sf_dir))
 
 
+@_query
+def behaviour_text_counts(spark, sf_dir):
+    """The log written as tab-separated text and read back, then counted."""
+    path = f"{shared_dir(spark).rstrip('/')}/feedmill-text-{uuid.uuid4().hex}"
+    unused = F.lit("")
+    log = b.behaviour(spark, sf_dir).select(
+        "uid", "action", unused.alias("c2"), "mid", unused.alias("c4"), "extend"
+    )
+    write_tab_text(log, path)
+    return popularity.item_action_counts(read_behaviour(spark, path))
+
+
 def _good(spark, sf_dir, skip=5, pool_end=100, top=95):
     return popularity.good_items(item_action_counts(spark, sf_dir), skip, pool_end, top)
 
@@ -132,6 +146,17 @@ def score_pairs(spark, sf_dir):
     return _rounded(topk.score_pairs(pairs, vectors, vectors), "score", 4)
 
 
+@_query
+def squared_error(spark, sf_dir):
+    """Labels as ratings against the scores of the same pairs."""
+    vectors = b.factors(spark, sf_dir)
+    held_out = vectors.select(
+        F.col("id").alias("user"), F.col("cluster").cast("bigint").alias("item"), F.col("cluster").alias("rating")
+    )
+    predicted = topk.score_pairs(held_out, vectors, vectors).withColumnRenamed("score", "prediction")
+    return _rounded(factors.squared_error(held_out, predicted), "mse", 6)
+
+
 @_query
 def cluster_routes(spark, sf_dir):
     vectors = b.factors(spark, sf_dir)
@@ -177,9 +202,7 @@ def decode_triples(spark, sf_dir):
 
 @_query
 def shard_factors(spark, sf_dir):
-    return factors.shard_by_hash(b.factors(spark, sf_dir)).groupBy("shard").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    return factors.shard_by_hash(b.factors(spark, sf_dir)).select("id", "shard")
 
 
 @_query

@@ -313,6 +313,7 @@ source_counts AS (
 
 ORACLE: dict[str, str] = {
     "item_action_counts": f"WITH {_BEHAVIOUR} SELECT mid, repost, comment, attitude, play FROM counts",
+    "behaviour_text_counts": f"WITH {_BEHAVIOUR} SELECT mid, repost, comment, attitude, play FROM counts",
     "require_rows": f"WITH {_BEHAVIOUR} SELECT mid, repost, comment, attitude, play FROM counts",
     "good_items": f"WITH {_BEHAVIOUR}, {_good(5, 80, 30)} SELECT mid, round(score, 6) + 0.0 AS score FROM good",
     "user_item_score": f"WITH {_SCORES} SELECT uid, mid, score FROM scores",
@@ -342,6 +343,16 @@ SELECT "user", CAST(pos AS INTEGER) AS pos, item, round(score, 4) + 0.0 AS score
     "score_pairs": f"""WITH {_VECTORS}
 SELECT u.id AS "user", i.id AS item, round(list_dot_product(u.features, i.features), 4) + 0.0 AS score
 FROM vectors u JOIN vectors i ON i.id = u.cluster""",
+    "squared_error": f"""WITH {_VECTORS}
+SELECT count(*) AS pairs, round(avg((u.cluster - p.score) * (u.cluster - p.score)), 6) + 0.0 AS mse
+FROM vectors u JOIN (
+  SELECT u.id, list_dot_product(u.features, i.features) AS score
+  FROM vectors u JOIN vectors i ON i.id = u.cluster
+) AS p ON p.id = u.id""",
+    "shard_factors": """
+SELECT vec_id AS id,
+       CAST(CAST('0x' || substr(md5(CAST(vec_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 AS INTEGER) AS shard
+FROM embeddings""",
     "cluster_routes": f"WITH {_ROUTES} SELECT user_cluster, item_cluster, CAST(pos AS INTEGER) AS pos FROM routes",
     "cluster_sizes": "SELECT label AS cluster, count(*) AS n FROM embeddings GROUP BY label HAVING count(*) > 2",
     "scored_list_lines": f"""WITH {_TOP_K}

@@ -20,8 +20,12 @@ def write_lines(df: DataFrame, line: Column, path: str) -> None:
 
 
 def write_by(df: DataFrame, path: str, *columns: str) -> None:
-    """Parquet with one directory per value: kinds of ids, shards of factors."""
-    df.write.mode("overwrite").partitionBy(*columns).parquet(path)
+    """Parquet with one directory per value: kinds of ids, shards of factors.
+
+    Rebalanced by value first: few files per directory, and a value that holds
+    much of the data is split over several of them.
+    """
+    df.hint("rebalance", *columns).write.mode("overwrite").partitionBy(*columns).parquet(path)
 
 
 def replace_day(df: DataFrame, path: str, day_column: str = "dt") -> None:

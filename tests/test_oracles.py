@@ -16,7 +16,6 @@ MODEL_QUERIES = {
     "evaluate",
     "grid",
     "recommend_for_all",
-    "shard_factors",
     "shard_kmeans",
     "train_recommend",
 }
@@ -27,7 +26,7 @@ def duck():
     return connect(SF_DIR)
 
 
-def test_only_model_and_hash_queries_lack_an_oracle():
+def test_only_model_queries_lack_an_oracle():
     assert set(QUERIES) - set(ORACLE) == MODEL_QUERIES
     assert not set(ORACLE) - set(QUERIES)
 
