@@ -50,7 +50,10 @@ def behaviour(spark: SparkSession, sf_dir: str) -> DataFrame:
     extend = F.concat_ws(
         "|",
         _pair("valid_play_duration", F.col("watched")),
-        _pair("object_duration", F.when(k == 7, 0).otherwise(10000 + 100 * k)),
+        # A pair without a value spoils the bag of a play.
+        F.when(e % 83 == 0, "object_duration").otherwise(
+            _pair("object_duration", F.when(k == 7, 0).otherwise(10000 + 100 * k))
+        ),
         _pair("index", F.when(e % 11 != 0, e % 3)),
     )
     return _events(spark, sf_dir).select(
@@ -72,6 +75,9 @@ def client_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = _pair("page", _digit(117, 4))
     extend = F.concat_ws(
         "|",
+        # An earlier pair of the same key and a value with colons change nothing.
+        F.when(e % 79 == 0, "valid_play_duration:1"),
+        F.when(e % 7 == 0, "note:a:b"),
         _pair("mid", F.when(e % 97 != 0, 2_000_000 + k)),
         _pair("authorid", k % 10),
         _pair("valid_play_duration", F.col("watched")),

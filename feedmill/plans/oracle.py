@@ -24,7 +24,8 @@ behaviour AS (
          CAST(2000000 + k AS VARCHAR) AS mid,
          watched,
          CASE WHEN k = 7 THEN 0 ELSE 10000 + 100 * k END AS full_length,
-         CASE WHEN e % 11 = 0 THEN NULL ELSE e % 3 END AS idx
+         CASE WHEN e % 11 = 0 THEN NULL ELSE e % 3 END AS idx,
+         e % 83 = 0 AS spoilt
   FROM events_read
 ),
 members AS (SELECT * FROM behaviour WHERE length(uid) <= 11),
@@ -56,7 +57,8 @@ _SCORES = (
     + """,
 signals AS (
   SELECT uid, mid,
-         CASE WHEN action = 'play' AND watched >= 3000 AND idx = 0 THEN 'diversion'
+         CASE WHEN action = 'play' AND spoilt THEN 'rejected'
+              WHEN action = 'play' AND watched >= 3000 AND idx = 0 THEN 'diversion'
               WHEN action = 'play' AND watched >= 3000 THEN 'play'
               WHEN action IN ('repost', 'comment', 'attitude') THEN action
               ELSE 'touch' END AS signal,
@@ -73,7 +75,7 @@ vectors AS (
          max(CASE WHEN signal = 'comment' THEN 1 ELSE 0 END) AS c,
          max(CASE WHEN signal = 'attitude' THEN 1 ELSE 0 END) AS a,
          max(CASE WHEN signal = 'repost' THEN 1 ELSE 0 END) AS r
-  FROM signals GROUP BY uid, mid
+  FROM signals WHERE signal <> 'rejected' GROUP BY uid, mid
 ),
 all_scores AS (
   SELECT uid, mid, count(*) OVER (PARTITION BY uid) AS items,
@@ -319,7 +321,7 @@ ORACLE: dict[str, str] = {
     "user_item_score": f"WITH {_SCORES} SELECT uid, mid, score FROM scores",
     "score_counters": f"""WITH {_SCORES}
 SELECT count(*) AS lines,
-       CAST(0 AS BIGINT) AS rejected_plays,
+       count(*) FILTER (WHERE signal = 'rejected') AS rejected_plays,
        count(*) FILTER (WHERE signal IN ('play', 'diversion')) AS scored_plays,
        count(*) FILTER (WHERE signal = 'touch') AS touches,
        count(*) FILTER (WHERE signal = 'repost') AS repost,
