@@ -259,7 +259,8 @@ def candidate_lines(spark, sf_dir):
 
 @_query
 def last_days_window(spark, sf_dir):
-    return last_days(b.history(spark, sf_dir), "20010801", 30)
+    recent = last_days(b.history(spark, sf_dir), "20010801", 30)
+    return recent.withColumn("dt", F.col("dt").cast("string"))
 
 
 @_query

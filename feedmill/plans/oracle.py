@@ -366,7 +366,7 @@ SELECT 'u' || "user" AS uid, 'm' || item AS mid, round(score, 4) + 0.0 AS score
     "list_rows": f"WITH {_CANDIDATES} SELECT uid, CAST(pos AS INTEGER) AS pos, mid FROM candidates",
     "candidate_lines": f"WITH {_CANDIDATES} SELECT uid, CAST(pos AS INTEGER) AS pos, mid FROM candidates",
     "last_days_window": f"""WITH {_HISTORY}
-SELECT uid, mid, dt FROM history WHERE dt BETWEEN DATE '2001-07-02' AND DATE '2001-07-31'""",
+SELECT uid, mid, CAST(dt AS VARCHAR) AS dt FROM history WHERE dt BETWEEN DATE '2001-07-02' AND DATE '2001-07-31'""",
     "remove_seen": f"""WITH {_CANDIDATES}, {_HISTORY}
 SELECT uid, CAST(row_number() OVER (PARTITION BY uid ORDER BY pos) - 1 AS INTEGER) AS pos, mid FROM (
   SELECT uid, mid, min(pos) AS pos FROM candidates c

@@ -78,6 +78,27 @@ ITEM_META = T.StructType(
     ]
 )
 
+RECOMMENDATIONS = T.StructType(
+    [
+        T.StructField("user", T.LongType()),
+        T.StructField(
+            "items",
+            T.ArrayType(
+                T.StructType(
+                    [T.StructField("item", T.LongType()), T.StructField("score", T.DoubleType())]
+                )
+            ),
+        ),
+    ]
+)
+
+ENRICHED = T.StructType(
+    [
+        T.StructField("uid", T.StringType()),
+        T.StructField("items", T.ArrayType(_strings("uid", "type", "id", "oid"))),
+    ]
+)
+
 NEW_LISTS = _strings("uid", "list")
 
 STATE = T.StructType(
