@@ -21,42 +21,86 @@ def matrix(features: pa.Array) -> np.ndarray:
     return flat.reshape(len(features), len(flat) // max(1, len(features)))
 
 
-def best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Indexes of the ``k`` best columns of each row by (score down, id up).
-
-    Returns row and column indexes.  Everything tied with the k-th score is
-    sorted, so the cut among equals follows the id.
-    """
-    k = min(k, scores.shape[1])
-    cut = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
-    rows, cols = np.nonzero(scores >= cut[:, None])
-    order = np.lexsort((ids[cols], -scores[rows, cols], rows))
-    rows, cols = rows[order], cols[order]
-    starts = np.searchsorted(rows, np.arange(len(scores)))
+def _best_k(
+    rows: np.ndarray, cols: np.ndarray, scores: np.ndarray, ids: np.ndarray, k: int, n: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First ``k`` of each of ``n`` rows by (score down, id up)."""
+    order = np.lexsort((ids[cols], -scores, rows))
+    rows, cols, scores = rows[order], cols[order], scores[order]
+    starts = np.searchsorted(rows, np.arange(n))
     first = np.arange(len(rows)) - starts[rows] < k
-    return rows[first], cols[first]
+    return rows[first], cols[first], scores[first]
+
+
+def _kth(scores: np.ndarray, k: int) -> np.ndarray:
+    """The k-th largest value of each row, as a column."""
+    at = scores.shape[1] - min(k, scores.shape[1])
+    return np.partition(scores, at, axis=1)[:, at : at + 1]
+
+
+class Items:
+    """Item ids and features, ready to be scored."""
+
+    def __init__(self, ids: np.ndarray, features: np.ndarray):
+        self.ids = ids
+        self.features = features
+        self.rough = features.astype(np.float32)
+        self.largest = float(np.sqrt((features * features).sum(axis=1).max())) if len(ids) else 0.0
+
+    def take(self, picked: np.ndarray) -> Items:
+        if len(picked) == len(self.ids):
+            return self
+        part = object.__new__(Items)
+        part.ids, part.features = self.ids[picked], self.features[picked]
+        part.rough, part.largest = self.rough[picked], self.largest
+        return part
+
+    def contenders(self, users: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(row, column) of a superset of each user's ``k`` best items.
+
+        Products in single precision are off by at most the error bound of a
+        dot product, so whatever lies that close to the k-th one stays in.
+        """
+        lengths = np.sqrt((users * users).sum(axis=1, keepdims=True)) * self.largest
+        if lengths.max(initial=0.0) > 1e30:
+            scores = users @ self.features.T
+            bound = lengths * (users.shape[1] + 8) * 2.0**-52
+        else:
+            scores = users.astype(np.float32) @ self.rough.T
+            bound = lengths * (users.shape[1] + 8) * 2.0**-23 + 1e-30
+        return np.nonzero(scores >= (_kth(scores, k) - 2 * bound).astype(scores.dtype))
 
 
 def best_lists(
-    user_ids: np.ndarray,
-    user_matrix: np.ndarray,
-    item_ids: np.ndarray,
-    item_matrix: np.ndarray,
-    k: int,
-    whole_products: bool,
+    user_ids: np.ndarray, user_matrix: np.ndarray, items: Items, k: int, whole_products: bool
 ) -> Iterator[pa.RecordBatch]:
-    """(user, items) batches, scoring a bounded number of cells at a time."""
-    if not len(item_ids):
+    """(user, items) batches, scoring a bounded number of cells at a time.
+
+    Final scores are summed in double precision in one fixed order per pair:
+    items with equal features tie exactly, and then the id decides.
+    """
+    if not len(items.ids):
         return
-    step = max(1, TILE_CELLS // len(item_ids))
+    step = max(1, TILE_CELLS // len(items.ids))
     for start in range(0, len(user_ids), step):
         tile = user_ids[start : start + step]
-        scores = user_matrix[start : start + step] @ item_matrix.T
+        users = user_matrix[start : start + step]
         if whole_products:
-            scores = np.trunc(scores)
-        rows, cols = best_of(scores, item_ids, k)
+            scores = np.trunc(users @ items.features.T)
+            rows, cols = np.nonzero(scores >= _kth(scores, k))
+            exact = scores[rows, cols]
+        else:
+            rows, cols = items.contenders(users, k)
+            ends = np.searchsorted(rows, np.arange(1, len(tile)))
+            exact = np.concatenate(
+                [
+                    np.einsum("ij,j->i", items.features[some], user)
+                    for some, user in zip(np.split(cols, ends), users)
+                ]
+            )
+        rows, cols, exact = _best_k(rows, cols, exact, items.ids, k, len(tile))
         entries = pa.StructArray.from_arrays(
-            [pa.array(item_ids[cols], pa.int64()), pa.array(scores[rows, cols], pa.float64())],
+            [pa.array(items.ids[cols], pa.int64()), pa.array(exact, pa.float64())],
             names=["item", "score"],
         )
         offsets = np.searchsorted(rows, np.arange(len(tile) + 1)).astype(np.int32)
@@ -89,6 +133,7 @@ def shared_scorer(shared, routes: dict[int, list[int]], k: int, whole_products:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         item_ids, item_clusters, item_matrix = shared.value
+        items = Items(item_ids, item_matrix)
         for batch in batches:
             user_ids, user_clusters, user_matrix = columns(batch)
             for cluster in np.unique(user_clusters):
@@ -98,14 +143,8 @@ def shared_scorer(shared, routes: dict[int, list[int]], k: int, whole_products:
                     for c in routes.get(int(cluster), [])
                 ]
                 picked = np.concatenate(spans) if spans else np.empty(0, dtype=np.int64)
-                everything = len(picked) == len(item_ids)
                 yield from best_lists(
-                    user_ids[rows],
-                    user_matrix[rows],
-                    item_ids if everything else item_ids[picked],
-                    item_matrix if everything else item_matrix[picked],
-                    k,
-                    whole_products,
+                    user_ids[rows], user_matrix[rows], items.take(picked), k, whole_products
                 )
 
     return score
@@ -117,7 +156,8 @@ def block_scorer(k: int, whole_products: bool) -> Callable:
     def score(users: pa.Table, items: pa.Table) -> pa.Table:
         user_ids, _, user_matrix = columns(users)
         item_ids, _, item_matrix = columns(items)
-        lists = list(best_lists(user_ids, user_matrix, item_ids, item_matrix, k, whole_products))
+        items_ = Items(item_ids, item_matrix)
+        lists = list(best_lists(user_ids, user_matrix, items_, k, whole_products))
         return pa.Table.from_batches(lists) if lists else empty_lists()
 
     return score

@@ -104,6 +104,25 @@ def test_score_pairs(spark, data):
     assert {tuple(r) for r in found.collect()} == want
 
 
+@pytest.mark.parametrize("scale", [1.0, 1e-25, 1e20])
+@pytest.mark.parametrize("k", [1, 10, 64])
+def test_kernel_ties_and_scales(scale, k):
+    draw = np.random.default_rng(11)
+    # Every item vector four times over, and neighbours that differ in the last digits only.
+    base = draw.standard_normal((40, 33))
+    close = base * (1 + 1e-12 * draw.integers(-3, 4, (40, 1)))
+    matrix = np.concatenate([base, base, close, base, base]) * scale
+    ids = draw.permutation(len(matrix))
+    users = draw.standard_normal((70, 33)) * scale
+    found = {}
+    for batch in topk_kernel.best_lists(np.arange(70), users, topk_kernel.Items(ids, matrix), k, False):
+        for user, entries in zip(batch.column("user").to_pylist(), batch.column("items").to_pylist()):
+            found[user] = [e["item"] for e in entries]
+    for user, u in enumerate(users):
+        scores = np.einsum("ij,j->i", matrix, u)
+        assert found[user] == list(ids[np.lexsort((ids, -scores))][:k])
+
+
 def test_kernel_needs_no_package_on_the_workers(tmp_path):
     path = tmp_path / "kernel"
     path.write_bytes(cloudpickle.dumps(topk_kernel.block_scorer(3, False)))
