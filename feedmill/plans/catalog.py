@@ -14,8 +14,8 @@ from feedmill.operators import sets, state, topk
 from feedmill.plans import bindings as b
 from feedmill.plans import daily
 from feedmill.session import materialise, shared_dir
-from feedmill.sources.readers import item_meta_of, last_days, read_behaviour
-from feedmill.sources.writers import write_tab_text
+from feedmill.sources.readers import item_meta_of, last_days, read_behaviour, read_shards
+from feedmill.sources.writers import write_by, write_tab_text
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -47,10 +47,14 @@ def item_action_counts(spark, sf_dir):
     return popularity.item_action_counts(b.behaviour(spark, sf_dir))
 
 
+def _new_path(spark) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/feedmill-files-{uuid.uuid4().hex}"
+
+
 @_query
 def behaviour_text_counts(spark, sf_dir):
     """The log written as tab-separated text and read back, then counted."""
-    path = f"{shared_dir(spark).rstrip('/')}/feedmill-text-{uuid.uuid4().hex}"
+    path = _new_path(spark)
     unused = F.lit("")
     log = b.behaviour(spark, sf_dir).select(
         "uid", "action", unused.alias("c2"), "mid", unused.alias("c4"), "extend"
@@ -205,6 +209,14 @@ def shard_factors(spark, sf_dir):
     return factors.shard_by_hash(b.factors(spark, sf_dir)).select("id", "shard")
 
 
+@_query
+def shard_files(spark, sf_dir):
+    """Shards written one directory each and read back by their list."""
+    path = _new_path(spark)
+    write_by(factors.shard_by_hash(b.factors(spark, sf_dir)), path, "shard")
+    return read_shards(spark, path, range(100)).select("id", "shard")
+
+
 @_query
 def shard_kmeans(spark, sf_dir):
     vectors = b.factors(spark, sf_dir)
@@ -278,6 +290,11 @@ def _meta(spark, sf_dir):
     return item_meta_of(b.item_meta(spark, sf_dir), b.META_DAY)
 
 
+@_query
+def item_meta_day(spark, sf_dir):
+    return _meta(spark, sf_dir)
+
+
 @_query
 def enrich(spark, sf_dir):
     lists_ = candidates.enrich(b.candidates(spark, sf_dir), _meta(spark, sf_dir), cap=30)
@@ -311,6 +328,14 @@ def export_kv_plan_video(spark, sf_dir):
     return state.export_plan(b.exported_state(spark, sf_dir), parts=4)
 
 
+@_query
+def export_kv_files(spark, sf_dir):
+    """The export written and read back."""
+    path = _new_path(spark)
+    state.export_kv(b.exported_state(spark, sf_dir), path)
+    return spark.read.parquet(path).select("part", "key", "payload")
+
+
 @_query
 def daily_candidates(spark, sf_dir):
     """The whole chain, from events to the day's candidate table."""

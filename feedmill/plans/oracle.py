@@ -137,6 +137,13 @@ vectors AS (
   FROM embeddings
 )"""
 
+_SHARDS = """
+shards AS (
+  SELECT vec_id AS id,
+         CAST(CAST('0x' || substr(md5(CAST(vec_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 AS INTEGER) AS shard
+  FROM embeddings
+)"""
+
 _TOP_K = (
     _VECTORS
     + """,
@@ -333,7 +340,8 @@ FROM signals""",
 SELECT real_id, row_number() OVER (PARTITION BY kind ORDER BY real_id) - 1 AS num_id, kind FROM real_ids""",
     "encode_ratings": f'WITH {_RATINGS} SELECT "user", item, rating FROM ratings',
     "lookup": f"WITH {_PURCHASES}, {_ids('purchases')} SELECT num_id, real_id FROM ids WHERE kind = 'mid'",
-    "top_k_exact": f'WITH {_TOP_K} SELECT "user", CAST(pos AS INTEGER) AS pos, item, round(score, 4) + 0.0 AS score FROM top_k',
+    "top_k_exact": f"""WITH {_TOP_K}
+SELECT "user", CAST(pos AS INTEGER) AS pos, item, round(score, 4) + 0.0 AS score FROM top_k""",
     "top_k_probed": f"""WITH {_ROUTES}
 SELECT "user", CAST(pos AS INTEGER) AS pos, item, round(score, 4) + 0.0 AS score FROM (
   SELECT "user", item, score,
@@ -351,10 +359,8 @@ FROM vectors u JOIN (
   SELECT u.id, list_dot_product(u.features, i.features) AS score
   FROM vectors u JOIN vectors i ON i.id = u.cluster
 ) AS p ON p.id = u.id""",
-    "shard_factors": """
-SELECT vec_id AS id,
-       CAST(CAST('0x' || substr(md5(CAST(vec_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 AS INTEGER) AS shard
-FROM embeddings""",
+    "shard_factors": f"WITH {_SHARDS} SELECT id, shard FROM shards",
+    "shard_files": f"WITH {_SHARDS} SELECT id, shard FROM shards",
     "cluster_routes": f"WITH {_ROUTES} SELECT user_cluster, item_cluster, CAST(pos AS INTEGER) AS pos FROM routes",
     "cluster_sizes": "SELECT label AS cluster, count(*) AS n FROM embeddings GROUP BY label HAVING count(*) > 2",
     "scored_list_lines": f"""WITH {_TOP_K}
@@ -384,6 +390,10 @@ SELECT count(DISTINCT uid) AS users,
        count(*) FILTER (WHERE seen) AS removed,
        count(DISTINCT CASE WHEN NOT seen THEN uid END) AS users_left
 FROM flagged""",
+    "item_meta_day": """
+SELECT CAST(p_partkey AS VARCHAR) AS mid, CAST(p_partkey % 100 AS VARCHAR) AS uid,
+       '1034:' || p_partkey AS object_id
+FROM part WHERE p_size > 5""",
     "enrich": f"""WITH {_ENRICHED}
 SELECT owner, CAST(pos AS INTEGER) AS pos, uid, 'mid' AS type, id, oid FROM enriched""",
     "candidate_json": f"""WITH {_ENRICHED}
@@ -403,6 +413,8 @@ SELECT count(*) AS uid_num,
        count(*) FILTER (WHERE new_list IS NULL AND base_list IS NOT NULL AND left_days <= 0) AS remove_num
 FROM merged""",
     "export_kv_plan": _export_plan(8),
+    "export_kv_files": f"""WITH {_KEYED}
+SELECT CAST(key % 8 AS INTEGER) AS part, key, 'list-' || key AS payload FROM keyed""",
     "export_kv_plan_video": _export_plan(4),
     "diversion_records": f"WITH {_DIVERSIONS} SELECT uid, mid FROM diversions",
     "diversion_counts": f"WITH {_DIVERSIONS} SELECT mid, count(*) AS n FROM diversions GROUP BY mid",
