@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmill.llm import decontaminate, mixing
+from feedmill.llm import decontaminate, mixing, pii, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -90,3 +90,27 @@ SELECT doc_id, size, source_size, target, CAST(size * (floor(rate) + CASE WHEN d
 FROM (SELECT s.*, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END rate
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
 """
+
+
+def _span_digest(found: DataFrame, base: tuple[str, ...]) -> DataFrame:
+    """Counts of the base kinds, a hash of their spans, and all spans as text."""
+
+    def text(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    def of(*kinds):
+        return F.filter("spans", lambda x: x["kind"].isin(*kinds))
+
+    own = of(*base)
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in base]
+    return found.select("doc_id", *counts, F.sha2(text(own), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
+
+
+@_query
+def op6_pii(spark, sf_dir):
+    return _span_digest(pii.find_pii(_table(spark, sf_dir, "documents")), ("email", "ip", "card", "phone"))
+
+
+@_query
+def op9_secrets(spark, sf_dir):
+    return _span_digest(secrets.find_secrets(_table(spark, sf_dir, "documents")), ("assign", "access", "hex"))
