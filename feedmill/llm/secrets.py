@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,15 +33,13 @@ _LANE_BYTES = 2048
 _OUT = "doc_id long, spans array<struct<kind:string,start:int,end:int>>"
 
 
-@cache
-def scanner() -> Automaton:
-    """All rules, starting anywhere."""
-    return compile_rules(list(RULES.values()), anywhere=True)
+class Rules:
+    """The compiled rules; made once on the driver, then part of the task."""
 
-
-@cache
-def anchored(kind: str) -> Automaton:
-    return compile_rules([_NAME if kind == "name" else RULES[kind]], anywhere=False)
+    def __init__(self) -> None:
+        self.anywhere = compile_rules(list(RULES.values()), anywhere=True)
+        self.anchored = {kind: compile_rules([rule], anywhere=False) for kind, rule in RULES.items()}
+        self.name = compile_rules([_NAME], anywhere=False)
 
 
 def _lanes(data: np.ndarray, offsets: np.ndarray, resets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -60,9 +57,8 @@ def _lanes(data: np.ndarray, offsets: np.ndarray, resets: np.ndarray) -> tuple[n
     return cuts[:-1], cuts[1:]
 
 
-def flagged(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int]]:
+def flagged(automaton: Automaton, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """(start, end, rules) of the pieces in which a rule matches, in order."""
-    automaton = scanner()
     # A byte resets if it leads to the start from everywhere, so nothing before it matters.
     resets = (automaton.step == 0).all(axis=0)
     start, end = _lanes(data, offsets, resets)
@@ -81,40 +77,37 @@ def flagged(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, i
         yield int(begin[k]), int(begin[k] + length[k]), int(found[k])
 
 
-def spans_in(piece: bytes, rules: int) -> Iterator[tuple[int, int, int]]:
+def spans_in(compiled: Rules, piece: bytes, rules: int) -> Iterator[tuple[int, int, int]]:
     """(start, end, kind) by leftmost longest matches of each kind, one after the other without overlap."""
     for number, kind in enumerate(KINDS):
         if not rules >> number & 1:
             continue
-        automaton, at = anchored(kind), 0
-        opens = (automaton.step[0] != 1).nonzero()[0].tolist()
-        opens = frozenset(opens)
+        automaton, at = compiled.anchored[kind], 0
+        opens = frozenset(np.flatnonzero(automaton.step[0] != 1).tolist())
         while at < len(piece):
             end = automaton.longest(piece, at) if piece[at] in opens else -1
             if end < 0:
                 at += 1
                 continue
-            head = anchored("name").longest(piece, at) if kind == "assign" else at
+            head = compiled.name.longest(piece, at) if kind == "assign" else at
             if end - head >= LEAST.get(kind, 0):
                 yield at, end, number
             at = end
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in tk.slices(batches):
-        data, offsets = tk.buffer_of(part.column("text"))
-        found: list[list] = [[] for _ in range(part.num_rows)]
-        chars = None
-        for start, end, rules in flagged(data, offsets):
-            if chars is None:
-                chars = np.concatenate(([0], np.cumsum(~tk.IS_CONTINUATION[data])))
-            row = int(np.searchsorted(offsets, start, "right")) - 1
-            base = chars[offsets[row]]
-            for s, e, number in spans_in(data[start:end].tobytes(), rules):
-                found[row].append((int(chars[start + s] - base), number, int(chars[start + e] - base)))
-        out = [[{"kind": KINDS[n], "start": s, "end": e} for s, n, e in sorted(x)] for x in found]
-        kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-        yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(out, kind)], names=["doc_id", "spans"])
+def _scan(compiled: Rules, part: pa.RecordBatch) -> list[list[dict]]:
+    """The spans of each row."""
+    data, offsets = tk.buffer_of(part.column("text"))
+    found: list[list] = [[] for _ in range(part.num_rows)]
+    chars = None
+    for start, end, rules in flagged(compiled.anywhere, data, offsets):
+        if chars is None:
+            chars = np.concatenate(([0], np.cumsum(~tk.IS_CONTINUATION[data])))
+        row = int(np.searchsorted(offsets, start, "right")) - 1
+        base = chars[offsets[row]]
+        for s, e, number in spans_in(compiled, data[start:end].tobytes(), rules):
+            found[row].append((int(chars[start + s] - base), number, int(chars[start + e] - base)))
+    return [[{"kind": KINDS[n], "start": s, "end": e} for s, n, e in sorted(x)] for x in found]
 
 
 def find_secrets(documents: DataFrame) -> DataFrame:
@@ -122,20 +115,27 @@ def find_secrets(documents: DataFrame) -> DataFrame:
 
     Starts and ends count code points, ends are exclusive.  A NULL text is empty.
     """
+    compiled = Rules()
+
+    def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+        for part in tk.slices(batches):
+            spans = pa.array(_scan(compiled, part), kind)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), spans], names=["doc_id", "spans"])
+
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(_scan, _OUT)
+    return rows.mapInArrow(scanned, _OUT)
 
 
 def redact(documents: DataFrame, mark: str = "[secret]") -> DataFrame:
     """The rows of ``documents`` with every secret replaced; overlapping spans become one mark."""
+    compiled = Rules()
 
     def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in tk.slices(batches):
             place = part.schema.get_field_index("text")
-            ids = pa.nulls(part.num_rows, pa.int64())
-            own = pa.RecordBatch.from_arrays([ids, part.column(place)], names=["doc_id", "text"])
             texts = part.column(place).to_pylist()
-            for (row, spans) in enumerate(x for b in _scan(iter([own])) for x in b.column("spans").to_pylist()):
+            for row, spans in enumerate(_scan(compiled, part)):
                 for s, e in reversed(merged([(x["start"], x["end"]) for x in spans])):
                     texts[row] = texts[row][:s] + mark + texts[row][e:]
             yield part.set_column(place, part.schema.field(place), pa.array(texts, part.schema.field(place).type))
