@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmill.llm import decontaminate, mixing, pii, secrets
+from feedmill.llm import decontaminate, html, mixing, pii, quality, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -114,3 +114,15 @@ def op6_pii(spark, sf_dir):
 @_query
 def op9_secrets(spark, sf_dir):
     return _span_digest(secrets.find_secrets(_table(spark, sf_dir, "documents")), ("assign", "access", "hex"))
+
+
+@_query
+def op5_quality(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents")
+    return quality.judge(documents, quality.train(documents, _table(spark, sf_dir, "labels")))
+
+
+@_query
+def op8_html(spark, sf_dir):
+    pages = _table(spark, sf_dir, "pages")
+    return html.extract(pages, html.page_weights(pages))
