@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmill.llm import decontaminate, html, mixing, pii, quality, secrets
+from feedmill.llm import decontaminate, html, licenses, linededup, mixing, pii, quality, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -126,3 +126,44 @@ def op5_quality(spark, sf_dir):
 def op8_html(spark, sf_dir):
     pages = _table(spark, sf_dir, "pages")
     return html.extract(pages, html.page_weights(pages))
+
+
+@_query
+def op3_line_dedup(spark, sf_dir):
+    found = linededup.dedup_lines(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "text", "n_lines", "n_removed")
+
+
+ORACLE["op3_line_dedup"] = """
+WITH l AS (SELECT doc_id, i, line, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 k
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) line, generate_subscripts(string_split(text, chr(10)), 1) i
+    FROM documents) WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+w AS (SELECT a.doc_id, a.k, row(a.line, b.line, c.line) w FROM l a JOIN l b ON a.doc_id = b.doc_id AND b.k = a.k + 1
+  JOIN l c ON a.doc_id = c.doc_id AND c.k = a.k + 2),
+later AS (SELECT doc_id, k FROM (SELECT *, row_number() OVER (PARTITION BY w ORDER BY doc_id, k) n FROM w) WHERE n > 1),
+covered AS (SELECT DISTINCT doc_id, unnest(range(k, k + 3)) k FROM later),
+every AS (SELECT doc_id, i, line, greatest(sum(CASE WHEN regexp_matches(line, '[^\\x20\\x09-\\x0D]') THEN 1 ELSE 0 END)
+    OVER (PARTITION BY doc_id ORDER BY i) - 1, 0) k
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) line, generate_subscripts(string_split(text, chr(10)), 1) i
+    FROM documents)),
+n AS (SELECT doc_id, count(*) n FROM l GROUP BY 1), r AS (SELECT doc_id, count(*) n FROM covered GROUP BY 1),
+t AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) FILTER (WHERE c IS NULL) text
+  FROM (SELECT e.*, c.k c FROM every e LEFT JOIN covered c ON e.doc_id = c.doc_id AND e.k = c.k) GROUP BY 1)
+SELECT doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(t.text, '') END text,
+  CAST(coalesce(n.n, 0) AS BIGINT) n_lines, CAST(coalesce(r.n, 0) AS BIGINT) n_removed
+FROM documents d LEFT JOIN t USING (doc_id) LEFT JOIN n USING (doc_id) LEFT JOIN r USING (doc_id)
+"""
+
+
+@_query
+def op7_licenses(spark, sf_dir):
+    found = licenses.find_licenses(_table(spark, sf_dir, "documents"))
+
+    def text(x):
+        return F.concat_ws(":", x["license"], F.round(x["coverage"], 4), x["start"], x["end"])
+
+    return found.select(
+        "doc_id",
+        F.size("matches").cast("long").alias("n_matches"),
+        F.array_join(F.transform("matches", text), ",").alias("spans"),
+    )
