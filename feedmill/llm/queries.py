@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmill.llm import decontaminate, html, licenses, linededup, mixing, pii, quality, secrets
+from feedmill.llm import decontaminate, html, jaccard, licenses, linededup, mixing, pii, quality, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -167,3 +167,22 @@ def op7_licenses(spark, sf_dir):
         F.size("matches").cast("long").alias("n_matches"),
         F.array_join(F.transform("matches", text), ",").alias("spans"),
     )
+
+
+@_query
+def op4_jaccard(spark, sf_dir):
+    return jaccard.similar(_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op4_jaccard"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) n FROM s GROUP BY 1),
+l AS (SELECT x.doc_id a, y.doc_id b FROM s x JOIN s y ON x.s = y.s AND x.doc_id <> y.doc_id
+  JOIN n nx ON nx.doc_id = x.doc_id JOIN n ny ON ny.doc_id = y.doc_id
+  GROUP BY x.doc_id, y.doc_id, nx.n, ny.n HAVING 100 * count(*) >= 90 * (nx.n + ny.n - count(*))),
+c AS (SELECT doc_id, doc_id r FROM d UNION SELECT c.doc_id, l.b FROM c JOIN l ON c.r = l.a)
+SELECT doc_id, CAST(coalesce(n.n, 0) AS BIGINT) n_shingles, min(c.r) component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id) GROUP BY ALL
+"""
