@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmill.llm import decontaminate, html, jaccard, licenses, linededup, mixing, pii, quality, secrets
+from feedmill.llm import decontaminate, html, jaccard, licenses, linededup, lmscore, mixing, pii, quality, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -186,3 +186,8 @@ c AS (SELECT doc_id, doc_id r FROM d UNION SELECT c.doc_id, l.b FROM c JOIN l ON
 SELECT doc_id, CAST(coalesce(n.n, 0) AS BIGINT) n_shingles, min(c.r) component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id) GROUP BY ALL
 """
+
+
+@_query
+def op10_lm_score(spark, sf_dir):
+    return lmscore.score(_table(spark, sf_dir, "documents"))
