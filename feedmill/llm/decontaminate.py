@@ -33,16 +33,17 @@ _INDEX = pa.schema(
         ("n", pa.int32()),
         ("postings", pa.binary()),
         ("doc_ids", pa.list_(pa.int64())),
+        ("doc_codes", pa.list_(pa.int64())),
         ("lengths", pa.list_(pa.int32())),
     ]
 )
-_INDEX_SQL = "segment long, term long, n int, postings binary, doc_ids array<long>, lengths array<int>"
+_INDEX_SQL = "segment long, term long, n int, postings binary, doc_ids array<long>, doc_codes array<long>, lengths array<int>"
 _MATCH_SQL = (
     "segment long, ord int, item_id string, kind string, windows int, spans array<struct<start:int,end:int>>"
 )
 
 
-def _flush(segment: int, codes: list, counts: list, ids: list) -> Iterator[pa.RecordBatch]:
+def _flush(segment: int, codes: list, counts: list, ids: list, texts: list) -> Iterator[pa.RecordBatch]:
     lengths = np.concatenate(counts).astype(np.int64)
     code = np.concatenate(codes)
     place = np.arange(len(code)) + np.repeat(np.arange(len(lengths)), lengths)
@@ -61,6 +62,7 @@ def _flush(segment: int, codes: list, counts: list, ids: list) -> Iterator[pa.Re
             pa.nulls(1, pa.int32()),
             pa.nulls(1, pa.binary()),
             tk.list_array(pa.concat_arrays(ids), [0, len(lengths)]),
+            tk.list_array(pa.concat_arrays(texts), [0, len(lengths)]),
             tk.list_array(pa.array(lengths, pa.int32()), [0, len(lengths)]),
         ],
         schema=_INDEX,
@@ -74,7 +76,7 @@ def _flush(segment: int, codes: list, counts: list, ids: list) -> Iterator[pa.Re
                 pa.array(code[first[:-1]][part].view(np.int64)),
                 pa.array(np.diff(first)[part], pa.int32()),
                 tk.binary_array(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]),
-                pa.nulls(high - low, pa.list_(pa.int64())),
+                *(pa.nulls(high - low, pa.list_(pa.int64())) for _ in range(2)),
                 pa.nulls(high - low, pa.list_(pa.int32())),
             ],
             schema=_INDEX,
@@ -83,18 +85,24 @@ def _flush(segment: int, codes: list, counts: list, ids: list) -> Iterator[pa.Re
 
 def _index_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     segment = TaskContext.get().partitionId() << 24
-    codes, counts, ids, held = [], [], [], 0
+    codes, counts, ids, texts, held = [], [], [], [], 0
     for part in tk.slices(batches):
         words = tk.Words(*tk.buffer_of(part.column("text")), tk.IN_ALNUM_WORD, lower=True)
         codes.append(words.hashes())
         counts.append(words.count)
         ids.append(part.column("doc_id"))
+        texts.append(part.column("doc_code"))
         held += len(words)
         if held >= SEGMENT_WORDS:
-            yield from _flush(segment, codes, counts, ids)
-            codes, counts, ids, held, segment = [], [], [], 0, segment + 1
+            yield from _flush(segment, codes, counts, ids, texts)
+            codes, counts, ids, texts, held, segment = [], [], [], [], 0, segment + 1
     if ids:
-        yield from _flush(segment, codes, counts, ids)
+        yield from _flush(segment, codes, counts, ids, texts)
+
+
+def text_code(text: str = "text"):
+    """With the doc_id, what a document of the index is known by."""
+    return F.xxhash64(text)
 
 
 def build_index(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -102,7 +110,9 @@ def build_index(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
     A NULL text has no words.  Rows that share a doc_id, or have none, stay documents of their own.
     """
-    rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = documents.select(
+        F.col(doc_id).cast("long").alias("doc_id"), text_code(text).alias("doc_code"), F.col(text).alias("text")
+    )
     return materialise(rows.mapInArrow(_index_rows, _INDEX_SQL))
 
 
@@ -223,10 +233,16 @@ def find_matches(index: DataFrame, items: DataFrame, window: int = WINDOW, slop:
 
 
 def documents_of(index: DataFrame) -> DataFrame:
-    """The documents of the index: segment, ord, doc_id, n_words."""
+    """The documents of the index: segment, ord, doc_id, doc_code, n_words."""
     directory = index.where(F.col("term").isNull())
-    pairs = directory.select("segment", F.posexplode(F.arrays_zip("doc_ids", "lengths")).alias("ord", "x"))
-    return pairs.select("segment", "ord", F.col("x.doc_ids").alias("doc_id"), F.col("x.lengths").cast("long").alias("n_words"))
+    pairs = directory.select("segment", F.posexplode(F.arrays_zip("doc_ids", "doc_codes", "lengths")).alias("ord", "x"))
+    return pairs.select(
+        "segment",
+        "ord",
+        F.col("x.doc_ids").alias("doc_id"),
+        F.col("x.doc_codes").alias("doc_code"),
+        F.col("x.lengths").cast("long").alias("n_words"),
+    )
 
 
 def contamination(index: DataFrame, matches: DataFrame) -> DataFrame:
@@ -248,6 +264,7 @@ def contamination(index: DataFrame, matches: DataFrame) -> DataFrame:
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return documents_of(index).join(hits, ["segment", "ord"], "left").select(
         "doc_id",
+        "doc_code",
         "n_words",
         n_hit.alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
@@ -259,3 +276,11 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     """Verdicts of all documents against a benchmark; see ``contamination``."""
     index = build_index(documents)
     return contamination(index, find_matches(index, benchmark_terms(benchmark), window))
+
+
+def keep_clean(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``documents`` that are not contaminated, with all their columns."""
+    found = decontaminate(documents, benchmark, window).where("contaminated")
+    marks = found.select(F.struct("doc_id", "doc_code").alias("_mark")).distinct()
+    own = F.struct(F.col("doc_id").cast("long"), text_code())
+    return documents.join(marks, own == F.col("_mark"), "left_anti")

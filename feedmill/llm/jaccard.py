@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedmill.llm import textkit as tk
 from feedmill.llm.components import components
@@ -286,17 +287,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").where(both * 100 >= every * percent).select("a", "b")
 
 
-def similar(documents: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
-    """doc_id, n_shingles and component_id, one row for each row of documents.
+KEYS = ("key_a", "key_b", "n")
 
-    Links are all pairs of documents whose sets of ``width``-word shingles have a Jaccard similarity of at least
-    ``percent`` / 100.  component_id is the smallest doc_id that links reach.  A document without words, or with a
-    NULL text, links with nothing.  Rows without a doc_id link as others do, but name no component: where no
-    document of a component has an id, it is NULL.
+
+def linked_classes(documents: DataFrame, signed: DataFrame, width: int, percent: int) -> DataFrame:
+    """Classes of equal sets (by ``KEYS``) with their smallest doc_id, and the label of their component.
+
+    Links are all pairs of sets with a Jaccard similarity of at least ``percent`` / 100.
     """
-    signed = materialise(sign(documents, width, percent))
-    keys = ["key_a", "key_b", "n"]
-    classes = signed.where("n > 0").groupBy(*keys).agg(
+    classes = signed.where("n > 0").groupBy(*KEYS).agg(
         F.min("doc_id").alias("doc_id"), F.first("point").alias("point"), F.first("cells").alias("cells")
     )
     classes = materialise(classes.withColumn("rid", F.monotonically_increasing_id()))
@@ -328,15 +327,56 @@ def similar(documents: DataFrame, width: int = 3, percent: int = 90) -> DataFram
     rest = _candidates(again, percent, spanning=False).join(tried, ["a", "b"], "left_anti")
     links = links.unionByName(materialise(_verified(rest, sets, percent)))
     labels = components(links)
+    named = classes.select(*KEYS, "rid", "doc_id").join(labels, F.col("rid") == F.col("node"), "left")
+    return named.select(*KEYS, "doc_id", F.coalesce("label", "rid").alias("label"))
+
 
-    named = classes.select(*keys, "rid", "doc_id").join(labels, F.col("rid") == F.col("node"), "left")
-    named = named.withColumn("label", F.coalesce("label", "rid"))
-    lowest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(lowest, "label").select(*keys, "component_id")
+def similar(documents: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
+    """doc_id, n_shingles and component_id, one row for each row of documents.
+
+    Links are all pairs of documents whose sets of ``width``-word shingles have a Jaccard similarity of at least
+    ``percent`` / 100.  component_id is the smallest doc_id that links reach.  A document without words, or with a
+    NULL text, links with nothing.  Rows without a doc_id link as others do, but name no component: where no
+    document of a component has an id, it is NULL.
+    """
+    signed = materialise(sign(documents, width, percent))
+    classes = linked_classes(documents, signed, width, percent)
+    lowest = classes.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    named = classes.select(*KEYS, "label").join(lowest, "label").select(*KEYS, "component_id")
     alone = signed.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return (
-        signed.where("n > 0").join(named, keys).select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(alone)
+    found = signed.where("n > 0").join(named, list(KEYS))
+    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(alone)
+
+
+def keep_one(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``documents`` without near duplicates: of each component the document with the smallest doc_id.
+
+    Rows with a doc_id go before rows without one.  Rows without words stay, as they resemble nothing.
+    """
+    signed = materialise(sign(documents, width, percent))
+    classes = linked_classes(documents, signed, width, percent)
+    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", *KEYS)
+    chosen = classes.groupBy("label").agg(F.min(rank).alias("x"))
+    chosen = chosen.select(*[F.col(f"x.{k}").alias(f"_{k}") for k in KEYS], F.col("x.doc_id").alias("_doc_id"))
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in tk.slices(batches):
+            codes, first = shingle_sets(part.column("text"), width)
+            key_a, key_b = set_keys(codes, first)
+            columns = [part.column("row"), part.column("doc_id"), *map(pa.array, (key_a, key_b, np.diff(first)))]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", *KEYS])
+
+    whole = documents.select(
+        F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("text").alias("text"),
     )
+    schema = T.StructType([whole.schema["row"], *[T.StructField(c, T.LongType()) for c in ("doc_id", *KEYS)]])
+    rows = whole.mapInArrow(named, schema)
+    same = [F.col(k) == F.col(f"_{k}") for k in KEYS] + [F.col("doc_id").eqNullSafe(F.col("_doc_id"))]
+    kept = rows.where("n > 0").join(chosen, same).dropDuplicates([*KEYS, "doc_id"]).select("row")
+    kept = kept.unionByName(rows.where("n = 0").select("row"))
+    return kept.select([F.col(f"row.`{c}`").alias(c) for c in documents.columns])
 
 
 def _candidate_sets(documents: DataFrame, classes: DataFrame, members: DataFrame, width: int) -> DataFrame:

@@ -86,7 +86,10 @@ def repetition(documents: DataFrame, weights: Sequence[int] = WEIGHTS, seed: str
 
 
 def mix(documents: DataFrame, weights: Sequence[int] = WEIGHTS, seed: str = SEED) -> DataFrame:
-    """The mixed corpus: each document of ``documents`` as often as its copies, with its columns and ``copy`` from 0."""
+    """The mixed corpus: each document of ``documents`` as often as its copies, with its columns and ``copy`` from 0.
+
+    Where ``documents`` has a column of that name, the number is left out.
+    """
     sizes = sized(documents, seed)
     targets = source_targets(materialise(sizes.select("source", "size")), weights)
     named = targets.select(
@@ -99,4 +102,6 @@ def mix(documents: DataFrame, weights: Sequence[int] = WEIGHTS, seed: str = SEED
     rows = documents.withColumn("_draw", draw).join(named, F.struct("source") == F.col("_key"))
     copies = F.floor("_rate") + (F.col("_draw") < F.col("_rate") - F.floor("_rate")).cast("long")
     numbers = F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)).alias("copy")
-    return rows.where(copies > 0).select(*[F.col(f"`{c}`") for c in documents.columns], numbers)
+    every = rows.where(copies > 0).select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row"), numbers)
+    columns = [F.col(f"_row.`{c}`").alias(c) for c in documents.columns]
+    return every.select(*columns, *(["copy"] if "copy" not in documents.columns else []))
