@@ -1,0 +1,200 @@
+"""Word tables, packed numbers, the automaton and the scans against plain regular expressions."""
+
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from feedmill.llm import licenses, pii, secrets
+from feedmill.llm import textkit as tk
+from feedmill.llm.automaton import compile_rules
+
+TEXTS = ["", None, "one", " a  b\tc\n", "É x ÀB", "\n\n", "AbC d9-e", "a\x00b"] * 3
+
+
+@pytest.mark.parametrize(
+    ("inside", "pattern"),
+    [(tk.IN_WHITE_WORD, r"[^\x20\x09-\x0D]+"), (tk.IN_ALNUM_WORD, r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")],
+)
+def test_words(inside, pattern):
+    words = tk.Words(*tk.buffer_of(pa.array(TEXTS)), inside, lower=True)
+    lower = {i: i + 32 for i in range(65, 91)}
+    expected = [re.findall(pattern, (t or "").translate(lower)) for t in TEXTS]
+    assert words.count.tolist() == [len(x) for x in expected]
+    flat = [w for x in expected for w in x]
+    assert [words.text(i).decode() for i in range(len(words))] == flat
+    codes = dict(zip(flat, words.hashes().tolist(), strict=True))
+    assert len(set(codes.values())) == len(set(flat))
+    # The code depends on the word alone.
+    again = tk.Words(*tk.buffer_of(pa.array(["zzz " + " ".join(flat)])), inside)
+    assert again.hashes().tolist()[-len(flat) :] == words.hashes().tolist()
+
+
+def test_windows_stay_in_their_row():
+    codes, first = np.arange(1, 8, dtype=np.uint64), np.array([0, 2, 2, 6, 7])
+    assert tk.windows(codes, first, 3)[1].tolist() == [2, 3]
+
+
+def test_slices_keep_rows_whole():
+    batch = pa.RecordBatch.from_pydict({"text": ["a" * 10, None, "b" * 100, "c", "d"]})
+    parts = list(tk.slices(iter([batch]), size=12))
+    assert [x.num_rows for x in parts] == [2, 1, 2]
+    assert sum((x.column("text").to_pylist() for x in parts), []) == batch.column("text").to_pylist()
+
+
+def test_varints_round_trip():
+    values = np.array([0, 1, 127, 128, 16383, 16384, 2**31, 2**40])
+    data, offsets = tk.pack_varints(values, np.array([0, 3, 3, 8]))
+    assert tk.unpack_varints(data[offsets[0] : offsets[1]].tobytes()).tolist() == [0, 1, 127]
+    assert tk.unpack_varints(data[offsets[2] : offsets[3]].tobytes()).tolist() == values[3:].tolist()
+    assert tk.unpack_varints(b"").tolist() == []
+
+
+@pytest.mark.parametrize("rule", ["ab+c?", "(a|bc)*d", "[a-c]{2,3}x", "(?i:ab)c", "a[^b]+b", "x{2,}"])
+def test_automaton_equals_re(rule):
+    rng = random.Random(rule)
+    anchored, anywhere = compile_rules([rule], anywhere=False), compile_rules([rule], anywhere=True)
+    longest = re.compile(rule)
+    for _ in range(300):
+        text = "".join(rng.choice("abcdxABX") for _ in range(rng.randint(0, 9)))
+        # Alternatives of these rules never start alike, so the first match is the longest.
+        for start in range(len(text)):
+            m = longest.match(text, start)
+            assert anchored.longest(text.encode(), start) == (m.end() if m else -1)
+        state, seen = 0, bool(anywhere.accept[0])
+        for b in text.encode():
+            state = anywhere.step[state, b]
+            seen |= bool(anywhere.accept[state])
+        assert seen == bool(longest.search(text))
+
+
+def test_bad_rule():
+    with pytest.raises(ValueError, match="cannot be read"):
+        compile_rules(["a)b"], anywhere=False)
+
+
+SECRET_BASE = {
+    "assign": re.compile(r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"),
+    "access": re.compile(r"AKIA[A-Z0-9]+"),
+    "hex": re.compile(r"[0-9a-f]+"),
+}
+PIECES = [
+    "password", "Token", "api_key", "SECRET", ":", "=", "'", '"', " ", "abc", "AKIA", "ABCDEF0123456789", "deadbeef",
+    "0123456789abcdef", "é", "\n", "|", ".", "-", "x" * 10, "eyJ", "ghp_" + "a1" * 18, ", " * 1500,
+]
+
+
+def secret_base(text):
+    out = []
+    for kind, pattern in SECRET_BASE.items():
+        for m in pattern.finditer(text):
+            size = len(m[2]) if kind == "assign" else len(m[0])
+            if size >= {"assign": 12, "access": 18, "hex": 16}[kind]:
+                out.append((m.start(), kind, m.end()))
+    return sorted(out)
+
+
+def test_secrets_equal_the_base_rules(spark):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice(PIECES) for _ in range(rng.randint(0, 40))) for _ in range(300)] + [None, ""]
+    rows = spark.createDataFrame([(k, t, "x") for k, t in enumerate(texts)], "doc_id long, text string, spans string")
+    found = {r["doc_id"]: r["spans"] for r in secrets.find_secrets(rows.repartition(3)).collect()}
+    assert len(found) == len(texts)
+    for k, text in enumerate(texts):
+        own = sorted((x["start"], x["kind"], x["end"]) for x in found[k] if x["kind"] in SECRET_BASE)
+        assert own == secret_base(text or "")
+
+
+def test_more_secrets_and_redaction(spark):
+    token = "ghp_" + "Ab1" * 12
+    rows = spark.createDataFrame([(1, f"é {token} and -----BEGIN RSA PRIVATE KEY-----.", 7), (2, None, 8)], "doc_id long, text string, n int")
+    spans = secrets.find_secrets(rows).where("doc_id = 1").first()["spans"]
+    assert [(x["kind"], x["start"], x["end"]) for x in spans] == [("github", 2, 42), ("pem", 47, 78)]
+    assert [r["text"] for r in secrets.redact(rows).orderBy("doc_id").collect()] == ["é [secret] and [secret].", None]
+
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def pii_base(text):
+    digits = lambda x: re.sub(r"\D", "", x)
+
+    def passes(d):
+        return sum(sum(divmod(int(c) * (1 + k % 2), 10)) for k, c in enumerate(reversed(d))) % 10 == 0
+
+    out = [(m.start(), "email", m.end()) for m in EMAIL.finditer(text)]
+    out += [(m.start(), "ip", m.end()) for m in IP.finditer(text) if all(int(x) <= 255 for x in m[0].split("."))]
+    out += [(m.start(), "card", m.end()) for m in CARD.finditer(text) if 12 <= len(digits(m[0])) <= 19 and passes(digits(m[0]))]
+    out += [(m.start(), "phone", m.end()) for m in PHONE.finditer(text) if 9 <= len(digits(m[0])) <= 15]
+    return sorted(out)
+
+
+def test_pii_equals_the_base_rules():
+    rng = random.Random(9)
+    pieces = ["a.b", "@", "x.c", "é", " ", "-", "_", ".", "1", "255", "256", "4111111111111111", "4111 1111 1111 1111", "+", "+1 (017) 555-7713", "(", "001.2.3.4", "ab@cd.e"]
+    for _ in range(4000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 14)))
+        own = sorted((x["start"], x["kind"], x["end"]) for x in pii.spans_of(text) if x["kind"] in pii.KINDS[:4])
+        assert own == pii_base(text)
+
+
+def test_long_runs_take_linear_time():
+    assert len(pii.spans_of("a" * 200_000 + "@")) == 0
+    assert len(pii.spans_of("9" * 200_000)) == 0
+
+
+def test_checksums_and_context():
+    iban = "DE89370400440532013000"
+    kinds = lambda t: [x["kind"] for x in pii.spans_of(t)]
+    assert kinds(f"pay to {iban} now") == ["iban"]
+    assert kinds("pay to DE89370400440532013001 now") == []
+    assert kinds("his ssn is 123-45-6789") == ["ssn"]
+    assert kinds("part 123-45-6789") == []
+    assert kinds("call (555) 123-4567") == ["local_phone"]
+    near, far = (pii.spans_of(t)[0]["score"] for t in ("card 4111111111111111", "thing 4111111111111111"))
+    assert near > far
+
+
+def test_pii_rows(spark):
+    rows = spark.createDataFrame([(1, "mail a@b.cd"), (None, None), (1, "")], "doc_id long, text string")
+    assert sorted(len(r["spans"]) for r in pii.find_pii(rows).collect()) == [0, 0, 1]
+
+
+def test_licenses(spark):
+    mit = licenses.TEMPLATES["MIT"]
+    changed = mit.replace("without limitation", "with no limitation at all").replace("free of charge", "for nothing")
+    texts = {
+        1: f"Vorwort é.\n{mit}\nEnd.", 2: changed, 3: "Released under the MIT License. Licensed under CC BY-NC 4.0.",
+        4: mit[: len(mit) // 2], 5: None, 6: "", 7: "permission is granted to any person", 8: f"{mit} x {mit}",
+    }
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r["doc_id"]: r["matches"] for r in licenses.find_licenses(rows).collect()}
+    names = {k: [m["license"] for m in v] for k, v in found.items()}
+    assert names == {1: ["MIT"], 2: ["MIT"], 3: ["MIT notice", "CC-BY-NC-4.0 notice"], 4: [], 5: [], 6: [], 7: [], 8: ["MIT", "MIT"]}
+    whole = found[1][0]
+    assert whole["coverage"] == 1.0
+    assert texts[1][whole["start"] : whole["end"]].split() == mit.rstrip(".").split()
+    assert 0.8 < found[2][0]["coverage"] < 1.0
+
+
+def test_alignment_equals_full_matrix():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        template = rng.integers(0, 5, 12).astype(np.uint64)
+        text = np.concatenate((rng.integers(0, 5, 3), np.delete(template, 5), rng.integers(0, 5, 3))).astype(np.uint64)
+        best = np.zeros((len(template) + 1, len(text) + 1), int)
+        for i, a in enumerate(template):
+            for j, b in enumerate(text):
+                best[i + 1, j + 1] = max(
+                    0, best[i, j] + (licenses.MATCH if a == b else licenses.MISS),
+                    best[i, j + 1] + licenses.GAP, best[i + 1, j] + licenses.GAP,
+                )
+        matched, start, end = licenses.align(template, text, 3, band=20)
+        # As many matches as the score allows with what lies between them.
+        assert 0 < matched * licenses.MATCH >= best.max() > 0
+        assert 0 <= start < end <= len(text)
