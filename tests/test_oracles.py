@@ -6,11 +6,13 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as driver
+from feedmill.plans import catalog, oracle
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="sample tables are not here")
 
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
+# The training-data queries have tests of their own.
+QUERIES, ORACLE = catalog.registered(), oracle.ORACLE
 MODEL_QUERIES = {
     "daily_candidates",
     "evaluate",
@@ -26,6 +28,11 @@ def duck():
     return connect(SF_DIR)
 
 
+def test_driver_lists_them_all():
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(ORACLE) <= set(driver.oracle_sql()) <= set(driver.queries())
+
+
 def test_only_model_queries_lack_an_oracle():
     assert set(QUERIES) - set(ORACLE) == MODEL_QUERIES
     assert not set(ORACLE) - set(QUERIES)
