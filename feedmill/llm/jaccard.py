@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from feedmill.llm import textkit as tk
 from feedmill.llm.components import components
+from feedmill.operators.joins import fits_broadcast
 from feedmill.session import materialise
 
 #: Coordinates of a point, coarser than the groups of a band.
@@ -284,7 +285,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     two = sets.select(F.col("rid").alias("b"), F.col("codes").alias("codes_b"))
     both = F.size(F.array_intersect("codes_a", "codes_b"))
     every = F.size("codes_a") + F.size("codes_b") - both
-    return pairs.join(one, "a").join(two, "b").where(both * 100 >= every * percent).select("a", "b")
+    return pairs.join(one, "a").join(two, "b").where(both * 100 >= every * percent).select("a", "b").distinct()
 
 
 KEYS = ("key_a", "key_b", "n")
@@ -306,7 +307,7 @@ def linked_classes(documents: DataFrame, signed: DataFrame, width: int, percent:
     # Cells with the same documents need one look.
     shared = shared.where("m > 1").groupBy("m", "low", "held").agg(F.min("cell").alias("cell"))
     leaves = F.ceil(F.col("m") / LEAF).cast("int")
-    members = in_cells.join(shared.select("cell", leaves.alias("leaves")), "cell")
+    members = in_cells.join(_small(materialise(shared.select("cell", leaves.alias("leaves")))), "cell")
     members = members.join(classes.select("rid", "n", "point"), "rid")
     leaf = F.pmod(F.xxhash64("rid", "cell"), F.col("leaves")).cast("int")
     members = materialise(members.select("cell", "leaves", "rid", "n", "point", leaf.alias("leaf")))
@@ -324,8 +325,10 @@ def linked_classes(documents: DataFrame, signed: DataFrame, width: int, percent:
     again = named.join(mixed.select("cell"), "cell").select("*", other)
     block = F.xxhash64("cell", F.least("leaf", "other"), F.greatest("leaf", "other"))
     again = again.select(block.alias("block"), "rid", "n", "point", "leaf", "label")
-    rest = _candidates(again, percent, spanning=False).join(tried, ["a", "b"], "left_anti")
-    links = links.unionByName(materialise(_verified(rest, sets, percent)))
+    rest = materialise(_candidates(again, percent, spanning=False).join(tried, ["a", "b"], "left_anti"))
+    ends = rest.select(F.col("a").alias("rid")).unionByName(rest.select(F.col("b").alias("rid"))).distinct()
+    own = sets.join(_small(materialise(ends)), "rid", "left_semi")
+    links = links.unionByName(materialise(_verified(rest, own, percent)))
     labels = components(links)
     named = classes.select(*KEYS, "rid", "doc_id").join(labels, F.col("rid") == F.col("node"), "left")
     return named.select(*KEYS, "doc_id", F.coalesce("label", "rid").alias("label"))
@@ -379,12 +382,21 @@ def keep_one(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFra
     return kept.select([F.col(f"row.`{c}`").alias(c) for c in documents.columns])
 
 
+def _small(table: DataFrame) -> DataFrame:
+    """The table, to be shared with all tasks when it is measured to be small; joined by its key otherwise."""
+    return F.broadcast(table) if fits_broadcast(table) else table
+
+
 def _candidate_sets(documents: DataFrame, classes: DataFrame, members: DataFrame, width: int) -> DataFrame:
-    """rid and shingle codes of every class that shares a cell, read from the texts again."""
+    """rid and shingle codes of every class that shares a cell, read from the texts again.
+
+    A class may come more than once, where rows repeat a doc_id.
+    """
     wanted = classes.select("rid", "key_a", "key_b", "doc_id").join(members.select("rid").distinct(), "rid", "left_semi")
+    wanted = materialise(wanted)
     ids = wanted.select(F.struct("doc_id").alias("_id")).distinct()
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = rows.join(ids, F.struct("doc_id") == F.col("_id"), "left_semi")
+    rows = rows.join(_small(ids), F.struct("doc_id") == F.col("_id"), "left_semi")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in tk.slices(batches):
@@ -396,5 +408,4 @@ def _candidate_sets(documents: DataFrame, classes: DataFrame, members: DataFrame
             )
 
     made = rows.select("text").mapInArrow(sets, "key_a long, key_b long, codes array<long>")
-    found = made.join(wanted.select("rid", "key_a", "key_b"), ["key_a", "key_b"])
-    return materialise(found.groupBy("rid").agg(F.first("codes").alias("codes")))
+    return materialise(made.join(_small(wanted.select("rid", "key_a", "key_b")), ["key_a", "key_b"]).select("rid", "codes"))
