@@ -22,7 +22,7 @@ from feedmill.session import materialise
 
 WINDOW = 13
 #: A segment is closed once it has this many words; it bounds the memory of a task.
-SEGMENT_WORDS = 1 << 22
+SEGMENT_WORDS = 1 << 21
 #: The benchmark is matched in blocks of about this many words; each block is shared with all tasks.
 BLOCK_WORDS = 250_000
 

@@ -27,8 +27,8 @@ from feedmill.llm.components import components
 from feedmill.operators.joins import fits_broadcast
 from feedmill.session import materialise
 
-#: Coordinates of a point, coarser than the groups of a band.
-DIMENSIONS = 32
+#: Coordinates of a point (a power of two), coarser than the groups of a band.
+DIMENSIONS = 128
 #: Groups in a block, documents of a cell that meet in one task, and points under one bounding box.
 BLOCK_GROUPS = 64
 LEAF = 512
@@ -111,10 +111,27 @@ def set_keys(codes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def points(codes: np.ndarray, first: np.ndarray) -> np.ndarray:
     rows = len(first) - 1
     doc = np.repeat(np.arange(rows), np.diff(first))
-    at = doc * DIMENSIONS + (codes >> np.uint64(59)).astype(np.int64)
+    at = doc * DIMENSIONS + (codes >> np.uint64(65 - DIMENSIONS.bit_length())).astype(np.int64)
     return np.bincount(at, minlength=rows * DIMENSIONS).astype(np.int32).reshape(rows, DIMENSIONS)
 
 
+def packed(points: np.ndarray) -> pa.Array:
+    """A byte for each coordinate, four where one of them needs it."""
+    return pa.array([(p.astype(np.uint8) if p.max() < 256 else p).tobytes() for p in points], pa.binary())
+
+
+def unpacked(column: pa.Array) -> np.ndarray:
+    data, offsets = tk.buffer_of(column)
+    width = np.diff(offsets)
+    if (width == DIMENSIONS).all():
+        return data.reshape(-1, DIMENSIONS)
+    out = np.empty((len(width), DIMENSIONS), np.int32)
+    out[width == DIMENSIONS] = data[np.repeat(width == DIMENSIONS, width)].reshape(-1, DIMENSIONS)
+    wide = np.ascontiguousarray(data[np.repeat(width != DIMENSIONS, width)]).view(np.int32)
+    out[width != DIMENSIONS] = wide.reshape(-1, DIMENSIONS)
+    return out
+
+
 def cells_of(codes: np.ndarray, first: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
     """Cells of all rows, one after the other, and where each row's begin."""
     size = np.diff(first)
@@ -157,8 +174,7 @@ def sign(documents: DataFrame, width: int, percent: int) -> DataFrame:
                 bands = Bands(percent, int(size.max()) * 200 // percent)
             key_a, key_b = set_keys(codes, first)
             cells, cell_first = cells_of(codes, first, bands)
-            point = points(codes, first)
-            raw = tk.binary_array(point.ravel().view(np.uint8), np.arange(len(size) + 1) * DIMENSIONS * 4)
+            raw = packed(points(codes, first))
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"), pa.array(size), pa.array(key_a), pa.array(key_b), raw,
@@ -178,17 +194,17 @@ def near(points: np.ndarray, sizes: np.ndarray, percent: int) -> Iterator[tuple[
     upper corners' minima are too small for the smallest sizes inside.
     """
     order = np.lexsort((*points.T[:4], sizes))
-    p, s = points[order].astype(np.int64), sizes[order]
+    p, s = points[order], sizes[order]
     starts = np.arange(0, len(order), BOX)
     high, least = np.maximum.reduceat(p, starts), s[starts]
     reach = (100 + percent) * 1
     for x in range(len(starts)):
         # 2 * overlap * 100 is at least 2 * t * (a + b) / (1 + t).
-        corner = np.minimum(high[x], high[x:]).sum(1)
+        corner = np.minimum(high[x], high[x:]).sum(1, dtype=np.int64)
         open_boxes = np.flatnonzero(corner * reach >= percent * (least[x] + least[x:])) + x
         a = np.arange(starts[x], min(starts[x] + BOX, len(order)))
         b = np.concatenate([np.arange(starts[y], min(starts[y] + BOX, len(order))) for y in open_boxes])
-        bound = np.minimum(p[a][:, None, :], p[b][None, :, :]).sum(2)
+        bound = np.minimum(p[a][:, None, :], p[b][None, :, :]).sum(2, dtype=np.int64)
         fits = (bound * reach >= percent * (s[a][:, None] + s[b][None, :])) & (a[:, None] < b[None, :])
         i, j = np.nonzero(fits)
         one, two = order[a[i]], order[b[j]]
@@ -240,8 +256,7 @@ def _pair_rows(percent: int, spanning: bool):
         for batch in _with_end(batches):
             if batch is not None:
                 own = {c: batch.column(c).to_numpy() for c in names}
-                data, offsets = tk.buffer_of(batch.column("point"))
-                own["point"] = np.ascontiguousarray(data).view(np.int32).reshape(-1, DIMENSIONS)
+                own["point"] = unpacked(batch.column("point"))
                 held = own if held is None else {c: np.concatenate((held[c], own[c])) for c in own}
                 # The last block may go on in the next batch.
                 stop = int(np.searchsorted(-(held["block"] != held["block"][-1]).astype(int), 0)) if len(held["block"]) else 0
