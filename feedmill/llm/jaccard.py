@@ -9,7 +9,9 @@ coordinate.  A cell holds the documents with one count vector in one block; no o
 
 Lower levels: a cell is cut into leaves with bounding boxes; leaves and then pairs are passed over when
 the summed minima are too small, and what is left is verified on the shingle sets.  Pairs that earlier
-links connect already are not looked at again, so a group of many copies is no square of its size.
+links connect already are not looked at again, so a group of many copies is no square of its size: a first
+round over the few cells that very close pairs share connects most copies, and the second round passes
+over all cells whose documents are connected by then.
 """
 
 from __future__ import annotations
@@ -33,10 +35,12 @@ DIMENSIONS = 128
 BLOCK_GROUPS = 64
 LEAF = 512
 BOX = 16
-BAND_GROWTH = 1.25
+BAND_GROWTH = 1.5
+#: Similarity whose cells the first round takes.
+CLOSE_PERCENT = 95
 
 _ODD = np.uint64(0xD6E8FEB86659FD93)
-_SIGNED = "doc_id long, n long, key_a long, key_b long, point binary, cells array<long>"
+_SIGNED = "doc_id long, n long, key_a long, key_b long, point binary, close array<long>, cells array<long>"
 
 
 class Bands:
@@ -163,28 +167,30 @@ def cells_of(codes: np.ndarray, first: np.ndarray, bands: Bands) -> tuple[np.nda
 
 
 def sign(documents: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, set size n, the set's name, its point and its cells, one row for each row of documents."""
+    """doc_id, set size n, the set's name, its point and its cells, one row for each row of documents.
+
+    ``close`` has the cells for a similarity of ``CLOSE_PERCENT``, ``cells`` those for ``percent``.
+    """
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = Bands(percent, 1 << 10)
+        levels = [max(percent, CLOSE_PERCENT), percent]
+        bands = [Bands(x, 1 << 10) for x in levels]
         for part in tk.slices(batches):
             codes, first = shingle_sets(part.column("text"), width)
             size = np.diff(first)
-            if size.max(initial=0) * 100 // percent >= bands.edges[-1]:
-                bands = Bands(percent, int(size.max()) * 200 // percent)
-            key_a, key_b = set_keys(codes, first)
-            cells, cell_first = cells_of(codes, first, bands)
-            raw = packed(points(codes, first))
+            bands = [
+                b if size.max(initial=0) * 100 // x < b.edges[-1] else Bands(x, int(size.max()) * 200 // x)
+                for b, x in zip(bands, levels, strict=True)
+            ]
+            cells = [tk.list_array(pa.array(c), at) for c, at in (cells_of(codes, first, b) for b in bands)]
+            keys = [pa.array(k) for k in set_keys(codes, first)]
             yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id"), pa.array(size), pa.array(key_a), pa.array(key_b), raw,
-                    tk.list_array(pa.array(cells), cell_first),
-                ],
-                names=["doc_id", "n", "key_a", "key_b", "point", "cells"],
-            )
+                [part.column("doc_id"), pa.array(size), *keys, packed(points(codes, first)), *cells],
+                names=["doc_id", "n", "key_a", "key_b", "point", "close", "cells"],
+            )
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(signed, _SIGNED)
+    return rows.mapInArrow(signed, _SIGNED).withColumn("row", F.monotonically_increasing_id())
 
 
 def near(points: np.ndarray, sizes: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -211,12 +217,16 @@ def near(points: np.ndarray, sizes: np.ndarray, percent: int) -> Iterator[tuple[
         yield np.minimum(one, two), np.maximum(one, two), bound[i, j]
 
 
-def spanning_pairs(points: np.ndarray, sizes: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """A forest over the pairs of ``near``, those with the smallest distance first."""
+def spanning_pairs(
+    points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, percent: int
+) -> list[tuple[int, int]]:
+    """A forest over the pairs of ``near`` that joins the labels, those with the smallest distance first."""
     found = list(near(points, sizes, percent))
     i, j, bound = (np.concatenate([x[k] for x in found]) for k in range(3))
     order = np.lexsort((j, i, sizes[i] + sizes[j] - 2 * bound))
-    root = list(range(len(sizes)))
+    root = np.unique(labels, return_inverse=True)[1].tolist()
+    number = max(root) + 1
+    own, root = root, list(range(number))
 
     def top(x: int) -> int:
         while root[x] != x:
@@ -226,11 +236,11 @@ def spanning_pairs(points: np.ndarray, sizes: np.ndarray, percent: int) -> list[
 
     out = []
     for a, b in zip(i[order].tolist(), j[order].tolist(), strict=True):
-        x, y = top(a), top(b)
+        x, y = top(own[a]), top(own[b])
         if x != y:
             root[max(x, y)] = min(x, y)
             out.append((a, b))
-            if len(out) == len(sizes) - 1:
+            if len(out) == number - 1:
                 break
     return out
 
@@ -240,7 +250,7 @@ def _pair_rows(percent: int, spanning: bool):
 
     def of_block(rid: np.ndarray, n: np.ndarray, point: np.ndarray, leaf: np.ndarray, label: np.ndarray):
         if spanning:
-            pairs = np.array(spanning_pairs(point, n, percent), np.int64).reshape(-1, 2)
+            pairs = np.array(spanning_pairs(point, n, label, percent), np.int64).reshape(-1, 2)
             return rid[pairs[:, 0]], rid[pairs[:, 1]]
         ones, twos = [], []
         across = leaf.min() != leaf.max()
@@ -311,44 +321,54 @@ def linked_classes(documents: DataFrame, signed: DataFrame, width: int, percent:
 
     Links are all pairs of sets with a Jaccard similarity of at least ``percent`` / 100.
     """
-    classes = signed.where("n > 0").groupBy(*KEYS).agg(
-        F.min("doc_id").alias("doc_id"), F.first("point").alias("point"), F.first("cells").alias("cells")
-    )
-    classes = materialise(classes.withColumn("rid", F.monotonically_increasing_id()))
-    in_cells = classes.select("rid", F.explode("cells").alias("cell"))
-    shared = in_cells.groupBy("cell").agg(
-        F.count(F.lit(1)).alias("m"), F.min("rid").alias("low"), F.sum(F.xxhash64("rid").cast("decimal(38,0)")).alias("held")
+    classes = materialise(
+        signed.where("n > 0").groupBy(*KEYS).agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("rid"))
     )
-    # Cells with the same documents need one look.
-    shared = shared.where("m > 1").groupBy("m", "low", "held").agg(F.min("cell").alias("cell"))
-    leaves = F.ceil(F.col("m") / LEAF).cast("int")
-    members = in_cells.join(_small(materialise(shared.select("cell", leaves.alias("leaves")))), "cell")
-    members = members.join(classes.select("rid", "n", "point"), "rid")
-    leaf = F.pmod(F.xxhash64("rid", "cell"), F.col("leaves")).cast("int")
-    members = materialise(members.select("cell", "leaves", "rid", "n", "point", leaf.alias("leaf")))
-    sets = _candidate_sets(documents, classes, members, width)
-
-    first = members.select(F.xxhash64("cell", "leaf").alias("block"), "rid", "n", "point", "leaf", F.col("rid").alias("label"))
-    tried = materialise(_candidates(first, percent, spanning=True))
-    links = materialise(_verified(tried, sets, percent))
-    labels = components(links)
+    heads = signed.join(_small(classes.select("rid")), F.col("row") == F.col("rid"))
+    links, labels = None, None
+    for level in ("close", "cells"):
+        members = _members(heads.select("rid", F.col(level).alias("cells")), heads.select("rid", "n", "point"), labels)
+        block = F.xxhash64("cell", "leaf").alias("block")
+        tried = materialise(_candidates(members.select("*", block), percent, spanning=True))
+        found = materialise(_verified(tried, _sets_of(tried, documents, classes, width), percent))
+        links = found if links is None else links.unionByName(found)
+        labels = components(links)
 
     # What is not connected yet meets in every cell, leaf by leaf.
-    named = members.join(labels, F.col("rid") == F.col("node"), "left").withColumn("label", F.coalesce("label", "rid"))
+    named = members.drop("label").join(labels, F.col("rid") == F.col("node"), "left")
+    named = named.withColumn("label", F.coalesce("label", "rid"))
     mixed = named.groupBy("cell").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y")
     other = F.explode(F.sequence(F.lit(0), F.col("leaves") - 1)).alias("other")
     again = named.join(mixed.select("cell"), "cell").select("*", other)
-    block = F.xxhash64("cell", F.least("leaf", "other"), F.greatest("leaf", "other"))
-    again = again.select(block.alias("block"), "rid", "n", "point", "leaf", "label")
-    rest = materialise(_candidates(again, percent, spanning=False).join(tried, ["a", "b"], "left_anti"))
-    ends = rest.select(F.col("a").alias("rid")).unionByName(rest.select(F.col("b").alias("rid"))).distinct()
-    own = sets.join(_small(materialise(ends)), "rid", "left_semi")
-    links = links.unionByName(materialise(_verified(rest, own, percent)))
+    block = F.xxhash64("cell", F.least("leaf", "other"), F.greatest("leaf", "other")).alias("block")
+    rest = _candidates(again.select("*", block), percent, spanning=False).join(tried, ["a", "b"], "left_anti")
+    rest = materialise(rest)
+    links = links.unionByName(materialise(_verified(rest, _sets_of(rest, documents, classes, width), percent)))
     labels = components(links)
-    named = classes.select(*KEYS, "rid", "doc_id").join(labels, F.col("rid") == F.col("node"), "left")
+    named = classes.join(labels, F.col("rid") == F.col("node"), "left")
     return named.select(*KEYS, "doc_id", F.coalesce("label", "rid").alias("label"))
 
 
+def _members(cells: DataFrame, points: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """(cell, leaves, rid, label, n, point, leaf) of every cell with documents that are not connected yet."""
+    if labels is None:
+        named = cells.withColumn("label", F.col("rid"))
+    else:
+        named = cells.join(_small(labels), F.col("rid") == F.col("node"), "left")
+        named = named.withColumn("label", F.coalesce("label", "rid"))
+    in_cells = named.select("rid", "label", F.explode("cells").alias("cell"))
+    shared = in_cells.groupBy("cell").agg(
+        F.count(F.lit(1)).alias("m"), F.min("rid").alias("low"), F.sum(F.xxhash64("rid").cast("decimal(38,0)")).alias("held"),
+        F.min("label").alias("x"), F.max("label").alias("y"),
+    )
+    # Cells with the same documents need one look.
+    shared = shared.where("x != y").groupBy("m", "low", "held").agg(F.min("cell").alias("cell"))
+    leaves = F.ceil(F.col("m") / LEAF).cast("int")
+    members = in_cells.join(_small(materialise(shared.select("cell", leaves.alias("leaves")))), "cell")
+    leaf = F.pmod(F.xxhash64("rid", "cell"), F.col("leaves")).cast("int")
+    return materialise(members.join(points, "rid").select("cell", "leaves", "rid", "label", "n", "point", leaf.alias("leaf")))
+
+
 def similar(documents: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, n_shingles and component_id, one row for each row of documents.
 
@@ -402,13 +422,13 @@ def _small(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if fits_broadcast(table) else table
 
 
-def _candidate_sets(documents: DataFrame, classes: DataFrame, members: DataFrame, width: int) -> DataFrame:
-    """rid and shingle codes of every class that shares a cell, read from the texts again.
+def _sets_of(pairs: DataFrame, documents: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+    """rid and shingle codes of every class in a pair, read from the texts again.
 
     A class may come more than once, where rows repeat a doc_id.
     """
-    wanted = classes.select("rid", "key_a", "key_b", "doc_id").join(members.select("rid").distinct(), "rid", "left_semi")
-    wanted = materialise(wanted)
+    ends = pairs.select(F.col("a").alias("rid")).unionByName(pairs.select(F.col("b").alias("rid"))).distinct()
+    wanted = materialise(classes.select("rid", "key_a", "key_b", "doc_id").join(ends, "rid", "left_semi"))
     ids = wanted.select(F.struct("doc_id").alias("_id")).distinct()
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = rows.join(_small(ids), F.struct("doc_id") == F.col("_id"), "left_semi")
