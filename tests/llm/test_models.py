@@ -227,6 +227,7 @@ def test_model_learns(spark):
     fitted = at.Scorer(lmscore.train(chunks, v))
     flat = at.Scorer({k: x * 0 for k, x in at.start_weights(v.rows, v.groups).items()})
     held = np.array(row["held"], bool)
-    better = (lmscore._model_scores(row, v, fitted) - lmscore._model_scores(row, v, flat))[held]
+    texts = lmscore._Texts(row, len(v.group) - 1)
+    better = (lmscore._model_scores(texts, v, fitted) - lmscore._model_scores(texts, v, flat))[held]
     assert len(better) > 5
     assert (better > 0).mean() > 0.9
