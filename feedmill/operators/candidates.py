@@ -25,15 +25,16 @@ def row_lists(rows: DataFrame) -> DataFrame:
     return rows.groupBy("uid").agg(F.array_distinct(in_order("pos", "mid")).alias("mids"))
 
 
-def unseen_rows(rows: DataFrame, history: DataFrame) -> DataFrame:
+def unseen_rows(rows: DataFrame, history: DataFrame, offered: DataFrame | None = None) -> DataFrame:
     """Candidate rows whose (uid, mid) is not in the history.
 
-    History of items that nobody is offered is dropped before it is shuffled.
+    History of items that nobody is offered is dropped before it is shuffled;
+    ``offered`` (mid) may name them, or more, where they are known already.
     The sides meet on (uid, mid), the history as one row per pair, so neither
     a busy user nor a popular item makes a large group.
     """
-    offered = rows.select("mid").distinct()
-    seen = restrict(history.select("uid", "mid"), offered, ["mid"]).distinct()
+    offered = rows.select("mid") if offered is None else offered.select("mid")
+    seen = restrict(history.select("uid", "mid"), offered.distinct(), ["mid"]).distinct()
     return rows.join(seen, ["uid", "mid"], "left_anti").select("uid", "pos", "mid")
 
 

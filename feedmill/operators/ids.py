@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.functions.lists import in_order
-from feedmill.operators.joins import dimension_join
+from feedmill.operators.joins import MAX_BROADCAST_ROWS, dimension_join
 from feedmill.operators.ranking import global_rank, grouped_rank
 
 USER, ITEM = "uid", "mid"
@@ -32,16 +32,29 @@ def distinct_ids(scores: DataFrame) -> DataFrame:
     return scores.select(pair.alias("id")).select("id.kind", "id.real_id").distinct()
 
 
+def _bucketed(scores: DataFrame) -> DataFrame:
+    """(kind, real_id, bucket, cause): cause is NULL where the bucket gives a number."""
+    bucket = id_bucket(F.col("real_id"))
+    cause = F.when(bucket.isNull(), "short").when(~bucket.rlike("^[0-9]{4}$"), "not a number")
+    return distinct_ids(scores).select("kind", "real_id", bucket.alias("bucket"), cause.alias("cause"))
+
+
 def assign_ids(scores: DataFrame) -> DataFrame:
-    """Bucket text followed by the ordinal in the bucket, users and items apart."""
-    ids = distinct_ids(scores).withColumn("bucket", id_bucket(F.col("real_id")))
-    ranked = grouped_rank(
-        ids.where(F.col("bucket").isNotNull()), ["kind", "bucket"], [F.col("real_id")], "ordinal"
-    )
-    number = F.concat("bucket", F.col("ordinal").cast("string")).try_cast("bigint")
+    """Bucket text followed by the ordinal in the bucket, users and items apart.
+
+    Ids that give no number are left out here and given by ``id_rejects``.
+    """
+    ids = _bucketed(scores).where(F.col("cause").isNull()).drop("cause")
+    ranked = grouped_rank(ids, ["kind", "bucket"], [F.col("real_id")], "ordinal")
+    number = F.concat("bucket", F.col("ordinal").cast("string")).cast("bigint")
     return ranked.select("real_id", number.alias("num_id"), "kind")
 
 
+def id_rejects(scores: DataFrame) -> DataFrame:
+    """(kind, real_id, cause) of the ids that ``assign_ids`` gives no number."""
+    return _bucketed(scores).where(F.col("cause").isNotNull()).select("kind", "real_id", "cause")
+
+
 def assign_dense_ids(scores: DataFrame) -> DataFrame:
     """0, 1, 2, ... per kind in order of the real id.
 
@@ -109,7 +122,9 @@ def missing_items(recs: DataFrame, ids: DataFrame) -> DataFrame:
     )
 
 
-def lookup(numbers: DataFrame, ids: DataFrame, kind: str = ITEM) -> DataFrame:
+def lookup(
+    numbers: DataFrame, ids: DataFrame, kind: str = ITEM, max_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
     """(num_id) -> (num_id, real_id); numbers without one are left out."""
     names = ids.where(F.col("kind") == kind).select("num_id", "real_id")
-    return dimension_join(numbers.select("num_id"), names, ["num_id"])
+    return dimension_join(numbers.select("num_id"), names, ["num_id"], max_rows=max_rows)

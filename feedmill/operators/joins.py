@@ -4,25 +4,49 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from feedmill.session import materialise
+
+#: A key is hot when it holds more than this share of the facts.
+HOT_SHARE = 0.005
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 128 << 20
 
 
+def _width(field: T.StructField) -> Column:
+    """Bytes of a value: of text as it is, of arrays of numbers by their length, of other values 16."""
+    column, kind = F.col(f"`{field.name}`"), field.dataType
+    if isinstance(kind, T.StringType | T.BinaryType):
+        return F.coalesce(F.octet_length(column), F.lit(0)).cast("bigint")
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.NumericType):
+        return F.greatest(F.size(column), F.lit(0)).cast("bigint") * 8
+    if isinstance(kind, T.ArrayType | T.MapType | T.StructType):
+        return F.coalesce(F.octet_length(F.to_json(column)), F.lit(0)).cast("bigint")
+    return F.lit(16).cast("bigint")
+
+
 def fits_broadcast(
     df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> bool:
     """Measure a dictionary; one aggregate row comes back."""
-    width = sum(
-        (F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns),
-        F.lit(0),
-    )
-    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width.cast("bigint")), F.lit(0))).first()
+    width = sum((_width(f) for f in df.schema.fields), F.lit(0).cast("bigint"))
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
     return rows <= max_rows and size <= max_bytes
 
 
+def hot_keys(facts: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
+    """Keys that hold more than ``share`` of the facts: at most 1 / share of them.
+
+    Counts combine before the shuffle, so a hot key costs one row for each task.
+    """
+    counts = materialise(facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")))
+    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    return counts.where(F.col("_n") > F.lit(max(1.0, share * total))).select(*on, F.lit(True).alias("_hot"))
+
+
 def dimension_join(
     facts: DataFrame,
     dictionary: DataFrame,
@@ -33,21 +57,29 @@ def dimension_join(
 ) -> DataFrame:
     """Join facts, where one key may hold a large share, with a dictionary.
 
-    A dictionary measured to be small is broadcast and the facts stay where
-    they are.  A larger one is joined on key and salt: each hot key spreads
-    over ``salts`` tasks, against that many copies of its dictionary row.
-    The salt is a hash of the row, so a retried task gives the same one.
+    A dictionary measured to be small is broadcast and the facts stay where they are.
+    A larger one is joined by key; only keys counted as hot are salted too, and only
+    their dictionary rows are copied.  The salt is a hash of the row, so a retried task
+    gives the same one.  Facts that hold nothing but the key are counted, joined once
+    and repeated.
     """
     on = list(on)
     if how not in ("inner", "left_semi", "left_anti", "left"):
         raise ValueError(f"the dictionary is the replicated side, {how} would repeat it")
     if fits_broadcast(dictionary, max_rows):
         return facts.join(F.broadcast(dictionary), on, how)
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)))
-    copies = dictionary.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
-    )
-    return salted.join(copies, on + ["_salt"], how).drop("_salt")
+    if set(facts.columns) == set(on):
+        counted = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+        repeated = counted.join(dictionary, on, how).withColumn("_n", F.explode(F.sequence(F.lit(1).cast("bigint"), "_n")))
+        return repeated.drop("_n")
+    hot = F.broadcast(hot_keys(facts, on))  # at most 1 / HOT_SHARE rows
+    place = F.pmod(F.xxhash64(*facts.columns), F.lit(salts))
+    marked = facts.join(hot, on, "left")
+    salted = marked.withColumn("_salt", F.when(F.col("_hot"), place).otherwise(F.lit(0).cast("bigint"))).drop("_hot")
+    every = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+    one = F.array(F.lit(0).cast("bigint"))
+    copies = dictionary.join(hot, on, "left").withColumn("_salt", F.explode(F.when(F.col("_hot"), every).otherwise(one)))
+    return salted.join(copies.drop("_hot"), on + ["_salt"], how).drop("_salt")
 
 
 def restrict(facts: DataFrame, keys: DataFrame, on: Sequence[str], max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:

@@ -30,8 +30,17 @@ def merge_state(
     """Today's lists replace the base ones, the rest ages by a day and expires.
 
     Lists stay whole: the rows are joined on the user, never exploded.  A user
-    with two rows on one side is an error.
+    with two rows on one side is an error.  A list that would age but has no
+    readable ttl is counted apart; ``merge_state_rejects`` gives its row.
     """
+    rows = _merged(new, base, ttl)
+    if observation is not None:
+        rows = counted(rows, observation, _counters(F.col("fate"), F.col("ttl")))
+    return rows.where(F.col("fate").isNotNull() & (F.col("ttl") > 0)).select("uid", "list", "ttl")
+
+
+def _merged(new: DataFrame, base: DataFrame, ttl: int) -> DataFrame:
+    """(uid, fate, list, ttl) of every user of either side."""
     today = one_row_per(new.select("uid", F.col("list").alias("new_list")), "uid")
     before = one_row_per(
         base.select("uid", F.col("list").alias("base_list"), F.col("ttl").alias("base_ttl")), "uid"
@@ -39,15 +48,23 @@ def merge_state(
     joined = today.join(before, "uid", "full_outer")
     fate = _fate(F.col("new_list"), F.col("base_list"))
     left = F.col("base_ttl") - 1
-    rows = joined.select(
+    return joined.select(
         "uid",
         fate.alias("fate"),
         F.when(fate == "decrease", F.col("base_list")).otherwise(F.col("new_list")).alias("list"),
         F.when(fate == "decrease", left).otherwise(F.lit(ttl)).cast("int").alias("ttl"),
     )
-    if observation is not None:
-        rows = counted(rows, observation, _counters(F.col("fate"), F.col("ttl")))
-    return rows.where(F.col("fate").isNotNull() & (F.col("ttl") > 0)).select("uid", "list", "ttl")
+
+
+def merge_state_rejects(new: DataFrame, base: DataFrame) -> DataFrame:
+    """(uid, list): base lists without a new one whose ttl cannot be read."""
+    rejected = (F.col("fate") == "decrease") & F.col("ttl").isNull()
+    return _merged(new, base, TTL_DAYS).where(rejected).select("uid", "list")
+
+
+def aged(base: DataFrame, days: int) -> DataFrame:
+    """The base as if ``days`` more days had passed; what they let expire still counts as removed in the merge."""
+    return base.withColumn("ttl", (F.col("ttl") - days).cast("int")) if days else base
 
 
 def _counters(fate: Column, ttl: Column) -> dict[str, Column]:
@@ -57,19 +74,19 @@ def _counters(fate: Column, ttl: Column) -> dict[str, Column]:
         "update_num": fate == "update",
         "decrease_num": fate == "decrease",
         "remove_num": (fate == "decrease") & (ttl <= 0),
+        "bad_ttl_num": (fate == "decrease") & ttl.isNull(),
     }
 
 
 def merge_state_counters(new: DataFrame, base: DataFrame) -> DataFrame:
-    """The merge's counters alone; only keys and 'has a list' are shuffled."""
-    joined = new.select("uid", F.when(filled(F.col("list")), "x").alias("new_list")).join(
-        base.select("uid", F.when(filled(F.col("list")), "x").alias("base_list"), "ttl"),
-        "uid",
-        "full_outer",
-    )
-    fate = _fate(F.col("new_list"), F.col("base_list"))
-    conditions = _counters(fate, F.col("ttl") - 1)
-    return joined.agg(*[F.count_if(c).alias(n) for n, c in conditions.items()])
+    """The merge's counters alone; only keys and 'has a list' are shuffled.  Repeated users are an error here too."""
+
+    def flags(df: DataFrame) -> DataFrame:
+        return df.withColumn("list", F.when(filled(F.col("list")), "x"))
+
+    rows = _merged(flags(new.select("uid", "list")), flags(base.select("uid", "list", "ttl")), TTL_DAYS)
+    conditions = _counters(F.col("fate"), F.col("ttl"))
+    return rows.agg(*[F.count_if(c).alias(n) for n, c in conditions.items()])
 
 
 def keyed_payloads(state: DataFrame, parts: int = 8) -> DataFrame:

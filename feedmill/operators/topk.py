@@ -94,7 +94,8 @@ def score_pairs(pairs: DataFrame, users: DataFrame, items: DataFrame) -> DataFra
     """(user, item) -> (user, item, score); pairs without factors are left out."""
     of_users = users.select(F.col("id").alias("user"), F.col("features").alias("user_features"))
     of_items = items.select(F.col("id").alias("item"), F.col("features").alias("item_features"))
-    both = dimension_join(pairs.select("user", "item"), of_items, ["item"]).join(of_users, "user")
+    # Users first: a pair then carries one vector through one shuffle, and items are shared where they fit.
+    both = dimension_join(pairs.select("user", "item").join(of_users, "user"), of_items, ["item"])
     return both.select(
         "user", "item", dot(F.col("user_features"), F.col("item_features")).alias("score")
     )

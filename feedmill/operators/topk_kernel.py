@@ -86,7 +86,9 @@ def best_lists(
         tile = user_ids[start : start + step]
         users = user_matrix[start : start + step]
         if whole_products:
-            scores = np.trunc(users @ items.features.T)
+            # A product close to a whole number must not hang on the shape of the tile,
+            # as a matrix product's last digit does: each pair is summed by itself.
+            scores = np.trunc(np.einsum("ij,kj->ik", users, items.features))
             rows, cols = np.nonzero(scores >= _kth(scores, k))
             exact = scores[rows, cols]
         else:

@@ -10,10 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ACTION_OF_EVENT = {"view": "play", "click": "attitude", "purchase": "repost", "signup": "comment"}
-LAST_YEAR = "2000-08-01"
 META_DAY = "20240101"
 LIST_LENGTH = 50
-CATALOGUE = 2000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -141,14 +139,21 @@ def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _rows(spark: SparkSession, sf_dir: str, name: str) -> Column:
+    """Rows of a table, as one value that the plan computes."""
+    return table(spark, sf_dir, name).agg(F.count(F.lit(1))).scalar()
+
+
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A list of 50 parts per customer, the last five of them repeated."""
+    """A list of 50 parts of the whole catalogue per customer, the last five of them repeated."""
     c = F.col("c_custkey")
+    catalogue = _rows(spark, sf_dir, "part")
     mids = F.transform(
         F.sequence(F.lit(0), F.lit(LIST_LENGTH - 1)),
-        lambda p: _text((c * 31 + (p % 45) * 37) % CATALOGUE),
+        lambda p: _text((c * 31 + (p % 45) * 37) % F.col("_parts")),
     )
-    return table(spark, sf_dir, "customer").select(_text(c).alias("uid"), mids.alias("mids"))
+    customers = table(spark, sf_dir, "customer").select("c_custkey", catalogue.alias("_parts"))
+    return customers.select(_text(c).alias("uid"), mids.alias("mids"))
 
 
 def item_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,11 +177,27 @@ def base_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spoilt_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base with a ttl that could not be read on every eleventh row."""
+    c = F.col("uid").cast("bigint")
+    return base_state(spark, sf_dir).withColumn("ttl", F.when(c % 11 != 0, F.col("ttl")))
+
+
+def odd_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(uid, mid) of all order lines, some of the ids too short or without digits at their end."""
+    customer, part = F.col("o_custkey"), F.col("l_partkey")
+    return _order_lines(spark, sf_dir).select(
+        F.when(customer % 9 == 0, F.concat(F.lit("user"), _text(customer), F.lit("x")))
+        .otherwise(_text(1_000_000 + customer)).alias("uid"),
+        _text(part).alias("mid"),
+    )
+
+
 def new_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers who ordered in the last year; every fiftieth one has an empty list."""
+    """Three of four customers who ever ordered; every fiftieth one has an empty list."""
     c = F.col("o_custkey")
-    recent = table(spark, sf_dir, "orders").where(F.col("o_orderdate") >= F.lit(LAST_YEAR).cast("date"))
-    return recent.select("o_custkey").distinct().select(
+    buyers = table(spark, sf_dir, "orders").select("o_custkey").distinct()
+    return buyers.where(c % 4 != 0).select(
         _text(c).alias("uid"),
         F.when(c % 50 == 0, "").otherwise(F.concat(F.lit("new-"), _text(c))).alias("list"),
     )
@@ -201,6 +222,13 @@ def factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def vector_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(user, item, rating): every vector with another one, its label as the rating."""
+    v = F.col("vec_id")
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "label", _rows(spark, sf_dir, "embeddings").alias("n"))
+    return vectors.select(v.alias("user"), ((v * 7 + 3) % F.col("n")).alias("item"), F.col("label").alias("rating"))
+
+
 def factor_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dictionary of the vectors for both kinds."""
     v = F.col("vec_id")

@@ -101,6 +101,11 @@ def _ratings(spark, sf_dir):
     return ids.encode_ratings(scores, ids.assign_ids(scores))
 
 
+@_query
+def id_rejects(spark, sf_dir):
+    return ids.id_rejects(b.odd_ids(spark, sf_dir))
+
+
 @_query
 def encode_ratings(spark, sf_dir):
     return _ratings(spark, sf_dir)
@@ -114,6 +119,15 @@ def lookup(spark, sf_dir):
     return ids.lookup(numbers, dictionary)
 
 
+@_query
+def lookup_large(spark, sf_dir):
+    """The same with a dictionary that is never shared, over every line of every order."""
+    pairs = b.purchases(spark, sf_dir)
+    dictionary = materialise(ids.assign_ids(pairs))
+    items = ids.of_kind(dictionary, ids.ITEM, "mid", "num_id")
+    return ids.lookup(pairs.join(items, "mid").select("num_id"), dictionary, max_rows=0)
+
+
 # --- factors and top-k -----------------------------------------------------
 
 
@@ -144,19 +158,16 @@ def top_k_probed(spark, sf_dir):
 
 @_query
 def score_pairs(spark, sf_dir):
-    """Every vector with the vector that has its label as id."""
+    """Every vector with another one."""
     vectors = b.factors(spark, sf_dir)
-    pairs = vectors.select(F.col("id").alias("user"), F.col("cluster").cast("bigint").alias("item"))
-    return _rounded(topk.score_pairs(pairs, vectors, vectors), "score", 4)
+    return _rounded(topk.score_pairs(b.vector_pairs(spark, sf_dir), vectors, vectors), "score", 4)
 
 
 @_query
 def squared_error(spark, sf_dir):
     """Labels as ratings against the scores of the same pairs."""
     vectors = b.factors(spark, sf_dir)
-    held_out = vectors.select(
-        F.col("id").alias("user"), F.col("cluster").cast("bigint").alias("item"), F.col("cluster").alias("rating")
-    )
+    held_out = b.vector_pairs(spark, sf_dir)
     predicted = topk.score_pairs(held_out, vectors, vectors).withColumnRenamed("score", "prediction")
     return _rounded(factors.squared_error(held_out, predicted), "mse", 6)
 
@@ -318,6 +329,16 @@ def merge_state_counters(spark, sf_dir):
     return state.merge_state_counters(b.new_lists(spark, sf_dir), b.base_state(spark, sf_dir))
 
 
+@_query
+def merge_state_rejects(spark, sf_dir):
+    return state.merge_state_rejects(b.new_lists(spark, sf_dir), b.spoilt_state(spark, sf_dir))
+
+
+@_query
+def merge_state_spoilt_counters(spark, sf_dir):
+    return state.merge_state_counters(b.new_lists(spark, sf_dir), b.spoilt_state(spark, sf_dir))
+
+
 @_query
 def export_kv_plan(spark, sf_dir):
     return state.export_plan(b.exported_state(spark, sf_dir))

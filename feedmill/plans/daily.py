@@ -5,24 +5,28 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedmill.operators.candidates import enrich_rows, items_json, unseen_rows
-from feedmill.operators.factors import Settings, train
+from feedmill.operators.factors import Settings, fit_clusters, shard_by_cluster, train
 from feedmill.operators.ids import assign_dense_ids, decode_rows, encode_ratings
 from feedmill.operators.popularity import good_items, item_action_counts
 from feedmill.operators.quality import require_rows
 from feedmill.operators.scoring import user_item_score
-from feedmill.operators.state import TTL_DAYS, export_kv, merge_state
+from feedmill.operators.state import TTL_DAYS, aged, export_kv, merge_state
 from feedmill.operators.topk import Probe, recommend_top_k
 from feedmill.schemas import STATE
-from feedmill.session import materialise
+from feedmill.session import materialise, scratch
 from feedmill.sources.readers import item_meta_of, last_days
 from feedmill.sources.writers import replace_day
 
 
+class NoBase(ValueError):
+    """There is no earlier candidate table, and nobody said that this is the first run."""
+
+
 _STORED = T.StructType(STATE.fields + [T.StructField("dt", T.StringType())])
 
 
@@ -41,6 +45,7 @@ class DailySettings:
     seen_days: int = 30
     export_parts: int = 8
     probe: Probe | None = None
+    probe_clusters: int = 100
     factorisation: Settings = field(default_factory=Settings)
 
 
@@ -58,9 +63,16 @@ def todays_lists(
     ids = materialise(assign_dense_ids(scores))
     require_rows(ids.where(F.col("kind") == "uid"), s.min_users)
     model = train(encode_ratings(scores, ids), s.factorisation)
-    recs = recommend_top_k(model.userFactors, model.itemFactors, s.k, s.probe)
+    users, items = model.userFactors, model.itemFactors
+    if s.probe is not None:
+        # Users go to the clusters of the items, so that both sides speak of the same ones.
+        clusters = fit_clusters(items, s.probe_clusters)
+        users, items = (
+            materialise(shard_by_cluster(f, clusters).withColumnRenamed("shard", "cluster")) for f in (users, items)
+        )
+    recs = recommend_top_k(users, items, s.k, s.probe)
     candidates = materialise(decode_rows(recs, ids))
-    return enrich_rows(unseen_rows(candidates, history), meta, s.cap)
+    return enrich_rows(unseen_rows(candidates, history, offered=good), meta, s.cap)
 
 
 def todays_state(
@@ -69,11 +81,21 @@ def todays_state(
     meta: DataFrame,
     base: DataFrame,
     s: DailySettings = DailySettings(),
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Candidate table of the day: today's lists over yesterday's table."""
     lists = todays_lists(behaviour, history, meta, s)
     new = materialise(lists.select("uid", items_json(F.col("items")).alias("list")))
-    return merge_state(new, base, s.ttl)
+    return merge_state(new, base, s.ttl, observation)
+
+
+def newest_base(stored: DataFrame, day: str) -> tuple[DataFrame, int] | None:
+    """The newest stored day before ``day``, and by how many days more than one it lies back."""
+    newest = stored.where(F.col("dt") < day).agg(F.max("dt")).first()[0]
+    if newest is None:
+        return None
+    gap = (dt.datetime.strptime(day, "%Y%m%d") - dt.datetime.strptime(newest, "%Y%m%d")).days
+    return stored.where(F.col("dt") == newest).drop("dt"), gap - 1
 
 
 def run_day(
@@ -83,23 +105,32 @@ def run_day(
     state_path: str,
     export_path: str,
     s: DailySettings = DailySettings(),
-) -> None:
-    """Compute, store and export the candidate table of ``day`` (yyyyMMdd).
+    first_run: bool = False,
+) -> dict[str, int]:
+    """Compute, store and export the candidate table of ``day`` (yyyyMMdd); gives the merge's counters.
 
     ``log`` and ``meta`` are partitioned by ``dt``; the table at ``state_path``
-    holds one partition per day, of which yesterday's is the base and today's
-    is replaced.  Windows end the day before ``day``.
+    holds one partition per day, and today's is replaced.  The base is the
+    newest day before: with days left out, its lists age by each of them.  No
+    earlier day is an error, and so is a day without metadata; only a
+    ``first_run`` starts from an empty base.
     """
     spark = log.sparkSession
     yesterday = f"{dt.datetime.strptime(day, '%Y%m%d') - dt.timedelta(days=1):%Y%m%d}"
-    stored = spark.read.schema(_STORED).parquet(state_path)
-    state = todays_state(
-        last_days(log, day, s.score_days),
-        last_days(log, day, s.seen_days),
-        item_meta_of(meta, yesterday),
-        stored.where(F.col("dt") == yesterday).drop("dt"),
-        s,
-    )
-    replace_day(state.withColumn("dt", F.lit(day)), state_path)
+    if first_run:
+        base = spark.createDataFrame([], STATE)
+    else:
+        found = newest_base(spark.read.schema(_STORED).parquet(state_path), day)
+        if found is None:
+            raise NoBase(f"{state_path} holds no day before {day}")
+        base = aged(*found)
+    todays_meta = require_rows(item_meta_of(meta, yesterday))
+    counters = Observation("merge")
+    with scratch(spark):
+        state = todays_state(
+            last_days(log, day, s.score_days), last_days(log, day, s.seen_days), todays_meta, base, s, counters
+        )
+        replace_day(state.withColumn("dt", F.lit(day)), state_path)
     today = spark.read.schema(_STORED).parquet(state_path).where(F.col("dt") == day)
     export_kv(today, export_path, s.export_parts)
+    return dict(counters.get)

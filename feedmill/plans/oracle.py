@@ -190,7 +190,7 @@ history AS (
 _CANDIDATES = """
 candidates AS (
   SELECT CAST(c_custkey AS VARCHAR) AS uid, p AS pos,
-         CAST((c_custkey * 31 + (p % 45) * 37) % 2000 AS VARCHAR) AS mid
+         CAST((c_custkey * 31 + (p % 45) * 37) % (SELECT count(*) FROM part) AS VARCHAR) AS mid
   FROM customer CROSS JOIN range(50) AS positions(p)
 )"""
 
@@ -217,7 +217,7 @@ base AS (
 fresh AS (
   SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS uid,
          CASE WHEN o_custkey % 50 = 0 THEN NULL ELSE 'new-' || o_custkey END AS list
-  FROM orders WHERE o_orderdate >= DATE '2000-08-01'
+  FROM orders WHERE o_custkey % 4 <> 0
 ),
 merged AS (
   SELECT coalesce(f.uid, b.uid) AS uid, f.list AS new_list, b.list AS base_list, b.ttl - 1 AS left_days
@@ -340,6 +340,8 @@ FROM signals""",
 SELECT real_id, row_number() OVER (PARTITION BY kind ORDER BY real_id) - 1 AS num_id, kind FROM real_ids""",
     "encode_ratings": f'WITH {_RATINGS} SELECT "user", item, rating FROM ratings',
     "lookup": f"WITH {_PURCHASES}, {_ids('purchases')} SELECT num_id, real_id FROM ids WHERE kind = 'mid'",
+    "lookup_large": f"""WITH {_PURCHASES}, {_ids('purchases')}
+SELECT num_id, real_id FROM purchases p JOIN ids i ON i.kind = 'mid' AND i.real_id = p.mid""",
     "top_k_exact": f"""WITH {_TOP_K}
 SELECT "user", CAST(pos AS INTEGER) AS pos, item, round(score, 4) + 0.0 AS score FROM top_k""",
     "top_k_probed": f"""WITH {_ROUTES}
@@ -352,12 +354,12 @@ SELECT "user", CAST(pos AS INTEGER) AS pos, item, round(score, 4) + 0.0 AS score
 ) AS ranked WHERE pos < 10""",
     "score_pairs": f"""WITH {_VECTORS}
 SELECT u.id AS "user", i.id AS item, round(list_dot_product(u.features, i.features), 4) + 0.0 AS score
-FROM vectors u JOIN vectors i ON i.id = u.cluster""",
+FROM vectors u JOIN vectors i ON i.id = (u.id * 7 + 3) % (SELECT count(*) FROM vectors)""",
     "squared_error": f"""WITH {_VECTORS}
 SELECT count(*) AS pairs, round(avg((u.cluster - p.score) * (u.cluster - p.score)), 6) + 0.0 AS mse
 FROM vectors u JOIN (
   SELECT u.id, list_dot_product(u.features, i.features) AS score
-  FROM vectors u JOIN vectors i ON i.id = u.cluster
+  FROM vectors u JOIN vectors i ON i.id = (u.id * 7 + 3) % (SELECT count(*) FROM vectors)
 ) AS p ON p.id = u.id""",
     "shard_factors": f"WITH {_SHARDS} SELECT id, shard FROM shards",
     "shard_files": f"WITH {_SHARDS} SELECT id, shard FROM shards",
@@ -410,8 +412,26 @@ SELECT count(*) AS uid_num,
        count(*) FILTER (WHERE new_list IS NOT NULL AND base_list IS NULL) AS new_num,
        count(*) FILTER (WHERE new_list IS NOT NULL AND base_list IS NOT NULL) AS update_num,
        count(*) FILTER (WHERE new_list IS NULL AND base_list IS NOT NULL) AS decrease_num,
-       count(*) FILTER (WHERE new_list IS NULL AND base_list IS NOT NULL AND left_days <= 0) AS remove_num
+       count(*) FILTER (WHERE new_list IS NULL AND base_list IS NOT NULL AND left_days <= 0) AS remove_num,
+       count(*) FILTER (WHERE new_list IS NULL AND base_list IS NOT NULL AND left_days IS NULL) AS bad_ttl_num
 FROM merged""",
+    "merge_state_rejects": f"""WITH {_STATE}
+SELECT uid, base_list AS list FROM merged
+WHERE new_list IS NULL AND base_list IS NOT NULL AND CAST(uid AS BIGINT) % 11 = 0""",
+    "merge_state_spoilt_counters": f"""WITH {_STATE}, spoilt AS (
+  SELECT new_list, base_list, CASE WHEN CAST(uid AS BIGINT) % 11 <> 0 THEN left_days END AS left_days FROM merged
+)
+SELECT count(*) AS uid_num,
+       count(*) FILTER (WHERE new_list IS NOT NULL AND base_list IS NULL) AS new_num,
+       count(*) FILTER (WHERE new_list IS NOT NULL AND base_list IS NOT NULL) AS update_num,
+       count(*) FILTER (WHERE new_list IS NULL AND base_list IS NOT NULL) AS decrease_num,
+       count(*) FILTER (WHERE new_list IS NULL AND base_list IS NOT NULL AND left_days <= 0) AS remove_num,
+       count(*) FILTER (WHERE new_list IS NULL AND base_list IS NOT NULL AND left_days IS NULL) AS bad_ttl_num
+FROM spoilt""",
+    "id_rejects": """SELECT DISTINCT 'uid' AS kind, 'user' || o_custkey || 'x' AS real_id, 'not a number' AS cause
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_custkey % 9 = 0
+UNION ALL
+SELECT DISTINCT 'mid', CAST(l_partkey AS VARCHAR), 'short' FROM lineitem WHERE l_partkey < 1000""",
     "export_kv_plan": _export_plan(8),
     "export_kv_files": f"""WITH {_KEYED}
 SELECT CAST(key % 8 AS INTEGER) AS part, key, 'list-' || key AS payload FROM keyed""",

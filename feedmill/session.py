@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,15 +45,38 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/feedmill-{spark.sparkContext.applicationId}"
+
+
+_made = threading.local()
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end of the block, every copy that ``materialise`` made in it.
+
+    What the block computes has to be written elsewhere before it ends.
+    """
+    _made.owners = [*getattr(_made, "owners", []), []]
+    try:
+        yield
+    finally:
+        for path in _made.owners.pop():
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Everything downstream then starts from one fixed copy: a lost executor
     costs a re-read, and two branches of a plan cannot see different rows.
-    All copies of an application lie in one folder, to be removed after it.
+    All copies of an application lie in one folder; ``scratch`` removes those of a run.
     """
     spark = df.sparkSession
-    folder = f"{shared_dir(spark).rstrip('/')}/feedmill-{spark.sparkContext.applicationId}"
-    path = f"{folder}/{uuid.uuid4().hex}"
+    path = f"{_own_folder(spark)}/{uuid.uuid4().hex}"
+    if owners := getattr(_made, "owners", []):
+        owners[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

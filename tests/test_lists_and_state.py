@@ -95,6 +95,7 @@ def test_merge_state(merge_inputs):
         "update_num": 1,
         "decrease_num": 4,
         "remove_num": 2,
+        "bad_ttl_num": 0,
     }
     assert seen.get == counters
 
@@ -113,12 +114,29 @@ def test_merge_counters_balance(spark):
     assert 700 + 1200 == c.uid_num + c.update_num
 
 
+def test_merge_counts_and_gives_bad_ttls(spark):
+    new = spark.createDataFrame([("u1", "L1")], "uid string, list string")
+    base = spark.createDataFrame(
+        [("u1", "K1", None), ("u2", "K2", None), ("u3", "K3", 1), ("u4", "K4", 2), ("u5", "", None)],
+        "uid string, list string, ttl int",
+    )
+    seen = Observation("bad")
+    rows = state.merge_state(new, base, observation=seen).collect()
+    assert sorted(map(tuple, rows)) == [("u1", "L1", 30), ("u4", "K4", 1)]
+    assert seen.get["bad_ttl_num"] == 1
+    assert seen.get == state.merge_state_counters(new, base).first().asDict()
+    assert [tuple(r) for r in state.merge_state_rejects(new, base).collect()] == [("u2", "K2")]
+    assert [r.ttl for r in state.aged(base.where("ttl > 0"), 3).orderBy("uid").collect()] == [-2, -1]
+
+
 def test_merge_refuses_a_repeated_user(spark, merge_inputs):
     new, base = merge_inputs
     with pytest.raises(Exception, match=quality.REPEATED):
         state.merge_state(new.unionByName(new), base).collect()
     with pytest.raises(Exception, match=quality.REPEATED):
         state.merge_state(new, base.unionByName(base)).collect()
+    with pytest.raises(Exception, match=quality.REPEATED):
+        state.merge_state_counters(new.unionByName(new), base).collect()
 
 
 def test_export(spark, tmp_path):
@@ -213,3 +231,13 @@ def test_require_rows(spark):
     assert quality.require_rows(spark.range(5), 5).count() == 5
     with pytest.raises(quality.TooFewRows):
         quality.require_rows(spark.range(4), 5)
+
+
+def test_ids_without_a_number_are_given(spark):
+    pairs = spark.createDataFrame([("u12", "m1234"), ("9", "1234"), ("userabcd", None), ("00012", "1234")], "uid string, mid string")
+    numbered = ids.assign_ids(pairs).collect()
+    assert sorted((r.real_id, r.num_id) for r in numbered) == [("00012", 10120), ("1234", 12340), ("m1234", 12341)]
+    rejected = sorted((r.kind, r.real_id or "", r.cause) for r in ids.id_rejects(pairs).collect())
+    assert rejected == [
+        ("mid", "", "short"), ("uid", "9", "short"), ("uid", "u12", "short"), ("uid", "userabcd", "not a number"),
+    ]

@@ -5,9 +5,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as driver
 from feedmill.operators import joins, logstats, popularity, scoring, state
 from feedmill.plans import bindings as b
+from feedmill.plans import catalog, oracle
 from feedmill.sources.readers import item_meta_of
 from feedmill.sources.writers import save_state_day
 
@@ -15,7 +15,7 @@ SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="sample tables are not here")
 
 COLUMN_QUERIES = sorted(
-    set(driver.oracle_sql())
+    set(oracle.ORACLE)
     - {
         "top_k_exact",
         "top_k_blocks",
@@ -41,7 +41,7 @@ def scan_of(df, capsys):
 
 @pytest.mark.parametrize("name", COLUMN_QUERIES)
 def test_no_cross_join_and_no_python(spark, name):
-    plan = plan_of(driver.queries()[name](spark, SF_DIR))
+    plan = plan_of(catalog.registered()[name](spark, SF_DIR))
     for step in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "InPandas", "InArrow"):
         assert step not in plan, plan
 

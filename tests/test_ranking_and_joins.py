@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from feedmill.operators.joins import dimension_join, fits_broadcast
+from feedmill.operators.joins import dimension_join, fits_broadcast, hot_keys
 from feedmill.operators.ranking import global_rank, grouped_rank, top_per_key
 
 
@@ -59,6 +59,38 @@ def test_salted_join_equals_plain_join(spark, rows, how):
     assert sorted(map(tuple, shared.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
 
 
+def test_key_only_facts_are_counted(spark, rows):
+    _, df = rows
+    names = spark.createDataFrame([("hot", 1), ("g1", 2), ("g1", 3), ("none", 4)], "g string, n int")
+    for how in ("inner", "left_semi", "left_anti", "left"):
+        found = dimension_join(df.select("g"), names, ["g"], how, max_rows=0)
+        plain = df.select("g").join(names, "g", how)
+        assert found.columns == plain.columns
+        assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
+def test_only_hot_keys_are_copied(spark):
+    # One key holds 30 % of the facts; the dictionary is beyond the bound.
+    facts = spark.range(100_000).select(F.when(F.col("id") % 10 < 3, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    names = spark.range(-1, 100_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("n"))
+    assert [r.k for r in hot_keys(facts, ["k"]).collect()] == [-1]
+    joined = dimension_join(facts, names, ["k"], max_rows=0, salts=16)
+    assert joined.where("n = 2 * k").count() == 100_000
+    plan = joined._jdf.queryExecution().optimizedPlan()
+    sides = plan.collectLeaves()
+    assert sides.size() >= 2
+    # Rows of the hot key are dealt over the salts: no salt holds much more than the mean.
+    spread = facts.where("k = -1").groupBy(F.pmod(F.xxhash64("k", "v"), F.lit(16)).alias("s")).count()
+    top = spread.agg(F.max("count"), F.avg("count")).first()
+    assert top[0] < 1.5 * top[1]
+
+
+def test_arrays_are_measured_by_length(spark):
+    vectors = spark.range(10).select(F.array_repeat(F.lit(1.0), 100).alias("x"))
+    assert fits_broadcast(vectors, max_bytes=8_000)
+    assert not fits_broadcast(vectors, max_bytes=7_999)
+
+
 def test_broadcast_only_what_fits(spark):
     names = spark.range(100).withColumn("t", F.lit("x" * 100))
     assert fits_broadcast(names)
