@@ -73,7 +73,8 @@ def good_items(spark, sf_dir):
 
 
 def _scores(spark, sf_dir):
-    return scoring.user_item_score(b.behaviour(spark, sf_dir), _good(spark, sf_dir), min_items=45)
+    good = materialise(_good(spark, sf_dir))
+    return scoring.user_item_score(b.behaviour(spark, sf_dir), good, min_items=45)
 
 
 @_query
@@ -98,7 +99,7 @@ def assign_dense_ids(spark, sf_dir):
 
 def _ratings(spark, sf_dir):
     scores = materialise(_scores(spark, sf_dir))
-    return ids.encode_ratings(scores, ids.assign_ids(scores))
+    return ids.encode_ratings(scores, materialise(ids.assign_ids(scores)))
 
 
 @_query
@@ -114,7 +115,7 @@ def encode_ratings(spark, sf_dir):
 @_query
 def lookup(spark, sf_dir):
     pairs = b.purchases(spark, sf_dir)
-    dictionary = ids.assign_ids(pairs)
+    dictionary = materialise(ids.assign_ids(pairs))
     numbers = dictionary.where(F.col("kind") == ids.ITEM).select("num_id")
     return ids.lookup(numbers, dictionary)
 
