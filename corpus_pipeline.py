@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedmill.llm import decontaminate, jaccard, linededup, mixing, quality
-from feedmill.session import materialise
+from feedmill.session import materialise, scratch
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,8 +59,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of a folder, each written and read again."""
+    """All stages over the documents of a folder, each written and read again; what a stage wrote besides is removed."""
     docs = _table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir))
+        with scratch(spark):
+            docs = materialise(stage(spark, docs, sf_dir), outlive=1)
     return docs
