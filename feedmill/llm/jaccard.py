@@ -35,6 +35,9 @@ DIMENSIONS = 128
 BLOCK_GROUPS = 64
 LEAF = 512
 BOX = 16
+#: Blocks of at most so many documents are compared many at a time.
+FEW = 24
+STEP_PAIRS = 200_000
 BAND_GROWTH = 1.5
 #: Similarity whose cells the first round takes.
 CLOSE_PERCENT = 95
@@ -245,6 +248,53 @@ def spanning_pairs(
     return out
 
 
+def few_pairs(held: dict, cuts: np.ndarray, percent: int, spanning: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate pairs (rows of ``held``) of all blocks with ``FEW`` documents or fewer.
+
+    Those that pass the bound, of other labels and, in a block of two leaves, of other leaves; in the spanning
+    round a forest of them, smallest distance first.
+    """
+    n, label, leaf, point = (held[c] for c in ("n", "label", "leaf", "point"))
+    sizes, starts = np.diff(cuts), cuts[:-1]
+    mixed = np.maximum.reduceat(leaf, starts) != np.minimum.reduceat(leaf, starts)
+    found = []
+    for k in range(2, FEW + 1):
+        own = np.flatnonzero(sizes == k)
+        one, two = np.triu_indices(k, 1)
+        step = max(1, STEP_PAIRS // len(one))
+        for at in range(0, len(own), step):
+            blocks = own[at : at + step]
+            a, b = (starts[blocks][:, None] + one).ravel(), (starts[blocks][:, None] + two).ravel()
+            block = np.repeat(blocks, len(one))
+            open_pairs = (label[a] != label[b]) & ((leaf[a] != leaf[b]) | ~mixed[block])
+            open_pairs &= np.minimum(n[a], n[b]) * 100 >= np.maximum(n[a], n[b]) * percent
+            a, b, block = a[open_pairs], b[open_pairs], block[open_pairs]
+            bound = np.minimum(point[a], point[b]).sum(1, dtype=np.int64)
+            fits = bound * (100 + percent) >= percent * (n[a] + n[b])
+            found.append((block[fits], n[a][fits] + n[b][fits] - 2 * bound[fits], a[fits], b[fits]))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    block, distance, a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+    if not spanning:
+        return a, b
+    order = np.lexsort((b, a, distance, block))
+    chosen, root, last = [], {}, -1
+
+    def top(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for k in order.tolist():
+        if block[k] != last:
+            root, last = {}, block[k]
+        x, y = top(int(label[a[k]])), top(int(label[b[k]]))
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            chosen.append(k)
+    return a[chosen], b[chosen]
+
+
 def _pair_rows(percent: int, spanning: bool):
     """Candidate pairs of each block; the rows of a block come one after the other."""
 
@@ -278,15 +328,16 @@ def _pair_rows(percent: int, spanning: bool):
                 continue
             block = held["block"][:stop]
             cuts = np.concatenate(([0], np.flatnonzero(block[1:] != block[:-1]) + 1, [stop]))
-            a, b = [], []
+            few = few_pairs({c: v[:stop] for c, v in held.items()}, cuts, percent, spanning)
+            x, y = (held["rid"][k] for k in few)
+            a, b = [np.minimum(x, y)], [np.maximum(x, y)]
             for low, high in zip(cuts, cuts[1:], strict=False):
-                if high - low > 1:
+                if high - low > FEW:
                     x, y = of_block(*(held[c][low:high] for c in ("rid", "n", "point", "leaf", "label")))
                     a.append(np.minimum(x, y))
                     b.append(np.maximum(x, y))
             held = {c: v[stop:] for c, v in held.items()}
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
     return rows
 
@@ -298,8 +349,8 @@ def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | No
     yield None
 
 
-def _candidates(members: DataFrame, percent: int, spanning: bool) -> DataFrame:
-    blocks = members.select("block", "rid", "n", "point", "leaf", "label")
+def _candidates(members: DataFrame, points: DataFrame, percent: int, spanning: bool) -> DataFrame:
+    blocks = members.join(_small(points), "rid").select("block", "rid", "n", "point", "leaf", "label")
     grouped = blocks.repartition("block").sortWithinPartitions("block", "rid")
     return grouped.mapInArrow(_pair_rows(percent, spanning), "a long, b long").distinct()
 
@@ -325,11 +376,11 @@ def linked_classes(documents: DataFrame, signed: DataFrame, width: int, percent:
         signed.where("n > 0").groupBy(*KEYS).agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("rid"))
     )
     heads = signed.join(_small(classes.select("rid")), F.col("row") == F.col("rid"))
-    links, labels = None, None
+    points, links, labels = heads.select("rid", "n", "point"), None, None
     for level in ("close", "cells"):
-        members = _members(heads.select("rid", F.col(level).alias("cells")), heads.select("rid", "n", "point"), labels)
+        members = _members(heads.select("rid", F.col(level).alias("cells")), labels)
         block = F.xxhash64("cell", "leaf").alias("block")
-        tried = materialise(_candidates(members.select("*", block), percent, spanning=True))
+        tried = materialise(_candidates(members.select("*", block), points, percent, spanning=True))
         found = materialise(_verified(tried, _sets_of(tried, documents, classes, width), percent))
         links = found if links is None else links.unionByName(found)
         labels = components(links)
@@ -341,7 +392,7 @@ def linked_classes(documents: DataFrame, signed: DataFrame, width: int, percent:
     other = F.explode(F.sequence(F.lit(0), F.col("leaves") - 1)).alias("other")
     again = named.join(mixed.select("cell"), "cell").select("*", other)
     block = F.xxhash64("cell", F.least("leaf", "other"), F.greatest("leaf", "other")).alias("block")
-    rest = _candidates(again.select("*", block), percent, spanning=False).join(tried, ["a", "b"], "left_anti")
+    rest = _candidates(again.select("*", block), points, percent, spanning=False).join(tried, ["a", "b"], "left_anti")
     rest = materialise(rest)
     links = links.unionByName(materialise(_verified(rest, _sets_of(rest, documents, classes, width), percent)))
     labels = components(links)
@@ -349,8 +400,8 @@ def linked_classes(documents: DataFrame, signed: DataFrame, width: int, percent:
     return named.select(*KEYS, "doc_id", F.coalesce("label", "rid").alias("label"))
 
 
-def _members(cells: DataFrame, points: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """(cell, leaves, rid, label, n, point, leaf) of every cell with documents that are not connected yet."""
+def _members(cells: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """(cell, leaves, rid, label, leaf) of every cell with documents that are not connected yet."""
     if labels is None:
         named = cells.withColumn("label", F.col("rid"))
     else:
@@ -366,7 +417,7 @@ def _members(cells: DataFrame, points: DataFrame, labels: DataFrame | None) -> D
     leaves = F.ceil(F.col("m") / LEAF).cast("int")
     members = in_cells.join(_small(materialise(shared.select("cell", leaves.alias("leaves")))), "cell")
     leaf = F.pmod(F.xxhash64("rid", "cell"), F.col("leaves")).cast("int")
-    return materialise(members.join(points, "rid").select("cell", "leaves", "rid", "label", "n", "point", leaf.alias("leaf")))
+    return materialise(members.select("cell", "leaves", "rid", "label", leaf.alias("leaf")))
 
 
 def similar(documents: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:

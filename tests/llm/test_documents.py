@@ -250,9 +250,10 @@ def near_copies(rng, n=160):
     return texts
 
 
-@pytest.mark.parametrize(("width", "percent", "leaf"), [(3, 90, 512), (5, 80, 4), (2, 60, 16)])
-def test_similar(spark, monkeypatch, width, percent, leaf):
+@pytest.mark.parametrize(("width", "percent", "leaf", "few"), [(3, 90, 512, 3), (5, 80, 4, 2), (2, 60, 16, 24)])
+def test_similar(spark, monkeypatch, width, percent, leaf, few):
     monkeypatch.setattr(jaccard, "LEAF", leaf)
+    monkeypatch.setattr(jaccard, "FEW", few)
     texts = near_copies(random.Random(percent))
     sets, group = groups_by_hand(texts, width, percent)
     lowest = {}
