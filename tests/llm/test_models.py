@@ -264,3 +264,16 @@ def test_held_out_score_gains_from_all_windows(spark):
     tokens, score, base = (sum(r[c] for r in found) for c in ("n_tokens", "score", "base_score"))
     # With one window of forty and a start sample the score was 0.99 below the base.
     assert (score - base) / tokens > -0.9
+
+
+def test_lessons_do_not_depend_on_chunks(spark, monkeypatch):
+    rows = [(k * k * 7 - 50, " ".join(f"w{(k * j) % 37}" for j in range(k % 90))) for k in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    large = lmscore.coded(docs.coalesce(1))
+    v = lmscore.vocabulary(large)
+    expected = lessons_of(large, v, 4)
+    monkeypatch.setattr(lmscore, "CHUNK_WORDS", 60)
+    small = lmscore.coded(docs.repartition(12))
+    assert small.count() > 5 * large.count()
+    assert lessons_of(small, v, 4) == expected
+    assert min(map(len, expected)) > 0.15 * sum(map(len, expected))
