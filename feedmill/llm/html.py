@@ -46,6 +46,10 @@ _NOISE = re.compile(
     r"|recommend\w*|newsletter|subscribe|signup|login|search|widget|toolbar|contentinfo|complementary|navigation)(?:$|[\s_-])",
     re.I,
 )
+# Compounds that say whether a page has such a part, on its wrapper: has-sidebar, no-sidebar, with-ads.
+_ABOUT = re.compile(r"(?<!\S)(?:\S*[_-])?(?:has|have|no|with|without)[_-]\S*", re.I)
+#: Share of a page's words from which a frame marked as noise is the page's wrapper.
+WRAPPER = 0.8
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
     r"|</?[A-Za-z][^>]*(?:>|\Z)|</[^>]*(?:>|\Z)",
@@ -63,17 +67,71 @@ class Token(NamedTuple):
     inside: bool  # of an article or main element
 
 
-def tokens(page: str) -> Iterator[Token]:
+def _count(text: str) -> int:
+    return len(text.split())
+
+
+class _Frame(NamedTuple):
+    name: str
+    out: bool  # left out here
+    inside: bool  # of the article
+    hard: bool  # left out by element or hidden, so never a wrapper
+    marked: tuple[int, ...]  # numbers of the open frames that are marked as noise
+    article: int  # number of an article or main element below a marked frame, or -1
+
+
+class _Held:
+    """Words of a page: in all, of articles outside marked frames, of each marked frame and each article below one."""
+
+    def __init__(self) -> None:
+        self.all, self.articles, self.marked, self.below = 0, 0, Counter(), Counter()
+
+    def add(self, frame: _Frame, n: int) -> None:
+        if frame.hard:
+            return
+        self.all += n
+        for k in frame.marked:
+            self.marked[k] += n
+        if frame.article >= 0:
+            self.below[frame.article] += n
+        elif frame.inside and not frame.marked:
+            self.articles += n
+
+    def lifted(self) -> set[int]:
+        """Frames to keep: articles below marked frames if they hold more than those outside; without any article
+        the marked frames around most of the page."""
+        if sum(self.below.values()) > self.articles:
+            return set(self.below)
+        if self.articles:
+            return set()
+        return {k for k, n in self.marked.items() if n and n >= WRAPPER * self.all}
+
+
+def tokens(page: str) -> list[Token]:
     """Tags and text runs of a page in order; text of scripts and styles is left out."""
-    open_frames: list[tuple[str, bool, bool]] = []  # name, left out here, inside the article
-    at, block, own = 0, 0, "body"
+    held = _Held()
+    found = list(_tokens(page, set(), held))
+    lifted = held.lifted()
+    return list(_tokens(page, lifted, _Held())) if lifted else found
+
+
+def _is_marked(name: str, attributes: str) -> bool:
+    if name == "form":
+        return True
+    return any(_NOISE.search(_ABOUT.sub("", x.strip("\"'"))) for x in _ROLE.findall(attributes))
+
+
+def _tokens(page: str, lifted: set[int], held: _Held) -> Iterator[Token]:
+    open_frames = [_Frame("", False, False, False, (), -1)]
+    at, block, own, number = 0, 0, "body", 0
     while at < len(page):
         m = _MARKUP.search(page, at)
         stop = m.start() if m else len(page)
-        out, inside = open_frames[-1][1:] if open_frames else (False, False)
+        top = open_frames[-1]
         if stop > at:
-            kind = f"word:out:{own}" if out else f"word:{own}"
-            yield Token(kind, page[at:stop], block, not out, inside)
+            text = page[at:stop]
+            held.add(top, _count(text))
+            yield Token(f"word:out:{own}" if top.out else f"word:{own}", text, block, not top.out, top.inside)
         if not m:
             return
         at = m.end()
@@ -84,24 +142,28 @@ def tokens(page: str) -> Iterator[Token]:
         if name not in _INLINE:
             block += 1
             own = ("body" if closing else name) if name in _KNOWN and name not in _VOID else own
-        yield Token(f"tag:{name if name in _KNOWN else 'other'}", "", block, False, inside)
+        yield Token(f"tag:{name if name in _KNOWN else 'other'}", "", block, False, top.inside)
         if name in _FRAMES:
             if not closing:
-                noise = name in _LEFT_OUT or bool(_HIDDEN.search(m[3]))
-                noise = noise or (name not in ("html", "body", *_ARTICLE) and any(_NOISE.search(x.strip("\"'")) for x in _ROLE.findall(m[3])))
-                open_frames.append((name, out or noise, (inside or name in _ARTICLE) and not noise))
-            elif any(x[0] == name for x in open_frames):
-                while open_frames.pop()[0] != name:
+                number += 1
+                hard = top.hard or (name in _LEFT_OUT and name != "form") or bool(_HIDDEN.search(m[3]))
+                marked = name not in ("html", "body") and _is_marked(name, m[3])
+                noise = marked and name not in _ARTICLE and number not in lifted
+                below = name in _ARTICLE and bool(top.marked) and not marked and top.article < 0
+                out = hard or noise or (top.out and number not in lifted)
+                inside = (top.inside or name in _ARTICLE) and not hard and not noise
+                frames, article = top.marked, number if below else top.article
+                if marked and name not in _ARTICLE:
+                    frames, article = (*top.marked, number), -1
+                open_frames.append(_Frame(name, out, inside, hard, frames, article))
+            elif any(x.name == name for x in open_frames):
+                while open_frames.pop().name != name:
                     pass
         elif name in _RAW and not closing:
             end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
             at = end.end() if end else len(page)
 
 
-def _count(text: str) -> int:
-    return len(text.split())
-
-
 #: Weights of kinds not seen on a labelled page.  Words of parts that are left out cost no more than this,
 #: so that an advert between two paragraphs does not cut an article.
 WORD_IN, WORD_OUT, TAG = 1.0, -0.5, -0.5
@@ -138,7 +200,7 @@ def best_run(scores: list[float]) -> tuple[int, int]:
 
 def main_text(page: str, weights: dict[str, float]) -> str:
     """Text of the best run: references decoded, white space in a block made one space, blocks joined by one."""
-    parts = list(tokens(page))
+    parts = tokens(page)
     scores = []
     for t in parts:
         if t.text:

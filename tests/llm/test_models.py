@@ -117,6 +117,28 @@ def test_main_text(weights):
     assert html.main_text("<p>1 < 2 and <3</p>", weights) == "1 < 2 and <3"
 
 
+WRAPPED = [
+    "<div class='has-sidebar'>%s</div>", '<div class="layout no-sidebar">%s</div>', "<div id=page-with-ads>%s</div>",
+    "<form action=x>%s</form>", "<section class='sidebar'>%s</section>", "<form><div class='header'>%s</div></form>",
+]
+
+
+@pytest.mark.parametrize("wrapper", WRAPPED)
+@pytest.mark.parametrize("element", ["article", "main", "div"])
+def test_wrappers_marked_as_noise(weights, wrapper, element):
+    article = f"<{element}><h1>One title</h1><p>{'First words of it ' * 20}</p><div class='ad'>Buy it</div><p>{'Last words of it ' * 20}</p></{element}>"
+    page = f"<body><nav><a>Menu</a></nav>{wrapper % article}<footer>All</footer></body>"
+    assert html.main_text(page, weights) == f"One title {'First words of it ' * 20}{'Last words of it ' * 20}".strip()
+
+
+def test_marked_frames_beside_an_article_stay_out(weights):
+    article = f"<article><p>{'First words of it ' * 20}</p></article>"
+    teaser = "<div class='related'><article><p>Read this too</p></article></div>"
+    comments = f"<div id='comments'><p>{'A reader says so ' * 200}</p></div>"
+    assert html.main_text(f"<body>{article}{teaser}{comments}</body>", weights) == ("First words of it " * 20).strip()
+    assert html.main_text("<div class='has-x' hidden><article>Not shown</article></div>", weights) == ""
+
+
 def test_best_run_equals_enumeration():
     rng = np.random.default_rng(5)
     for _ in range(200):
