@@ -78,6 +78,20 @@ def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
+def _accounts(text: str) -> Iterator[tuple[int, int]]:
+    """Places of valid account numbers.  Capitals after one may match as its last groups, so shorter ends count too."""
+    at = 0
+    while m := _IBAN.search(text, at):
+        at = m.start() + 1
+        ends = [m.end(), *(k for k in range(m.end() - 1, m.start(), -1) if text[k] == " ")]
+        for end in ends:
+            account = text[m.start() : end].replace(" ", "")
+            if 15 <= len(account) <= 34 and mod97(account):
+                yield m.start(), end
+                at = end
+                break
+
+
 def proposals(text: str) -> Iterator[tuple[str, int, int, bool]]:
     """(kind, start, end, confirmed by a checksum) of every span that a pattern and its own test let through."""
     for start, end in _emails(text):
@@ -96,10 +110,8 @@ def proposals(text: str) -> Iterator[tuple[str, int, int, bool]]:
         if 9 <= len(_digits(m[0])) <= 15:
             phones.append((m.start(), m.end()))
             yield "phone", m.start(), m.end(), False
-    for m in _IBAN.finditer(text):
-        account = m[0].replace(" ", "")
-        if 15 <= len(account) <= 34 and mod97(account):
-            yield "iban", m.start(), m.end(), True
+    for start, end in _accounts(text):
+        yield "iban", start, end, True
     for m in _SSN.finditer(text):
         if m[0][:3] not in ("000", "666") and m[0][0] != "9" and m[0][4:6] != "00" and m[0][7:] != "0000":
             yield "ssn", m.start(), m.end(), False

@@ -198,3 +198,10 @@ def test_alignment_equals_full_matrix():
         # As many matches as the score allows with what lies between them.
         assert 0 < matched * licenses.MATCH >= best.max() > 0
         assert 0 <= start < end <= len(text)
+
+
+def test_account_before_capitals():
+    spanish, austrian = "ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201"
+    for text in (f"to {spanish} BIC ABCDEFGH", f"to {spanish} BANK OF X", f"{spanish} {austrian} EUR", f"AB12 CDEF GHIJ {austrian}"):
+        found = [text[s:e] for s, e in pii._accounts(text)]
+        assert found == [x for x in (spanish, austrian) if x in text], text
