@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmill.llm import decontaminate, html, jaccard, licenses, linededup, lmscore, mixing, pii, quality, secrets
+from feedmill.llm import (
+    collocations,
+    decontaminate,
+    divergence,
+    html,
+    jaccard,
+    licenses,
+    linededup,
+    lmscore,
+    mil,
+    mixing,
+    pii,
+    quality,
+    secrets,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -191,3 +205,70 @@ FROM d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id) GROUP BY ALL
 @_query
 def op10_lm_score(spark, sf_dir):
     return lmscore.score(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op11_quality_mil(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents")
+    return mil.classify(documents, mil.train(documents, _table(spark, sf_dir, "labels")))
+
+
+@_query
+def op12_divergence(spark, sf_dir):
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+def _f_sql(p: str, q: str) -> str:
+    return f"({p} - {q}) * ({p} - {q}) // {q}"
+
+
+ORACLE["op12_divergence"] = f"""
+WITH d AS (SELECT row_number() OVER () i, coalesce(lang, '') lang, coalesce(source, '') source,
+  regexp_extract_all({_LOWER}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') w FROM documents),
+o AS (SELECT lang, source, i, t, count(*) n FROM (SELECT lang, source, i, unnest(w) t FROM d) GROUP BY ALL),
+k AS (SELECT lang, t, CAST(sum(n) AS HUGEINT) all_n FROM o GROUP BY 1, 2 HAVING count(*) >= 3),
+c AS (SELECT lang, source, t, CAST(sum(n) AS HUGEINT) n FROM o JOIN k USING (lang, t) GROUP BY 1, 2, 3),
+v AS (SELECT lang, count(*) v, sum(all_n) all_total FROM k GROUP BY 1),
+g AS (SELECT lang, source, CAST(coalesce(total, 0) AS HUGEINT) total FROM (SELECT DISTINCT lang, source FROM d)
+  LEFT JOIN (SELECT lang, source, sum(n) total FROM c GROUP BY 1, 2) USING (lang, source)),
+p AS (SELECT g.lang, g.source, k.t, coalesce(n, 0) n, 1 + 1000000000 * (coalesce(n, 0) + 1) // (total + v) p,
+    1 + 1000000000 * (all_n + 1) // (all_total + v) q
+  FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.t = k.t),
+s AS (SELECT x.lang, x.source, y.source item, sum({_f_sql("x.p", "y.p")}) f
+  FROM p x JOIN p y ON x.lang = y.lang AND x.t = y.t AND x.source <> y.source GROUP BY 1, 2, 3),
+r AS (SELECT a.lang, a.source, 'pair' part, b.source item, CAST(coalesce(f, 0) AS BIGINT) AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL SELECT lang, source, 'term', t, CAST({_f_sql("p", "q")} AS BIGINT) FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) rank FROM r)
+WHERE part = 'pair' OR rank <= 200
+"""
+
+
+@_query
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_collocations"] = f"""
+WITH p AS (SELECT lang, i, regexp_extract_all(piece, '[^\\x20\\x09]+') w FROM (SELECT coalesce(lang, 'und') lang,
+    row_number() OVER () i, unnest(regexp_extract_all({_LOWER}, '[^.,;:!?\\x0A-\\x0D]+')) piece FROM documents)),
+t AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) n FROM p GROUP BY 1),
+g AS (SELECT lang, phrase, m, CAST(count(*) AS HUGEINT) a FROM (SELECT lang, m, array_to_string(w[j : j + m - 1], ' ') phrase
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) j FROM p, (SELECT unnest(range(1, 6)) m) WHERE len(w) >= m))
+  GROUP BY 1, 2, 3 HAVING count(*) >= 100),
+s AS (SELECT lang, phrase, m, a, string_split(phrase, ' ') w FROM g WHERE m > 1),
+inner_parts AS (SELECT lang, a, array_to_string(w[j : j + k - 1], ' ') phrase FROM (SELECT lang, w, a, k,
+  unnest(range(1, m - k + 2)) j FROM s, (SELECT unnest(range(2, 5)) k) WHERE k < m)),
+kept AS (SELECT s.* FROM s LEFT JOIN (SELECT lang, phrase, max(a) b FROM inner_parts GROUP BY 1, 2) x USING (lang, phrase)
+  WHERE b IS NULL OR 100 * b < 100 * s.a),
+cuts AS (SELECT lang, phrase, a, k, array_to_string(w[1 : k], ' ') x, array_to_string(w[k + 1 : m], ' ') y
+  FROM (SELECT *, unnest(range(1, m)) k FROM kept)),
+scored AS (SELECT c.lang, c.phrase, c.a, k, x.a l, y.a r, n, 1000 * c.a * n // (x.a * y.a) score FROM cuts c
+  JOIN g x ON x.lang = c.lang AND x.phrase = c.x JOIN g y ON y.lang = c.lang AND y.phrase = c.y JOIN t ON t.lang = c.lang),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) o FROM scored) WHERE o = 1)
+SELECT lang, CAST(rank AS BIGINT) rank, phrase, CAST(a AS BIGINT) a, CAST(l AS BIGINT) l, CAST(r AS BIGINT) r,
+  CAST(n AS BIGINT) n, CAST(score AS BIGINT) score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) rank FROM best) WHERE rank <= 2000
+"""
