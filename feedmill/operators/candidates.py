@@ -6,11 +6,12 @@ of steps stays with rows and builds its lists once, at the end.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from feedmill.functions.lists import in_order
 from feedmill.operators.joins import dimension_join, restrict
+from feedmill.operators.quality import counted
 
 ITEM_TYPE = "mid"
 
@@ -25,8 +26,13 @@ def row_lists(rows: DataFrame) -> DataFrame:
     return rows.groupBy("uid").agg(F.array_distinct(in_order("pos", "mid")).alias("mids"))
 
 
-def unseen_rows(rows: DataFrame, history: DataFrame, offered: DataFrame | None = None) -> DataFrame:
-    """Candidate rows whose (uid, mid) is not in the history.
+def unseen_rows(
+    rows: DataFrame,
+    history: DataFrame,
+    offered: DataFrame | None = None,
+    observation: Observation | None = None,
+) -> DataFrame:
+    """Candidate rows whose (uid, mid) is not in the history.  An observation counts kept and removed ones.
 
     History of items that nobody is offered is dropped before it is shuffled;
     ``offered`` (mid) may name them, or more, where they are known already.
@@ -35,7 +41,12 @@ def unseen_rows(rows: DataFrame, history: DataFrame, offered: DataFrame | None =
     """
     offered = rows.select("mid") if offered is None else offered.select("mid")
     seen = restrict(history.select("uid", "mid"), offered.distinct(), ["mid"]).distinct()
-    return rows.join(seen, ["uid", "mid"], "left_anti").select("uid", "pos", "mid")
+    if observation is None:
+        return rows.join(seen, ["uid", "mid"], "left_anti").select("uid", "pos", "mid")
+    flagged = rows.join(seen.withColumn("_seen", F.lit(True)), ["uid", "mid"], "left")
+    unseen = F.col("_seen").isNull()
+    flagged = counted(flagged, observation, {"kept": unseen, "removed": ~unseen})
+    return flagged.where(unseen).select("uid", "pos", "mid")
 
 
 def remove_seen(candidates: DataFrame, history: DataFrame) -> DataFrame:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from feedmill.functions.lists import in_order
 from feedmill.operators.joins import MAX_BROADCAST_ROWS, dimension_join
+from feedmill.operators.quality import counted
 from feedmill.operators.ranking import global_rank, grouped_rank
 
 USER, ITEM = "uid", "mid"
+SHORT, NO_NUMBER = "short", "not a number"
 
 
 def id_bucket(real_id: Column) -> Column:
@@ -35,16 +37,20 @@ def distinct_ids(scores: DataFrame) -> DataFrame:
 def _bucketed(scores: DataFrame) -> DataFrame:
     """(kind, real_id, bucket, cause): cause is NULL where the bucket gives a number."""
     bucket = id_bucket(F.col("real_id"))
-    cause = F.when(bucket.isNull(), "short").when(~bucket.rlike("^[0-9]{4}$"), "not a number")
+    cause = F.when(bucket.isNull(), SHORT).when(~bucket.rlike("^[0-9]{4}$"), NO_NUMBER)
     return distinct_ids(scores).select("kind", "real_id", bucket.alias("bucket"), cause.alias("cause"))
 
 
-def assign_ids(scores: DataFrame) -> DataFrame:
+def assign_ids(scores: DataFrame, observation: Observation | None = None) -> DataFrame:
     """Bucket text followed by the ordinal in the bucket, users and items apart.
 
-    Ids that give no number are left out here and given by ``id_rejects``.
+    Ids that give no number are left out here and given by ``id_rejects``; an observation counts them on the way.
     """
-    ids = _bucketed(scores).where(F.col("cause").isNull()).drop("cause")
+    ids = _bucketed(scores)
+    if observation is not None:
+        conditions = {"ids": F.lit(True), "short_ids": F.col("cause") == SHORT, "no_number_ids": F.col("cause") == NO_NUMBER}
+        ids = counted(ids, observation, conditions)
+    ids = ids.where(F.col("cause").isNull()).drop("cause")
     ranked = grouped_rank(ids, ["kind", "bucket"], [F.col("real_id")], "ordinal")
     number = F.concat("bucket", F.col("ordinal").cast("string")).cast("bigint")
     return ranked.select("real_id", number.alias("num_id"), "kind")
@@ -91,17 +97,21 @@ def decode_triples(triples: DataFrame, ids: DataFrame) -> DataFrame:
     return items.join(of_kind(ids, USER, "uid", "user"), "user").select("uid", "mid", "score")
 
 
-def decode_rows(recs: DataFrame, ids: DataFrame) -> DataFrame:
+def decode_rows(recs: DataFrame, ids: DataFrame, observation: Observation | None = None) -> DataFrame:
     """(user, items array<struct<item, score>>) -> (uid, pos, mid).
 
-    Items without a real id are left out; ``missing_items`` counts them.
+    Items without a real id are left out; ``missing_items`` counts them, and an observation does so on the way.
     """
     entries = recs.join(of_kind(ids, USER, "uid", "user"), "user").select(
         "uid", F.posexplode("items").alias("pos", "entry")
     )
     numbered = entries.select("uid", "pos", F.col("entry.item").alias("item"))
-    named = dimension_join(numbered, of_kind(ids, ITEM, "mid", "item"), ["item"])
-    return named.select("uid", "pos", "mid")
+    names = of_kind(ids, ITEM, "mid", "item")
+    if observation is None:
+        return dimension_join(numbered, names, ["item"]).select("uid", "pos", "mid")
+    named = dimension_join(numbered, names, ["item"], "left")
+    named = counted(named, observation, {"entries": F.lit(True), "missing": F.col("mid").isNull()})
+    return named.where(F.col("mid").isNotNull()).select("uid", "pos", "mid")
 
 
 def decode_recommendations(recs: DataFrame, ids: DataFrame) -> DataFrame:

@@ -235,11 +235,12 @@ def author_exposure(exposure: DataFrame) -> DataFrame:
     )
     parts = F.split(F.trim("item"), r"\|")
     pairs = shown.select(F.get(parts, F.lit(0)).alias("mid"), F.get(parts, F.lit(1)).alias("author"))
-    return (
-        pairs.where(filled(F.col("author")))
-        .groupBy("author")
-        .agg(F.count_distinct("mid").alias("n"))
-    )
+    return items_per_author(pairs.where(filled(F.col("author"))))
+
+
+def items_per_author(items: DataFrame) -> DataFrame:
+    """(mid, author) -> distinct items per author."""
+    return items.groupBy("author").agg(F.count_distinct("mid").alias("n"))
 
 
 # --- feed depth and traffic source ----------------------------------------
@@ -277,15 +278,19 @@ def depth_plays(log: DataFrame, exclude_clients: Iterable[str] = ()) -> DataFram
 
 
 def depth_report(log: DataFrame, exclude_clients: Iterable[str] = ()) -> DataFrame:
-    """(tail, depth, pv, uv, duration, class): long plays and all plays.
+    """(tail, depth, pv, uv, duration, class): long plays and all plays."""
+    return depth_totals(depth_plays(log, exclude_clients))
+
+
+def depth_totals(plays: DataFrame) -> DataFrame:
+    """The report from ``depth_plays``.
 
     Users are collapsed first, so a distinct user count is a plain count and
     a popular position is spread over its users.
     """
     long_play = F.col("duration") > g.LONG_PLAY_MS
     per_user = (
-        depth_plays(log, exclude_clients)
-        .groupBy("tail", "depth", "uid")
+        plays.groupBy("tail", "depth", "uid")
         .agg(
             F.count_if(long_play).alias("long_pv"),
             F.sum(F.when(long_play, F.col("duration")).otherwise(0)).alias("long_ms"),
@@ -349,12 +354,17 @@ def source_plays(log: DataFrame) -> DataFrame:
 
 def source_report(log: DataFrame) -> DataFrame:
     """(tail, code, index, source, less3, large3): two rows per key, also when zero."""
+    return source_totals(source_plays(log))
+
+
+def source_totals(plays_: DataFrame) -> DataFrame:
+    """The report from ``source_plays``."""
 
     def plays(source: str, long: bool) -> Column:
         is_long = F.col("long") if long else ~F.col("long")
         return F.count_if((F.col("source") == source) & is_long)
 
-    totals = source_plays(log).groupBy("tail", "code", "index").agg(
+    totals = plays_.groupBy("tail", "code", "index").agg(
         plays("vvs", False).alias("vvs_less3"),
         plays("vvs", True).alias("vvs_large3"),
         plays("find", False).alias("find_less3"),

@@ -40,6 +40,24 @@ def counted(df: DataFrame, observation: Observation, conditions: Mapping[str, Co
     return df.observe(observation, *[F.count_if(c).alias(n) for n, c in conditions.items()])
 
 
+class RunCounters:
+    """Named observations of one run, several of which may sit in one plan; read when the sinks have ended."""
+
+    def __init__(self) -> None:
+        self._held: dict[str, Observation] = {}
+
+    def watch(self, name: str) -> Observation:
+        """A new observation; its counts come from the pass that its plan runs anyway."""
+        if name in self._held:
+            raise ValueError(f"{name} is observed already")
+        self._held[name] = Observation(name)
+        return self._held[name]
+
+    def counts(self) -> dict[str, dict[str, int]]:
+        """Counts by name and condition.  It waits for plans that have not run, so ask after the last sink."""
+        return {name: dict(seen.get) for name, seen in self._held.items()}
+
+
 KEPT = "kept"
 
 

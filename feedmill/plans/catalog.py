@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedmill.functions import lists
-from feedmill.operators import candidates, factors, ids, logstats, popularity, quality, scoring
+from feedmill.operators import candidates, causes, factors, ids, logstats, popularity, quality, scoring
 from feedmill.operators import sets, state, topk
 from feedmill.plans import bindings as b
-from feedmill.plans import daily
+from feedmill.plans import daily, reports
 from feedmill.session import materialise, shared_dir
 from feedmill.sources.readers import item_meta_of, last_days, read_behaviour, read_shards
 from feedmill.sources.writers import write_by, write_tab_text
@@ -428,6 +428,40 @@ def diversion_causes(spark, sf_dir):
     return logstats.diversion_causes(b.client_log(spark, sf_dir))
 
 
+@_query
+def find_users_causes(spark, sf_dir):
+    return causes.cause_counts(b.client_log(spark, sf_dir), causes.find_users_rule())
+
+
+@_query
+def depth_causes(spark, sf_dir):
+    return causes.cause_counts(b.client_log(spark, sf_dir), causes.depth_rule())
+
+
+@_query
+def source_causes(spark, sf_dir):
+    return causes.cause_counts(b.client_log(spark, sf_dir), causes.source_rule())
+
+
+@_query
+def daily_consume_causes(spark, sf_dir):
+    return causes.cause_counts(b.client_log(spark, sf_dir), causes.daily_consume_rule())
+
+
+@_query
+def exposure_causes(spark, sf_dir):
+    return causes.exposure_causes(b.exposure(spark, sf_dir))
+
+
+@_query
+def report_run_counters(spark, sf_dir):
+    """Every report written by one run, and what each left out, counted by the passes that wrote them."""
+    path = _new_path(spark)
+    counts = reports.run_reports(b.client_log(spark, sf_dir), b.exposure(spark, sf_dir), path)
+    rows = [(report, cause, n) for report, own in counts.items() for cause, n in own.items() if n]
+    return spark.createDataFrame(rows, "report string, cause string, n long")
+
+
 @_query
 def depth_report(spark, sf_dir):
     return logstats.depth_report(b.client_log(spark, sf_dir))

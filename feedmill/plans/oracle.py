@@ -318,6 +318,44 @@ source_counts AS (
 )"""
 )
 
+# --- why records are left out ----------------------------------------------
+
+
+def _by_cause(*cases: str) -> str:
+    """(cause, n) over the log, by the first case that holds; each is ``condition name``."""
+    whens = " ".join(f"WHEN {condition} THEN '{name}'" for condition, name in (c.rsplit(" ", 1) for c in cases))
+    return f"WITH {_LOG} SELECT cause, count(*) AS n FROM (SELECT CASE {whens} ELSE 'kept' END AS cause FROM log) AS c GROUP BY cause"
+
+
+_GUESTS = ("length(uid) > 11 guest", "NOT is_play other_action")
+_PLACE = "(page - 1) * 10 + idx"
+
+_CAUSES = {
+    "find_users": _by_cause(
+        *_GUESTS, "uicode_digit <> 1 other_page", "(e // 9) % 4 = 3 other_previous", "(e // 36) % 2 = 1 other_root",
+        "two_pages two_pages", "watched < 3000 short",
+    ),
+    "depth_report": _by_cause(
+        *_GUESTS, "uicode_digit <> 2 other_page", "two_pages two_pages",
+        f"client_digit = 2 OR CASE client_digit WHEN 0 THEN page * 10 + idx ELSE {_PLACE} END = 0 zero_depth",
+    ),
+    "source_report": _by_cause(
+        *_GUESTS, "uicode_digit <> 1 other_page", "two_pages two_pages", f"{_PLACE} <> 0 AND code IS NULL no_code"
+    ),
+    "daily_consume": _by_cause(*_GUESTS, "uicode_digit <> 1 other_page", "mid IS NULL no_mid", "scene scene"),
+    "tab_consumers": _by_cause(*_GUESTS, "uicode_digit <> 2 other_page", "two_pages two_pages", "watched < 3000 short"),
+    "diversion_records": _by_cause(
+        "NOT is_play other_action", "uicode_digit = 2 other_page", "length(uid) > 11 guest",
+        "watched <= 3000 short_or_bad_duration", "scene scene", "idx >= 1 recommended", "mid IS NULL no_mid",
+    ),
+    "author_exposure": """
+SELECT cause, count(*) AS n FROM (
+  SELECT unnest(CASE WHEN left(o_orderpriority, 1) NOT IN ('1', '2') THEN ['other_type']
+                     WHEN l_linenumber = 1 THEN ['kept', 'no_author'] ELSE ['kept', 'kept'] END) AS cause
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+) AS c GROUP BY cause""",
+}
+
 # --- one query per key -----------------------------------------------------
 
 ORACLE: dict[str, str] = {
@@ -491,4 +529,14 @@ SELECT (SELECT count(*) FROM base) AS n_a, (SELECT count(*) FROM fresh) AS n_b,
        CAST(n_both AS DOUBLE) / (SELECT count(*) FROM fresh) AS rate
 FROM (SELECT count(*) AS n_both FROM base JOIN fresh ON base.uid = fresh.uid) AS pairs""",
 }
+ORACLE |= {
+    "find_users_causes": _CAUSES["find_users"],
+    "depth_causes": _CAUSES["depth_report"],
+    "source_causes": _CAUSES["source_report"],
+    "daily_consume_causes": _CAUSES["daily_consume"],
+    "exposure_causes": _CAUSES["author_exposure"],
+    "report_run_counters": " UNION ALL ".join(
+        f"SELECT '{name}' AS report, cause, n FROM ({sql}) AS x" for name, sql in _CAUSES.items()
+    ),
+}
 ORACLE["top_k_blocks"] = ORACLE["top_k_exact"]

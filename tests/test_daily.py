@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedmill import session
-from feedmill.operators.quality import TooFewRows
+from feedmill.operators.quality import RunCounters, TooFewRows
 from feedmill.operators.topk import Probe
 from feedmill.plans import bindings as b
 from feedmill.plans import catalog, daily
@@ -78,6 +78,8 @@ def test_a_day_is_stored_and_exported(spark, tmp_path):
     exported = spark.read.parquet(export_path)
     assert exported.count() == today.count()
     assert exported.where(F.col("key") % 8 != F.col("part")).count() == 0
+    # What the run left out, from its own passes.
+    assert counters["missing"] == 0 and counters["kept"] + counters["removed"] == counters["entries"] > 0
     # The copies made on the way are gone.
     own = pathlib.Path(session._own_folder(spark).removeprefix("file:"))
     before_run = set(own.iterdir())
@@ -117,3 +119,13 @@ def test_probing_in_the_chain(spark):
     probing = dataclasses.replace(SETTINGS, k=10, probe=Probe(clusters=2), probe_clusters=4)
     probed = daily.todays_lists(log, history, meta, probing)
     assert probed.where(F.size("items") > 0).count() > 0
+
+
+def test_bucketed_ids_are_counted_on_the_way(spark):
+    log, history, meta = inputs(spark)
+    counters = RunCounters()
+    settings = dataclasses.replace(SETTINGS, bucketed_ids=True)
+    daily.todays_lists(log, history, meta, settings, counters).collect()
+    found = counters.counts()
+    assert found["ids"]["ids"] > 0 and found["ids"]["short_ids"] == found["ids"]["no_number_ids"] == 0
+    assert found["seen"]["kept"] + found["seen"]["removed"] == found["decode"]["entries"] - found["decode"]["missing"]
