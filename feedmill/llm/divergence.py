@@ -1,8 +1,9 @@
 """Source divergence audit: in-mapper stripes of terms, merged by key, from which divergences come.
 
 A task folds whole documents into hash stripes: for each term of a lang its document frequency and its count by
-source.  A full table is spilled in order of its keys; the shuffle brings the stripes of a term together in order,
-where they are merged one after the other.  The merged stripes give the counts of all groups at once.
+source.  The stripes are columns keyed by the term's hash; when they outgrow their bound they are spilled.  The
+shuffle brings the stripes of a term together in order, where they are merged one after the other.  The merged
+stripes give the counts of all groups at once.
 
 A term without a count in a group has the group's least share, the same for all such terms.  So pairs of sources
 are compared on the terms that both have, and on a histogram of shares for the rest: no row is made for a zero.
@@ -10,128 +11,179 @@ are compared on the terms that both have, and on a histogram of shares for the r
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedmill.llm import textkit as tk
 from feedmill.operators.ranking import top_per_key
 from feedmill.session import materialise
 
 MIN_DOCUMENTS = 3
 TOP_TERMS = 200
 SCALE_DIGITS = 9
-#: Counts that a task holds before it spills its stripes, bytes of a text that are read at once, rows of a batch.
-STRIPE_COUNTS = 1_000_000
-PIECE_BYTES = 1 << 20
+#: Counts that a task holds before it spills its stripes, and rows of a batch.
+STRIPE_COUNTS = 1_500_000
 BATCH_ROWS = 20_000
 
-# Letters and all that is not ASCII; after lowering, over the bytes of the text.
-_TERMS = re.compile(rb"[a-z\x80-\xff]+")
-_OTHER = re.compile(rb"[^A-Za-z\x80-\xff]")
+# Letters and all that is not ASCII.
+_IN_TERM = ((tk._BYTES | 32) >= 97) & ((tk._BYTES | 32) <= 122) | (tk._BYTES >= 0x80)
 _STRIPES = "lang string, term string, documents long, sources array<string>, counts array<long>"
-
-
-def term_counts(text: bytes, piece: int = PIECE_BYTES) -> Counter[bytes]:
-    """Counts of the terms of a whole text, read in pieces that end between terms."""
-    found: Counter[bytes] = Counter()
-    begin = 0
-    while begin < len(text):
-        stop = _OTHER.search(text, begin + piece) if begin + piece < len(text) else None
-        end = stop.start() if stop else len(text)
-        # bytes.lower changes A-Z alone.
-        found.update(_TERMS.findall(text[begin:end].lower()))
-        begin = end
-    return found
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    lang, term, documents, sources, counts = zip(*rows, strict=True)
+_NAMES = ["lang", "term", "documents", "sources", "counts"]
+
+
+def _words(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The given byte ranges as strings."""
+    width = end - start
+    offsets = np.concatenate(([0], np.cumsum(width)))
+    own = data[np.arange(offsets[-1]) + np.repeat(start - offsets[:-1], width)]
+    return pa.Array.from_buffers(pa.large_string(), len(width), [None, pa.py_buffer(offsets), pa.py_buffer(own)]).cast(pa.string())
+
+
+def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(values, starts) if len(starts) else np.zeros(0, np.int64)
+
+
+def _begins(*keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin."""
+    new = np.ones(len(keys[0]), bool)
+    if len(new):
+        new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    return np.flatnonzero(new)
+
+
+class _Stripes:
+    """Counts of a task by (lang, term, source), and documents by the same, in columns; ``term`` points into ``names``."""
+
+    def __init__(self) -> None:
+        self.langs: dict[str, int] = {}
+        self.sources: dict[str, int] = {}
+        self.names: list[pa.Array] = []
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.size = self.terms = 0
+
+    def fold(self, part: pa.RecordBatch) -> None:
+        """Add the documents of a slice, texts whole.  Each counts once for the empty term of its lang."""
+        lang, source = (
+            np.array([own.setdefault(x, len(own)) for x in pc.fill_null(part.column(c), "").to_pylist()], np.int64)
+            for c, own in (("lang", self.langs), ("source", self.sources))
+        )
+        words = tk.Words(*tk.buffer_of(part.column("text")), _IN_TERM, lower=True)
+        codes, first, number = np.unique(words.hashes(), return_index=True, return_inverse=True)
+        # Once for each document that has the word, then for each group of documents.
+        pair, n = np.unique(words.doc * len(codes) + number, return_counts=True)
+        doc, word = np.divmod(pair, max(1, len(codes)))
+        self.names.append(_words(words.data, words.start[first], words.end[first]))
+        self._add(lang[doc], codes[word], source[doc], n, np.ones(len(n), np.int64), self.terms + word)
+        self.terms += len(codes)
+        none = np.zeros(part.num_rows, np.int64)
+        self.names.append(pa.array([""]))
+        self._add(lang, none.astype(np.uint64), source, none, none + 1, none + self.terms)
+        self.terms += 1
+        if self.size > STRIPE_COUNTS:
+            self._combine()
+
+    def _add(self, *columns: np.ndarray) -> None:
+        lang, code, source, n, documents, term = columns
+        order = np.lexsort((source, code, lang))
+        lang, code, source, n, documents, term = (x[order] for x in columns)
+        at = _begins(lang, code, source)
+        self.parts.append((lang[at], code[at], source[at], _sums(n, at), _sums(documents, at), term[at]))
+        self.size += len(at)
+
+    def _combine(self) -> None:
+        columns = [np.concatenate(x) for x in zip(*self.parts, strict=True)]
+        self.parts, self.size = [], 0
+        self._add(*columns)
+
+    def spilled(self) -> Iterator[pa.RecordBatch]:
+        """All stripes, which are forgotten."""
+        if not self.parts:
+            return
+        self._combine()
+        lang, code, source, n, documents, term = self.parts[0]
+        at = _begins(lang, code)
+        names = pa.chunked_array(self.names).combine_chunks()
+        held = pa.RecordBatch.from_arrays(
+            [
+                pa.array(list(self.langs), pa.string()).take(pa.array(lang[at])),
+                names.take(pa.array(term[at])),
+                pa.array(_sums(documents, at)),
+                tk.list_array(pa.array(list(self.sources), pa.string()).take(pa.array(source)), np.append(at, len(lang))),
+                tk.list_array(pa.array(n), np.append(at, len(lang))),
+            ],
+            names=_NAMES,
+        )
+        self.__init__()
+        for k in range(0, held.num_rows, BATCH_ROWS):
+            yield held.slice(k, BATCH_ROWS)
+
+
+def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stripes of a task's documents (lang, source, text).
+
+    The stripe of the empty term names the sources of the lang that occur.  Within a task words are told apart by
+    64-bit codes; what leaves it are the words.
+    """
+    held = _Stripes()
+    for part in tk.slices(batches):
+        held.fold(part)
+        if held.size > STRIPE_COUNTS // 2:
+            yield from held.spilled()
+    yield from held.spilled()
+
+
+def _merged(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """One row for each run of equal (lang, term)."""
+    lang, term, documents, sources, counts = batch.columns
+    differs = np.zeros(len(lang), bool)
+    differs[:1] = True
+    if len(lang) > 1:
+        for x in (lang, term):
+            differs[1:] |= pc.not_equal(x.slice(1), x.slice(0, len(x) - 1)).to_numpy(zero_copy_only=False)
+    at = np.flatnonzero(differs)
+    run = np.cumsum(differs) - 1
+    named = sources.flatten().dictionary_encode()
+    number, n = named.indices.to_numpy(), counts.flatten().to_numpy()
+    key = np.repeat(run, sources.value_lengths().to_numpy()) * max(1, len(named.dictionary)) + number
+    order = np.argsort(key, kind="stable")
+    key, n = key[order], n[order]
+    first = _begins(key)
+    offsets = np.searchsorted(key[first] // max(1, len(named.dictionary)), np.arange(len(at) + 1))
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(lang, pa.string()), pa.array(term, pa.binary()).cast(pa.string()), pa.array(documents, pa.int64()),
-            pa.array(sources, pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int64())),
+            lang.take(pa.array(at)), term.take(pa.array(at)), pa.array(_sums(documents.to_numpy(), at)),
+            tk.list_array(named.dictionary.take(pa.array(number[order][first])), offsets), tk.list_array(pa.array(_sums(n, first)), offsets),
         ],
-        names=["lang", "term", "documents", "sources", "counts"],
+        names=_NAMES,
     )
 
 
-def _batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
-    held = []
-    for row in rows:
-        held.append(row)
-        if len(held) >= BATCH_ROWS:
-            yield _batch(held)
-            held = []
-    if held:
-        yield _batch(held)
-
-
-def fold(batches: Iterator[pa.RecordBatch], limit: int = STRIPE_COUNTS) -> Iterator[pa.RecordBatch]:
-    """Stripes of a task's documents (lang, source, text), spilled in order of lang and term.
+def merge(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Sum stripes that come in order of lang and term; those of fewer than ``least`` documents end here.
 
-    The stripe of the empty term names the sources of the lang that occur.
+    The last stripe of a batch may go on in the next one.  It holds no more than its sources, however many
+    stripes went into it.
     """
-    stripes: dict[str, dict[bytes, dict[str | None, int]]] = {}
-    size = 0
-
-    def spilled() -> Iterator[tuple]:
-        for lang in sorted(stripes):
-            table = stripes[lang]
-            for term in sorted(table):
-                stripe = table[term]
-                # None has the document frequency.
-                documents = stripe.pop(None)
-                yield lang, term, documents, list(stripe), list(stripe.values())
-
+    open_stripe = None
     for batch in batches:
-        columns = [pc.fill_null(batch.column(c), "") for c in ("lang", "source", "text")]
-        for lang, source, text in zip(columns[0].to_pylist(), columns[1].to_pylist(), columns[2].cast(pa.binary()), strict=True):
-            table = stripes.setdefault(lang, {})
-            counts = term_counts(text.as_py())
-            counts[b""] = 0
-            for term, n in counts.items():
-                stripe = table.get(term)
-                if stripe is None:
-                    table[term] = {None: 1, source: n}
-                    size += 2
-                else:
-                    stripe[None] += 1
-                    if source in stripe:
-                        stripe[source] += n
-                    else:
-                        stripe[source] = n
-                        size += 1
-            if size > limit:
-                yield from _batches(spilled())
-                stripes, size = {}, 0
-    yield from _batches(spilled())
+        if not batch.num_rows:
+            continue
+        if open_stripe is not None:
+            batch = pa.Table.from_batches([open_stripe, batch.cast(open_stripe.schema)]).combine_chunks().to_batches()[0]
+        done = _merged(batch)
+        open_stripe = done.slice(done.num_rows - 1)
+        yield _enough(done.slice(0, done.num_rows - 1), least)
+    if open_stripe is not None:
+        yield _enough(open_stripe, least)
 
 
-def merge(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """Sum stripes that come in order of lang and term; those of fewer than ``least`` documents end here."""
-
-    def merged() -> Iterator[tuple]:
-        key, documents, stripe = None, 0, {}
-        for batch in batches:
-            columns = (batch.column(k) for k in range(5))
-            lang, term, n, sources, counts = columns
-            for row in zip(lang.to_pylist(), term.cast(pa.binary()).to_pylist(), n.to_pylist(), sources.to_pylist(), counts.to_pylist(), strict=True):
-                if row[:2] != key:
-                    if key and (documents >= least or not key[1]):
-                        yield *key, documents, list(stripe), list(stripe.values())
-                    key, documents, stripe = row[:2], 0, {}
-                documents += row[2]
-                for source, count in zip(row[3], row[4], strict=True):
-                    stripe[source] = stripe.get(source, 0) + count
-        if key and (documents >= least or not key[1]):
-            yield *key, documents, list(stripe), list(stripe.values())
-
-    return _batches(merged())
+def _enough(stripes: pa.RecordBatch, least: int) -> pa.RecordBatch:
+    return stripes.filter(pc.or_(pc.greater_equal(stripes.column("documents"), least), pc.equal(stripes.column("term"), "")))
 
 
 def stripes(documents: DataFrame, least: int = MIN_DOCUMENTS) -> DataFrame:
@@ -222,7 +274,11 @@ def _pairs(shares: DataFrame, totals: DataFrame) -> DataFrame:
     held = shares.groupBy("lang", "term").agg(F.collect_list(F.struct("source", "p", "p0")).alias("held")).where(F.size("held") > 1)
     one = held.select("lang", "held", F.inline("held"))
     item = F.inline(F.transform("held", lambda x: F.struct(x["source"].alias("item"), x["p"].alias("q"), x["p0"].alias("q0"))))
-    both = one.select("lang", "source", "p", "p0", item).where("source <> item")
-    both = both.select("lang", "source", "item", F.expr(f"{_f('p', 'q')} - {_f('p', 'q0')} - {_f('p0', 'q')} + {_f('p0', 'q0')}").alias("value"))
+    # Each two sources once, for both directions.
+    both = one.select("lang", "source", "p", "p0", item).where("source < item")
+    forth = f"{_f('p', 'q')} - {_f('p', 'q0')} - {_f('p0', 'q')} + {_f('p0', 'q0')}"
+    back = f"{_f('q', 'p')} - {_f('q', 'p0')} - {_f('q0', 'p')} + {_f('q0', 'p0')}"
+    both = both.groupBy("lang", "source", "item").agg(F.sum(F.expr(forth)).alias("forth"), F.sum(F.expr(back)).alias("back"))
+    both = both.selectExpr("lang", "stack(2, source, item, forth, item, source, back) AS (source, item, value)")
     every = base.unionByName(own).unionByName(turned).unionByName(both)
     return every.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
