@@ -14,6 +14,8 @@ from feedmill.session import materialise
 HOT_SHARE = 0.005
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 128 << 20
+#: Rows that a counted row is repeated to at once.
+RUN_ROWS = 10_000
 
 
 def _width(field: T.StructField) -> Column:
@@ -47,6 +49,37 @@ def hot_keys(facts: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> D
     return counts.where(F.col("_n") > F.lit(max(1.0, share * total))).select(*on, F.lit(True).alias("_hot"))
 
 
+def runs_of(counted: DataFrame, n: str, run: int = RUN_ROWS) -> DataFrame:
+    """The rows with their number ``n`` split into runs of at most ``run``; any 64-bit number can be split.
+
+    A row becomes blocks of ``run`` times ``run`` first, so that no array grows with the number.
+    """
+    one = F.lit(1).cast("bigint")
+
+    def cut(df: DataFrame, of: int) -> DataFrame:
+        whole = F.call_function("div", F.col(n) - 1, F.lit(of)) + 1
+        at = F.explode(F.sequence(one * 0, whole - 1)).alias("_at")
+        rows = df.where(F.col(n) > 0).select("*", at)
+        return rows.withColumn(n, F.least(F.col(n) - F.col("_at") * of, F.lit(of).cast("bigint"))).drop("_at")
+
+    return cut(cut(counted, run * run), run)
+
+
+def repeated(counted: DataFrame, n: str, run: int = RUN_ROWS) -> DataFrame:
+    """Every row as often as its number ``n`` says, without that column.
+
+    The number is split into runs and the runs are dealt over all shuffle partitions before they are repeated,
+    so a row that stands for any part of the table leaves no task with much more than its share.
+    """
+    spark = counted.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # The number of partitions is given, as runs are too few bytes for adaptive execution to leave them apart.
+    numbered = runs_of(counted, n, run).withColumn("_run", F.monotonically_increasing_id())
+    dealt = numbered.repartition(tasks, "_run")
+    rows = dealt.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(n))))
+    return rows.drop("_row", "_run", n)
+
+
 def dimension_join(
     facts: DataFrame,
     dictionary: DataFrame,
@@ -61,7 +94,7 @@ def dimension_join(
     A larger one is joined by key; only keys counted as hot are salted too, and only
     their dictionary rows are copied.  The salt is a hash of the row, so a retried task
     gives the same one.  Facts that hold nothing but the key are counted, joined once
-    and repeated.
+    and repeated, in runs dealt over all tasks.
     """
     on = list(on)
     if how not in ("inner", "left_semi", "left_anti", "left"):
@@ -70,8 +103,7 @@ def dimension_join(
         return facts.join(F.broadcast(dictionary), on, how)
     if set(facts.columns) == set(on):
         counted = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-        repeated = counted.join(dictionary, on, how).withColumn("_n", F.explode(F.sequence(F.lit(1).cast("bigint"), "_n")))
-        return repeated.drop("_n")
+        return repeated(counted.join(dictionary, on, how), "_n")
     hot = F.broadcast(hot_keys(facts, on))  # at most 1 / HOT_SHARE rows
     place = F.pmod(F.xxhash64(*facts.columns), F.lit(salts))
     marked = facts.join(hot, on, "left")

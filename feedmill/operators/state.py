@@ -31,7 +31,8 @@ def merge_state(
 
     Lists stay whole: the rows are joined on the user, never exploded.  A user
     with two rows on one side is an error.  A list that would age but has no
-    readable ttl is counted apart; ``merge_state_rejects`` gives its row.
+    readable ttl is counted apart; ``merge_state_rejects`` gives its row, and
+    ``nameless_rows`` the rows without a user, which have no place in a table by user.
     """
     rows = _merged(new, base, ttl)
     if observation is not None:
@@ -40,10 +41,14 @@ def merge_state(
 
 
 def _merged(new: DataFrame, base: DataFrame, ttl: int) -> DataFrame:
-    """(uid, fate, list, ttl) of every user of either side."""
-    today = one_row_per(new.select("uid", F.col("list").alias("new_list")), "uid")
+    """(uid, fate, list, ttl) of every user of either side.
+
+    Rows without a user are left out ahead of the window and the join, where they would all meet in one task.
+    """
+    named = F.col("uid").isNotNull()
+    today = one_row_per(new.where(named).select("uid", F.col("list").alias("new_list")), "uid")
     before = one_row_per(
-        base.select("uid", F.col("list").alias("base_list"), F.col("ttl").alias("base_ttl")), "uid"
+        base.where(named).select("uid", F.col("list").alias("base_list"), F.col("ttl").alias("base_ttl")), "uid"
     )
     joined = today.join(before, "uid", "full_outer")
     fate = _fate(F.col("new_list"), F.col("base_list"))
@@ -62,6 +67,12 @@ def merge_state_rejects(new: DataFrame, base: DataFrame) -> DataFrame:
     return _merged(new, base, TTL_DAYS).where(rejected).select("uid", "list")
 
 
+def nameless_rows(new: DataFrame, base: DataFrame) -> DataFrame:
+    """(side, list): rows of ``new`` and ``base`` that the merge leaves out as they name no user."""
+    sides = [df.where(F.col("uid").isNull()).select(F.lit(side).alias("side"), "list") for side, df in (("new", new), ("base", base))]
+    return sides[0].unionByName(sides[1])
+
+
 def aged(base: DataFrame, days: int) -> DataFrame:
     """The base as if ``days`` more days had passed; what they let expire still counts as removed in the merge."""
     return base.withColumn("ttl", (F.col("ttl") - days).cast("int")) if days else base

@@ -139,6 +139,14 @@ def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def one_sided(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(mid) of all order lines; only every tenth order keeps its own, the others name the first part."""
+    part = F.when(F.col("l_orderkey") % 10 == 0, F.col("l_partkey")).otherwise(F.col("_first"))
+    lines = table(spark, sf_dir, "lineitem")
+    first = lines.agg(F.min("l_partkey")).scalar()
+    return lines.select("*", first.alias("_first")).select(_text(20_000_000 + part * 104_729).alias("mid"))
+
+
 def _rows(spark: SparkSession, sf_dir: str, name: str) -> Column:
     """Rows of a table, as one value that the plan computes."""
     return table(spark, sf_dir, name).agg(F.count(F.lit(1))).scalar()
@@ -183,6 +191,12 @@ def spoilt_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base_state(spark, sf_dir).withColumn("ttl", F.when(c % 11 != 0, F.col("ttl")))
 
 
+def nameless_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base with no user on every thirteenth row."""
+    c = F.col("uid").cast("bigint")
+    return base_state(spark, sf_dir).withColumn("uid", F.when(c % 13 != 0, F.col("uid")))
+
+
 def odd_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(uid, mid) of all order lines, some of the ids too short or without digits at their end."""
     customer, part = F.col("o_custkey"), F.col("l_partkey")

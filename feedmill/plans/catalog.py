@@ -129,6 +129,14 @@ def lookup_large(spark, sf_dir):
     return ids.lookup(pairs.join(items, "mid").select("num_id"), dictionary, max_rows=0)
 
 
+@_query
+def lookup_hot(spark, sf_dir):
+    """Every line of every order, nine of ten of them for one item, against a dictionary that is never shared."""
+    dictionary = materialise(ids.assign_ids(b.purchases(spark, sf_dir)))
+    items = ids.of_kind(dictionary, ids.ITEM, "mid", "num_id")
+    return ids.lookup(b.one_sided(spark, sf_dir).join(items, "mid").select("num_id"), dictionary, max_rows=0)
+
+
 # --- factors and top-k -----------------------------------------------------
 
 
@@ -335,6 +343,18 @@ def merge_state_rejects(spark, sf_dir):
     return state.merge_state_rejects(b.new_lists(spark, sf_dir), b.spoilt_state(spark, sf_dir))
 
 
+@_query
+def nameless_rows(spark, sf_dir):
+    base = b.nameless_state(spark, sf_dir)
+    return state.nameless_rows(b.new_lists(spark, sf_dir), base)
+
+
+@_query
+def merge_state_nameless(spark, sf_dir):
+    """The merge over a base of which every thirteenth row names no user."""
+    return state.merge_state(b.new_lists(spark, sf_dir), b.nameless_state(spark, sf_dir))
+
+
 @_query
 def merge_state_spoilt_counters(spark, sf_dir):
     return state.merge_state_counters(b.new_lists(spark, sf_dir), b.spoilt_state(spark, sf_dir))

@@ -530,6 +530,16 @@ SELECT (SELECT count(*) FROM base) AS n_a, (SELECT count(*) FROM fresh) AS n_b,
 FROM (SELECT count(*) AS n_both FROM base JOIN fresh ON base.uid = fresh.uid) AS pairs""",
 }
 ORACLE |= {
+    "lookup_hot": f"""WITH {_PURCHASES}, {_ids('purchases')}
+SELECT num_id, real_id FROM lineitem JOIN ids i ON i.kind = 'mid' AND i.real_id = CAST(20000000 + 104729 *
+  CASE WHEN l_orderkey % 10 = 0 THEN l_partkey ELSE (SELECT min(l_partkey) FROM lineitem) END AS VARCHAR)""",
+    "nameless_rows": f"""WITH {_STATE}
+SELECT 'base' AS side, coalesce(list, '') AS list FROM base WHERE CAST(uid AS BIGINT) % 13 = 0""",
+    "merge_state_nameless": f"""WITH {_STATE}, named AS (
+  SELECT uid, new_list, CASE WHEN CAST(uid AS BIGINT) % 13 <> 0 THEN base_list END AS base_list, left_days FROM merged)
+SELECT uid, coalesce(new_list, base_list) AS list,
+       CAST(CASE WHEN new_list IS NOT NULL THEN 30 ELSE left_days END AS INTEGER) AS ttl
+FROM named WHERE new_list IS NOT NULL OR (base_list IS NOT NULL AND left_days > 0)""",
     "find_users_causes": _CAUSES["find_users"],
     "depth_causes": _CAUSES["depth_report"],
     "source_causes": _CAUSES["source_report"],

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from feedmill.operators.joins import dimension_join, fits_broadcast, hot_keys
+from feedmill.operators.joins import dimension_join, fits_broadcast, hot_keys, repeated, runs_of
 from feedmill.operators.ranking import global_rank, grouped_rank, top_per_key
 
 
@@ -69,6 +69,30 @@ def test_key_only_facts_are_counted(spark, rows):
         assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
 
 
+def test_a_key_with_most_facts_is_dealt_over_all_tasks(spark):
+    # One key has nine of ten of ten million facts that hold nothing else.
+    key = F.when(F.col("id") % 10 == 0, F.col("id") % 1000).otherwise(-1).alias("k")
+    facts = spark.range(10_000_000).select(key)
+    names = spark.range(-1, 1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("n"))
+    found = dimension_join(facts, names, ["k"], max_rows=0)
+    by_task = found.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("n") == -2).alias("hot"))
+    tasks = by_task.collect()
+    assert sum(t.rows for t in tasks) == 10_000_000 and sum(t.hot for t in tasks) == 9_000_000
+    assert len(tasks) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert max(t.rows for t in tasks) < 2 * 10_000_000 / len(tasks)
+
+
+def test_numbers_beyond_an_array_are_split(spark):
+    numbers = [0, 1, 9_999, 10_000, 10_001, 3_000_000_000, None]
+    counted = spark.createDataFrame([(k, n) for k, n in enumerate(numbers)], "k int, n long")
+    runs = runs_of(counted, "n").groupBy("k").agg(F.sum("n").alias("n"), F.max("n").alias("longest"), F.min("n").alias("least"))
+    found = {r.k: (r.n, r.longest <= 10_000, r.least > 0) for r in runs.collect()}
+    assert found == {k: (n, True, True) for k, n in enumerate(numbers) if n}
+    # Small runs, so that both levels of splitting have several parts.
+    left = sorted(tuple(r) for r in repeated(counted.where("n < 20000"), "n", run=7).groupBy("k").count().collect())
+    assert left == [(1, 1), (2, 9_999), (3, 10_000), (4, 10_001)]
+
+
 def test_only_hot_keys_are_copied(spark):
     # One key holds 30 % of the facts; the dictionary is beyond the bound.
     facts = spark.range(100_000).select(F.when(F.col("id") % 10 < 3, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
