@@ -11,6 +11,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedmill.operators.topk import top_k_by_norm
 from feedmill.session import shared_dir
 
 
@@ -57,16 +58,12 @@ def train(ratings: DataFrame, settings: Settings = Settings()) -> ALSModel:
 
 
 def recommend_for_all(model: ALSModel, k: int = 100) -> DataFrame:
-    """(user, items) by the model's own blocked scoring."""
-    entries = F.transform(
-        "recommendations",
-        lambda e: F.struct(
-            e["item"].cast("bigint").alias("item"), e["rating"].cast("double").alias("score")
-        ),
-    )
-    return model.recommendForAllUsers(k).select(
-        F.col("user").cast("bigint").alias("user"), entries.alias("items")
-    )
+    """(user, items) for every user of the model.
+
+    The lists of the model's own ``recommendForAllUsers``, up to its single precision, without crossing all blocks
+    of users with all blocks of items.
+    """
+    return top_k_by_norm(model.userFactors, model.itemFactors, k).select("user", "items")
 
 
 # --- sharding --------------------------------------------------------------

@@ -19,14 +19,14 @@ import numpy as np
 from pyspark import Broadcast, cloudpickle
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.functions.lists import in_order
 from feedmill.functions.values import dot
 from feedmill.operators import topk_kernel
 from feedmill.operators.joins import dimension_join, fits_broadcast
-from feedmill.operators.ranking import top_per_key
+from feedmill.operators.ranking import global_rank, top_per_key
 from feedmill.session import materialise
 
 cloudpickle.register_pickle_by_value(topk_kernel)
@@ -110,37 +110,27 @@ def _prepared(factors: DataFrame, probing: bool) -> DataFrame:
     )
 
 
-def _block_of(column: str, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(blocks)).cast("int")
-
-
-def _every(blocks: int) -> Column:
-    return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+def _share(items: DataFrame, by: str = "cluster") -> Broadcast:
+    """Broadcast the columns of an item table measured to fit, ordered by cluster, or by length from the longest on."""
+    ids, clusters, matrix = topk_kernel.columns(items.toArrow())
+    order = np.argsort(clusters, kind="stable") if by == "cluster" else np.lexsort((ids, -(matrix * matrix).sum(axis=1)))
+    held = {"ids": ids[order], "clusters": clusters[order], "matrix": matrix[order]}
+    return items.sparkSession.sparkContext.broadcast(held)
 
 
-def _share(items: DataFrame) -> Broadcast:
-    """Broadcast (ids, clusters, matrix) of an item table measured to fit."""
-    ids, clusters, matrix = topk_kernel.columns(items.toArrow())
-    order = np.argsort(clusters, kind="stable")
-    return items.sparkSession.sparkContext.broadcast((ids[order], clusters[order], matrix[order]))
+def _merge_lists(rows: DataFrame, k: int) -> DataFrame:
+    best = top_per_key(rows, "user", [F.col("score").desc(), F.col("item")], k, "pos")
+    return best.groupBy("user").agg(in_order("pos", "item", "score").alias("items"))
 
 
 def _by_blocks(
-    users: DataFrame,
-    items: DataFrame,
-    routes: DataFrame | None,
-    k: int,
-    per_block: int,
-    n_items: int,
-    whole_products: bool,
+    users: DataFrame, items: DataFrame, routes: DataFrame | None, k: int, per_block: int, whole_products: bool
 ) -> DataFrame:
     """Score block against block, then merge each user's lists.
 
-    Blocks are cut by a hash of the unique id, so they are equal in size
-    however the clusters are.
+    A cluster's items make one list, cut by a hash of the id into as many blocks as its size asks for; its users
+    are cut likewise, and meet the blocks of the lists that they probe and no others.
     """
-    item_blocks = max(1, math.ceil(n_items / per_block))
-    user_blocks = max(1, math.ceil(users.count() / per_block))
     if routes is not None:
         to_probe = routes.select(
             F.col("user_cluster").alias("cluster"), F.col("item_cluster").alias("target")
@@ -148,15 +138,25 @@ def _by_blocks(
         users = dimension_join(users, to_probe, ["cluster"]).select(
             "id", F.col("target").alias("cluster"), "features"
         )
-    left = users.select("*", _block_of("id", user_blocks).alias("ub"), _every(item_blocks).alias("ib"))
-    right = items.select("*", _every(user_blocks).alias("ub"), _block_of("id", item_blocks).alias("ib"))
+        users = materialise(users)
+
+    def blocks(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / per_block).cast("int").alias(name))
+
+    # One row for each list.
+    cuts = materialise(blocks(users, "ubs").join(blocks(items, "ibs"), "cluster"))
+
+    def dealt(df: DataFrame, own: str, other: str, a: str, c: str) -> DataFrame:
+        cut = dimension_join(df, cuts, ["cluster"])
+        every = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(c)
+        return cut.select("id", "cluster", "features", F.pmod(F.xxhash64("id"), F.col(own)).cast("int").alias(a), every)
+
+    left, right = dealt(users, "ubs", "ibs", "ub", "ib"), dealt(items, "ibs", "ubs", "ib", "ub")
     keys = ["cluster", "ub", "ib"]
     lists = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
         topk_kernel.block_scorer(k, whole_products), topk_kernel.LISTS
     )
-    rows = lists.select("user", F.inline("items").alias("item", "score"))
-    best = top_per_key(rows, "user", [F.col("score").desc(), F.col("item")], k, "pos")
-    return best.groupBy("user").agg(in_order("pos", "item", "score").alias("items"))
+    return _merge_lists(lists.select("user", F.inline("items").alias("item", "score")), k)
 
 
 def recommend_top_k(
@@ -180,6 +180,70 @@ def recommend_top_k(
         for row in routes.collect() if routes is not None else ():
             reach[row.user_cluster].append(row.item_cluster)
         kernel = topk_kernel.shared_scorer(_share(items), dict(reach), k, whole_products)
-        return users.mapInArrow(kernel, topk_kernel.LISTS)
+        # Each task brings its users of a cluster together; they need not move for that.
+        near = users if routes is None else users.sortWithinPartitions("cluster")
+        return near.mapInArrow(kernel, topk_kernel.LISTS)
+    per_block = max(1, block_bytes // row_bytes)
+    return _by_blocks(users, items, routes, k, per_block, whole_products)
+
+
+def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
+    """One row (users, entries, hits, recall): how much of the exact lists the found ones hold.
+
+    Both are (user, items).  A user without a found list misses all of its entries.
+    """
+
+    def rows(lists: DataFrame) -> DataFrame:
+        return lists.select("user", F.inline("items")).select("user", "item")
+
+    met = rows(exact).join(rows(found).withColumn("hit", F.lit(1)), ["user", "item"], "left")
+    per_user = met.groupBy("user").agg(F.count(F.lit(1)).alias("entries"), F.count("hit").alias("hits"))
+    totals = per_user.agg(
+        F.count(F.lit(1)).alias("users"),
+        F.coalesce(F.sum("entries"), F.lit(0)).alias("entries"),
+        F.coalesce(F.sum("hits"), F.lit(0)).alias("hits"),
+    )
+    return totals.withColumn("recall", F.try_divide("hits", "entries"))
+
+
+def top_k_by_norm(
+    users: DataFrame,
+    items: DataFrame,
+    k: int = 300,
+    max_item_bytes: int = MAX_ITEM_BYTES,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """(user, items, products): the lists of ``recommend_top_k`` without probing, from fewer products.
+
+    Items are met in order of their length, the longest first, and a user is done once no item to come can reach
+    its k-th score.  Items beyond ``max_item_bytes`` are cut into blocks by length: all users meet the first
+    block, and go on only to blocks whose longest item could still enter their list.  ``products`` counts the
+    pairs that were scored for a user.
+    """
+    users, items = _prepared(users, False), _prepared(items, False)
+    n_items, width = items.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("features")), F.lit(1))).first()
+    row_bytes = 8 * max(1, width)
+    if n_items * row_bytes <= max_item_bytes:
+        kernel = topk_kernel.norm_scorer(_share(items, "length"), np.zeros(0), np.zeros(0, np.int64), k)
+        return users.mapInArrow(kernel, topk_kernel.NORM_LISTS).where(F.size("items") > 0).select("user", "items", "products")
     per_block = max(1, block_bytes // row_bytes)
-    return _by_blocks(users, items, routes, k, per_block, n_items, whole_products)
+    square = F.aggregate("features", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
+    ranked = global_rank(items.withColumn("length", F.sqrt(square)), [F.desc("length"), F.asc("id")])
+    ranked = materialise(ranked.withColumn("block", F.call_function("div", "rank", F.lit(per_block)).cast("int")))
+    # One row for each block of ``block_bytes``.
+    edges = ranked.groupBy("block").agg(F.max("length").alias("length"), F.count(F.lit(1)).alias("n")).orderBy("block").collect()
+    tails, sizes = np.array([e["length"] for e in edges[1:]]) * (1 + 1e-9), np.array([e["n"] for e in edges[1:]], np.int64)
+    head = _share(ranked.where("block = 0").select("id", "cluster", "features"), "length")
+    first = materialise(users.mapInArrow(topk_kernel.norm_scorer(head, tails, sizes, k), topk_kernel.NORM_LISTS))
+
+    user_blocks = max(1, math.ceil(first.count() / per_block))
+    ub = F.pmod(F.xxhash64("id"), F.lit(user_blocks)).cast("int").alias("ub")
+    left = first.where("blocks > 0").withColumnRenamed("user", "id")
+    left = left.select("id", F.lit(0).cast("bigint").alias("cluster"), "features", ub, F.explode(F.sequence(F.lit(1), "blocks")).alias("ib"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1))).alias("ub")
+    right = ranked.where("block > 0").select("id", "cluster", "features", every, F.col("block").alias("ib"))
+    lists = left.groupBy("ub", "ib").cogroup(right.groupBy("ub", "ib")).applyInArrow(
+        topk_kernel.block_scorer(k, False), topk_kernel.LISTS
+    )
+    rows = lists.unionByName(first.select("user", "items")).select("user", F.inline("items").alias("item", "score"))
+    return _merge_lists(rows, k).join(first.select("user", "products"), "user")

@@ -22,14 +22,14 @@ def matrix(features: pa.Array) -> np.ndarray:
 
 
 def _best_k(
-    rows: np.ndarray, cols: np.ndarray, scores: np.ndarray, ids: np.ndarray, k: int, n: int
+    rows: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int, n: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First ``k`` of each of ``n`` rows by (score down, id up)."""
-    order = np.lexsort((ids[cols], -scores, rows))
-    rows, cols, scores = rows[order], cols[order], scores[order]
+    order = np.lexsort((ids, -scores, rows))
+    rows, ids, scores = rows[order], ids[order], scores[order]
     starts = np.searchsorted(rows, np.arange(n))
     first = np.arange(len(rows)) - starts[rows] < k
-    return rows[first], cols[first], scores[first]
+    return rows[first], ids[first], scores[first]
 
 
 def _kth(scores: np.ndarray, k: int) -> np.ndarray:
@@ -47,12 +47,11 @@ class Items:
         self.rough = features.astype(np.float32)
         self.largest = float(np.sqrt((features * features).sum(axis=1).max())) if len(ids) else 0.0
 
-    def take(self, picked: np.ndarray) -> Items:
-        if len(picked) == len(self.ids):
-            return self
+    def cut(self, begin: int, end: int) -> Items:
+        """A run of the items, without a copy."""
         part = object.__new__(Items)
-        part.ids, part.features = self.ids[picked], self.features[picked]
-        part.rough, part.largest = self.rough[picked], self.largest
+        part.ids, part.features = self.ids[begin:end], self.features[begin:end]
+        part.rough, part.largest = self.rough[begin:end], self.largest
         return part
 
     def contenders(self, users: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -71,43 +70,46 @@ class Items:
         return np.nonzero(scores >= (_kth(scores, k) - 2 * bound).astype(scores.dtype))
 
 
-def best_lists(
-    user_ids: np.ndarray, user_matrix: np.ndarray, items: Items, k: int, whole_products: bool
-) -> Iterator[pa.RecordBatch]:
-    """(user, items) batches, scoring a bounded number of cells at a time.
+def _scored(items: Items, users: np.ndarray, k: int, whole_products: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, item id, score) of a superset of each user's ``k`` best items.
 
     Final scores are summed in double precision in one fixed order per pair:
     items with equal features tie exactly, and then the id decides.
     """
-    if not len(items.ids):
+    if whole_products:
+        # A product close to a whole number must not hang on the shape of the tile,
+        # as a matrix product's last digit does: each pair is summed by itself.
+        scores = np.trunc(np.einsum("ij,kj->ik", users, items.features))
+        rows, cols = np.nonzero(scores >= _kth(scores, k))
+        return rows, items.ids[cols], scores[rows, cols]
+    rows, cols = items.contenders(users, k)
+    ends = np.searchsorted(rows, np.arange(1, len(users)))
+    exact = np.concatenate(
+        [np.einsum("ij,j->i", items.features[some], user) for some, user in zip(np.split(cols, ends), users)]
+    )
+    return rows, items.ids[cols], exact
+
+
+def _entries(rows: np.ndarray, ids: np.ndarray, scores: np.ndarray, n: int) -> pa.Array:
+    """Lists of (item, score), one for each of ``n`` rows."""
+    entries = pa.StructArray.from_arrays([pa.array(ids, pa.int64()), pa.array(scores, pa.float64())], names=["item", "score"])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(rows, np.arange(n + 1)).astype(np.int32)), entries)
+
+
+def best_lists(
+    user_ids: np.ndarray, user_matrix: np.ndarray, items: Items | list[Items], k: int, whole_products: bool
+) -> Iterator[pa.RecordBatch]:
+    """(user, items) batches over one or several lists of items, scoring a bounded number of cells at a time."""
+    lists = [x for x in (items if isinstance(items, list) else [items]) if len(x.ids)]
+    if not lists:
         return
-    step = max(1, TILE_CELLS // len(items.ids))
+    step = max(1, TILE_CELLS // max(len(x.ids) for x in lists))
     for start in range(0, len(user_ids), step):
         tile = user_ids[start : start + step]
         users = user_matrix[start : start + step]
-        if whole_products:
-            # A product close to a whole number must not hang on the shape of the tile,
-            # as a matrix product's last digit does: each pair is summed by itself.
-            scores = np.trunc(np.einsum("ij,kj->ik", users, items.features))
-            rows, cols = np.nonzero(scores >= _kth(scores, k))
-            exact = scores[rows, cols]
-        else:
-            rows, cols = items.contenders(users, k)
-            ends = np.searchsorted(rows, np.arange(1, len(tile)))
-            exact = np.concatenate(
-                [
-                    np.einsum("ij,j->i", items.features[some], user)
-                    for some, user in zip(np.split(cols, ends), users)
-                ]
-            )
-        rows, cols, exact = _best_k(rows, cols, exact, items.ids, k, len(tile))
-        entries = pa.StructArray.from_arrays(
-            [pa.array(items.ids[cols], pa.int64()), pa.array(exact, pa.float64())],
-            names=["item", "score"],
-        )
-        offsets = np.searchsorted(rows, np.arange(len(tile) + 1)).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(offsets), entries)
-        yield pa.RecordBatch.from_arrays([pa.array(tile, pa.int64()), lists], names=["user", "items"])
+        found = zip(*[_scored(x, users, k, whole_products) for x in lists], strict=True)
+        best = _best_k(*[np.concatenate(x) for x in found], k, len(tile))
+        yield pa.RecordBatch.from_arrays([pa.array(tile, pa.int64()), _entries(*best, len(tile))], names=["user", "items"])
 
 
 def empty_lists() -> pa.Table:
@@ -127,31 +129,105 @@ def columns(batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     )
 
 
+def _index_of(shared) -> dict[int, Items]:
+    """Item lists by cluster, made once for each worker: ``shared`` broadcasts columns ordered by cluster."""
+    held = shared.value
+    if "index" not in held:
+        items = Items(held["ids"], held["matrix"])
+        names, starts = np.unique(held["clusters"], return_index=True)
+        ends = np.append(starts, len(held["ids"]))[1:]
+        held["index"] = {int(c): items.cut(a, b) for c, a, b in zip(names, starts, ends, strict=True)}
+    return held["index"]
+
+
 def shared_scorer(shared, routes: dict[int, list[int]], k: int, whole_products: bool) -> Callable:
-    """Kernel over batches of users against one item matrix that all tasks share.
+    """Kernel over batches of users against an index of item lists that all tasks share.
 
-    ``shared`` broadcasts (ids, clusters, matrix), ordered by cluster.
+    No item row is copied for a batch: a user cluster is scored against the lists that it probes where they lie.
     """
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        item_ids, item_clusters, item_matrix = shared.value
-        items = Items(item_ids, item_matrix)
+        index = _index_of(shared)
         for batch in batches:
             user_ids, user_clusters, user_matrix = columns(batch)
             for cluster in np.unique(user_clusters):
-                rows = np.nonzero(user_clusters == cluster)[0]
-                spans = [
-                    np.arange(*np.searchsorted(item_clusters, [c, c + 1]))
-                    for c in routes.get(int(cluster), [])
-                ]
-                picked = np.concatenate(spans) if spans else np.empty(0, dtype=np.int64)
-                yield from best_lists(
-                    user_ids[rows], user_matrix[rows], items.take(picked), k, whole_products
-                )
+                rows = np.flatnonzero(user_clusters == cluster)
+                lists = [index[c] for c in routes.get(int(cluster), []) if c in index]
+                yield from best_lists(user_ids[rows], user_matrix[rows], lists, k, whole_products)
 
     return score
 
 
+# --- items in order of their length ----------------------------------------
+
+NORM_STEP = 2048
+NORM_LISTS = LISTS + ", products bigint, blocks int, features array<double>"
+
+
+def _lengths(matrix: np.ndarray) -> np.ndarray:
+    return np.sqrt((matrix * matrix).sum(axis=1))
+
+
+def norm_scorer(shared, tails: np.ndarray, sizes: np.ndarray, k: int, step: int = NORM_STEP) -> Callable:
+    """Kernel over batches of users against items in order of length, the longest first.
+
+    A user is done once length(user) * length(next item) lies below the k-th score.  ``tails`` has the largest
+    length in each further block of items, ``sizes`` how many items these hold: ``blocks`` counts those that a
+    user still has to meet, ``products`` the pairs scored for a user, those blocks included.
+    """
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = shared.value
+        if "steps" not in held:
+            items = Items(held["ids"], held["matrix"])
+            lengths = _lengths(items.features)
+            steps = []
+            for a in range(0, len(items.ids), step):
+                part = items.cut(a, a + step)
+                part.largest = float(lengths[a : a + step].max())
+                steps.append(part)
+            held["steps"] = steps
+        before = np.concatenate(([0], np.cumsum(sizes)))
+        for batch in batches:
+            user_ids, _, user_matrix = columns(batch)
+            size = max(1, TILE_CELLS // step)
+            for start in range(0, len(user_ids), size):
+                yield _by_length(user_ids[start : start + size], user_matrix[start : start + size], held["steps"], tails, before, k)
+
+    return score
+
+
+def _by_length(ids: np.ndarray, users: np.ndarray, steps: list[Items], tails: np.ndarray, before: np.ndarray, k: int) -> pa.RecordBatch:
+    n = len(ids)
+    # What rounding may add to a product of two lengths.
+    reach = _lengths(users) * (1 + 1e-9)
+    kth = np.full(n, -np.inf)
+    products = np.zeros(n, np.int64)
+    best = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+    for items in steps:
+        # An equal score may still win by its id.
+        open_rows = np.flatnonzero(reach * items.largest >= kth)
+        if not len(open_rows):
+            break
+        rows, own, scores = _scored(items, users[open_rows], k, False)
+        rows = open_rows[rows]
+        better = scores >= kth[rows]
+        new = (rows[better], own[better], scores[better])
+        best = _best_k(*[np.concatenate(x) for x in zip(best, new, strict=True)], k, n)
+        products[open_rows] += len(items.ids)
+        last = np.searchsorted(best[0], np.arange(n), "right") - 1
+        full = np.bincount(best[0], minlength=n) >= k
+        kth[full] = best[2][last[full]]
+    # Lengths of blocks only fall, so those in reach come first.
+    blocks = (reach[:, None] * tails[None, :] >= kth[:, None]).sum(axis=1) if len(tails) else np.zeros(n, np.int64)
+    flat = pa.array(users.ravel())
+    features = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * users.shape[1]), flat)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(ids, pa.int64()), _entries(*best, n), pa.array(products + before[blocks]), pa.array(blocks.astype(np.int32)), features],
+        names=["user", "items", "products", "blocks", "features"],
+    )
+
+
 def block_scorer(k: int, whole_products: bool) -> Callable:
     """Kernel over one block of users and one block of items."""
 

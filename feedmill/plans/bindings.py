@@ -236,6 +236,13 @@ def factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def uneven_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vectors at very different lengths, as the items of a fitted model have them."""
+    weight = 1.0 / (1 + F.col("id") % 97)
+    scaled = F.transform(F.col("features").cast("array<double>"), lambda x: x * weight)
+    return factors(spark, sf_dir).withColumn("features", scaled)
+
+
 def vector_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(user, item, rating): every vector with another one, its label as the rating."""
     v = F.col("vec_id")

@@ -165,6 +165,48 @@ def top_k_probed(spark, sf_dir):
     return _rounded(_entries(recs), "score", 4)
 
 
+@_query
+def top_k_probed_blocks(spark, sf_dir):
+    """Probing where the items are too many to share: blocks of each cluster's list."""
+    vectors = b.factors(spark, sf_dir)
+    probe = topk.Probe(clusters=3, min_size=2)
+    recs = topk.recommend_top_k(vectors, vectors, K, probe, max_item_bytes=0, block_bytes=16 << 10)
+    return _rounded(_entries(recs), "score", 4)
+
+
+@_query
+def probe_recall(spark, sf_dir):
+    """How much of the exact lists the probed ones hold."""
+    vectors = b.factors(spark, sf_dir)
+    probed = topk.recommend_top_k(vectors, vectors, K, topk.Probe(clusters=3, min_size=2))
+    return topk.recall(probed, topk.recommend_top_k(vectors, vectors, K))
+
+
+@_query
+def top_k_pruned(spark, sf_dir):
+    """Exact lists over items of uneven length, from the products that the bound leaves."""
+    recs = topk.top_k_by_norm(b.factors(spark, sf_dir), b.uneven_factors(spark, sf_dir), K)
+    return _rounded(_entries(recs), "score", 4)
+
+
+@_query
+def top_k_pruned_blocks(spark, sf_dir):
+    recs = topk.top_k_by_norm(
+        b.factors(spark, sf_dir), b.uneven_factors(spark, sf_dir), K, max_item_bytes=0, block_bytes=32 << 10
+    )
+    return _rounded(_entries(recs), "score", 4)
+
+
+@_query
+def top_k_products(spark, sf_dir):
+    """(users, pairs, products): pairs there are, and those that were scored."""
+    users, items = b.factors(spark, sf_dir), b.uneven_factors(spark, sf_dir)
+    recs = topk.top_k_by_norm(users, items, K, max_item_bytes=0, block_bytes=32 << 10)
+    totals = recs.agg(F.count(F.lit(1)).alias("users"), F.sum("products").alias("products"))
+    pairs = (F.col("users") * items.agg(F.count(F.lit(1))).scalar()).alias("pairs")
+    return totals.select("users", pairs, "products")
+
+
 @_query
 def score_pairs(spark, sf_dir):
     """Every vector with another one."""

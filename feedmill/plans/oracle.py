@@ -550,3 +550,28 @@ FROM named WHERE new_list IS NOT NULL OR (base_list IS NOT NULL AND left_days >
     ),
 }
 ORACLE["top_k_blocks"] = ORACLE["top_k_exact"]
+ORACLE["top_k_probed_blocks"] = ORACLE["top_k_probed"]
+ORACLE["top_k_pruned"] = ORACLE["top_k_pruned_blocks"] = f"""WITH {_VECTORS}
+SELECT "user", CAST(pos AS INTEGER) AS pos, item, round(score, 4) + 0.0 AS score FROM (
+  SELECT "user", item, score,
+         row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item) - 1 AS pos
+  FROM (SELECT u.id AS "user", i.id AS item, list_dot_product(u.features, i.features) AS score
+        FROM vectors u CROSS JOIN (SELECT id, list_transform(features, x -> x * (1.0::DOUBLE / (1 + id % 97))) AS features
+                                   FROM vectors) i) AS scored
+) AS ranked WHERE pos < 10"""
+ORACLE["probe_recall"] = f"""WITH {_ROUTES}, exact AS (
+  SELECT "user", item FROM (
+    SELECT u.id AS "user", i.id AS item,
+           row_number() OVER (PARTITION BY u.id ORDER BY list_dot_product(u.features, i.features) DESC, i.id) AS pos
+    FROM vectors u CROSS JOIN vectors i) AS ranked WHERE pos <= 10
+),
+probed AS (
+  SELECT "user", item FROM (
+    SELECT u.id AS "user", i.id AS item,
+           row_number() OVER (PARTITION BY u.id ORDER BY list_dot_product(u.features, i.features) DESC, i.id) AS pos
+    FROM vectors u JOIN routes r ON r.user_cluster = u.cluster JOIN vectors i ON i.cluster = r.item_cluster
+  ) AS ranked WHERE pos <= 10
+)
+SELECT count(DISTINCT e."user") AS users, count(*) AS entries, count(p.item) AS hits,
+       CAST(count(p.item) AS DOUBLE) / count(*) AS recall
+FROM exact e LEFT JOIN probed p ON p."user" = e."user" AND p.item = e.item"""

@@ -60,6 +60,58 @@ def test_blocks_equal_brute_force(data, k):
     assert lists(found) == brute(data["u"], data["i"], k)
 
 
+@pytest.mark.parametrize("limits", [{}, {"max_item_bytes": 0, "block_bytes": 800}, {"max_item_bytes": 0, "block_bytes": 48}])
+@pytest.mark.parametrize("k", [1, 7, 90, 200])
+def test_order_of_length_equals_brute_force(data, k, limits):
+    found = topk.top_k_by_norm(data["users"], data["items"], k, **limits).cache()
+    assert lists(found) == brute(data["u"], data["i"], k)
+    assert all(r.products >= min(k, 90) for r in found.collect())
+
+
+def test_order_of_length_needs_fewer_products(spark):
+    draw = np.random.default_rng(9)
+    items = draw.standard_normal((4000, 8)) * (1 / (1 + np.arange(4000)))[:, None]
+    users = draw.standard_normal((50, 8))
+    users[7] = 0.0  # every score is equal, so nothing can be passed over
+    ids = draw.permutation(4000)
+    users_df, items_df = frame(spark, range(50), users, np.zeros(50)), frame(spark, ids, items, np.zeros(4000))
+    want = lists(topk.recommend_top_k(users_df, items_df, 10))
+    for limits in ({}, {"max_item_bytes": 0, "block_bytes": 64 * 500}):
+        found = topk.top_k_by_norm(users_df, items_df, 10, **limits).cache()
+        assert lists(found) == want
+        products = {r.user: r.products for r in found.collect()}
+        assert products.pop(7) == 4000
+        assert sum(products.values()) < (0.6 if not limits else 0.2) * 49 * 4000
+
+
+def test_order_of_length_with_empty_sides(spark):
+    users = frame(spark, [1], [[1, 0]], [0])
+    items = frame(spark, [1, 2], [[3, 1], [1, 2]], [0, 0])
+    for limits in ({}, {"max_item_bytes": 0, "block_bytes": 16}):
+        assert lists(topk.top_k_by_norm(users, items, 5, **limits)) == {1: [(1, 3.0), (2, 1.0)]}
+        assert lists(topk.top_k_by_norm(users.limit(0), items, 5, **limits)) == {}
+    assert lists(topk.top_k_by_norm(users, items.limit(0), 5)) == {}
+
+
+def test_item_lists_are_views(data):
+    ids, matrix, clusters = data["i"]
+    order = np.argsort(clusters, kind="stable")
+    shared = type("Shared", (), {"value": {"ids": ids[order], "clusters": clusters[order], "matrix": matrix[order]}})
+    index = topk_kernel._index_of(shared)
+    assert topk_kernel._index_of(shared) is index
+    for c, part in index.items():
+        assert np.shares_memory(part.features, shared.value["matrix"])
+        assert sorted(part.ids) == sorted(ids[clusters == c])
+
+
+def test_recall(spark):
+    schema = "user long, items array<struct<item:long,score:double>>"
+    exact = spark.createDataFrame([(1, [(1, 2.0), (2, 1.0)]), (2, [(5, 1.0)])], schema)
+    found = spark.createDataFrame([(1, [(2, 1.0), (9, 0.5)])], schema)
+    assert tuple(topk.recall(found, exact).first()) == (2, 3, 1, 1 / 3)
+    assert tuple(topk.recall(found, exact.limit(0)).first()) == (0, 0, 0, None)
+
+
 def expected_routes(data, clusters, above):
     _, um, uc = data["u"]
     _, im, ic = data["i"]
