@@ -4,9 +4,11 @@ A task keeps a trie of word ids: containers that are hash tables burst into a le
 grow, so a few levels suffice.  When the trie is full its largest subtrees are written out whole, in order of
 their phrases, and the runs of all tasks are summed in partitions by the first two words of a phrase.
 
-Phrases are counted in three rounds: words, pairs of frequent words, longer phrases all of whose pairs are
-frequent.  A phrase cannot be more frequent than a part of it, so this passes over nothing that counts.  What is
-frequent travels as a bit table of bounded size; a wrong hit costs a row of a run, never a result.
+Only phrases that can be frequent enter the trie.  Three rounds over the coded texts find them: words, pairs of
+frequent words, longer phrases all of whose pairs are frequent are counted by 40-bit codes, in arrays, without
+their text.  A code counts for all its phrases and a phrase is no more frequent than its parts, so nothing that
+counts is passed over.  What is left travels as bit tables of bounded size; a wrong hit costs an entry of the
+trie, never a result.
 """
 
 from __future__ import annotations
@@ -33,10 +35,12 @@ TRIE_WORDS = 400_000
 #: Bits of the table of frequent phrases: some 16 for each, and never more than this (32 MB).
 SIEVE_BITS = 1 << 28
 PIECE_BITS = 1 << 21
+#: Codes that a task counts before it passes them on, and bits of a code.
+CODE_ENTRIES = 2_000_000
+CODE_BITS = 40
 
 _BREAKS = np.isin(tk._BYTES, list(b".,;:!?\n\x0b\x0c\r"))
 _IN_WORD = ~_BREAKS & (tk._BYTES != 0x20) & (tk._BYTES != 0x09)
-_NOT_SPACE = tk._BYTES != 0x20
 _NOT_NEWLINE = tk._BYTES != 0x0A
 _ID = 4
 
@@ -173,17 +177,15 @@ class _Counter:
 
 
 class Sieve:
-    """A bit table of phrases by the codes of their words: two probes, no phrase is missed."""
+    """A bit table of codes: two probes, no code is missed."""
 
     def __init__(self, bits: np.ndarray):
         self.bits, self.mask = bits, np.uint64(len(bits) * 8 - 1)
 
     @staticmethod
     def places(codes: np.ndarray, mask: np.uint64) -> tuple[np.ndarray, np.ndarray]:
-        return codes & mask, (codes >> np.uint64(32)) & mask
-
-    def __contains__(self, code: int) -> bool:
-        return bool(self.has(np.array([code], np.uint64))[0])
+        spread = tk.mix(codes)
+        return spread & mask, (spread >> np.uint64(32)) & mask
 
     def has(self, codes: np.ndarray) -> np.ndarray:
         out = np.ones(len(codes), bool)
@@ -192,37 +194,18 @@ class Sieve:
         return out
 
 
-def _lang_code(lang: str) -> np.uint64:
-    raw = np.frombuffer(lang.encode(), np.uint8)
-    return tk.Words(raw, np.array([0, len(raw)]), np.ones(256, bool)).hashes().sum(dtype=np.uint64)
-
-
-def _phrase_codes(lang: np.uint64, *words: np.ndarray) -> np.ndarray:
-    code = np.full(len(words[0]), lang, np.uint64)
-    for own in words:
-        code = tk.mix(code * np.uint64(0xD6E8FEB86659FD93) + own)
-    return code
-
-
-def sieve_of(frequent: DataFrame, width: int) -> Sieve:
-    """The table of all phrases (lang, phrase of ``width`` words), made in pieces; at most ``SIEVE_BITS`` come back."""
+def sieve_of(codes: DataFrame) -> np.ndarray:
+    """The bit table of all rows' ``code``, made in pieces; at most ``SIEVE_BITS`` come back."""
     size = 1 << 16
-    wanted = min(SIEVE_BITS, 16 * frequent.count())
+    wanted = min(SIEVE_BITS, 16 * codes.count())
     while size < wanted:
         size *= 2
     piece_bits = min(PIECE_BITS, size)
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = tk.Words(*tk.buffer_of(batch.column("phrase")), _NOT_SPACE)
-            codes, first = words.hashes(), words.first[:-1]
-            langs = batch.column("lang").dictionary_encode()
-            own = np.array([_lang_code(x) for x in langs.dictionary.to_pylist()], np.uint64)
-            lang = own[langs.indices.to_numpy()] if len(own) else np.zeros(0, np.uint64)
-            code = lang
-            for k in range(width):
-                code = tk.mix(code * np.uint64(0xD6E8FEB86659FD93) + codes[first + k])
-            at = np.concatenate(Sieve.places(code, np.uint64(size - 1))).astype(np.int64)
+            own = batch.column("code").to_numpy().view(np.uint64)
+            at = np.concatenate(Sieve.places(own, np.uint64(size - 1))).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(at // piece_bits), pa.array(at % piece_bits)], names=["piece", "at"])
 
     def made(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
@@ -231,18 +214,33 @@ def sieve_of(frequent: DataFrame, width: int) -> Sieve:
         return pd.DataFrame({"piece": [key[0]], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
 
     # A piece has at most so many different places.
-    places = frequent.select("lang", "phrase").mapInArrow(placed, "piece long, at long").distinct()
+    places = codes.select("code").mapInArrow(placed, "piece long, at long").distinct()
     pieces = places.groupBy("piece").applyInPandas(made, "piece long, bits binary").collect()
     bits = np.zeros(size // 8, np.uint8)
     for row in pieces:
         begin = row["piece"] * piece_bits // 8
         bits[begin : begin + piece_bits // 8] = np.frombuffer(row["bits"], np.uint8)
-    return Sieve(bits)
+    return bits
+
+
+def _lang_code(lang: str) -> np.uint64:
+    raw = np.frombuffer(lang.encode(), np.uint8)
+    return tk.Words(raw, np.array([0, len(raw)]), np.ones(256, bool)).hashes().sum(dtype=np.uint64)
+
+
+def _longer(code: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Code of a phrase with one more word."""
+    return tk.mix(code * np.uint64(0xD6E8FEB86659FD93) + word)
+
+
+def _short(code: np.ndarray) -> np.ndarray:
+    return code >> np.uint64(64 - CODE_BITS)
 
 
 def coded(documents: DataFrame) -> DataFrame:
-    """(lang, words, tokens): texts of a slice as numbers of its words, from 1 on; 0 is the end of a piece.
+    """(lang, n, words, tokens): texts of a slice as numbers of its words, from 1 on; 0 is the end of a piece.
 
+    ``n`` counts the words.
     Within a slice (a few megabytes, or one text) words are told apart by 64-bit codes.
     """
 
@@ -265,83 +263,115 @@ def coded(documents: DataFrame) -> DataFrame:
                 names = b"\n".join([raw[s:e] for s, e in zip(words.start[first].tolist(), words.end[first].tolist(), strict=True)])
                 kind = np.uint16 if len(codes) < 1 << 16 else np.uint32
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang]), pa.array([names], pa.binary()), pa.array([tokens.astype(kind).tobytes()], pa.binary())],
-                    names=["lang", "words", "tokens"],
+                    [
+                        pa.array([lang]), pa.array([len(words)]), pa.array([names], pa.binary()),
+                        pa.array([tokens.astype(kind).tobytes()], pa.binary()),
+                    ],
+                    names=["lang", "n", "words", "tokens"],
                 )
 
     rows = documents.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
-    return materialise(rows.mapInArrow(chunks, "lang string, words binary, tokens binary"))
-
+    return materialise(rows.mapInArrow(chunks, "lang string, n long, words binary, tokens binary"))
+
+
+class _Slice:
+    """A coded slice: ``tokens``, and a code for each of its numbers."""
+
+    def __init__(self, row: dict):
+        self.blob = row["words"]
+        data = np.frombuffer(self.blob, np.uint8)
+        codes = tk.Words(data, np.array([0, len(data)]), _NOT_NEWLINE).hashes()
+        self.codes = np.concatenate((np.zeros(1, np.uint64), codes))
+        kind = np.uint16 if len(codes) < 1 << 16 else np.uint32
+        self.tokens = np.frombuffer(row["tokens"], kind)
+        self.lang = _lang_code(row["lang"])
+
+    def phrases(self, longest: int, sieves: list[Sieve]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(length, places, codes) of the phrases of 1, 2 ... ``longest`` words, by the sieves as far as they go.
+
+        The sieves hold words, pairs, and longer phrases.  A phrase is left out where its beginning, its last
+        pair or, with all sieves given, the phrase itself is not in them.
+        """
+        tokens = self.tokens
+        place = np.flatnonzero(tokens)
+        word = _longer(np.full(len(self.codes), self.lang, np.uint64), self.codes)
+        known = sieves[0].has(_short(word)) if sieves else None
+        if known is not None:
+            place = place[known[tokens[place]]]
+        code = word[tokens[place]]
+        yield 1, place, code
+        good = np.zeros(len(tokens) + longest, bool)
+        good[place] = True
+        for length in range(2, longest + 1):
+            # The phrase one word shorter begins here, and its last word begins what two words in a row may be.
+            fits = good[place + (length - 1 if length == 2 else length - 2)]
+            place, code = place[fits], code[fits]
+            code = _longer(code, self.codes[tokens[place + length - 1]])
+            if len(sieves) > min(length, 3) - 1:
+                fits = sieves[min(length, 3) - 1].has(_short(code))
+                place, code = place[fits], code[fits]
+            yield length, place, code
+            if length == 2:
+                good[:] = False
+                good[place] = True
+
+
+def _sieves(tables: list) -> list[Sieve]:
+    return [Sieve(t.value) for t in tables]
+
+
+def possible_codes(chunks: DataFrame, lengths: tuple[int, ...], tables: list, min_count: int) -> DataFrame:
+    """(code): codes of the phrases of ``lengths`` words that have ``min_count`` occurrences together."""
 
-def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First place, number and count of each distinct key."""
-    _, first, number, count = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-    return first, number, count
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sieves = _sieves(tables)
+        parts, size = [], 0
 
+        def combined() -> tuple[np.ndarray, np.ndarray]:
+            codes, number = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+            return codes, np.bincount(number, np.concatenate([n for _, n in parts])).astype(np.int64)
 
-def _phrases_of(tokens: np.ndarray, codes: np.ndarray, lang: np.uint64, lengths: tuple[int, ...], sieve: Sieve | None):
-    """(length, places, counts): the distinct phrases of a slice that the sieve lets through, by one place of each.
+        def batch_of(codes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), pa.array(n)], names=["code", "n"])
 
-    ``codes`` has a code for each number; the sieve holds words for pairs, and pairs for longer phrases.
-    """
-    if lengths == (1,):
-        count = np.bincount(tokens, minlength=len(codes))
-        count[0] = 0
-        used = np.flatnonzero(count)
-        place = np.zeros(len(codes), np.int64)
-        place[tokens] = np.arange(len(tokens))
-        yield 1, place[used], count[used]
-        return
-    inside = tokens > 0
-    if lengths == (2,):
-        known = sieve.has(_phrase_codes(lang, codes))
-        inside &= known[tokens]
-    at = np.flatnonzero(inside[:-1] & inside[1:])
-    first, number, count = _distinct((tokens[at].astype(np.int64) << 32) | tokens[at + 1])
-    if lengths == (2,):
-        yield 2, at[first], count
-        return
-    frequent = sieve.has(_phrase_codes(lang, codes[tokens[at[first]]], codes[tokens[at[first] + 1]]))
-    good = np.zeros(len(tokens) + 1, bool)
-    good[at] = frequent[number]
-    number_at = np.zeros(len(tokens) + 1, np.int64)
-    number_at[at] = number
-    place = at[frequent[number]]
-    for length in range(3, max(lengths) + 1):
-        # The phrase one word shorter begins here, and its last word begins a frequent pair.
-        place = place[good[place + length - 2]]
-        if not len(place):
-            return
-        first, number, count = _distinct((number_at[place] << 32) | tokens[place + length - 1])
-        number_at[place] = number
-        yield length, place[first], count
-
-
-def count_phrases(chunks: DataFrame, lengths: tuple[int, ...], sieve: Sieve | None = None) -> DataFrame:
-    """(lang, phrase, n) of all phrases of ``lengths`` words that the sieve lets through; phrases are joined by spaces."""
-    table = chunks.sparkSession.sparkContext.broadcast(sieve.bits) if sieve else None  # at most SIEVE_BITS
+        for batch in batches:
+            for row in batch.to_pylist():
+                for length, _, code in _Slice(row).phrases(max(lengths), sieves):
+                    if length in lengths:
+                        parts.append(np.unique(_short(code), return_counts=True))
+                        size += len(parts[-1][0])
+                if size > CODE_ENTRIES:
+                    parts = [combined()]
+                    size = len(parts[0][0])
+                    if size > CODE_ENTRIES // 2:
+                        yield batch_of(*parts[0])
+                        parts, size = [], 0
+        if parts:
+            yield batch_of(*combined())
+
+    rows = chunks.select("lang", "words", "tokens").mapInArrow(counted, "code long, n long")
+    sums = rows.groupBy("code").agg(F.sum("n").alias("n"))
+    return materialise(sums.where(F.col("n") >= min_count).select("code"))
+
+
+def count_phrases(chunks: DataFrame, longest: int, tables: list) -> DataFrame:
+    """(lang, phrase, n) of all phrases of up to ``longest`` words that the bit tables let through, joined by spaces."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passing = Sieve(table.value) if table else None
+        sieves = _sieves(tables)
         counters: dict[str, _Counter] = {}
         for batch in batches:
             for row in batch.to_pylist():
                 own = counters.get(row["lang"])
                 if own is None:
                     own = counters[row["lang"]] = _Counter(row["lang"])
-                blob = row["words"]
-                data = np.frombuffer(blob, np.uint8)
-                codes = tk.Words(data, np.array([0, len(data)]), _NOT_NEWLINE).hashes()
-                codes = np.concatenate((np.zeros(1, np.uint64), codes))
-                kind = np.uint16 if len(codes) - 1 < 1 << 16 else np.uint32
-                tokens = np.frombuffer(row["tokens"], kind)
-                words = None
-                for length, place, count in _phrases_of(tokens, codes, _lang_code(row["lang"]), lengths, passing):
-                    if words is None:
-                        # Only words of counted phrases get an id.
-                        words, names = np.zeros(len(codes), ">u4"), blob.split(b"\n")
-                        told = np.zeros(len(codes), bool)
-                    shape = tokens[place[:, None] + np.arange(length)]
+                piece = _Slice(row)
+                names = piece.blob.split(b"\n")
+                words, told = np.zeros(len(piece.codes), ">u4"), np.zeros(len(piece.codes), bool)
+                for length, place, code in piece.phrases(longest, sieves):
+                    _, first, count = np.unique(code, return_index=True, return_counts=True)
+                    shape = piece.tokens[place[first][:, None] + np.arange(length)]
+                    # Only words of counted phrases get an id.
                     fresh = np.unique(shape[~told[shape]])
                     words[fresh] = own.numbers([names[k - 1] for k in fresh.tolist()])
                     told[fresh] = True
@@ -357,7 +387,7 @@ def count_phrases(chunks: DataFrame, lengths: tuple[int, ...], sieve: Sieve | No
         for c in counters.values():
             yield from c.runs(0)
 
-    runs = chunks.mapInArrow(counted, "lang string, phrase string, n long")
+    runs = chunks.select("lang", "words", "tokens").mapInArrow(counted, "lang string, phrase string, n long")
     prefix = F.substring_index("phrase", " ", 2).alias("prefix")
     dealt = runs.select("lang", prefix, "phrase", "n").repartition("lang", "prefix")
     merged = dealt.groupBy("lang", "prefix", "phrase").agg(F.sum("n").alias("n"))
@@ -367,17 +397,12 @@ def count_phrases(chunks: DataFrame, lengths: tuple[int, ...], sieve: Sieve | No
 def frequent_phrases(documents: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, n) of all phrases of up to ``longest`` words found ``min_count`` times, and (lang, n) of all words."""
     chunks = coded(documents)
-    words = materialise(count_phrases(chunks, (1,)))
-    enough = F.col("n") >= min_count
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    found = words.where(enough)
-    if longest >= 2:
-        pairs = materialise(count_phrases(chunks, (2,), sieve_of(found, 1)).where(enough))
-        found = found.unionByName(pairs)
-        if longest >= 3:
-            rest = count_phrases(chunks, tuple(range(3, longest + 1)), sieve_of(pairs, 2)).where(enough)
-            found = found.unionByName(materialise(rest))
-    return found, totals
+    context, tables = documents.sparkSession.sparkContext, []
+    for lengths in [(1,), (2,), tuple(range(3, longest + 1))][: min(longest, 3)]:
+        codes = possible_codes(chunks, lengths, tables, min_count)
+        tables = [*tables, context.broadcast(sieve_of(codes))]  # each at most SIEVE_BITS
+    found = materialise(count_phrases(chunks, longest, tables).where(F.col("n") >= min_count))
+    return found, chunks.groupBy("lang").agg(F.sum("n").alias("n"))
 
 
 def _parts(size: int, longest: int):
@@ -411,7 +436,7 @@ def collocations(
         by_size = F.when(F.size("words") == size, held(size)).otherwise(by_size)
     inner = candidates.select("lang", F.col("a").alias("other"), F.explode(by_size).alias("phrase"))
     inner = inner.groupBy("lang", "phrase").agg(F.max("other").alias("other"))
-    kept = candidates.join(inner, ["lang", "phrase"], "left").where(F.col("other").isNull() | (F.col("other") * 100 < F.col("a") * 100))
+    kept = candidates.join(inner, ["lang", "phrase"], "left").where(F.col("other").isNull() | (F.col("other") < F.col("a")))
 
     cuts = kept.select("lang", "phrase", "a", "words", F.explode(F.sequence(F.lit(1), F.size("words") - 1)).alias("k"))
     cuts = cuts.select("lang", "phrase", "a", "k", joined(F.lit(0), F.col("k")).alias("left"), joined(F.col("k"), F.size("words") - F.col("k")).alias("right"))
