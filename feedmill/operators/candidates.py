@@ -8,10 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from feedmill import schemas
 from feedmill.functions.lists import in_order
 from feedmill.operators.joins import dimension_join, restrict
 from feedmill.operators.quality import counted
+from feedmill.operators.steps import derive
 
 ITEM_TYPE = "mid"
 
@@ -103,3 +106,31 @@ def enrich(candidates: DataFrame, meta: DataFrame, cap: int = 200) -> DataFrame:
 def items_json(items: Column) -> Column:
     """The enriched list as the JSON text the store takes."""
     return F.to_json(items)
+
+
+_ENTRIES = schemas.ENRICHED["items"].dataType
+_UNREAD = T.StructType([T.StructField("items", _ENTRIES), T.StructField("unread", T.StringType())])
+
+
+def _decoded(stored: DataFrame) -> DataFrame:
+    """``stored`` with ``items``, and ``unread`` holding a text that is no such list."""
+    # The text is wrapped, as a record that cannot be read is kept by name.
+    whole = F.concat(F.lit('{"items":'), F.col("list"), F.lit("}"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "unread"}
+    read = derive(stored, stored.columns, {"read": F.from_json(whole, _UNREAD, options)})
+    bad = F.col("read.unread").isNotNull() | F.col("read.items").isNull()
+    return read.select(*stored.columns, F.col("read.items").alias("items"), bad.alias("bad"))
+
+
+def json_entries(stored: DataFrame) -> DataFrame:
+    """(uid, list) with lists as ``items_json`` prints them -> (owner, pos, uid, type, id, oid).
+
+    A text that is no such list gives no rows; ``json_rejects`` has it.
+    """
+    rows = _decoded(stored).where(~F.col("bad")).select(F.col("uid").alias("owner"), F.posexplode("items").alias("pos", "entry"))
+    return rows.select("owner", "pos", "entry.*")
+
+
+def json_rejects(stored: DataFrame) -> DataFrame:
+    """(uid, list) of the stored lists that cannot be read; a NULL list is none."""
+    return _decoded(stored).where("bad").select("uid", "list")

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, replace
+from functools import reduce
+from itertools import product
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import BisectingKMeans, BisectingKMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -12,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.operators.topk import top_k_by_norm
-from feedmill.session import shared_dir
+from feedmill.session import current_scratch, materialise, shared_dir
 
 
 @dataclass(frozen=True)
@@ -102,11 +106,13 @@ def training_cost(model: BisectingKMeansModel) -> float:
 def split_ratings(
     ratings: DataFrame, train_share: float = 0.8, seed: int = 10
 ) -> tuple[DataFrame, DataFrame]:
-    """Training and held-out ratings, split by a hash of the pair.
+    """Training and held-out ratings, split by a digest of the pair.
 
-    Unlike a random split this does not depend on partitioning or retries.
+    Unlike a random split this does not depend on partitioning or retries, and
+    it can be told outside of Spark.
     """
-    draw = F.pmod(F.xxhash64("user", "item", F.lit(seed)), F.lit(1_000_000))
+    text = F.concat_ws(":", F.col("user").cast("string"), F.col("item").cast("string"), F.lit(str(seed)))
+    draw = F.pmod(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint"), F.lit(1_000_000))
     in_train = draw < int(train_share * 1_000_000)
     return ratings.where(in_train), ratings.where(~in_train)
 
@@ -120,11 +126,7 @@ def squared_error(held_out: DataFrame, predicted: DataFrame) -> DataFrame:
     return pairs.agg(F.count(F.lit(1)).alias("pairs"), F.avg(gap * gap).alias("mse"))
 
 
-def evaluate(
-    ratings: DataFrame, settings: Settings = Settings(), train_share: float = 0.8
-) -> DataFrame:
-    """(rank, reg, iterations, pairs, mse) on held-out ratings."""
-    fitted, held_out = split_ratings(ratings, train_share, settings.seed)
+def _fit_and_compare(fitted: DataFrame, held_out: DataFrame, settings: Settings) -> DataFrame:
     model = train(fitted, settings)
     error = squared_error(held_out, model.transform(held_out.select("user", "item")))
     return error.select(
@@ -136,21 +138,37 @@ def evaluate(
     )
 
 
+def evaluate(
+    ratings: DataFrame, settings: Settings = Settings(), train_share: float = 0.8
+) -> DataFrame:
+    """(rank, reg, iterations, pairs, mse) on held-out ratings."""
+    return _fit_and_compare(*split_ratings(ratings, train_share, settings.seed), settings)
+
+
 def grid(
     ratings: DataFrame,
     ranks: Iterable[int],
     regs: Iterable[float],
     iterations: Iterable[int],
     base: Settings = Settings(),
+    train_share: float = 0.8,
+    at_once: int = 2,
 ) -> DataFrame:
-    """Evaluate every combination; one row each."""
-    regs, iterations = list(regs), list(iterations)
-    results = None
-    for rank in ranks:
-        for reg in regs:
-            for steps in iterations:
-                row = evaluate(ratings, replace(base, rank=rank, reg=reg, iterations=steps))
-                results = row if results is None else results.unionByName(row)
-    if results is None:
+    """Evaluate every combination; one row each, in the order of the arguments.
+
+    All fits share one split, which is written once.  ``at_once`` of them run side by side, so that the narrow
+    stages of one fit leave no executor idle.
+    """
+    every = [
+        replace(base, rank=rank, reg=reg, iterations=steps) for rank, reg, steps in product(ranks, regs, iterations)
+    ]
+    if not every:
         raise ValueError("an empty grid")
-    return results
+    fitted, held_out = (materialise(part) for part in split_ratings(ratings, train_share, base.seed))
+
+    def row(settings: Settings) -> DataFrame:
+        return materialise(_fit_and_compare(fitted, held_out, settings), owner=held)
+
+    held = current_scratch()
+    with ThreadPool(max(1, at_once)) as pool:
+        return reduce(DataFrame.unionByName, pool.map(inheritable_thread_target(row), every, 1))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from feedmill.functions.values import filled, strict_int
@@ -129,3 +129,26 @@ def export_kv(state: DataFrame, path: str, parts: int = 8) -> None:
         .partitionBy("part")
         .parquet(path)
     )
+
+
+def export_order(rows: DataFrame) -> DataFrame:
+    """(part, keys, smallest, largest, ascending, apart) from exported rows (part, key, file, at).
+
+    ``at`` is the row's place in its file.  A file's rows are looked at together; files are of bounded size.
+    """
+    before = F.lag("key").over(Window.partitionBy("part", "file").orderBy("at"))
+    files = (
+        rows.select("part", "file", "key", (before.isNull() | (before < F.col("key"))).alias("up"))
+        .groupBy("part", "file")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("low"), F.max("key").alias("high"), F.bool_and("up").alias("up"))
+    )
+    # One row for each file.
+    above = F.max("high").over(Window.partitionBy("part").orderBy("low", "file").rowsBetween(Window.unboundedPreceding, -1))
+    placed = files.select("*", (above.isNull() | (above < F.col("low"))).alias("clear"))
+    return placed.groupBy("part").agg(
+        F.sum("n").alias("keys"),
+        F.min("low").alias("smallest"),
+        F.max("high").alias("largest"),
+        F.bool_and("up").alias("ascending"),
+        F.bool_and("clear").alias("apart"),
+    )

@@ -149,7 +149,9 @@ def _by_blocks(
     def dealt(df: DataFrame, own: str, other: str, a: str, c: str) -> DataFrame:
         cut = dimension_join(df, cuts, ["cluster"])
         every = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(c)
-        return cut.select("id", "cluster", "features", F.pmod(F.xxhash64("id"), F.col(own)).cast("int").alias(a), every)
+        # Named anew, as both sides may be the same table.
+        columns = [F.col(x).alias(x) for x in ("id", "cluster", "features")]
+        return cut.select(*columns, F.pmod(F.xxhash64("id"), F.col(own)).cast("int").alias(a), every)
 
     left, right = dealt(users, "ubs", "ibs", "ub", "ib"), dealt(items, "ibs", "ubs", "ib", "ub")
     keys = ["cluster", "ub", "ib"]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +11,8 @@ from feedmill.functions import lists
 from feedmill.operators import candidates, causes, factors, ids, logstats, popularity, quality, scoring
 from feedmill.operators import sets, state, topk
 from feedmill.plans import bindings as b
-from feedmill.plans import daily, reports
-from feedmill.session import materialise, shared_dir
+from feedmill.plans import daily, reports, roundtrips
+from feedmill.session import materialise
 from feedmill.sources.readers import item_meta_of, last_days, read_behaviour, read_shards
 from feedmill.sources.writers import write_by, write_tab_text
 
@@ -47,8 +46,7 @@ def item_action_counts(spark, sf_dir):
     return popularity.item_action_counts(b.behaviour(spark, sf_dir))
 
 
-def _new_path(spark) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/feedmill-files-{uuid.uuid4().hex}"
+_new_path = roundtrips.new_path
 
 
 @_query
@@ -310,6 +308,53 @@ def grid(spark, sf_dir):
     )
 
 
+@_query
+def evaluate_pairs(spark, sf_dir):
+    """What of the evaluation does not hang on the fit."""
+    return evaluate(spark, sf_dir).drop("mse")
+
+
+@_query
+def grid_pairs(spark, sf_dir):
+    return grid(spark, sf_dir).drop("mse")
+
+
+@_query
+def shard_kmeans_checks(spark, sf_dir):
+    """Every vector in one leaf, as many leaves as asked for, and a cost that more leaves only lower."""
+    vectors = b.factors(spark, sf_dir)
+    models = [factors.fit_clusters(vectors, k) for k in (2, 4, 10)]
+    costs = [factors.training_cost(m) for m in models]
+    sharded = factors.shard_by_cluster(vectors, models[-1])
+    falling = all(x >= y for x, y in zip(costs, costs[1:], strict=False))
+    return sharded.agg(
+        F.count(F.lit(1)).alias("vectors"), F.count_distinct("id").alias("ids"), F.count_distinct("shard").alias("leaves")
+    ).withColumn("falling", F.lit(falling))
+
+
+@_query
+def model_files(spark, sf_dir):
+    return roundtrips.model_files(spark, sf_dir, materialise(_ratings(spark, sf_dir)), SMALL_MODEL)
+
+
+for _form in (
+    roundtrips.client_log_by_position,
+    roundtrips.exposure_by_position,
+    roundtrips.behaviour_of_two_paths,
+    roundtrips.id_text,
+    roundtrips.state_text,
+    roundtrips.scored_list_text,
+    roundtrips.factor_files,
+    roundtrips.replaced_day,
+    roundtrips.day_table,
+    roundtrips.months_by_glob,
+    roundtrips.export_kv_order,
+    roundtrips.candidate_json_rows,
+    roundtrips.candidate_json_rejects,
+):
+    _query(_form)
+
+
 # --- candidates and state --------------------------------------------------
 
 

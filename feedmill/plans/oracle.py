@@ -556,7 +556,7 @@ SELECT "user", CAST(pos AS INTEGER) AS pos, item, round(score, 4) + 0.0 AS score
   SELECT "user", item, score,
          row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item) - 1 AS pos
   FROM (SELECT u.id AS "user", i.id AS item, list_dot_product(u.features, i.features) AS score
-        FROM vectors u CROSS JOIN (SELECT id, list_transform(features, x -> x * (1.0::DOUBLE / (1 + id % 97))) AS features
+        FROM vectors u CROSS JOIN (SELECT id, [x * (1.0::DOUBLE / (1 + id % 97)) for x in features] AS features
                                    FROM vectors) i) AS scored
 ) AS ranked WHERE pos < 10"""
 ORACLE["probe_recall"] = f"""WITH {_ROUTES}, exact AS (
@@ -575,3 +575,50 @@ probed AS (
 SELECT count(DISTINCT e."user") AS users, count(*) AS entries, count(p.item) AS hits,
        CAST(count(p.item) AS DOUBLE) / count(*) AS recall
 FROM exact e LEFT JOIN probed p ON p."user" = e."user" AND p.item = e.item"""
+
+
+# --- written and read back -------------------------------------------------
+
+_HELD_OUT = f"""{_RATINGS},
+drawn AS (SELECT *, CAST('0x' || substr(md5("user" || ':' || item || ':10'), 1, 8) AS BIGINT) % 1000000 < 800000 AS fitted FROM ratings),
+held AS (
+  SELECT count(*) AS pairs FROM drawn WHERE NOT fitted AND "user" IN (SELECT "user" FROM drawn WHERE fitted)
+                                           AND item IN (SELECT item FROM drawn WHERE fitted)
+)"""
+
+ORACLE |= {
+    "client_log_by_position": ORACLE["diversion_records"],
+    "exposure_by_position": ORACLE["author_exposure"],
+    "behaviour_of_two_paths": ORACLE["item_action_counts"],
+    "id_text": f"WITH {_PURCHASES}, {_ids('purchases')} SELECT real_id, num_id, kind FROM ids",
+    "state_text": """SELECT CAST(c_custkey AS VARCHAR) AS uid, CASE WHEN c_custkey % 7 <> 0 THEN 'base-' || c_custkey END AS list,
+       CAST(CASE WHEN c_custkey % 11 = 0 THEN -1 ELSE 1 + c_custkey % 30 END AS INTEGER) AS ttl FROM customer""",
+    "scored_list_text": f"""WITH {_TOP_K} SELECT "user", CAST(pos AS INTEGER) AS pos, item FROM top_k""",
+    "factor_files": """
+SELECT vec_id AS id, CAST(len(embedding) AS INTEGER) AS width, CAST(embedding[1] AS DOUBLE) AS "first" FROM embeddings""",
+    "replaced_day": f"""WITH {_STATE}
+SELECT dt, uid, coalesce(list, '') AS list, ttl FROM base, (VALUES ('20240101'), ('20240103')) AS days(dt)
+UNION ALL SELECT '20240102', uid, 'again', ttl FROM base WHERE ttl > 20""",
+    "day_table": f"""WITH {_STATE}
+SELECT CASE WHEN ttl <= 15 THEN '20240101' ELSE '20240102' END AS dt, uid, ttl FROM base
+UNION ALL SELECT '20240103', uid, ttl FROM base""",
+    "months_by_glob": f"""WITH {_HISTORY}
+SELECT uid, mid, CAST(dt AS VARCHAR) AS dt FROM history WHERE dt BETWEEN DATE '2001-05-01' AND DATE '2001-07-31'""",
+    "model_files": f"""WITH {_RATINGS}
+SELECT 'userFactors' AS kind, count(DISTINCT "user") AS vectors, true AS equal FROM ratings
+UNION ALL SELECT 'itemFactors', count(DISTINCT item), true FROM ratings""",
+    "export_kv_order": f"""WITH {_KEYED}
+SELECT CAST(key % 8 AS INTEGER) AS part, count(*) AS keys, min(key) AS smallest, max(key) AS largest,
+       true AS ascending, true AS apart FROM keyed GROUP BY key % 8""",
+    "candidate_json_rows": f"""WITH {_ENRICHED}
+SELECT owner, CAST(pos AS INTEGER) AS pos, uid, 'mid' AS type, id, oid FROM enriched WHERE CAST(owner AS BIGINT) % 13 <> 0""",
+    "candidate_json_rejects": f"""WITH {_ENRICHED}
+SELECT DISTINCT owner AS uid, CAST(20 AS INTEGER) AS characters FROM enriched WHERE CAST(owner AS BIGINT) % 13 = 0""",
+    "evaluate_pairs": f"""WITH {_HELD_OUT}
+SELECT CAST(8 AS INTEGER) AS rank, CAST(0.04 AS DOUBLE) AS reg, CAST(3 AS INTEGER) AS iterations, pairs FROM held""",
+    "grid_pairs": f"""WITH {_HELD_OUT}
+SELECT CAST(r AS INTEGER) AS rank, CAST(0.04 AS DOUBLE) AS reg, CAST(i AS INTEGER) AS iterations, pairs
+FROM held, (VALUES (4), (8)) AS ranks(r), (VALUES (2), (3)) AS steps(i)""",
+    "shard_kmeans_checks": """
+SELECT count(*) AS vectors, count(DISTINCT vec_id) AS ids, CAST(10 AS BIGINT) AS leaves, true AS falling FROM embeddings""",
+}

@@ -67,17 +67,25 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def materialise(df: DataFrame, outlive: int = 0) -> DataFrame:
+def current_scratch() -> list[str] | None:
+    """The innermost block, for threads of a pool to name as the ``owner`` of their copies."""
+    owners = getattr(_made, "owners", [])
+    return owners[-1] if owners else None
+
+
+def materialise(df: DataFrame, outlive: int = 0, owner: list[str] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Everything downstream then starts from one fixed copy: a lost executor
     costs a re-read, and two branches of a plan cannot see different rows.
     All copies of an application lie in one folder; ``scratch`` removes those of a run.
-    A copy belongs to the innermost block, or to one as many levels outside as ``outlive`` says.
+    A copy belongs to the innermost block, to one as many levels outside as ``outlive`` says, or to ``owner``.
     """
     spark = df.sparkSession
     path = f"{_own_folder(spark)}/{uuid.uuid4().hex}"
-    if len(owners := getattr(_made, "owners", [])) > outlive:
+    if owner is not None:
+        owner.append(path)
+    elif len(owners := getattr(_made, "owners", [])) > outlive:
         owners[-1 - outlive].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -19,6 +19,7 @@ MODEL_QUERIES = {
     "grid",
     "recommend_for_all",
     "shard_kmeans",
+    "top_k_products",
     "train_recommend",
 }
 

@@ -20,6 +20,11 @@ COLUMN_QUERIES = sorted(
         "top_k_exact",
         "top_k_blocks",
         "top_k_probed",
+        "top_k_probed_blocks",
+        "top_k_pruned",
+        "top_k_pruned_blocks",
+        "probe_recall",
+        "scored_list_text",
         "cluster_routes",
         "scored_list_lines",
         "decode_recommendations",
