@@ -35,6 +35,9 @@ TRIE_WORDS = 400_000
 #: Bits of the table of frequent phrases: some 16 for each, and never more than this (32 MB).
 SIEVE_BITS = 1 << 28
 PIECE_BITS = 1 << 21
+#: Phrases of slices that a task gathers before they enter the trie, and words of a counting task beyond two for each core.
+BUFFER_ENTRIES = 1_500_000
+TASK_WORDS = 200_000_000
 #: Codes that a task counts before it passes them on, and bits of a code.
 CODE_ENTRIES = 2_000_000
 CODE_BITS = 40
@@ -144,6 +147,8 @@ class _Counter:
 
     def __init__(self, lang: str):
         self.lang, self.ids, self.names, self.trie = lang, {}, [], HatTrie()
+        self.held: dict[int, list[tuple[np.ndarray, ...]]] = {}
+        self.size = 0
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         ids, names = self.ids, self.names
@@ -156,6 +161,21 @@ class _Counter:
             out[k] = found
         return out
 
+    def gather(self, length: int, codes: np.ndarray, shape: np.ndarray, counts: np.ndarray) -> None:
+        """Hold the different phrases of a slice: their codes, word ids and counts."""
+        self.held.setdefault(length, []).append((codes, shape, counts))
+        self.size += len(codes)
+
+    def settle(self) -> None:
+        """Put what is held into the trie, each phrase once."""
+        for length, parts in self.held.items():
+            codes, shape, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+            _, first, number = np.unique(codes, return_index=True, return_inverse=True)
+            total = np.bincount(number, counts).astype(np.int64)
+            raw, step = shape[first].tobytes(), _ID * length
+            self.trie.add([raw[k : k + step] for k in range(0, len(raw), step)], total.tolist())
+        self.held, self.size = {}, 0
+
     def runs(self, entries: int) -> Iterator[pa.RecordBatch]:
         names = self.names
         for run in self.trie.take(entries):
@@ -369,25 +389,32 @@ def count_phrases(chunks: DataFrame, longest: int, tables: list) -> DataFrame:
                 names = piece.blob.split(b"\n")
                 words, told = np.zeros(len(piece.codes), ">u4"), np.zeros(len(piece.codes), bool)
                 for length, place, code in piece.phrases(longest, sieves):
-                    _, first, count = np.unique(code, return_index=True, return_counts=True)
+                    own_codes, first, count = np.unique(code, return_index=True, return_counts=True)
                     shape = piece.tokens[place[first][:, None] + np.arange(length)]
                     # Only words of counted phrases get an id.
                     fresh = np.unique(shape[~told[shape]])
                     words[fresh] = own.numbers([names[k - 1] for k in fresh.tolist()])
                     told[fresh] = True
-                    raw, step = words[shape].tobytes(), _ID * length
-                    own.trie.add([raw[k : k + step] for k in range(0, len(raw), step)], count.tolist())
+                    own.gather(length, own_codes, words[shape], count)
+                if sum(c.size for c in counters.values()) > BUFFER_ENTRIES:
+                    for c in counters.values():
+                        c.settle()
                 if sum(c.trie.entries for c in counters.values()) > TRIE_ENTRIES:
                     for c in counters.values():
                         yield from c.runs(c.trie.entries // 2)
                 if sum(len(c.names) for c in counters.values()) > TRIE_WORDS:
                     for c in counters.values():
+                        c.settle()
                         yield from c.runs(0)
                     counters = {}
         for c in counters.values():
+            c.settle()
             yield from c.runs(0)
 
-    runs = chunks.select("lang", "words", "tokens").mapInArrow(counted, "lang string, phrase string, n long")
+    # A phrase leaves a task once, so tasks are large: two for each core, and more where they would get too long.
+    words = chunks.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    tasks = max(2 * chunks.sparkSession.sparkContext.defaultParallelism, words // TASK_WORDS)
+    runs = chunks.select("lang", "words", "tokens").coalesce(tasks).mapInArrow(counted, "lang string, phrase string, n long")
     prefix = F.substring_index("phrase", " ", 2).alias("prefix")
     dealt = runs.select("lang", prefix, "phrase", "n").repartition("lang", "prefix")
     merged = dealt.groupBy("lang", "prefix", "phrase").agg(F.sum("n").alias("n"))
