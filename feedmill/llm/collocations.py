@@ -172,7 +172,7 @@ class _Counter:
             codes, shape, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
             _, first, number = np.unique(codes, return_index=True, return_inverse=True)
             total = np.bincount(number, counts).astype(np.int64)
-            raw, step = shape[first].tobytes(), _ID * length
+            raw, step = shape[first].astype(">u4").tobytes(), _ID * length
             self.trie.add([raw[k : k + step] for k in range(0, len(raw), step)], total.tolist())
         self.held, self.size = {}, 0
 
