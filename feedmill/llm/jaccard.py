@@ -32,13 +32,14 @@ from feedmill.session import materialise
 #: Coordinates of a point (a power of two), coarser than the groups of a band.
 DIMENSIONS = 128
 #: Groups in a block, documents of a cell that meet in one task, and points under one bounding box.
-BLOCK_GROUPS = 64
+#: With so many groups unrelated documents hardly ever have the same counts in a block that is not empty.
+BLOCK_GROUPS = 1 << 20
 LEAF = 512
 BOX = 16
 #: Blocks of at most so many documents are compared many at a time.
 FEW = 24
 STEP_PAIRS = 200_000
-BAND_GROWTH = 1.5
+BAND_GROWTH = 1.25
 #: Similarity whose cells the first round takes.
 CLOSE_PERCENT = 95
 
@@ -50,8 +51,8 @@ class Bands:
     """Sizes by band, and how many blocks a band needs.
 
     Linked sets of a and b shingles differ in at most k = (1 - t)(a + b) / (1 + t) of them.  With k + 1 + spare
-    blocks they agree in more than ``spare``, so blocks with ``light`` shingles or fewer may be passed over by
-    documents that have no more than ``spare`` of them.
+    blocks they agree in more than ``spare``, so empty blocks may be passed over by documents that have no more
+    than ``spare`` of them.  ``spare`` is meant for the smallest sets that visit the band, which have the most.
     """
 
     def __init__(self, percent: int, largest: int):
@@ -60,20 +61,17 @@ class Bands:
         while edges[-1] <= largest:
             edges.append(max(edges[-1] + 1, int(edges[-1] * BAND_GROWTH)))
         self.edges = np.array(edges, np.int64)
-        blocks, spare, light = [], [], []
+        blocks, spare = [], []
         for low, high in zip(edges, edges[1:], strict=False):
             need = (100 - percent) * 2 * (high - 1) // (100 + percent) + 1
-            per_block = (low + high) / 2 / need
-            few = 1 if per_block >= 6 else 0
+            least = max(1, low * percent // 100)
             extra = 0
-            for _ in range(8 if need > 1 else 0):
-                mean = (low + high) / 2 / (need + extra)
-                expected = (need + extra) * np.exp(-mean) * (1 + mean * few)
-                extra = int(np.ceil(expected + 3 * np.sqrt(expected) + 0.5))
+            for _ in range(12 if need > 1 else 0):
+                expected = (need + extra) * np.exp(-least / (need + extra))
+                extra = max(extra, int(np.ceil(expected + 3 * np.sqrt(expected) + 0.5)))
             blocks.append(need + extra)
             spare.append(extra)
-            light.append(few if need > 1 else -1)
-        self.blocks, self.spare, self.light = (np.array(x, np.int64) for x in (blocks, spare, light))
+        self.blocks, self.spare = (np.array(x, np.int64) for x in (blocks, spare))
 
     def of(self, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Own band, and the last one that holds a set large enough to link with this size as the smaller."""
@@ -160,9 +158,9 @@ def cells_of(codes: np.ndarray, first: np.ndarray, bands: Bands) -> tuple[np.nda
     np.add.at(sums, at, tk.mix(group * _ODD + np.uint64(7)))
     held = np.bincount(at, minlength=base[-1])
     of_visit = np.repeat(np.arange(len(row)), blocks)
-    light = held <= bands.light[band][of_visit]
-    many = np.add.reduceat(light, base[:-1], dtype=np.int64) > bands.spare[band] if len(row) else np.zeros(0, bool)
-    emitted = ~light | many[of_visit]
+    empty = held == 0
+    many = np.add.reduceat(empty, base[:-1], dtype=np.int64) > bands.spare[band] if len(row) else np.zeros(0, bool)
+    emitted = ~empty | many[of_visit]
     number = np.arange(base[-1]) - base[of_visit]
     place = (band[of_visit] << 32) + number
     cell = tk.mix(sums + tk.mix(place.astype(np.uint64) * _ODD))[emitted]
