@@ -42,13 +42,17 @@ _KNOWN = _INLINE | _RAW | _VOID | _FRAMES | frozenset("p h1 h2 h3 h4 h5 h6 li bl
 # Words in the class, id or role of an element that is not part of the article.
 _NOISE = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side|nav\w*|menu|breadcrumbs?|footer|header|masthead"
-    r"|cookies?|consent|notice|popup|modal|overlay|comments?|discussion|replies|disqus|share|sharing|social|related"
+    r"|cookies?|consent|notice|popup|modal|overlay|comment\w*|feedback|respond|responses?|discussion|replies|disqus|share|sharing|social|related"
     r"|recommend\w*|newsletter|subscribe|signup|login|search|widget|toolbar|contentinfo|complementary|navigation)(?:$|[\s_-])",
     re.I,
 )
 # Compounds that say whether a page has such a part, on its wrapper: has-sidebar, no-sidebar, with-ads.
 _ABOUT = re.compile(r"(?<!\S)(?:\S*[_-])?(?:has|have|no|with|without)[_-]\S*", re.I)
-#: Share of a page's words from which a frame marked as noise is the page's wrapper.
+# Inside an article these mark its own head.
+_OWN_HEAD = re.compile(r"(?<![^\s_-])(?:header|masthead)(?![^\s_-])", re.I)
+# Marks that a layout around the whole page may carry; comments, adverts, notices and the like never do.
+_LAYOUT = re.compile(r"(?<![^\s_-])(?:sidebar|side|nav\w*|menu|header|masthead|footer|modal|overlay|popup|widget|toolbar|search|login|complementary)(?![^\s_-])", re.I)
+#: Share of a page's words from which a frame with such a mark, or a form, is the page's wrapper.
 WRAPPER = 0.8
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
@@ -62,9 +66,10 @@ _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s
 class Token(NamedTuple):
     kind: str  # "tag:name" or "word:block", with "out:" before the block in parts left out
     text: str  # raw characters of a text run
-    block: int  # text runs of one block share it
-    kept: bool
+    block: int  # text runs of one block share it, and the tag that opens it
+    kept: bool  # in no part that is left out
     inside: bool  # of an article or main element
+    link: bool  # of an anchor
 
 
 def _count(text: str) -> int:
@@ -84,7 +89,7 @@ class _Held:
     """Words of a page: in all, of articles outside marked frames, of each marked frame and each article below one."""
 
     def __init__(self) -> None:
-        self.all, self.articles, self.marked, self.below = 0, 0, Counter(), Counter()
+        self.all, self.articles, self.marked, self.below, self.never = 0, 0, Counter(), Counter(), set()
 
     def add(self, frame: _Frame, n: int) -> None:
         if frame.hard:
@@ -99,12 +104,12 @@ class _Held:
 
     def lifted(self) -> set[int]:
         """Frames to keep: articles below marked frames if they hold more than those outside; without any article
-        the marked frames around most of the page."""
+        the frames around most of the page that are marked like a layout."""
         if sum(self.below.values()) > self.articles:
             return set(self.below)
         if self.articles:
             return set()
-        return {k for k, n in self.marked.items() if n and n >= WRAPPER * self.all}
+        return {k for k, n in self.marked.items() if n and n >= WRAPPER * self.all and k not in self.never}
 
 
 def tokens(page: str) -> list[Token]:
@@ -115,15 +120,20 @@ def tokens(page: str) -> list[Token]:
     return list(_tokens(page, lifted, _Held())) if lifted else found
 
 
-def _is_marked(name: str, attributes: str) -> bool:
+def _marks(name: str, attributes: str, inside: bool) -> tuple[bool, bool]:
+    """Whether a frame is marked as no part of the article, and whether it may still be the page's wrapper."""
     if name == "form":
-        return True
-    return any(_NOISE.search(_ABOUT.sub("", x.strip("\"'"))) for x in _ROLE.findall(attributes))
+        return True, True
+    roles = [_ABOUT.sub("", x.strip("\"'")) for x in _ROLE.findall(attributes)]
+    if inside:
+        roles = [_OWN_HEAD.sub("", x) for x in roles]
+    marked = any(_NOISE.search(x) for x in roles)
+    return marked, marked and not any(_NOISE.search(_LAYOUT.sub("", x)) for x in roles)
 
 
 def _tokens(page: str, lifted: set[int], held: _Held) -> Iterator[Token]:
     open_frames = [_Frame("", False, False, False, (), -1)]
-    at, block, own, number = 0, 0, "body", 0
+    at, block, own, number, link = 0, 0, "body", 0, False
     while at < len(page):
         m = _MARKUP.search(page, at)
         stop = m.start() if m else len(page)
@@ -131,7 +141,7 @@ def _tokens(page: str, lifted: set[int], held: _Held) -> Iterator[Token]:
         if stop > at:
             text = page[at:stop]
             held.add(top, _count(text))
-            yield Token(f"word:out:{own}" if top.out else f"word:{own}", text, block, not top.out, top.inside)
+            yield Token(f"word:out:{own}" if top.out else f"word:{own}", text, block, not top.out, top.inside, link)
         if not m:
             return
         at = m.end()
@@ -142,12 +152,15 @@ def _tokens(page: str, lifted: set[int], held: _Held) -> Iterator[Token]:
         if name not in _INLINE:
             block += 1
             own = ("body" if closing else name) if name in _KNOWN and name not in _VOID else own
-        yield Token(f"tag:{name if name in _KNOWN else 'other'}", "", block, False, top.inside)
+        yield Token(f"tag:{name if name in _KNOWN else 'other'}", "", block, not top.out, top.inside, link)
+        if name == "a":
+            link = not closing
         if name in _FRAMES:
             if not closing:
                 number += 1
-                hard = top.hard or (name in _LEFT_OUT and name != "form") or bool(_HIDDEN.search(m[3]))
-                marked = name not in ("html", "body") and _is_marked(name, m[3])
+                own_head = name == "header" and top.inside
+                hard = top.hard or (name in _LEFT_OUT and name != "form" and not own_head) or bool(_HIDDEN.search(m[3]))
+                marked, wraps = _marks(name, m[3], top.inside) if name not in ("html", "body") else (False, False)
                 noise = marked and name not in _ARTICLE and number not in lifted
                 below = name in _ARTICLE and bool(top.marked) and not marked and top.article < 0
                 out = hard or noise or (top.out and number not in lifted)
@@ -155,6 +168,8 @@ def _tokens(page: str, lifted: set[int], held: _Held) -> Iterator[Token]:
                 frames, article = top.marked, number if below else top.article
                 if marked and name not in _ARTICLE:
                     frames, article = (*top.marked, number), -1
+                    if not wraps:
+                        held.never.add(number)
                 open_frames.append(_Frame(name, out, inside, hard, frames, article))
             elif any(x.name == name for x in open_frames):
                 while open_frames.pop().name != name:
@@ -168,6 +183,10 @@ def _tokens(page: str, lifted: set[int], held: _Held) -> Iterator[Token]:
 #: so that an advert between two paragraphs does not cut an article.
 WORD_IN, WORD_OUT, TAG = 1.0, -0.5, -0.5
 _LEAST = 0.1
+#: A tag among words that are kept costs less than the least of them, so that a table or list is no end of an article.
+KEPT_TAG = -0.02
+#: A block with more than this share of its words in links is no text.
+LINKED = 0.5
 
 
 def weights_from(counts: dict[str, tuple[int, int]]) -> dict[str, float]:
@@ -198,16 +217,35 @@ def best_run(scores: list[float]) -> tuple[int, int]:
     return low, high
 
 
+def scored(parts: list[Token], weights: dict[str, float]) -> list[float]:
+    """The score of each token.
+
+    Words outside the article of a page that has one score against, and so do blocks of links on other pages.  A tag
+    is scored by what it opens: it costs hardly anything where words are kept.
+    """
+    counts = [_count(t.text) for t in parts]
+    own = any(n and t.kept and t.inside for t, n in zip(parts, counts, strict=True))
+    words, linked = Counter(), Counter()
+    for t, n in zip(parts, counts, strict=True):
+        words[t.block] += n
+        linked[t.block] += n if t.link else 0
+
+    def wanted(t: Token) -> bool:
+        return t.kept and (t.inside if own else linked[t.block] <= LINKED * words[t.block])
+
+    out = []
+    for t, n in zip(parts, counts, strict=True):
+        if t.text:
+            out.append(n * (weights.get(t.kind, WORD_IN) if wanted(t) else WORD_OUT if t.kept else weights.get(t.kind, WORD_OUT)) if n else 0.0)
+        else:
+            out.append(KEPT_TAG if wanted(t) else weights.get(t.kind, TAG))
+    return out
+
+
 def main_text(page: str, weights: dict[str, float]) -> str:
     """Text of the best run: references decoded, white space in a block made one space, blocks joined by one."""
     parts = tokens(page)
-    scores = []
-    for t in parts:
-        if t.text:
-            n = _count(t.text)
-            scores.append(n * weights.get(t.kind, WORD_IN if t.kept else WORD_OUT) if n else 0.0)
-        else:
-            scores.append(weights.get(t.kind, TAG))
+    scores = scored(parts, weights)
     low, high = best_run(scores)
     blocks: dict[int, list[str]] = {}
     for t in parts[low:high]:

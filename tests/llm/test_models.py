@@ -139,6 +139,54 @@ def test_marked_frames_beside_an_article_stay_out(weights):
     assert html.main_text("<div class='has-x' hidden><article>Not shown</article></div>", weights) == ""
 
 
+ROWS = "".join(f"<tr><td>cell{k}</td><td>{k}</td></tr>" for k in range(50))
+ITEMS = "".join(f"<li>item{k}</li>" for k in range(40))
+LONG_PARTS = {
+    "table": (f"<table>{ROWS}</table>", " ".join(f"cell{k} {k}" for k in range(50))),
+    "list": (f"<ul>{ITEMS}</ul>", " ".join(f"item{k}" for k in range(40))),
+    "code": ("<pre><code>" + "x = 1\n" * 60 + "</code></pre>", " ".join(["x = 1"] * 60)),
+    "figure": ("<figure><img src=a><figcaption>A caption</figcaption></figure>" * 9, " ".join(["A caption"] * 9)),
+    "terms": ("<dl>" + "<dt>t</dt><dd>d</dd>" * 40 + "</dl>", " ".join(["t d"] * 40)),
+    "link": ("<p><a href=x>A whole paragraph in one link</a></p>", "A whole paragraph in one link"),
+}
+
+
+@pytest.mark.parametrize("part", LONG_PARTS)
+@pytest.mark.parametrize("frame", ["article", "main", "div"])
+def test_an_article_keeps_its_parts(weights, part, frame):
+    markup, text = LONG_PARTS[part]
+    page = f"<body><nav><ul><li><a>Home</a></li><li><a>News</a></li></ul></nav><{frame}><p>First words of it.</p>{markup}<p>Last words of it.</p></{frame}></body>"
+    assert html.main_text(page, weights) == f"First words of it. {text} Last words of it."
+
+
+@pytest.mark.parametrize("name", ["commentlist", "reader-feedback", "comment-area", "respond", "user_comments", "responses"])
+def test_reader_comments_go_however_long(weights, name):
+    comments = f'<div class="{name}">' + "<p>I think so too, and more of it.</p>" * 40 + "</div>"
+    assert html.main_text(f"<body><article><p>The words of it.</p></article>{comments}</body>", weights) == "The words of it."
+    assert html.main_text(f"<body><div><p>The words of it.</p></div>{comments}</body>", weights) == "The words of it."
+    assert html.main_text(f"<body>{comments}</body>", weights) == ""
+
+
+def test_unmarked_words_beside_an_article_go(weights):
+    beside = "<div>" + "<p>I think so too, and more of it.</p>" * 40 + "</div>"
+    for page in (f"{beside}<article><p>The words of it.</p></article>", f"<article><p>The words of it.</p></article>{beside}"):
+        assert html.main_text(page, weights) == "The words of it."
+
+
+def test_an_articles_own_head_stays(weights):
+    for head in ("<header>", '<header class="entry-header">', '<div class="article-header">'):
+        close = "</div>" if head.startswith("<div") else "</header>"
+        page = f"<header>Site</header><article>{head}<h1>Title</h1>{close}<p>The words of it.</p><footer>Foot</footer></article>"
+        assert html.main_text(page, weights) == "Title The words of it."
+
+
+def test_layouts_wrap_and_responsive_frames_stay(weights):
+    text = "The words of it. " * 30
+    for frame in ('<div class="sidebar-layout">', '<form class="x">', '<div class="img-responsive">'):
+        close = "</form>" if frame.startswith("<form") else "</div>"
+        assert html.main_text(f"<body>{frame}<p>{text}</p>{close}</body>", weights) == text.strip()
+
+
 def test_best_run_equals_enumeration():
     rng = np.random.default_rng(5)
     for _ in range(200):
