@@ -143,13 +143,30 @@ class Automaton:
 
     def __init__(self, step: np.ndarray, accept: np.ndarray):
         self.step, self.accept = step, accept
+        self._rows: tuple[list[list[int]], list[int]] | None = None
+
+    def rows(self) -> tuple[list[list[int]], list[int]]:
+        """The arrays as lists, which a loop over bytes reads faster."""
+        if self._rows is None:
+            self._rows = self.step.tolist(), self.accept.tolist()
+        return self._rows
+
+    def begins(self, data: bytes) -> list[tuple[int, int]]:
+        """(place, rules) of every byte at which a match begins, in order; for a ``backward`` automaton."""
+        step, accept = self.rows()
+        state, found = 0, []
+        for k in range(len(data) - 1, -1, -1):
+            state = step[state][data[k]]
+            if accept[state]:
+                found.append((k, accept[state]))
+        return found[::-1]
 
     def longest(self, data: bytes, start: int) -> int:
         """End of the longest match that starts at ``start``, or -1."""
         state, best = 0, -1
-        step, accept = self.step, self.accept
+        step, accept = self.rows()
         for k in range(start, len(data)):
-            state = step[state, data[k]]
+            state = step[state][data[k]]
             if state == 1:
                 break
             if accept[state]:
@@ -157,21 +174,43 @@ class Automaton:
         return best
 
 
-def compile_rules(rules: Sequence[str], anywhere: bool) -> Automaton:
+def _turned(nfa: _Nfa, ends: list[int]) -> _Nfa:
+    """The moves of ``nfa`` the other way round; its last state leads to each of ``ends``."""
+    out = _Nfa()
+    for _ in range(len(nfa.free) + 1):
+        out.state()
+    for x in range(len(nfa.free)):
+        for y in nfa.free[x]:
+            out.free[y].append(x)
+        for accepted, y in nfa.moves[x]:
+            out.moves[y].append((accepted, x))
+    out.free[-1] = list(ends)
+    return out
+
+
+def compile_rules(rules: Sequence[str], anywhere: bool, backward: bool = False) -> Automaton:
     """Subset construction, then minimisation by splitting classes of states until they are stable.
 
     With ``anywhere``, a match may start at every byte, so one pass over a text tells which rules match in it.
-    Then a rule is done at the end of its shortest match, which keeps the number of states small.
+    Then a rule is done at the end of its shortest match, which keeps the number of states small.  A ``backward``
+    automaton reads a text from its end and accepts wherever a match begins, be it short or long.
     """
     nfa = _Nfa()
     root = nfa.state()
     final: dict[int, int] = {}
+    begins: dict[int, int] = {}
     for k, rule in enumerate(rules):
-        builder = _Builder(nfa, rule)
-        final[builder.choice(root)] = 1 << k
+        builder, entry = _Builder(nfa, rule), nfa.state()
+        nfa.free[root].append(entry)
+        begins[entry] = 1 << k
+        final[builder.choice(entry)] = 1 << k
         if builder.at != len(rule):
             raise ValueError(f"rule {rule!r} cannot be read from position {builder.at} on")
-    if anywhere:
+    if backward:
+        nfa.free[root] = []
+        nfa = _turned(nfa, list(final))
+        root, final = len(nfa.free) - 1, begins
+    elif anywhere:
         for x in range(len(nfa.moves)):
             if final.keys() & nfa.closure([x]):
                 nfa.moves[x] = []

@@ -29,6 +29,8 @@ RULES = {
 LEAST = {"assign": 12, "access": 18, "github": 40, "slack": 15, "google": 39, "stripe": 24, "jwt": 36}
 KINDS = tuple(RULES)
 _LANE_BYTES = 2048
+#: Pieces of which so many or fewer are left are no longer read side by side.
+_FEW_LANES = 64
 
 _OUT = "doc_id long, spans array<struct<kind:string,start:int,end:int>>"
 
@@ -38,6 +40,7 @@ class Rules:
 
     def __init__(self) -> None:
         self.anywhere = compile_rules(list(RULES.values()), anywhere=True)
+        self.backward = compile_rules(list(RULES.values()), anywhere=True, backward=True)
         self.anchored = {kind: compile_rules([rule], anywhere=False) for kind, rule in RULES.items()}
         self.name = compile_rules([_NAME], anywhere=False)
 
@@ -70,29 +73,41 @@ def flagged(automaton: Automaton, data: np.ndarray, offsets: np.ndarray) -> Iter
     state = np.zeros(len(begin), table.dtype)
     found = np.zeros(len(begin), np.int32)
     running = np.searchsorted(-length, -np.arange(1, int(length.max(initial=0)) + 1), "right")
-    for k, n in enumerate(running):
+    together = int(np.searchsorted(-running, -_FEW_LANES, "right"))
+    for k, n in enumerate(running[:together]):
         state[:n] = table[state[:n] + data[begin[:n] + k]]
         found[:n] |= accept[state[:n] >> 8]
+    # What is left of a few long pieces is read one after the other.
+    steps, accepted = automaton.rows()
+    for x in range(int(running[together]) if together < len(running) else 0):
+        now, rules = int(state[x]) >> 8, int(found[x])
+        for byte in data[begin[x] + together : begin[x] + length[x]].tobytes():
+            now = steps[now][byte]
+            if accepted[now]:
+                rules |= accepted[now]
+        found[x] = rules
     for k in sorted(np.flatnonzero(found), key=lambda x: begin[x]):
         yield int(begin[k]), int(begin[k] + length[k]), int(found[k])
 
 
 def spans_in(compiled: Rules, piece: bytes, rules: int) -> Iterator[tuple[int, int, int]]:
-    """(start, end, kind) by leftmost longest matches of each kind, one after the other without overlap."""
+    """(start, end, kind) by leftmost longest matches of each kind, one after the other without overlap.
+
+    One pass from the end of the piece tells where matches begin, so that a match is read once from its own start
+    and no start is tried in vain: the time grows with the piece, whatever it holds.
+    """
+    begins = compiled.backward.begins(piece)
     for number, kind in enumerate(KINDS):
         if not rules >> number & 1:
             continue
-        automaton, at = compiled.anchored[kind], 0
-        opens = frozenset(np.flatnonzero(automaton.step[0] != 1).tolist())
-        while at < len(piece):
-            end = automaton.longest(piece, at) if piece[at] in opens else -1
-            if end < 0:
-                at += 1
+        done = 0
+        for at, own in begins:
+            if at < done or not own >> number & 1:
                 continue
+            done = compiled.anchored[kind].longest(piece, at)
             head = compiled.name.longest(piece, at) if kind == "assign" else at
-            if end - head >= LEAST.get(kind, 0):
-                yield at, end, number
-            at = end
+            if done - head >= LEAST.get(kind, 0):
+                yield at, done, number
 
 
 def _scan(compiled: Rules, part: pa.RecordBatch) -> list[list[dict]]:
