@@ -132,19 +132,24 @@ def benchmark_terms(benchmark: DataFrame, item_id: str = "item_id", text: str =
     return materialise(items.where(F.size("terms") > 0).distinct())
 
 
-def _near(places: np.ndarray, others: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each place the nearest of ``others`` and whether it is within ``slop``."""
-    right = np.minimum(np.searchsorted(others, places), len(others) - 1)
-    left = np.maximum(right - 1, 0)
-    nearest = np.where(np.abs(others[right] - places) < np.abs(others[left] - places), others[right], others[left])
-    return nearest, np.abs(nearest - places) <= slop
-
-
-def phrase_starts(terms: np.ndarray, places_of, slop: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Where the phrase starts, and the first and last word of each match.
-
-    Lists are intersected from the rarest term on, each moved back by its offset in the phrase;
-    with a slop, a word may stand that far from its place.
+def _near(places: np.ndarray, others: np.ndarray, slop: int, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each place the nearest of ``others`` in its own document (``low`` to ``high``), the earlier of two, and
+    whether it is within ``slop``."""
+    right = np.searchsorted(others, places)
+    left = right - 1
+    far = np.iinfo(np.int64).max // 4
+    after, before = others[np.minimum(right, len(others) - 1)], others[np.maximum(left, 0)]
+    ahead = np.where((right < len(others)) & (after < high) & (after >= low), after - places, far)
+    behind = np.where((left >= 0) & (before >= low) & (before < high), places - before, far)
+    return np.where(ahead < behind, after, before), np.minimum(ahead, behind) <= slop
+
+
+def phrase_starts(terms: np.ndarray, places_of, base: np.ndarray, slop: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the phrase starts, and the first and last word of each match; ``base`` has the documents' first places.
+
+    Lists are intersected from the rarest term on, each moved back by its offset in the phrase.  With a slop, a
+    start matches if every word, the rarest too, stands that far from its place or nearer, in one document; so
+    matches do not hang on which word is the rarest.
     """
     lists = []
     for offset, term in enumerate(terms):
@@ -153,14 +158,28 @@ def phrase_starts(terms: np.ndarray, places_of, slop: int = 0) -> tuple[np.ndarr
             return (np.zeros(0, np.int64),) * 3
         lists.append((len(places), offset, places))
     lists.sort(key=lambda x: x[:2])
-    starts = lists[0][2] - lists[0][1]
-    low = high = lists[0][2]
-    for _, offset, places in lists[1:]:
-        nearest, close = _near(starts + offset, places, slop)
-        starts = starts[close]
+    anchors, offset = lists[0][2], lists[0][1]
+    if slop:
+        # A start and the document of its rarest word; near an edge two documents may share a start.
+        doc = np.repeat(np.searchsorted(base, anchors, "right") - 1, 2 * slop + 1)
+        starts = (anchors[:, None] - offset + np.arange(-slop, slop + 1)).ravel()
+        pairs = np.unique(np.stack([doc, starts]), axis=1)
+        doc, starts = pairs
+    else:
+        doc, starts, lists = np.searchsorted(base, anchors, "right") - 1, anchors - offset, lists[1:]
+    low = high = anchors
+    if slop:
+        low, high = np.full(len(starts), np.iinfo(np.int64).max), np.full(len(starts), -1)
+    for _, offset, places in lists:
+        nearest, close = _near(starts + offset, places, slop, base[doc], base[doc + 1])
+        starts, doc = starts[close], doc[close]
         low, high = np.minimum(low, nearest)[close], np.maximum(high, nearest)[close]
         if not len(starts):
             break
+    if slop:
+        # Documents may share a start, but not a place.
+        order = np.argsort(low, kind="stable")
+        starts, low, high = starts[order], low[order], high[order]
     return starts, low, high
 
 
@@ -184,18 +203,15 @@ def _matches(items: list, window: int, slop: int):
         out = []
         for item_id, terms in items:
             width = min(window, len(terms))
-            found = [phrase_starts(terms[i : i + width], places_of, slop) for i in range(len(terms) - width + 1)]
+            found = [phrase_starts(terms[i : i + width], places_of, base, slop) for i in range(len(terms) - width + 1)]
             hit = sum(len(x[0]) > 0 for x in found)
             if not hit:
                 continue
             low, high = (np.concatenate([x[k] for x in found]) for k in (1, 2))
             order = np.argsort(low, kind="stable")
+            # A match lies in one document, so the furthest end so far is never beyond it.
             low, high = low[order], np.maximum.accumulate(high[order] + 1)
             doc = np.searchsorted(base, low, "right") - 1
-            whole = high <= base[doc + 1] - 1 if slop else np.ones(len(low), bool)
-            low, high, doc = low[whole], high[whole], doc[whole]
-            if not len(low):
-                continue
             fresh = np.concatenate(([True], (low[1:] > high[:-1]) | (doc[1:] != doc[:-1])))
             at = np.flatnonzero(fresh)
             ends = high[np.append(at[1:], len(high)) - 1]

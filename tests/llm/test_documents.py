@@ -95,6 +95,37 @@ def test_proximity(spark):
     assert found(1) == {1: [(0, 13)], 2: [(0, 14)]}
 
 
+def near_by_hand(words, terms, slop):
+    """Places of the words nearest to each start at which every term stands within ``slop`` of its place."""
+    out = set()
+    for start in range(-slop, len(words) + slop):
+        chosen = []
+        for k, term in enumerate(terms):
+            close = [(abs(p - start - k), p) for p, w in enumerate(words) if w == term and abs(p - start - k) <= slop]
+            if not close:
+                break
+            chosen.append(min(close)[1])
+        else:
+            out.add((min(chosen), max(chosen) + 1))
+    return out
+
+
+@pytest.mark.parametrize("slop", [0, 1, 4])
+@pytest.mark.parametrize("segment_words", [7, 50, 10_000])
+def test_proximity_by_hand(spark, monkeypatch, slop, segment_words):
+    monkeypatch.setattr(decontaminate, "SEGMENT_WORDS", segment_words)
+    rng = random.Random(slop)
+    item = "a b c d e".split()
+    texts = [(1, "x a"), (2, "b c d e"), (3, "a b c d"), (4, "e"), (5, "a x x x x b c d e"), (6, "e d c b a"), (7, ""), (8, None)]
+    texts += [(10 + k, " ".join(rng.choice("abcdexy") for _ in range(rng.randint(0, 14)))) for k in range(60)]
+    index = decontaminate.build_index(frame(spark, texts).coalesce(1))
+    items = decontaminate.benchmark_terms(spark.createDataFrame([(1, " ".join(item))], "item_id long, text string"))
+    rows = decontaminate.find_matches(index, items, window=5, slop=slop).join(decontaminate.documents_of(index), ["segment", "ord"])
+    found = {r["doc_id"]: {p for s in r["spans"] for p in range(s["start"], s["end"])} for r in rows.collect()}
+    want = {k: {p for s, e in near_by_hand(words_of(t), item, slop) for p in range(s, e)} for k, t in texts}
+    assert found == {k: v for k, v in want.items() if v}
+
+
 def test_keep_clean(spark, benchmark_items):
     benchmark = spark.createDataFrame(benchmark_items, "item_id long, text string")
     docs = frame(spark, [(1, benchmark_items[0][1]), (2, "z"), (None, benchmark_items[0][1]), (None, None), (1, "z")])
