@@ -191,6 +191,15 @@ def spoilt_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base_state(spark, sf_dir).withColumn("ttl", F.when(c % 11 != 0, F.col("ttl")))
 
 
+def members_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A base of which every user with an even number took part in events, so that today's lists meet it."""
+    users = table(spark, sf_dir, "events").select("user_id").distinct()
+    u = F.col("user_id")
+    return users.where(u % 2 == 0).select(
+        _text(1_000_000 + u).alias("uid"), F.concat(F.lit("base-"), _text(u)).alias("list"), (1 + u % 3).cast("int").alias("ttl")
+    )
+
+
 def nameless_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The base with no user on every thirteenth row."""
     c = F.col("uid").cast("bigint")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedmill.functions import lists
@@ -308,6 +308,38 @@ def grid(spark, sf_dir):
     )
 
 
+@_query
+def train_checks(spark, sf_dir):
+    """What of a fitted model does not hang on the fit: its users and items, the length and the sign of its vectors."""
+    model = factors.train(_ratings(spark, sf_dir), SMALL_MODEL)
+    out = []
+    for kind, vectors in (("user", model.userFactors), ("item", model.itemFactors)):
+        found = vectors.agg(
+            F.count_distinct("id").alias("vectors"),
+            F.min(F.size("features")).alias("shortest"),
+            F.max(F.size("features")).alias("longest"),
+            F.bool_and(F.array_min("features") >= 0).alias("not_negative"),
+        )
+        out.append(found.select(F.lit(kind).alias("kind"), "*"))
+    return out[0].unionByName(out[1])
+
+
+@_query
+def recommend_checks(spark, sf_dir):
+    """Every user of a model has a full list of different items whose scores fall, as Spark's own routine has them."""
+    model = factors.train(_ratings(spark, sf_dir), SMALL_MODEL)
+    rows = _entries(factors.recommend_for_all(model, K))
+    own = model.recommendForAllUsers(K).select("user", F.posexplode("recommendations").alias("pos", "entry"))
+    own = own.select(F.col("user").cast("bigint").alias("user"), "pos", F.col("entry.rating").alias("rating"))
+    before = F.lag("score").over(Window.partitionBy("user").orderBy("pos"))
+    both = rows.withColumn("before", before).join(own, ["user", "pos"])
+    return both.groupBy("user").agg(
+        F.count_distinct("item").alias("items"),
+        F.bool_and(F.coalesce(F.col("score") <= F.col("before"), F.lit(True))).alias("falling"),
+        F.bool_and(F.abs(F.col("score") - F.col("rating")) < 1e-3).alias("as_sparks"),
+    )
+
+
 @_query
 def evaluate_pairs(spark, sf_dir):
     """What of the evaluation does not hang on the fit."""
@@ -480,6 +512,21 @@ def daily_candidates(spark, sf_dir):
     )
 
 
+@_query
+def daily_state_sets(spark, sf_dir):
+    """(uid, ttl, fresh, entries) of a day whose base holds some of today's users: all but the order in the lists."""
+    settings = daily.DailySettings(
+        skip=5, pool_end=100, top_items=95, min_items=10, min_users=1, k=95, factorisation=SMALL_MODEL
+    )
+    log = b.behaviour(spark, sf_dir)
+    state_ = daily.todays_state(
+        log, log.select("uid", "mid"), _event_item_meta(spark, sf_dir), b.members_state(spark, sf_dir), settings
+    )
+    fresh = F.startswith("list", F.lit("["))
+    entries = F.coalesce(F.json_array_length(F.when(fresh, F.col("list"))), F.lit(0))
+    return state_.select("uid", "ttl", fresh.alias("fresh"), entries.alias("entries"))
+
+
 def _event_item_meta(spark, sf_dir):
     """Metadata of the items that events name."""
     return b.behaviour(spark, sf_dir).select(

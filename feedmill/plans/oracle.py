@@ -622,3 +622,24 @@ FROM held, (VALUES (4), (8)) AS ranks(r), (VALUES (2), (3)) AS steps(i)""",
     "shard_kmeans_checks": """
 SELECT count(*) AS vectors, count(DISTINCT vec_id) AS ids, CAST(10 AS BIGINT) AS leaves, true AS falling FROM embeddings""",
 }
+
+ORACLE |= {
+    "train_checks": f"""WITH {_RATINGS}
+SELECT 'user' AS kind, count(DISTINCT "user") AS vectors, CAST(8 AS INTEGER) AS shortest, CAST(8 AS INTEGER) AS longest,
+       true AS not_negative FROM ratings
+UNION ALL SELECT 'item', count(DISTINCT item), 8, 8, true FROM ratings""",
+    "recommend_checks": f"""WITH {_RATINGS}
+SELECT DISTINCT CAST("user" AS BIGINT) AS "user", least(10, (SELECT count(DISTINCT item) FROM ratings)) AS items,
+       true AS falling, true AS as_sparks FROM ratings""",
+    # The lists hold every item that anybody has a score for, less what the user has touched in any way.
+    "daily_state_sets": f"""WITH {_SCORES.replace("BETWEEN 45 AND", "BETWEEN 10 AND")},
+touched AS (SELECT DISTINCT uid, mid FROM behaviour),
+lists AS (
+  SELECT u.uid, count(*) AS entries FROM (SELECT DISTINCT uid FROM scores) u CROSS JOIN (SELECT DISTINCT mid FROM scores) i
+  WHERE NOT EXISTS (SELECT 1 FROM touched t WHERE t.uid = u.uid AND t.mid = i.mid) GROUP BY u.uid
+),
+base AS (SELECT DISTINCT CAST(1000000 + user_id AS VARCHAR) AS uid, CAST(user_id % 3 AS INTEGER) AS left_days FROM events WHERE user_id % 2 = 0)
+SELECT coalesce(l.uid, b.uid) AS uid, CAST(CASE WHEN l.uid IS NULL THEN left_days ELSE 30 END AS INTEGER) AS ttl,
+       l.uid IS NOT NULL AS fresh, CAST(coalesce(entries, 0) AS INTEGER) AS entries
+FROM lists l FULL JOIN base b ON l.uid = b.uid WHERE l.uid IS NOT NULL OR left_days > 0""",
+}

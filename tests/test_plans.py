@@ -25,6 +25,7 @@ COLUMN_QUERIES = sorted(
         "top_k_pruned_blocks",
         "probe_recall",
         "scored_list_text",
+        "recommend_checks",
         "cluster_routes",
         "scored_list_lines",
         "decode_recommendations",
