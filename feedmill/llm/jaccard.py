@@ -10,8 +10,9 @@ coordinate.  A cell holds the documents with one count vector in one block; no o
 Lower levels: a cell is cut into leaves with bounding boxes; leaves and then pairs are passed over when
 the summed minima are too small, and what is left is verified on the shingle sets.  Pairs that earlier
 links connect already are not looked at again, so a group of many copies is no square of its size: a first
-round over the few cells that very close pairs share connects most copies, and the second round passes
-over all cells whose documents are connected by then.
+round over the few cells that very close pairs share connects most copies, a second one over some of the
+others connects groups of less close ones, and the third passes over all cells whose documents are connected
+by then.
 """
 
 from __future__ import annotations
@@ -40,8 +41,9 @@ BOX = 16
 FEW = 24
 STEP_PAIRS = 200_000
 BAND_GROWTH = 1.25
-#: Similarity whose cells the first round takes.
+#: Similarity whose cells the first round takes, and of how many cells the second round takes one.
 CLOSE_PERCENT = 95
+SOME_CELLS = 16
 
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 _SIGNED = "doc_id long, n long, key_a long, key_b long, point binary, close array<long>, cells array<long>"
@@ -375,8 +377,11 @@ def linked_classes(documents: DataFrame, signed: DataFrame, width: int, percent:
     )
     heads = signed.join(_small(classes.select("rid")), F.col("row") == F.col("rid"))
     points, links, labels = heads.select("rid", "n", "point"), None, None
-    for level in ("close", "cells"):
-        members = _members(heads.select("rid", F.col(level).alias("cells")), labels)
+    # Documents of a group meet in very many cells.  Some of these connect most of a group, after which the others
+    # hold one label each and are passed over.
+    some = F.filter("cells", lambda x: F.pmod(x, F.lit(SOME_CELLS)) == 0)
+    for cells in (F.col("close"), some, F.col("cells")):
+        members = _members(heads.select("rid", cells.alias("cells")), labels)
         block = F.xxhash64("cell", "leaf").alias("block")
         tried = materialise(_candidates(members.select("*", block), points, percent, spanning=True))
         found = materialise(_verified(tried, _sets_of(tried, documents, classes, width), percent))
