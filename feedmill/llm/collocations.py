@@ -13,12 +13,13 @@ trie, never a result.
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedmill.llm import textkit as tk
@@ -36,10 +37,10 @@ TRIE_WORDS = 400_000
 SIEVE_BITS = 1 << 28
 PIECE_BITS = 1 << 21
 #: Phrases of slices that a task gathers before they enter the trie, and words of a counting task beyond two for each core.
-BUFFER_ENTRIES = 1_500_000
+BUFFER_ENTRIES = 500_000
 TASK_WORDS = 200_000_000
 #: Codes that a task counts before it passes them on, and bits of a code.
-CODE_ENTRIES = 2_000_000
+CODE_ENTRIES = 1_000_000
 CODE_BITS = 40
 
 _BREAKS = np.isin(tk._BYTES, list(b".,;:!?\n\x0b\x0c\r"))
@@ -336,6 +337,18 @@ class _Slice:
                 good[place] = True
 
 
+@contextlib.contextmanager
+def _few_chunks_at_once(spark: SparkSession, rows: int = 8) -> Iterator[None]:
+    """Batches of ``rows`` while a plan over chunks runs: a chunk has megabytes, so a usual batch would be too large."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _sieves(tables: list) -> list[Sieve]:
     return [Sieve(t.value) for t in tables]
 
@@ -371,7 +384,8 @@ def possible_codes(chunks: DataFrame, lengths: tuple[int, ...], tables: list, mi
 
     rows = chunks.select("lang", "words", "tokens").mapInArrow(counted, "code long, n long")
     sums = rows.groupBy("code").agg(F.sum("n").alias("n"))
-    return materialise(sums.where(F.col("n") >= min_count).select("code"))
+    with _few_chunks_at_once(chunks.sparkSession):
+        return materialise(sums.where(F.col("n") >= min_count).select("code"))
 
 
 def count_phrases(chunks: DataFrame, longest: int, tables: list) -> DataFrame:
@@ -428,7 +442,8 @@ def frequent_phrases(documents: DataFrame, min_count: int = MIN_COUNT, longest:
     for lengths in [(1,), (2,), tuple(range(3, longest + 1))][: min(longest, 3)]:
         codes = possible_codes(chunks, lengths, tables, min_count)
         tables = [*tables, context.broadcast(sieve_of(codes))]  # each at most SIEVE_BITS
-    found = materialise(count_phrases(chunks, longest, tables).where(F.col("n") >= min_count))
+    with _few_chunks_at_once(documents.sparkSession):
+        found = materialise(count_phrases(chunks, longest, tables).where(F.col("n") >= min_count))
     return found, chunks.groupBy("lang").agg(F.sum("n").alias("n"))
 
 
