@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -297,6 +298,34 @@ def test_similar(spark, monkeypatch, width, percent, leaf, few):
     assert sorted((str(r[0]), r[1], str(r[2])) for r in found) == sorted(expected)
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+@pytest.mark.parametrize("low, high, n", [(20, 60, 2000), (100, 150, 3000), (900, 1500, 800)])
+def test_unrelated_sets_share_no_cells(percent, low, high, n):
+    draw = np.random.default_rng(low + percent)
+    first = np.concatenate(([0], np.cumsum(draw.integers(low, high, n))))
+    codes = draw.integers(0, 1 << 63, first[-1], dtype=np.uint64)
+    cells, _ = jaccard.cells_of(codes, first, jaccard.Bands(percent, high * 200 // percent))
+    _, held = np.unique(cells, return_counts=True)
+    assert (held * (held - 1) // 2).sum() < 1e-4 * n * (n - 1) / 2 and held.max() < 10
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_linked_sets_always_share_a_cell(percent):
+    draw = np.random.default_rng(percent)
+    for n in [*range(1, 60), 100, 333, 1000, 2500]:
+        one = draw.choice(1 << 62, n, replace=False).astype(np.uint64)
+        for _ in range(4):
+            # As many elements gone and new as the similarity allows.
+            gone = int(draw.integers(0, n + 1))
+            new = int(draw.integers(0, n + 1))
+            while 100 * (n - gone) < percent * (n + new):
+                gone, new = gone // 2, new * 2 // 3
+            two = np.concatenate((one[gone:], draw.choice(1 << 62, new).astype(np.uint64)))
+            first = np.array([0, n, n + len(two)])
+            cells, at = jaccard.cells_of(np.concatenate((one, two)), first, jaccard.Bands(percent, 2 * n + 2 * new + 2))
+            assert set(cells[: at[1]].tolist()) & set(cells[at[1] :].tolist()), (n, gone, new)
+
+
 def test_keep_one(spark):
     texts = near_copies(random.Random(8), 80)
     sets, group = groups_by_hand(texts, 5, 80)

@@ -18,7 +18,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.registered()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.registered()) == list(range(1, 14))
 
 
 def by_hand(spark):
