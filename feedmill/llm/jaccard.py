@@ -44,6 +44,8 @@ BAND_GROWTH = 1.25
 #: Similarity whose cells the first round takes, and of how many cells the second round takes one.
 CLOSE_PERCENT = 95
 SOME_CELLS = 16
+#: Bytes of text whose cells are made at once; every shingle takes part in some ten arrays then.
+SIGN_BYTES = 1 << 19
 
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 _SIGNED = "doc_id long, n long, key_a long, key_b long, point binary, close array<long>, cells array<long>"
@@ -178,7 +180,7 @@ def sign(documents: DataFrame, width: int, percent: int) -> DataFrame:
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = [max(percent, CLOSE_PERCENT), percent]
         bands = [Bands(x, 1 << 10) for x in levels]
-        for part in tk.slices(batches):
+        for part in tk.slices(batches, size=SIGN_BYTES):
             codes, first = shingle_sets(part.column("text"), width)
             size = np.diff(first)
             bands = [
