@@ -31,16 +31,18 @@ TOP = 2000
 LONGEST = 5
 #: Entries of a container before it bursts, of a trie before subtrees are spilled, and words with an id of their own.
 BURST = 4096
-TRIE_ENTRIES = 400_000
-TRIE_WORDS = 400_000
+TRIE_ENTRIES = 250_000
+TRIE_WORDS = 250_000
 #: Bits of the table of frequent phrases: some 16 for each, and never more than this (32 MB).
 SIEVE_BITS = 1 << 28
 PIECE_BITS = 1 << 21
+#: Bytes of text that make a chunk.
+CHUNK_BYTES = 5 << 18
 #: Phrases of slices that a task gathers before they enter the trie, and words of a counting task beyond two for each core.
-BUFFER_ENTRIES = 500_000
+BUFFER_ENTRIES = 250_000
 TASK_WORDS = 200_000_000
 #: Codes that a task counts before it passes them on, and bits of a code.
-CODE_ENTRIES = 1_000_000
+CODE_ENTRIES = 750_000
 CODE_BITS = 40
 
 _BREAKS = np.isin(tk._BYTES, list(b".,;:!?\n\x0b\x0c\r"))
@@ -266,7 +268,7 @@ def coded(documents: DataFrame) -> DataFrame:
     """
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in tk.slices(batches):
+        for part in tk.slices(batches, size=CHUNK_BYTES):
             langs = part.column("lang").dictionary_encode()
             for k, lang in enumerate(langs.dictionary.to_pylist()):
                 own = part.filter(pa.array(langs.indices.to_numpy() == k))
@@ -338,7 +340,7 @@ class _Slice:
 
 
 @contextlib.contextmanager
-def _few_chunks_at_once(spark: SparkSession, rows: int = 8) -> Iterator[None]:
+def _few_chunks_at_once(spark: SparkSession, rows: int = 6) -> Iterator[None]:
     """Batches of ``rows`` while a plan over chunks runs: a chunk has megabytes, so a usual batch would be too large."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(key)
