@@ -347,3 +347,35 @@ def test_lessons_do_not_depend_on_chunks(spark, monkeypatch):
     assert small.count() > 5 * large.count()
     assert lessons_of(small, v, 4) == expected
     assert min(map(len, expected)) > 0.15 * sum(map(len, expected))
+
+
+def test_held_out_score_is_near_or_above_the_base(spark):
+    found = lmscore.score(spark.read.parquet(f"{SF}/documents.parquet")).where("held_out").collect()
+    tokens, score, base = (sum(r[c] for r in found) for c in ("n_tokens", "score", "base_score"))
+    assert all(math.isfinite(r["score"]) for r in found)
+    # Without counts of words and copies it was 0.83 below; a new word costs the base a single training token.
+    assert (score - base) / tokens > -0.15
+
+
+def test_spelling_sums_to_one(spark, monkeypatch):
+    texts = [" ".join(f"w{(k * j) % 37}x{j % 5}" for j in range(k % 30)) for k in range(60)]
+    chunks = lmscore.coded(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string"))
+    size = lmscore._pieces(lmscore.TOKENIZER)
+    counts = lmscore.subword_counts(chunks, size)
+    for pairs in (lmscore.PAIRS, 10, 0):
+        monkeypatch.setattr(lmscore, "PAIRS", pairs)
+        s = lmscore.spelling(counts, size)
+        assert len(s.keys) <= pairs
+        known = {int(k) // (size + 1) for k in s.keys[:3]}
+        for before in (0, 5, *known):
+            every = s.logs(np.full(size + 1, before), np.arange(size + 1))
+            assert np.exp(every).sum() == pytest.approx(1, abs=1e-6)
+
+
+def test_copies_are_counted_in_their_document(spark):
+    texts = ["a b a a", "", "b", "c b c"]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").coalesce(1)
+    own = lmscore._Texts(lmscore.coded(docs).first().asDict(), lmscore._pieces(lmscore.TOKENIZER))
+    before, same = own.copies(0, len(texts))
+    assert before.tolist() == [0, 1, 2, 3, 4, 0, 0, 1, 0, 1, 2, 3]
+    assert same.tolist() == [0, 0, 1, 2, 0, 0, 0, 0, 0, 0, 1, 0]
