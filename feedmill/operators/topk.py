@@ -33,6 +33,9 @@ cloudpickle.register_pickle_by_value(topk_kernel)
 
 MAX_ITEM_BYTES = 256 << 20
 BLOCK_BYTES = 128 << 20
+#: Blocks that a side is cut into, as long as they stay below ``BLOCK_BYTES``: every block of the one side is copied to
+#: every block of the other.
+BLOCKS = 12
 
 
 @dataclass(frozen=True)
@@ -123,9 +126,18 @@ def _merge_lists(rows: DataFrame, k: int) -> DataFrame:
     return best.groupBy("user").agg(in_order("pos", "item", "score").alias("items"))
 
 
+def rows_per_block(rows: int, row_bytes: int, block_bytes: int) -> int:
+    """Rows in a block of ``block_bytes``, or more where these would make more than ``BLOCKS`` blocks of a side.
+
+    A block never goes beyond ``BLOCK_BYTES`` for that, which bounds the memory of a task.
+    """
+    return max(1, block_bytes // row_bytes, min(BLOCK_BYTES // row_bytes, -(-rows // BLOCKS)))
+
+
 def _by_blocks(
-    users: DataFrame, items: DataFrame, routes: DataFrame | None, k: int, per_block: int, whole_products: bool
-) -> DataFrame:
+    users: DataFrame, items: DataFrame, routes: DataFrame | None, k: int, n_items: int, row_bytes: int, block_bytes: int,
+    whole_products: bool,
+) -> DataFrame:
     """Score block against block, then merge each user's lists.
 
     A cluster's items make one list, cut by a hash of the id into as many blocks as its size asks for; its users
@@ -140,11 +152,12 @@ def _by_blocks(
         )
         users = materialise(users)
 
-    def blocks(df: DataFrame, name: str) -> DataFrame:
+    def blocks(df: DataFrame, name: str, rows: int) -> DataFrame:
+        per_block = rows_per_block(rows, row_bytes, block_bytes)
         return df.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / per_block).cast("int").alias(name))
 
     # One row for each list.
-    cuts = materialise(blocks(users, "ubs").join(blocks(items, "ibs"), "cluster"))
+    cuts = materialise(blocks(users, "ubs", users.count()).join(blocks(items, "ibs", n_items), "cluster"))
 
     def dealt(df: DataFrame, own: str, other: str, a: str, c: str) -> DataFrame:
         cut = dimension_join(df, cuts, ["cluster"])
@@ -185,8 +198,7 @@ def recommend_top_k(
         # Each task brings its users of a cluster together; they need not move for that.
         near = users if routes is None else users.sortWithinPartitions("cluster")
         return near.mapInArrow(kernel, topk_kernel.LISTS)
-    per_block = max(1, block_bytes // row_bytes)
-    return _by_blocks(users, items, routes, k, per_block, whole_products)
+    return _by_blocks(users, items, routes, k, n_items, row_bytes, block_bytes, whole_products)
 
 
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
@@ -228,7 +240,7 @@ def top_k_by_norm(
     if n_items * row_bytes <= max_item_bytes:
         kernel = topk_kernel.norm_scorer(_share(items, "length"), np.zeros(0), np.zeros(0, np.int64), k)
         return users.mapInArrow(kernel, topk_kernel.NORM_LISTS).where(F.size("items") > 0).select("user", "items", "products")
-    per_block = max(1, block_bytes // row_bytes)
+    per_block = rows_per_block(n_items, row_bytes, block_bytes)
     square = F.aggregate("features", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
     ranked = global_rank(items.withColumn("length", F.sqrt(square)), [F.desc("length"), F.asc("id")])
     ranked = materialise(ranked.withColumn("block", F.call_function("div", "rank", F.lit(per_block)).cast("int")))
@@ -238,7 +250,8 @@ def top_k_by_norm(
     head = _share(ranked.where("block = 0").select("id", "cluster", "features"), "length")
     first = materialise(users.mapInArrow(topk_kernel.norm_scorer(head, tails, sizes, k), topk_kernel.NORM_LISTS))
 
-    user_blocks = max(1, math.ceil(first.count() / per_block))
+    n_users = first.count()
+    user_blocks = max(1, math.ceil(n_users / rows_per_block(n_users, row_bytes, block_bytes)))
     ub = F.pmod(F.xxhash64("id"), F.lit(user_blocks)).cast("int").alias("ub")
     left = first.where("blocks > 0").withColumnRenamed("user", "id")
     left = left.select("id", F.lit(0).cast("bigint").alias("cluster"), "features", ub, F.explode(F.sequence(F.lit(1), "blocks")).alias("ib"))

@@ -13,6 +13,8 @@ import pyarrow as pa
 
 LISTS = "user bigint, items array<struct<item:bigint,score:double>>"
 TILE_CELLS = 4 << 20
+#: Items scored at once; a list of more is passed in steps, each against the k-th scores so far.
+STEP_ITEMS = 4096
 
 
 def matrix(features: pa.Array) -> np.ndarray:
@@ -54,8 +56,8 @@ class Items:
         part.rough, part.largest = self.rough[begin:end], self.largest
         return part
 
-    def contenders(self, users: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(row, column) of a superset of each user's ``k`` best items.
+    def contenders(self, users: np.ndarray, k: int, floor: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(row, column) of a superset of each user's ``k`` best items, or of those that reach the user's ``floor``.
 
         Products in single precision are off by at most the error bound of a
         dot product, so whatever lies that close to the k-th one stays in.
@@ -67,11 +69,16 @@ class Items:
         else:
             scores = users.astype(np.float32) @ self.rough.T
             bound = lengths * (users.shape[1] + 8) * 2.0**-23 + 1e-30
+        if floor is not None:
+            # Half of it covers the product, the rest the rounding of the floor.
+            return np.nonzero(scores >= (floor[:, None] - 2 * bound).astype(scores.dtype))
         return np.nonzero(scores >= (_kth(scores, k) - 2 * bound).astype(scores.dtype))
 
 
-def _scored(items: Items, users: np.ndarray, k: int, whole_products: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, item id, score) of a superset of each user's ``k`` best items.
+def _scored(
+    items: Items, users: np.ndarray, k: int, whole_products: bool, floor: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, item id, score) of a superset of each user's ``k`` best items; with ``floor``, of those that reach it.
 
     Final scores are summed in double precision in one fixed order per pair:
     items with equal features tie exactly, and then the id decides.
@@ -80,16 +87,26 @@ def _scored(items: Items, users: np.ndarray, k: int, whole_products: bool) -> tu
         # A product close to a whole number must not hang on the shape of the tile,
         # as a matrix product's last digit does: each pair is summed by itself.
         scores = np.trunc(np.einsum("ij,kj->ik", users, items.features))
-        rows, cols = np.nonzero(scores >= _kth(scores, k))
+        rows, cols = np.nonzero(scores >= (_kth(scores, k) if floor is None else floor[:, None]))
         return rows, items.ids[cols], scores[rows, cols]
-    rows, cols = items.contenders(users, k)
-    ends = np.searchsorted(rows, np.arange(1, len(users)))
-    exact = np.concatenate(
-        [np.einsum("ij,j->i", items.features[some], user) for some, user in zip(np.split(cols, ends), users)]
-    )
+    rows, cols = items.contenders(users, k, floor)
+    exact = np.zeros(len(rows))
+    ends = np.searchsorted(rows, np.arange(len(users) + 1))
+    for row in np.flatnonzero(ends[1:] > ends[:-1]):
+        some = slice(ends[row], ends[row + 1])
+        exact[some] = np.einsum("ij,j->i", items.features[cols[some]], users[row])
     return rows, items.ids[cols], exact
 
 
+def _kth_of(best: tuple[np.ndarray, np.ndarray, np.ndarray], k: int, n: int) -> np.ndarray:
+    """The k-th score of each row of ``best``, minus infinity where there are fewer."""
+    kth = np.full(n, -np.inf)
+    last = np.searchsorted(best[0], np.arange(n), "right") - 1
+    full = np.bincount(best[0], minlength=n) >= k
+    kth[full] = best[2][last[full]]
+    return kth
+
+
 def _entries(rows: np.ndarray, ids: np.ndarray, scores: np.ndarray, n: int) -> pa.Array:
     """Lists of (item, score), one for each of ``n`` rows."""
     entries = pa.StructArray.from_arrays([pa.array(ids, pa.int64()), pa.array(scores, pa.float64())], names=["item", "score"])
@@ -103,13 +120,20 @@ def best_lists(
     lists = [x for x in (items if isinstance(items, list) else [items]) if len(x.ids)]
     if not lists:
         return
-    step = max(1, TILE_CELLS // max(len(x.ids) for x in lists))
+    parts = [x.cut(a, a + STEP_ITEMS) for x in lists for a in range(0, len(x.ids), STEP_ITEMS)]
+    step = max(1, TILE_CELLS // max(len(x.ids) for x in parts))
     for start in range(0, len(user_ids), step):
         tile = user_ids[start : start + step]
-        users = user_matrix[start : start + step]
-        found = zip(*[_scored(x, users, k, whole_products) for x in lists], strict=True)
-        best = _best_k(*[np.concatenate(x) for x in found], k, len(tile))
-        yield pa.RecordBatch.from_arrays([pa.array(tile, pa.int64()), _entries(*best, len(tile))], names=["user", "items"])
+        users, n = user_matrix[start : start + step], len(tile)
+        best, kth, new = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)), np.full(n, -np.inf), []
+        for at, part in enumerate(parts, 1):
+            # An equal score may still win by its id.
+            new.append(_scored(part, users, k, whole_products, kth if np.isfinite(kth).all() else None))
+            # A k-th score that lags behind lets more through, but loses nothing.
+            if at == len(parts) or sum(len(x[0]) for x in new) >= n * min(k, len(part.ids)):
+                best = _best_k(*[np.concatenate(x) for x in zip(best, *new, strict=True)], k, n)
+                kth, new = _kth_of(best, k, n), []
+        yield pa.RecordBatch.from_arrays([pa.array(tile, pa.int64()), _entries(*best, n)], names=["user", "items"])
 
 
 def empty_lists() -> pa.Table:
@@ -209,15 +233,14 @@ def _by_length(ids: np.ndarray, users: np.ndarray, steps: list[Items], tails: np
         open_rows = np.flatnonzero(reach * items.largest >= kth)
         if not len(open_rows):
             break
-        rows, own, scores = _scored(items, users[open_rows], k, False)
+        floor = kth[open_rows]
+        rows, own, scores = _scored(items, users[open_rows], k, False, floor if np.isfinite(floor).all() else None)
         rows = open_rows[rows]
         better = scores >= kth[rows]
         new = (rows[better], own[better], scores[better])
         best = _best_k(*[np.concatenate(x) for x in zip(best, new, strict=True)], k, n)
         products[open_rows] += len(items.ids)
-        last = np.searchsorted(best[0], np.arange(n), "right") - 1
-        full = np.bincount(best[0], minlength=n) >= k
-        kth[full] = best[2][last[full]]
+        kth = _kth_of(best, k, n)
     # Lengths of blocks only fall, so those in reach come first.
     blocks = (reach[:, None] * tails[None, :] >= kth[:, None]).sum(axis=1) if len(tails) else np.zeros(n, np.int64)
     flat = pa.array(users.ravel())

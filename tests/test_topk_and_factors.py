@@ -252,3 +252,27 @@ def test_grid_has_a_row_per_combination(ratings):
     assert sorted((r["rank"], r.iterations) for r in rows) == [(2, 1), (2, 2), (3, 1), (3, 2)]
     with pytest.raises(ValueError):
         factors.grid(ratings, (), (0.1,), (1,))
+
+
+def test_blocks_do_not_multiply_with_the_rows(spark):
+    for rows in (10, 2_000, 100_000, 600_000):
+        per_block = topk.rows_per_block(rows, 512, 16 << 10)
+        assert per_block * topk.BLOCKS >= rows
+        assert per_block * 512 <= topk.BLOCK_BYTES
+    # Memory comes first; and blocks asked for larger stay as they are.
+    assert topk.rows_per_block(1 << 30, 512, 16 << 10) * 512 == topk.BLOCK_BYTES
+    assert topk.rows_per_block(100, 512, 16 << 10) == 32
+
+
+def test_lists_in_steps(monkeypatch):
+    rng = np.random.default_rng(3)
+    users, features = rng.integers(-3, 4, (37, 5)).astype(float), rng.integers(-3, 4, (211, 5)).astype(float)
+    ids = rng.permutation(1000)[:211]
+    products = users @ features.T
+    expected = [sorted(zip((-p).tolist(), ids.tolist()))[:9] for p in products]
+    for whole in (False, True):
+        for step in (4, 32, 1000):
+            monkeypatch.setattr(topk_kernel, "STEP_ITEMS", step)
+            items = [topk_kernel.Items(ids[:50], features[:50]), topk_kernel.Items(ids[50:], features[50:])]
+            found = [r for b in topk_kernel.best_lists(np.arange(37), users, items, 9, whole) for r in b.to_pylist()]
+            assert [[(-e["score"], e["item"]) for e in r["items"]] for r in found] == expected
