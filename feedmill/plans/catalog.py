@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from feedmill.functions import lists
 from feedmill.operators import candidates, causes, factors, ids, logstats, popularity, quality, scoring
 from feedmill.operators import sets, state, topk
+from feedmill.operators.joins import dimension_join
 from feedmill.plans import bindings as b
 from feedmill.plans import daily, reports, roundtrips
 from feedmill.session import materialise
@@ -132,7 +133,8 @@ def lookup_hot(spark, sf_dir):
     """Every line of every order, nine of ten of them for one item, against a dictionary that is never shared."""
     dictionary = materialise(ids.assign_ids(b.purchases(spark, sf_dir)))
     items = ids.of_kind(dictionary, ids.ITEM, "mid", "num_id")
-    return ids.lookup(b.one_sided(spark, sf_dir).join(items, "mid").select("num_id"), dictionary, max_rows=0)
+    numbers = dimension_join(b.one_sided(spark, sf_dir), items, ["mid"])
+    return ids.lookup(numbers.select("num_id"), dictionary, max_rows=0)
 
 
 # --- factors and top-k -----------------------------------------------------
