@@ -26,7 +26,8 @@ def list_rows(candidates: DataFrame) -> DataFrame:
 
 def row_lists(rows: DataFrame) -> DataFrame:
     """(uid, pos, mid) -> (uid, mids); a repeated item keeps its first position."""
-    return rows.groupBy("uid").agg(F.array_distinct(in_order("pos", "mid")).alias("mids"))
+    together = rows.select("uid", "pos", "mid").repartition("uid")
+    return together.groupBy("uid").agg(F.array_distinct(in_order("pos", "mid")).alias("mids"))
 
 
 def unseen_rows(
@@ -43,7 +44,7 @@ def unseen_rows(
     a busy user nor a popular item makes a large group.
     """
     offered = rows.select("mid") if offered is None else offered.select("mid")
-    seen = restrict(history.select("uid", "mid"), offered.distinct(), ["mid"]).distinct()
+    seen = restrict(history.select("uid", "mid"), offered, ["mid"]).distinct()
     if observation is None:
         return rows.join(seen, ["uid", "mid"], "left_anti").select("uid", "pos", "mid")
     flagged = rows.join(seen.withColumn("_seen", F.lit(True)), ["uid", "mid"], "left")
@@ -63,7 +64,7 @@ def remove_seen(candidates: DataFrame, history: DataFrame) -> DataFrame:
 def seen_counters(candidates: DataFrame, history: DataFrame) -> DataFrame:
     """One row: users offered something, items kept and removed, users with items left."""
     rows = list_rows(candidates.select("uid", F.array_distinct("mids").alias("mids")))
-    seen = restrict(history.select("uid", "mid"), rows.select("mid").distinct(), ["mid"])
+    seen = restrict(history.select("uid", "mid"), rows.select("mid"), ["mid"])
     flagged = rows.join(seen.distinct().withColumn("seen", F.lit(True)), ["uid", "mid"], "left")
     per_user = flagged.groupBy("uid").agg(
         F.count_if(F.col("seen").isNull()).alias("kept"), F.count("seen").alias("removed")
@@ -87,15 +88,17 @@ def enrich_rows(rows: DataFrame, meta: DataFrame, cap: int = 200) -> DataFrame:
 
     ``meta`` is what ``sources.read_item_meta`` gives: one day, long enough items.
     """
-    entry = F.struct(
-        F.col("author").alias("uid"),
-        F.lit(ITEM_TYPE).alias("type"),
-        F.col("mid").alias("id"),
-        F.col("oid").alias("oid"),
-    )
     known = dimension_join(rows, unique_meta(meta), ["mid"])
-    entries = known.select("uid", "pos", entry.alias("entry"))
-    return entries.groupBy("uid").agg(F.slice(in_order("pos", "entry"), 1, cap).alias("items"))
+    # Rows of a user lie anywhere by now, so lists are made once they are together, not before as well.
+    together = known.select("uid", "pos", "author", "mid", "oid").repartition("uid")
+    first = F.slice(in_order("pos", "author", "mid", "oid"), 1, cap)
+    entries = F.transform(
+        first,
+        lambda e: F.struct(
+            e["author"].alias("uid"), F.lit(ITEM_TYPE).alias("type"), e["mid"].alias("id"), e["oid"].alias("oid")
+        ),
+    )
+    return together.groupBy("uid").agg(entries.alias("items"))
 
 
 def enrich(candidates: DataFrame, meta: DataFrame, cap: int = 200) -> DataFrame:

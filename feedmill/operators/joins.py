@@ -14,6 +14,8 @@ from feedmill.session import materialise
 HOT_SHARE = 0.005
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 128 << 20
+#: Bins that the facts of all keys are counted in first.
+HOT_BINS = 4096
 #: Rows that a counted row is repeated to at once.
 RUN_ROWS = 10_000
 
@@ -39,14 +41,21 @@ def fits_broadcast(
     return rows <= max_rows and size <= max_bytes
 
 
-def hot_keys(facts: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys that hold more than ``share`` of the facts: at most 1 / share of them.
+def hot_keys(facts: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame | None:
+    """Keys that hold more than ``share`` of the facts: at most 1 / share of them.  None where there are none.
 
-    Counts combine before the shuffle, so a hot key costs one row for each task.
+    Facts are counted by a hash of the key first, which moves a few rows for each task.  A hot key makes its bin hot,
+    so only the facts in hot bins are counted by key.
     """
-    counts = materialise(facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")))
-    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
-    return counts.where(F.col("_n") > F.lit(max(1.0, share * total))).select(*on, F.lit(True).alias("_hot"))
+    place = F.pmod(F.xxhash64(*on), F.lit(HOT_BINS))
+    bins = facts.groupBy(place.alias("_bin")).agg(F.count(F.lit(1)).alias("_n")).collect()
+    least = max(1.0, share * sum(r["_n"] for r in bins))
+    hot = [r["_bin"] for r in bins if r["_n"] > least]
+    if not hot:
+        return None
+    counts = facts.where(place.isin(hot)).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    found = materialise(counts.where(F.col("_n") > F.lit(least)).select(*on, F.lit(True).alias("_hot")))
+    return None if found.isEmpty() else found
 
 
 def runs_of(counted: DataFrame, n: str, run: int = RUN_ROWS) -> DataFrame:
@@ -104,7 +113,10 @@ def dimension_join(
     if set(facts.columns) == set(on):
         counted = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
         return repeated(counted.join(dictionary, on, how), "_n")
-    hot = F.broadcast(hot_keys(facts, on))  # at most 1 / HOT_SHARE rows
+    hot = hot_keys(facts, on)
+    if hot is None:
+        return facts.join(dictionary, on, how)
+    hot = F.broadcast(hot)  # at most 1 / HOT_SHARE rows
     place = F.pmod(F.xxhash64(*facts.columns), F.lit(salts))
     marked = facts.join(hot, on, "left")
     salted = marked.withColumn("_salt", F.when(F.col("_hot"), place).otherwise(F.lit(0).cast("bigint"))).drop("_hot")
@@ -115,11 +127,16 @@ def dimension_join(
 
 
 def restrict(facts: DataFrame, keys: DataFrame, on: Sequence[str], max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Facts whose key is among ``keys`` when those are few enough to share.
+    """Facts whose key is among ``keys``, repeated or not, when the different ones are few enough to share.
 
     A reduction ahead of a shuffle, never a filter the result depends on: with
-    too many keys the facts pass unchanged.
+    too many keys the facts pass unchanged.  Their number is estimated first, as
+    that moves no keys; only what may fit is made distinct and measured.
     """
+    about = keys.agg(F.approx_count_distinct(F.struct(*on))).first()[0]
+    if about > 1.2 * max_rows:
+        return facts
+    keys = keys.select(*on).distinct()
     if fits_broadcast(keys, max_rows):
         return facts.join(F.broadcast(keys), list(on), "left_semi")
     return facts

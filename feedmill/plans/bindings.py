@@ -160,8 +160,11 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sequence(F.lit(0), F.lit(LIST_LENGTH - 1)),
         lambda p: _text((c * 31 + (p % 45) * 37) % F.col("_parts")),
     )
-    customers = table(spark, sf_dir, "customer").select("c_custkey", catalogue.alias("_parts"))
-    return customers.select(_text(c).alias("uid"), mids.alias("mids"))
+    # A customer is a few bytes in a file and fifty rows later on: without this a task or two would make all of them.
+    # The number of partitions is given, as keys are too few bytes for adaptive execution to leave them apart.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    customers = table(spark, sf_dir, "customer").select("c_custkey").repartition(tasks, "c_custkey")
+    return customers.select("c_custkey", catalogue.alias("_parts")).select(_text(c).alias("uid"), mids.alias("mids"))
 
 
 def item_meta(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -129,3 +129,10 @@ def test_history_passes_whole_when_too_many_items_are_offered(spark):
     keys = spark.range(2).withColumnRenamed("id", "k")
     assert joins.restrict(facts, keys, ["k"]).count() == 7
     assert joins.restrict(facts, keys, ["k"], max_rows=1).count() == 10
+
+
+def test_lists_are_made_in_all_tasks(spark):
+    from feedmill.plans import bindings
+
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert bindings.candidates(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == tasks

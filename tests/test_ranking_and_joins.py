@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from feedmill.operators.joins import dimension_join, fits_broadcast, hot_keys, repeated, runs_of
+from feedmill.operators.joins import dimension_join, fits_broadcast, hot_keys, repeated, restrict, runs_of
 from feedmill.operators.ranking import global_rank, grouped_rank, top_per_key
 
 
@@ -125,3 +125,25 @@ def test_broadcast_only_what_fits(spark):
 def test_outer_side_must_not_repeat(spark):
     with pytest.raises(ValueError):
         dimension_join(spark.range(1), spark.range(1), ["id"], "right")
+
+
+def test_facts_without_hot_keys_are_not_salted(spark):
+    facts = spark.range(50_000).select((F.col("id") % 20_000).alias("k"), F.col("id").alias("v"))
+    names = spark.range(30_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("n"))
+    assert hot_keys(facts, ["k"]) is None
+    joined = dimension_join(facts, names, ["k"], max_rows=0)
+    assert joined.where("n = 2 * k").count() == 50_000
+    assert "_salt" not in joined._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_hot_keys_are_all_found(spark):
+    # NULL is a key like others, and cold keys that share a bin with a hot one stay cold.
+    k = F.when(F.col("id") % 4 == 0, F.lit(None)).when(F.col("id") % 4 == 1, -7).otherwise(F.col("id"))
+    facts = spark.range(40_000).select(k.cast("long").alias("k"), F.lit(1).alias("v"))
+    assert sorted(str(r.k) for r in hot_keys(facts, ["k"]).collect()) == ["-7", "None"]
+
+
+def test_restrict_takes_repeated_keys(spark):
+    facts = spark.range(10).withColumnRenamed("id", "k")
+    keys = spark.createDataFrame([(k % 3,) for k in range(100)], "k long")
+    assert sorted(r.k for r in restrict(facts, keys, ["k"], max_rows=3).collect()) == [0, 1, 2]
