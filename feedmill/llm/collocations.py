@@ -44,6 +44,10 @@ TASK_WORDS = 200_000_000
 #: Codes that a task counts before it passes them on, and bits of a code.
 CODE_ENTRIES = 750_000
 CODE_BITS = 40
+#: Texts and chunks that go to a task at once, and rows that come back: the JVM keeps them outside its heap.
+TEXTS_AT_ONCE = 2000
+CHUNKS_AT_ONCE = 6
+BATCH_ROWS = 1 << 15
 
 _BREAKS = np.isin(tk._BYTES, list(b".,;:!?\n\x0b\x0c\r"))
 _IN_WORD = ~_BREAKS & (tk._BYTES != 0x20) & (tk._BYTES != 0x09)
@@ -145,6 +149,11 @@ def _phrases(node: Bucket | Branch, before: bytes) -> Iterator[tuple[bytes, int]
         yield from _phrases(below, before + word)
 
 
+def _cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for at in range(0, batch.num_rows, BATCH_ROWS):
+        yield batch.slice(at, BATCH_ROWS)
+
+
 class _Counter:
     """The trie of a lang in one task, its words, and its runs."""
 
@@ -189,14 +198,14 @@ class _Counter:
                 rows.append((b" ".join([names[k] for k in packed[at:end]]), n))
                 at = end
             rows.sort()
-            yield pa.RecordBatch.from_arrays(
+            yield from _cut(pa.RecordBatch.from_arrays(
                 [
                     pa.array([self.lang] * len(rows), pa.string()),
                     pa.array([p for p, _ in rows], pa.binary()).cast(pa.string()),
                     pa.array([n for _, n in rows], pa.int64()),
                 ],
                 names=["lang", "phrase", "n"],
-            )
+            ))
 
 
 class Sieve:
@@ -294,7 +303,8 @@ def coded(documents: DataFrame) -> DataFrame:
                 )
 
     rows = documents.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
-    return materialise(rows.mapInArrow(chunks, "lang string, n long, words binary, tokens binary"))
+    with _few_rows_at_once(documents.sparkSession, TEXTS_AT_ONCE):
+        return materialise(rows.mapInArrow(chunks, "lang string, n long, words binary, tokens binary"))
 
 
 class _Slice:
@@ -340,15 +350,20 @@ class _Slice:
 
 
 @contextlib.contextmanager
-def _few_chunks_at_once(spark: SparkSession, rows: int = 6) -> Iterator[None]:
-    """Batches of ``rows`` while a plan over chunks runs: a chunk has megabytes, so a usual batch would be too large."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
+def _few_rows_at_once(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Batches of ``rows`` while a plan over texts or chunks runs, and pages of few chunks: a chunk has megabytes."""
+    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "parquet.page.size.row.check.min": "1"}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def _sieves(tables: list) -> list[Sieve]:
@@ -379,14 +394,14 @@ def possible_codes(chunks: DataFrame, lengths: tuple[int, ...], tables: list, mi
                     parts = [combined()]
                     size = len(parts[0][0])
                     if size > CODE_ENTRIES // 2:
-                        yield batch_of(*parts[0])
+                        yield from _cut(batch_of(*parts[0]))
                         parts, size = [], 0
         if parts:
-            yield batch_of(*combined())
+            yield from _cut(batch_of(*combined()))
 
     rows = chunks.select("lang", "words", "tokens").mapInArrow(counted, "code long, n long")
     sums = rows.groupBy("code").agg(F.sum("n").alias("n"))
-    with _few_chunks_at_once(chunks.sparkSession):
+    with _few_rows_at_once(chunks.sparkSession, CHUNKS_AT_ONCE):
         return materialise(sums.where(F.col("n") >= min_count).select("code"))
 
 
@@ -444,7 +459,7 @@ def frequent_phrases(documents: DataFrame, min_count: int = MIN_COUNT, longest:
     for lengths in [(1,), (2,), tuple(range(3, longest + 1))][: min(longest, 3)]:
         codes = possible_codes(chunks, lengths, tables, min_count)
         tables = [*tables, context.broadcast(sieve_of(codes))]  # each at most SIEVE_BITS
-    with _few_chunks_at_once(documents.sparkSession):
+    with _few_rows_at_once(documents.sparkSession, CHUNKS_AT_ONCE):
         found = materialise(count_phrases(chunks, longest, tables).where(F.col("n") >= min_count))
     return found, chunks.groupBy("lang").agg(F.sum("n").alias("n"))
 

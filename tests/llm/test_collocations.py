@@ -111,3 +111,20 @@ def test_sieve_misses_nothing(spark):
     assert sieve.has(codes.astype(np.uint64)).all()
     others = np.random.default_rng(2).integers(0, 1 << 40, 20000).astype(np.uint64)
     assert sieve.has(others).mean() < 0.05
+
+
+def test_runs_come_back_in_small_batches():
+    counter = c._Counter("en")
+    n = 3 * c.BATCH_ROWS + 5
+    raw = counter.numbers([b"%d" % k for k in range(n)]).tobytes()
+    counter.trie.add([raw[k : k + 4] for k in range(0, len(raw), 4)], [2] * n)
+    batches = list(counter.runs(0))
+    assert sum(b.num_rows for b in batches) == n and max(b.num_rows for b in batches) <= c.BATCH_ROWS
+    assert sorted(p for b in batches for p in b.column("phrase").to_pylist()) == sorted(str(k) for k in range(n))
+
+
+def test_settings_are_put_back(spark):
+    keys = ["spark.sql.execution.arrow.maxRecordsPerBatch", "parquet.page.size.row.check.min"]
+    before = [spark.conf.get(k, None) for k in keys]
+    c.frequent_phrases(table(spark, rows_of(4)), 8)
+    assert [spark.conf.get(k, None) for k in keys] == before
