@@ -30,8 +30,10 @@ from feedmill.llm.components import components
 from feedmill.operators.joins import fits_broadcast
 from feedmill.session import materialise
 
-#: Coordinates of a point (a power of two), coarser than the groups of a band.
+#: Coordinates of a point (powers of two), coarser than the groups of a band: in the rounds that connect, and where
+#: every pair that is left has to be told apart, for which the first are too coarse.
 DIMENSIONS = 128
+FINE_DIMENSIONS = 1024
 #: Groups in a block, documents of a cell that meet in one task, and points under one bounding box.
 #: With so many groups unrelated documents hardly ever have the same counts in a block that is not empty.
 BLOCK_GROUPS = 1 << 20
@@ -48,6 +50,7 @@ SOME_CELLS = 16
 SIGN_BYTES = 1 << 19
 
 _ODD = np.uint64(0xD6E8FEB86659FD93)
+_OPEN = ["block", "rid", "leaf", "label"]
 _SIGNED = "doc_id long, n long, key_a long, key_b long, point binary, close array<long>, cells array<long>"
 
 
@@ -117,11 +120,11 @@ def set_keys(codes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return summed(tk.mix(codes)), summed(tk.mix(codes * _ODD + np.uint64(1)))
 
 
-def points(codes: np.ndarray, first: np.ndarray) -> np.ndarray:
+def points(codes: np.ndarray, first: np.ndarray, dimensions: int = DIMENSIONS) -> np.ndarray:
     rows = len(first) - 1
     doc = np.repeat(np.arange(rows), np.diff(first))
-    at = doc * DIMENSIONS + (codes >> np.uint64(65 - DIMENSIONS.bit_length())).astype(np.int64)
-    return np.bincount(at, minlength=rows * DIMENSIONS).astype(np.int32).reshape(rows, DIMENSIONS)
+    at = doc * dimensions + (codes >> np.uint64(65 - dimensions.bit_length())).astype(np.int64)
+    return np.bincount(at, minlength=rows * dimensions).astype(np.int32).reshape(rows, dimensions)
 
 
 def packed(points: np.ndarray) -> pa.Array:
@@ -129,15 +132,15 @@ def packed(points: np.ndarray) -> pa.Array:
     return pa.array([(p.astype(np.uint8) if p.max() < 256 else p).tobytes() for p in points], pa.binary())
 
 
-def unpacked(column: pa.Array) -> np.ndarray:
+def unpacked(column: pa.Array, dimensions: int = DIMENSIONS) -> np.ndarray:
     data, offsets = tk.buffer_of(column)
     width = np.diff(offsets)
-    if (width == DIMENSIONS).all():
-        return data.reshape(-1, DIMENSIONS)
-    out = np.empty((len(width), DIMENSIONS), np.int32)
-    out[width == DIMENSIONS] = data[np.repeat(width == DIMENSIONS, width)].reshape(-1, DIMENSIONS)
-    wide = np.ascontiguousarray(data[np.repeat(width != DIMENSIONS, width)]).view(np.int32)
-    out[width != DIMENSIONS] = wide.reshape(-1, DIMENSIONS)
+    if (width == dimensions).all():
+        return data.reshape(-1, dimensions)
+    out = np.empty((len(width), dimensions), np.int32)
+    out[width == dimensions] = data[np.repeat(width == dimensions, width)].reshape(-1, dimensions)
+    wide = np.ascontiguousarray(data[np.repeat(width != dimensions, width)]).view(np.int32)
+    out[width != dimensions] = wide.reshape(-1, dimensions)
     return out
 
 
@@ -263,7 +266,7 @@ def few_pairs(held: dict, cuts: np.ndarray, percent: int, spanning: bool) -> tup
     for k in range(2, FEW + 1):
         own = np.flatnonzero(sizes == k)
         one, two = np.triu_indices(k, 1)
-        step = max(1, STEP_PAIRS // len(one))
+        step = max(1, STEP_PAIRS * DIMENSIONS // (len(one) * point.shape[1]))
         for at in range(0, len(own), step):
             blocks = own[at : at + step]
             a, b = (starts[blocks][:, None] + one).ravel(), (starts[blocks][:, None] + two).ravel()
@@ -297,19 +300,19 @@ def few_pairs(held: dict, cuts: np.ndarray, percent: int, spanning: bool) -> tup
     return a[chosen], b[chosen]
 
 
-def _pair_rows(percent: int, spanning: bool):
-    """Candidate pairs of each block; the rows of a block come one after the other."""
+def _pair_rows(percent: int, spanning: bool, dimensions: int = DIMENSIONS, members: bool = False):
+    """Candidate pairs of each block, or its ``members`` that have any; the rows of a block come one after the other."""
 
-    def of_block(rid: np.ndarray, n: np.ndarray, point: np.ndarray, leaf: np.ndarray, label: np.ndarray):
+    def of_block(n: np.ndarray, point: np.ndarray, leaf: np.ndarray, label: np.ndarray):
         if spanning:
             pairs = np.array(spanning_pairs(point, n, label, percent), np.int64).reshape(-1, 2)
-            return rid[pairs[:, 0]], rid[pairs[:, 1]]
+            return pairs[:, 0], pairs[:, 1]
         ones, twos = [], []
         across = leaf.min() != leaf.max()
         for i, j, _ in near(point, n, percent):
             open_pairs = (label[i] != label[j]) & ((leaf[i] != leaf[j]) | (not across))
-            ones.append(rid[i[open_pairs]])
-            twos.append(rid[j[open_pairs]])
+            ones.append(i[open_pairs])
+            twos.append(j[open_pairs])
         return np.concatenate(ones), np.concatenate(twos)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,7 +321,7 @@ def _pair_rows(percent: int, spanning: bool):
         for batch in _with_end(batches):
             if batch is not None:
                 own = {c: batch.column(c).to_numpy() for c in names}
-                own["point"] = unpacked(batch.column("point"))
+                own["point"] = unpacked(batch.column("point"), dimensions)
                 held = own if held is None else {c: np.concatenate((held[c], own[c])) for c in own}
                 # The last block may go on in the next batch.
                 stop = int(np.searchsorted(-(held["block"] != held["block"][-1]).astype(int), 0)) if len(held["block"]) else 0
@@ -330,16 +333,24 @@ def _pair_rows(percent: int, spanning: bool):
                 continue
             block = held["block"][:stop]
             cuts = np.concatenate(([0], np.flatnonzero(block[1:] != block[:-1]) + 1, [stop]))
-            few = few_pairs({c: v[:stop] for c, v in held.items()}, cuts, percent, spanning)
-            x, y = (held["rid"][k] for k in few)
-            a, b = [np.minimum(x, y)], [np.maximum(x, y)]
+            x, y = few_pairs({c: v[:stop] for c, v in held.items()}, cuts, percent, spanning)
+            ones, twos = [x], [y]
             for low, high in zip(cuts, cuts[1:], strict=False):
                 if high - low > FEW:
-                    x, y = of_block(*(held[c][low:high] for c in ("rid", "n", "point", "leaf", "label")))
-                    a.append(np.minimum(x, y))
-                    b.append(np.maximum(x, y))
+                    x, y = of_block(*(held[c][low:high] for c in ("n", "point", "leaf", "label")))
+                    ones.append(x + low)
+                    twos.append(y + low)
+            one, two = np.concatenate(ones), np.concatenate(twos)
+            if members:
+                at, names_out = np.unique(np.concatenate((one, two))), _OPEN
+                columns = [held[c][at] for c in names_out]
+            else:
+                # A pair meets in many blocks.
+                names_out = ["a", "b"]
+                one, two = held["rid"][one], held["rid"][two]
+                columns = np.unique(np.stack((np.minimum(one, two), np.maximum(one, two))), axis=1)
             held = {c: v[stop:] for c, v in held.items()}
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names_out)
 
     return rows
 
@@ -351,10 +362,38 @@ def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | No
     yield None
 
 
-def _candidates(members: DataFrame, points: DataFrame, percent: int, spanning: bool) -> DataFrame:
+def _blocks(members: DataFrame, points: DataFrame) -> DataFrame:
     blocks = members.join(_small(points), "rid").select("block", "rid", "n", "point", "leaf", "label")
-    grouped = blocks.repartition("block").sortWithinPartitions("block", "rid")
-    return grouped.mapInArrow(_pair_rows(percent, spanning), "a long, b long").distinct()
+    return blocks.repartition("block").sortWithinPartitions("block", "rid")
+
+
+def _candidates(
+    members: DataFrame, points: DataFrame, percent: int, spanning: bool, dimensions: int = DIMENSIONS
+) -> DataFrame:
+    return _blocks(members, points).mapInArrow(_pair_rows(percent, spanning, dimensions), "a long, b long").distinct()
+
+
+def _open_members(members: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """Members of blocks that have candidates there; never more rows than there are members."""
+    rows = _pair_rows(percent, spanning=False, members=True)
+    return _blocks(members, points).mapInArrow(rows, "block long, rid long, leaf int, label long")
+
+
+def _fine(sets: DataFrame) -> DataFrame:
+    """rid, set size and point in ``FINE_DIMENSIONS`` of every set."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = batch.column("codes")
+            first = codes.offsets.to_numpy()
+            values = codes.values.to_numpy()[first[0] : first[-1]].view(np.uint64)
+            fine = points(values, first - first[0], FINE_DIMENSIONS)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rid"), pa.array(np.diff(first).astype(np.int64)), packed(fine)], names=["rid", "n", "point"]
+            )
+
+    # A class may come more than once, with the same set.
+    return sets.mapInArrow(made, "rid long, n long, point binary").dropDuplicates(["rid"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -386,7 +425,7 @@ def linked_classes(documents: DataFrame, signed: DataFrame, width: int, percent:
         members = _members(heads.select("rid", cells.alias("cells")), labels)
         block = F.xxhash64("cell", "leaf").alias("block")
         tried = materialise(_candidates(members.select("*", block), points, percent, spanning=True))
-        found = materialise(_verified(tried, _sets_of(tried, documents, classes, width), percent))
+        found = materialise(_verified(tried, _sets_of(_ends(tried), documents, classes, width), percent))
         links = found if links is None else links.unionByName(found)
         labels = components(links)
 
@@ -397,9 +436,14 @@ def linked_classes(documents: DataFrame, signed: DataFrame, width: int, percent:
     other = F.explode(F.sequence(F.lit(0), F.col("leaves") - 1)).alias("other")
     again = named.join(mixed.select("cell"), "cell").select("*", other)
     block = F.xxhash64("cell", F.least("leaf", "other"), F.greatest("leaf", "other")).alias("block")
-    rest = _candidates(again.select("*", block), points, percent, spanning=False).join(tried, ["a", "b"], "left_anti")
-    rest = materialise(rest)
-    links = links.unionByName(materialise(_verified(rest, _sets_of(rest, documents, classes, width), percent)))
+    # All pairs within the bound are looked at now.  Those within the coarse one grow with the square of a group, so only
+    # their documents are named, and fine points of these, from the sets themselves, tell the pairs apart.
+    left = materialise(_open_members(again.select("*", block), points, percent))
+    sets = _sets_of(left.select("rid").distinct(), documents, classes, width)
+    fine = materialise(_fine(sets))
+    rest = materialise(_candidates(left, fine, percent, False, FINE_DIMENSIONS))
+    rest = rest.join(tried, ["a", "b"], "left_anti")
+    links = links.unionByName(materialise(_verified(rest, sets, percent)))
     labels = components(links)
     named = classes.join(labels, F.col("rid") == F.col("node"), "left")
     return named.select(*KEYS, "doc_id", F.coalesce("label", "rid").alias("label"))
@@ -478,13 +522,17 @@ def _small(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if fits_broadcast(table) else table
 
 
-def _sets_of(pairs: DataFrame, documents: DataFrame, classes: DataFrame, width: int) -> DataFrame:
-    """rid and shingle codes of every class in a pair, read from the texts again.
+def _ends(pairs: DataFrame) -> DataFrame:
+    """rid of every class in a pair."""
+    return pairs.select(F.col("a").alias("rid")).unionByName(pairs.select(F.col("b").alias("rid"))).distinct()
+
+
+def _sets_of(rids: DataFrame, documents: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+    """rid and shingle codes of the classes ``rids``, read from the texts again.
 
     A class may come more than once, where rows repeat a doc_id.
     """
-    ends = pairs.select(F.col("a").alias("rid")).unionByName(pairs.select(F.col("b").alias("rid"))).distinct()
-    wanted = materialise(classes.select("rid", "key_a", "key_b", "doc_id").join(ends, "rid", "left_semi"))
+    wanted = materialise(classes.select("rid", "key_a", "key_b", "doc_id").join(rids, "rid", "left_semi"))
     ids = wanted.select(F.struct("doc_id").alias("_id")).distinct()
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = rows.join(_small(ids), F.struct("doc_id") == F.col("_id"), "left_semi")

@@ -341,6 +341,32 @@ def test_keep_one(spark):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(expected)
 
 
+def test_a_group_below_the_threshold_gives_few_pairs(spark, monkeypatch):
+    draw = random.Random(5)
+    base = [f"w{k}" for k in range(300)]
+    texts = []
+    for k in range(60):
+        words = list(base)
+        for at in draw.sample(range(5, 295), 9):
+            words[at] = f"x{k}_{at}"
+        texts.append((k, " ".join(words)))
+    sets, group = groups_by_hand(texts, 5, 80)
+    seen, verified = [], jaccard._verified
+
+    def counted(pairs, *rest):
+        seen.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "_verified", counted)
+    found = jaccard.similar(frame(spark, texts), 5, 80).collect()
+    lowest = {}
+    for (key, _), g in zip(texts, group, strict=True):
+        lowest[g] = min(lowest.get(g, key), key)
+    assert sorted((r[0], r[2]) for r in found) == [(k, lowest[g]) for (k, _), g in zip(texts, group, strict=True)]
+    # Of 1770 pairs, most are 0.70 to 0.76 similar.
+    assert len(seen) == 4 and seen[-1] < 60, seen
+
+
 def test_nothing_similar(spark):
     assert jaccard.similar(spark.createDataFrame([], SCHEMA)).count() == 0
     assert jaccard.keep_one(spark.createDataFrame([], SCHEMA)).count() == 0
