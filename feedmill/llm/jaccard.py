@@ -18,6 +18,7 @@ by then.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark.sql import types as T
 from feedmill.llm import textkit as tk
 from feedmill.llm.components import components
 from feedmill.operators.joins import fits_broadcast
-from feedmill.session import materialise
+from feedmill.session import materialise, scratch, short_shuffles
 
 #: Coordinates of a point (powers of two), coarser than the groups of a band: in the rounds that connect, and where
 #: every pair that is left has to be told apart, for which the first are too coarse.
@@ -46,6 +47,8 @@ BAND_GROWTH = 1.25
 #: Similarity whose cells the first round takes, and of how many cells the second round takes one.
 CLOSE_PERCENT = 95
 SOME_CELLS = 16
+#: Parts in which the third round groups its cells one after the other, as all of them make by far the largest shuffle.
+CELL_PARTS = 2
 #: Bytes of text whose cells are made at once; every shingle takes part in some ten arrays then.
 SIGN_BYTES = 1 << 19
 
@@ -411,8 +414,14 @@ KEYS = ("key_a", "key_b", "n")
 def linked_classes(documents: DataFrame, signed: DataFrame, width: int, percent: int) -> DataFrame:
     """Classes of equal sets (by ``KEYS``) with their smallest doc_id, and the label of their component.
 
-    Links are all pairs of sets with a Jaccard similarity of at least ``percent`` / 100.
+    Links are all pairs of sets with a Jaccard similarity of at least ``percent`` / 100.  What the rounds write goes
+    with them; only the classes stay.
     """
+    with scratch(documents.sparkSession), short_shuffles(documents.sparkSession):
+        return materialise(_linked(documents, signed, width, percent), outlive=1)
+
+
+def _linked(documents: DataFrame, signed: DataFrame, width: int, percent: int) -> DataFrame:
     classes = materialise(
         signed.where("n > 0").groupBy(*KEYS).agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("rid"))
     )
@@ -421,11 +430,12 @@ def linked_classes(documents: DataFrame, signed: DataFrame, width: int, percent:
     # Documents of a group meet in very many cells.  Some of these connect most of a group, after which the others
     # hold one label each and are passed over.
     some = F.filter("cells", lambda x: F.pmod(x, F.lit(SOME_CELLS)) == 0)
-    for cells in (F.col("close"), some, F.col("cells")):
-        members = _members(heads.select("rid", cells.alias("cells")), labels)
+    for cells, parts in ((F.col("close"), 1), (some, 1), (F.col("cells"), CELL_PARTS)):
+        members = _members(heads.select("rid", cells.alias("cells")), labels, parts)
         block = F.xxhash64("cell", "leaf").alias("block")
         tried = materialise(_candidates(members.select("*", block), points, percent, spanning=True))
-        found = materialise(_verified(tried, _sets_of(_ends(tried), documents, classes, width), percent))
+        with scratch(documents.sparkSession):
+            found = materialise(_verified(tried, _sets_of(_ends(tried), documents, classes, width), percent), outlive=1)
         links = found if links is None else links.unionByName(found)
         labels = components(links)
 
@@ -449,20 +459,32 @@ def linked_classes(documents: DataFrame, signed: DataFrame, width: int, percent:
     return named.select(*KEYS, "doc_id", F.coalesce("label", "rid").alias("label"))
 
 
-def _members(cells: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """(cell, leaves, rid, label, leaf) of every cell with documents that are not connected yet."""
+def _shared(in_cells: DataFrame) -> DataFrame:
+    """Cells of several labels, their number of documents and sums that name these."""
+    return in_cells.groupBy("cell").agg(
+        F.count(F.lit(1)).alias("m"), F.min("rid").alias("low"), F.sum(F.xxhash64("rid").cast("decimal(38,0)")).alias("held"),
+        F.min("label").alias("x"), F.max("label").alias("y"),
+    ).where("x != y")
+
+
+def _members(cells: DataFrame, labels: DataFrame | None, parts: int = 1) -> DataFrame:
+    """(cell, leaves, rid, label, leaf) of every cell with documents that are not connected yet.
+
+    The cells are grouped in so many parts, of which only the shared ones stay.
+    """
     if labels is None:
         named = cells.withColumn("label", F.col("rid"))
     else:
         named = cells.join(_small(labels), F.col("rid") == F.col("node"), "left")
         named = named.withColumn("label", F.coalesce("label", "rid"))
     in_cells = named.select("rid", "label", F.explode("cells").alias("cell"))
-    shared = in_cells.groupBy("cell").agg(
-        F.count(F.lit(1)).alias("m"), F.min("rid").alias("low"), F.sum(F.xxhash64("rid").cast("decimal(38,0)")).alias("held"),
-        F.min("label").alias("x"), F.max("label").alias("y"),
-    )
+    if parts == 1:
+        shared = _shared(in_cells)
+    else:
+        part = F.pmod("cell", F.lit(parts))
+        shared = reduce(DataFrame.unionByName, [materialise(_shared(in_cells.where(part == k))) for k in range(parts)])
     # Cells with the same documents need one look.
-    shared = shared.where("x != y").groupBy("m", "low", "held").agg(F.min("cell").alias("cell"))
+    shared = shared.groupBy("m", "low", "held").agg(F.min("cell").alias("cell"))
     leaves = F.ceil(F.col("m") / LEAF).cast("int")
     members = in_cells.join(_small(materialise(shared.select("cell", leaves.alias("leaves")))), "cell")
     leaf = F.pmod(F.xxhash64("rid", "cell"), F.col("leaves")).cast("int")
@@ -491,11 +513,13 @@ def keep_one(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFra
 
     Rows with a doc_id go before rows without one.  Rows without words stay, as they resemble nothing.
     """
-    signed = materialise(sign(documents, width, percent))
-    classes = linked_classes(documents, signed, width, percent)
-    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", *KEYS)
-    chosen = classes.groupBy("label").agg(F.min(rank).alias("x"))
-    chosen = chosen.select(*[F.col(f"x.{k}").alias(f"_{k}") for k in KEYS], F.col("x.doc_id").alias("_doc_id"))
+    with scratch(documents.sparkSession):
+        signed = materialise(sign(documents, width, percent))
+        classes = linked_classes(documents, signed, width, percent)
+        rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", *KEYS)
+        chosen = classes.groupBy("label").agg(F.min(rank).alias("x"))
+        chosen = chosen.select(*[F.col(f"x.{k}").alias(f"_{k}") for k in KEYS], F.col("x.doc_id").alias("_doc_id"))
+        chosen = materialise(chosen, outlive=1)
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in tk.slices(batches):

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedmill.llm import components, decontaminate, jaccard, linededup, mixing
+from feedmill.session import current_scratch, scratch
 
 LOWER = {i: i + 32 for i in range(65, 91)}
 SCHEMA = "doc_id long, text string, source string, segment string, copy int"
@@ -341,6 +342,29 @@ def test_keep_one(spark):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(expected)
 
 
+def test_only_the_chosen_documents_outlive_the_rounds(spark):
+    docs = frame(spark, near_copies(random.Random(3), 20))
+    with scratch(spark):
+        kept = jaccard.keep_one(docs)
+        assert len(current_scratch()) == 1
+        assert kept.count() > 3
+
+
+def test_cells_grouped_in_parts_have_the_same_members(spark, monkeypatch):
+    made = []
+    write = jaccard.materialise
+    monkeypatch.setattr(jaccard, "materialise", lambda df: made.append(write(df)) or made[-1])
+    draw = random.Random(11)
+    rows = [(k, [draw.randrange(-40, 40) for _ in range(3)]) for k in range(60)]
+    cells = spark.createDataFrame([(k, sorted(set(x))) for k, x in rows], "rid long, cells array<long>")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(0, 60, 3)], "node long, label long")
+    whole = sorted(jaccard._members(cells, labels).collect())
+    made.clear()
+    assert sorted(jaccard._members(cells, labels, 3).collect()) == whole and len(whole) > 50
+    # No part groups more than its own cells.
+    assert [{r["cell"] % 3 for r in part.collect()} for part in made[:3]] == [{0}, {1}, {2}]
+
+
 def test_a_group_below_the_threshold_gives_few_pairs(spark, monkeypatch):
     draw = random.Random(5)
     base = [f"w{k}" for k in range(300)]

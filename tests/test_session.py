@@ -1,8 +1,11 @@
 """Copies made in a block are gone after it, those that outlive it stay."""
 
 import pathlib
+import time
 
-from feedmill.session import materialise, scratch
+from pyspark.sql import functions as F
+
+from feedmill.session import SHUFFLE_CLEANUP, materialise, scratch, short_shuffles
 
 
 def folder(df):
@@ -31,3 +34,34 @@ def test_a_failing_block_cleans_up_too(spark):
     except KeyError:
         pass
     assert not places[0].exists()
+
+
+def test_short_shuffles_holds_in_its_block_alone(spark):
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    try:
+        with short_shuffles(spark):
+            assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
+            counted = spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()
+            # A plan that runs again still has all its rows.
+            assert [len(counted.collect()) for _ in range(2)] == [7, 7]
+            raise KeyError
+    except KeyError:
+        pass
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == before
+
+
+def test_a_written_copy_leaves_no_shuffle_files(spark):
+    folders = [pathlib.Path(p) for p in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
+
+    def shuffles():
+        return {p.name for folder in folders for p in folder.rglob("shuffle_*")}
+
+    with scratch(spark), short_shuffles(spark):
+        before = shuffles()
+        copy = materialise(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+        assert copy.count() == 7
+        for _ in range(50):  # executors remove them soon after
+            if not (left := shuffles() - before):
+                break
+            time.sleep(0.1)
+        assert not left
