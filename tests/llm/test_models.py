@@ -379,3 +379,28 @@ def test_copies_are_counted_in_their_document(spark):
     before, same = own.copies(0, len(texts))
     assert before.tolist() == [0, 1, 2, 3, 4, 0, 0, 1, 0, 1, 2, 3]
     assert same.tolist() == [0, 0, 1, 2, 0, 0, 0, 0, 0, 0, 1, 0]
+
+
+def test_words_of_the_chunk_before_are_not_cut_again():
+    asked = []
+
+    def encode(words):
+        asked.extend(words)
+        return [[ord(c) for c in w] for w in words]
+
+    subwords = lmscore._Subwords(encode)
+    for words in ([], [b"b", b"aa", b""], [b"aa", b"ccc", b"", b"d"], [b"d"], [b"b"]):
+        codes, first = np.array([3 * sum(w) + len(w) for w in words], np.uint64), np.arange(len(words))
+        order = np.argsort(codes)
+        flat, begin = subwords.of(codes[order], words, first[order])
+        assert [flat[x:y].tolist() for x, y in zip(begin, begin[1:], strict=False)] == [list(words[k]) for k in order]
+    assert sorted(asked) == ["", "aa", "b", "b", "ccc", "d"]
+
+
+def test_large_scores_neither_vanish_nor_overflow():
+    draw = np.random.default_rng(3)
+    for scale in (1, 500):
+        scores = (draw.normal(size=(3, 32, 32)) * scale).astype(np.float32)
+        wanted = np.exp(scores.astype(float) - scores.max(-1, keepdims=True))
+        wanted /= wanted.sum(-1, keepdims=True)
+        assert np.allclose(at._softmax(scores.copy()), wanted, atol=1e-6)
