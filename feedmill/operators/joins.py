@@ -104,6 +104,9 @@ def dimension_join(
     their dictionary rows are copied.  The salt is a hash of the row, so a retried task
     gives the same one.  Facts that hold nothing but the key are counted, joined once
     and repeated, in runs dealt over all tasks.
+
+    Beyond the bound both sides are merged by key, so neither goes through the driver: Spark
+    tells a side's size by its files, and rows of exploded lists are far more than these.
     """
     on = list(on)
     if how not in ("inner", "left_semi", "left_anti", "left"):
@@ -112,10 +115,10 @@ def dimension_join(
         return facts.join(F.broadcast(dictionary), on, how)
     if set(facts.columns) == set(on):
         counted = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-        return repeated(counted.join(dictionary, on, how), "_n")
+        return repeated(counted.join(dictionary.hint("merge"), on, how), "_n")
     hot = hot_keys(facts, on)
     if hot is None:
-        return facts.join(dictionary, on, how)
+        return facts.join(dictionary.hint("merge"), on, how)
     hot = F.broadcast(hot)  # at most 1 / HOT_SHARE rows
     place = F.pmod(F.xxhash64(*facts.columns), F.lit(salts))
     marked = facts.join(hot, on, "left")
@@ -123,7 +126,7 @@ def dimension_join(
     every = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
     one = F.array(F.lit(0).cast("bigint"))
     copies = dictionary.join(hot, on, "left").withColumn("_salt", F.explode(F.when(F.col("_hot"), every).otherwise(one)))
-    return salted.join(copies.drop("_hot"), on + ["_salt"], how).drop("_salt")
+    return salted.join(copies.drop("_hot").hint("merge"), on + ["_salt"], how).drop("_salt")
 
 
 def restrict(facts: DataFrame, keys: DataFrame, on: Sequence[str], max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:

@@ -136,6 +136,26 @@ def test_facts_without_hot_keys_are_not_salted(spark):
     assert "_salt" not in joined._jdf.queryExecution().optimizedPlan().toString()
 
 
+@pytest.mark.parametrize("how", ["inner", "left_semi", "left_anti", "left"])
+@pytest.mark.parametrize("kind", ["no hot key", "hot key", "key only"])
+def test_neither_side_is_broadcast_beyond_the_bound(spark, tmp_path, how, kind):
+    # By its files either side is some kB, whatever the number of its rows, so Spark alone would broadcast one.
+    spark.range(2_000).write.parquet(str(tmp_path / "ids"))
+    ids = spark.read.parquet(str(tmp_path / "ids"))
+    k = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")) if kind == "hot key" else F.col("id")
+    facts = ids.select(k.alias("k"), F.explode(F.sequence(F.lit(1), F.lit(20))).alias("v"))
+    facts = facts.select("k") if kind == "key only" else facts
+    names = ids.where("id % 2 = 0").select(F.col("id").alias("k"), (F.col("id") * 2).alias("n"))
+    plain = facts.join(names, "k", how)
+    assert "BroadcastHashJoin" in plain._jdf.queryExecution().executedPlan().toString()
+    found = dimension_join(facts, names, ["k"], how, max_rows=0, salts=4)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan
+    # The marks of hot keys are shared, on either side, and nothing else.
+    assert plan.count("BroadcastHashJoin") == (2 if kind == "hot key" else 0)
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
 def test_hot_keys_are_all_found(spark):
     # NULL is a key like others, and cold keys that share a bin with a hot one stay cold.
     k = F.when(F.col("id") % 4 == 0, F.lit(None)).when(F.col("id") % 4 == 1, -7).otherwise(F.col("id"))
