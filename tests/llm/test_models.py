@@ -372,6 +372,122 @@ def test_spelling_sums_to_one(spark, monkeypatch):
             assert np.exp(every).sum() == pytest.approx(1, abs=1e-6)
 
 
+def symbols_by_hand(text, size):
+    """Of each word the symbols: the subword that opens it, and those inside it."""
+    import sentencepiece
+
+    reader = sentencepiece.SentencePieceProcessor(model_file=lmscore.TOKENIZER)
+    words = [reader.encode(w) or [0] for w in re.findall(WORD, text.lower())]
+    return [[w[0], *(size + k for k in w[1:])] for w in words]
+
+
+ODD_TEXTS = ["Photosynthesis w12x9 of \x01 photosynthesis", "", "z", " ".join(f"w{(k * k) % 37}xyz{k % 5}" for k in range(60)), "photo"]
+
+
+def test_attention_reads_all_subwords(spark):
+    docs = spark.createDataFrame([*enumerate(ODD_TEXTS)], "doc_id long, text string").coalesce(1)
+    size = lmscore._pieces(lmscore.TOKENIZER)
+    chunks = lmscore.coded(docs)
+    v = lmscore.vocabulary(chunks)
+    texts = lmscore._Texts(chunks.first().asDict(), len(v.group) - 1)
+    inputs, target, lengths, source = texts.sequences(0, len(ODD_TEXTS))
+    every = [[k for w in symbols_by_hand(t, size) for k in w] for t in ODD_TEXTS]
+    assert max(len(w) for t in ODD_TEXTS for w in symbols_by_hand(t, size)) > 3
+    assert target.tolist() == [k for own in every for k in [*own, 2 * size]]
+    assert inputs.tolist() == [k for own in every for k in [2 * size, *own]]
+    assert lengths.tolist() == [len(own) + 1 for own in every]
+    assert texts.symbols[source[source >= 0]].tolist() == [k for own in every for k in own]
+    # Lessons hold them too, each as often as it is there.
+    row = chunks.first().asDict()
+    taught = [t[c > 0] for turn in range(4) for _, target, counts in lmscore._lessons(row, v, turn, 4) for t, c in zip(target, counts, strict=True)]
+    expected = [k for own, held in zip(every, row["held"], strict=True) if not held for k in [*own, 2 * size]]
+    assert sorted(np.concatenate(taught).tolist()) == sorted(v.group[expected].tolist())
+    # Classes are of openings and the end or of what is inside words.
+    assert not (set(v.group[:size]) | {v.group[-1]}) & set(v.group[size:-1])
+    assert v.opens[v.group[:size]].all() and v.opens[v.group[-1]] and not v.opens[v.group[size:-1]].any()
+
+
+def test_a_subword_inside_a_word_changes_what_comes_after(spark):
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    chunks = lmscore.coded(documents)
+    v = lmscore.vocabulary(chunks)
+    scorer = at.Scorer(lmscore.train(chunks, v))
+    size = len(v.group) // 2
+    one, other = ([k for w in symbols_by_hand(f"a {w} b", size) for k in w] for w in ("xyzzy", "xyzzq"))
+    assert one[1] == other[1] and one != other and len(one) == len(other)
+    after = []
+    for own in (one, other):
+        ids = np.zeros((1, at.WIDTH), np.int64)
+        ids[0, : len(own)] = v.row[[2 * size, *own[:-1]]]
+        after.append(scorer.score(ids, np.full_like(ids, v.group[own[-1]]))[0, len(own) - 1])
+    assert after[0] != after[1]
+
+
+def test_word_scores_by_hand(spark):
+    # Few distinct words, so that some are counted, some new and some copied.
+    rows = [*enumerate(ODD_TEXTS), *((k + 10, " ".join(f"w{(k * j) % 7} xw{j % 3}yz" for j in range(k % 5))) for k in range(40))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    chunks = lmscore.coded(docs)
+    row = chunks.first().asDict()
+    size = lmscore._pieces(lmscore.TOKENIZER)
+    subwords = lmscore.subword_counts(chunks, size).cache()
+    v, s = lmscore.vocabulary(chunks, counts=subwords), lmscore.spelling(subwords, size)
+    scorer = at.Scorer(lmscore.train(chunks, v))
+    texts = lmscore._Texts(row, 2 * size)
+    held = dict(zip(row["doc_ids"], row["held"], strict=True))
+    count = Counter(w for k, t in rows if not held[k] for w in re.findall(WORD, t.lower()))
+    own = np.zeros(len(texts.widths), np.int64)
+    for (k, t), begin in zip(rows, texts.words, strict=False):
+        for j, w in enumerate(re.findall(WORD, t.lower())):
+            own[texts.tokens[begin + j]] = count[w]
+    unseen = 0.01
+    found = lmscore._model_scores(texts, v, scorer, lmscore._spelt(texts, v, s, own, unseen))
+    scale = unseen * v.opened.sum() / v.once.sum()
+
+    def by_hand(text):
+        words, symbols = re.findall(WORD, text.lower()), symbols_by_hand(text, size)
+        flat = [2 * size, *(k for w in symbols for k in w)]
+        windows = at.windows_over(np.array([len(flat)]))
+        ids = v.row[np.array(flat)][windows.at]
+        log, at_place = np.zeros((len(flat), v.groups)), windows.at[windows.scored]
+        for c in range(v.groups):
+            log[at_place, c] = scorer.score(ids, np.full_like(ids, c))[windows.scored]
+        p = np.exp(log)
+        assert p.sum(1) == pytest.approx(np.ones(len(flat)), rel=1e-4)
+        total, place = 0.0, 0
+        for j in range(len(words) + 1):
+            part = lmscore.COPIES * j / (j + lmscore.HALF_COPIES)
+            symbol = [*symbols, [2 * size]][j]
+            new = p[place, v.group[symbol[0]]] * math.exp(v.share[symbol[0]]) / p[place, v.opens].sum()
+            same = 0.0
+            if j < len(words):
+                lead = symbol[0]
+                anew = min((v.once[lead] * scale + 1) / (v.opened[lead] + 1), 1)
+                known = (1 - anew) * count[words[j]] / max(v.opened[lead], 1)
+                attention = pairs = 1.0
+                for before, after in zip(symbol, [*symbol[1:], None], strict=True):
+                    place += 1
+                    inside = after is not None
+                    attention *= p[place, v.group[after]] * math.exp(v.share[after]) if inside else p[place, v.opens].sum()
+                    pairs *= math.exp(s.logs(np.array([before % size]), np.array([after % size if inside else size]))[0])
+                new *= known + anew * ((1 - lmscore.PAIRED) * attention + lmscore.PAIRED * pairs)
+                same = words[:j].count(words[j]) / max(j, 1)
+            total += math.log((1 - part) * new + part * same)
+        return total
+
+    assert found == pytest.approx([by_hand(t) for _, t in rows], rel=1e-4)
+
+
+def test_texts_without_words(spark):
+    # The first chunk has no word at all.
+    rows = [(1, ""), (2, None), (5, " \n"), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    for every in (docs, docs.union(spark.createDataFrame([(20, "a b"), (21, "b")], "doc_id long, text string"))):
+        found = {r["doc_id"]: r for r in lmscore.score(every).collect()}
+        assert len(found) == every.count()
+        assert all(found[k]["n_tokens"] == 1 and math.isfinite(found[k]["score"]) for k, _ in rows)
+
+
 def test_copies_are_counted_in_their_document(spark):
     texts = ["a b a a", "", "b", "c b c"]
     docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").coalesce(1)
